@@ -77,7 +77,8 @@ def month_number(c: Column) -> Column:
     named = F.lit(None).cast("int")
     for name, value in MONTHS.items():
         named = F.when(key == name, F.lit(value)).otherwise(named)
-    return F.coalesce(F.least(F.greatest(number, F.lit(1)), F.lit(12)), named, F.lit(1))
+    kept = F.when(number.isNotNull(), F.least(F.greatest(number, F.lit(1)), F.lit(12)))
+    return F.coalesce(kept, named, F.lit(1))
 
 
 def display_parts(parts: Column) -> Column:

@@ -7,6 +7,7 @@ import html as _html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Unicode white space plus the four ASCII separators, which Java's White_Space class leaves out.
 SPACE_CLASS = r"[\s\x1c-\x1f]"
@@ -51,7 +52,7 @@ def strip_tags(c: Column) -> Column:
     return ws_or_null(F.regexp_replace(ws_or_null(c), "<[^>]+>", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unescape(values: pd.Series) -> pd.Series:
     return values.map(lambda v: _html.unescape(v) if v is not None else None)
 
