@@ -15,6 +15,7 @@ from citeloom.functions.scan import ScanSpec, find_mentions, mention_context
 from citeloom.functions.arrays import distinct_ws, empty_strings, or_empty
 from citeloom.operators.joins import lookup_join
 from citeloom.operators.order import top_n_per_key
+from citeloom.session import materialise
 
 NOT_LANDED = "No response landed for this address"
 NO_TEXT = "No extractable PDF text"
@@ -120,9 +121,8 @@ def scan_documents(
     ``max_candidates`` addresses of a paper count, which is a configured feature of the scan. Status is
     mention, download_fail, extract_fail, no_pdf or scanned_clear, in this precedence.
     """
-    chosen = top_n_per_key(pdf_candidates, ["canonical_id"], [F.col("at")], max_candidates)
-    # Only papers of this scan; both sides are distributed by canonical_id afterwards.
-    chosen = chosen.join(papers.select("canonical_id"), "canonical_id", "left_semi")
+    of_scan = pdf_candidates.join(papers.select("canonical_id"), "canonical_id", "left_semi")
+    chosen = top_n_per_key(of_scan, ["canonical_id"], [F.col("at")], max_candidates)
     tried = lookup_join(chosen, pdf_outcomes(fetched, chosen, spec, max_mb), ["url"], "left").select(
         "canonical_id",
         "at",
@@ -145,6 +145,9 @@ def scan_documents(
     state = papers.select("canonical_id", F.coalesce("already_mentioned", F.lit(False)).alias("cached")).join(
         first_step, "canonical_id", "left"
     )
+    # One small row per paper. Written once, because both the second step and the result read it, and
+    # documents must not be scanned twice.
+    state = materialise(state, "scan-step-one")
 
     open_ids = state.filter(F.col("pdf_hit").isNull() & ~F.col("cached")).select("canonical_id")
     wanted = text_candidates.join(open_ids, "canonical_id", "left_semi")

@@ -19,6 +19,7 @@ from citeloom.operators.candidates import (
 )
 from citeloom.operators.docscan import retrieval_error
 from citeloom.operators.joins import lookup_join
+from citeloom.session import materialise
 
 # What makes a text too poor for a snapshot, and the notes shown with one.
 MIN_SNAPSHOT_CHARS = 400
@@ -422,6 +423,7 @@ def best_evidence(
     """One evidence row per item: existing file, direct document, discovered document, text or metadata.
 
     Each step runs only for items that are still without evidence, so pages are parsed only when needed.
+    The result of a step (one small row per item) is written, because all later steps depend on it.
     ``local_files(group_key, ord, path, ok)`` lists files that exist. Since a citation snapshot is always
     possible, no item ends in an error.
     """
@@ -438,19 +440,21 @@ def best_evidence(
         local_files.select(F.col("group_key").alias("item_key"), F.col("ord").alias("f_ord"), "path"),
         items.select("ord", "item_key"), ["item_key"], "inner",
     ).groupBy("ord").agg(F.min_by("path", "f_ord").alias("path"))
-    found0 = row(files, 0, "existing_local_pdf", "path")
+    found0 = materialise(row(files, 0, "existing_local_pdf", "path"), "evidence-files")
     left1 = items.join(found0.select("ord"), "ord", "left_anti")
 
     direct = direct_candidates(left1, group_values)
-    found1 = row(first_download(direct, fetched, max_mb), 1, "downloaded_pdf", "url")
+    found1 = materialise(row(first_download(direct, fetched, max_mb), 1, "downloaded_pdf", "url"), "evidence-direct")
     left2 = left1.join(found1.select("ord"), "ord", "left_anti")
 
     discovered = discovered_candidates(left2, group_values, doi_lookup, fetched, direct)
-    found2 = row(first_download(discovered, fetched, max_mb), 2, "downloaded_pdf", "url")
+    found2 = materialise(
+        row(first_download(discovered, fetched, max_mb), 2, "downloaded_pdf", "url"), "evidence-discovered"
+    )
     left3 = left2.join(found2.select("ord"), "ord", "left_anti")
 
     texts = snapshot_texts(left3, group_values, verification, fetched)
-    found3 = row(texts, 3, "generated_text_snapshot_pdf", "source_url", "kind")
+    found3 = materialise(row(texts, 3, "generated_text_snapshot_pdf", "source_url", "kind"), "evidence-texts")
     left4 = left3.join(found3.select("ord"), "ord", "left_anti")
 
     kinds = snapshot_kinds(metadata_snapshot(left4, group_values, doi_lookup)).join(left4.select("ord", "url"), "ord")

@@ -5,54 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-SALTS = 64
 
+def lookup_join(many: DataFrame, one: DataFrame, on: list[str], how: str = "left", salts: int = 1) -> DataFrame:
+    """Join ``many`` with ``one`` on equal keys; ``how`` is left or inner.
 
-def lookup_join(
-    many: DataFrame,
-    one: DataFrame,
-    on: list[str],
-    how: str = "left",
-    hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Join ``many`` with ``one`` on equal keys (``how``: left or inner), splitting hot keys.
+    The long side is always on the left, the side that AQE's skew join may cut: with
+    ``session.configure`` set, partitions of a hot key are split over several tasks by measured size, and
+    only the matching lookup partition is read again. No pass over the long side is needed to find hot
+    keys, and AQE may still choose a broadcast join when the measured lookup side is small.
 
-    Keys with more than ``hot_rows`` rows on the long side are found by a partially aggregated count.
-    There can be at most ``rows / hot_rows`` of them, which bounds the broadcast list of hot keys.
-    Rows of a hot key are spread over ``salts`` tasks by a hash of the whole row, and only the lookup
-    rows of hot keys are repeated, once per salt. All other rows join as usual, so AQE may still pick
-    a broadcast join when the measured lookup side is small.
+    ``salts`` above one spreads every key of the long side by a hash of the whole row, and repeats the
+    lookup side as often. It is meant for lookup sides that are far smaller than the long side, such as
+    a roster, whose keys are few.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be left or inner")
-    keys = [f"_k{i}" for i in range(len(on))]
-    hot = (
-        many.groupBy(*on)
-        .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .select(*[F.col(c).alias(k) for c, k in zip(on, keys)], F.lit(True).alias("_hot"))
-    )
-    hot = F.broadcast(hot)
-
-    def flag(df: DataFrame) -> DataFrame:
-        cond = None
-        for c, k in zip(on, keys):
-            test = df[c] == hot[k]
-            cond = test if cond is None else cond & test
-        return df.join(hot, cond, "left").drop(*keys)
-
-    salted = flag(many).withColumn(
-        "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in many.columns]), F.lit(salts))).otherwise(0),
-    )
-    copies = flag(one).withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")).otherwise(
-                F.array(F.lit(0).cast("bigint"))
-            )
-        ),
-    )
-    return salted.drop("_hot").join(copies.drop("_hot"), [*on, "_salt"], how).drop("_salt")
+    if salts <= 1:
+        return many.join(one, on, how)
+    salted = many.withColumn("_salt", F.pmod(F.xxhash64(*many.columns), F.lit(salts)))
+    copies = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
+    return salted.join(copies, [*on, "_salt"], how).drop("_salt")

@@ -4,15 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from citeloom.functions import names
+from citeloom.functions import html, names
+from citeloom.functions.arrays import decode_inverted_index
+from citeloom.functions.ids import file_stem
 from citeloom.functions.scan import ScanSpec, find_mentions, mention_context
-from citeloom.operators import coverage, docscan, matching, merge, order, snapshot
+from citeloom.functions.text import chunk_words, ws
+from citeloom.operators import (
+    candidates,
+    coverage,
+    curate,
+    docscan,
+    finalize,
+    matching,
+    merge,
+    naming,
+    order,
+    report,
+    snapshot,
+)
 from citeloom.plans import stand_ins
 from citeloom.plans.stand_ins import source_records, table
-from citeloom.sources import json_sources, markup_sources
+from citeloom.schemas import SOURCE_ORDER
+from citeloom.session import materialise
+from citeloom.sources import json_sources, markup_sources, roster
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -496,3 +513,449 @@ def target_semi(spark, sf_dir):
 def incremental_selection(spark, sf_dir):
     """Papers whose documents an incremental run scans."""
     return coverage.select_for_scan(_diffed(spark, sf_dir)[0], None, incremental=True).select("canonical_id", "status")
+
+
+# --- candidates and document scan -----------------------------------------------------------------------------
+
+
+def _paper_tables(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The written tables of the merge step, which all later steps read."""
+    keyed = keyed_records(spark, sf_dir)
+    return (
+        materialise(merge.merge_papers(keyed), "papers"),
+        materialise(merge.merge_values(keyed), "paper-values"),
+        materialise(merge.paper_records(keyed), "paper-records"),
+    )
+
+
+@query
+def pdf_candidates(spark, sf_dir):
+    """Document addresses of every paper."""
+    return candidates.pdf_candidates(*_paper_tables(spark, sf_dir)).select("canonical_id", "url", "at.*")
+
+
+@query
+def text_candidates(spark, sf_dir):
+    """Full-text addresses of every paper."""
+    papers, values, records = _paper_tables(spark, sf_dir)
+    pdfs = candidates.pdf_candidates(papers, values, records)
+    return candidates.text_candidates(papers, values, pdfs, records).select(
+        "canonical_id", "kind", "url", F.col("at.g").alias("g"), F.col("at.at.a").alias("first_ord"), F.col("at.n").alias("n")
+    )
+
+
+@query
+def enriched_candidates(spark, sf_dir):
+    """Addresses looked up by DOI for papers without any."""
+    papers, values, records = _paper_tables(spark, sf_dir)
+    pdfs = candidates.pdf_candidates(papers, values, records)
+    found = candidates.enrich_from_lookup(papers, pdfs, stand_ins.doi_lookup(spark, sf_dir))
+    return found.select("canonical_id", "url", F.col("at.b").alias("pos"))
+
+
+@query
+def enrichment_stats(spark, sf_dir):
+    """Counts of the enrichment."""
+    papers, values, records = _paper_tables(spark, sf_dir)
+    pdfs = candidates.pdf_candidates(papers, values, records)
+    found = candidates.enrich_from_lookup(papers, pdfs, stand_ins.doi_lookup(spark, sf_dir))
+    listed = values.filter(F.col("field") == "pdf_urls")
+    return candidates.enrichment_stats(papers, listed, pdfs, found)
+
+
+@query
+def local_file_candidates(spark, sf_dir):
+    """Addresses at which a missing document is looked for again."""
+    papers, values, records = _paper_tables(spark, sf_dir)
+    papers = papers.withColumn("document_pdf_url", F.concat(F.lit("https://example.org/"), "first_ord", F.lit(".PDF")))
+    return candidates.local_file_candidates(papers, values, records).select("canonical_id", "url", "at.stage")
+
+
+@query
+def retrieval_errors(spark, sf_dir):
+    """Why a response is not a usable document."""
+    return stand_ins.fetched(spark, sf_dir).select("url", docscan.retrieval_error(30).alias("reason"))
+
+
+@query
+def error_taxonomy(spark, sf_dir):
+    """Readable error of long error texts."""
+    kind = F.expr("CASE n_chars % 4 WHEN 0 THEN 'SSLEOFError ' WHEN 1 THEN 'x ProxyError ' ELSE '' END")
+    docs = table(spark, sf_dir, "documents")
+    text = F.when(F.col("n_chars") % 9 == 0, F.lit("  ")).otherwise(F.concat(kind, F.col("text")))
+    return docs.select("doc_id", docscan.classify_error(text).alias("error"))
+
+
+def _scan(spark, sf_dir) -> DataFrame:
+    papers, values, records = _paper_tables(spark, sf_dir)
+    pdfs = materialise(candidates.pdf_candidates(papers, values, records), "pdf-candidates")
+    texts = materialise(candidates.text_candidates(papers, values, pdfs, records), "text-candidates")
+    scanned = papers.select("canonical_id", F.lit(False).alias("already_mentioned"))
+    return docscan.scan_documents(scanned, pdfs, texts, materialise(stand_ins.fetched(spark, sf_dir), "fetched"), LICENCES)
+
+
+@query
+def document_scan(spark, sf_dir):
+    """Outcome of the document scan of every paper."""
+    return _scan(spark, sf_dir).withColumn("document_award_mentions", F.array_join("document_award_mentions", "|"))
+
+
+@query
+def document_scan_counters(spark, sf_dir):
+    """Counters of the document scan."""
+    return docscan.scan_counters(_scan(spark, sf_dir))
+
+
+# --- curation -------------------------------------------------------------------------------------------------
+
+
+def _curation_inputs(spark, sf_dir):
+    keyed = keyed_records(spark, sf_dir)
+    sources = merge.nest_values(merge.merge_values(keyed), ["sources"])
+    papers = merge.merge_papers(keyed).join(sources, "canonical_id").withColumn("ord", F.col("first_ord"))
+    papers = materialise(papers, "papers")
+    items = source_records(spark, sf_dir).select("ord", "title", F.upper("doi").alias("doi"))
+    good = table(spark, sf_dir, "labels").filter("quality = 1").select(F.col("doc_id").alias("ord"))
+    return items, items.join(good, "ord", "left_semi"), papers
+
+
+@query
+def curate_decisions(spark, sf_dir):
+    """Decision for every candidate of the manifest."""
+    items, baseline, papers = _curation_inputs(spark, sf_dir)
+    return curate.review(items, baseline, papers).select(
+        "ord", "accepted", "confidence", "reason", "portal_eligible", "is_preprint", F.array_join("sources", "|").alias("sources")
+    )
+
+
+@query
+def cumulative_manifest(spark, sf_dir):
+    """Baseline and accepted candidates."""
+    items, baseline, papers = _curation_inputs(spark, sf_dir)
+    rows = curate.cumulative(baseline, curate.review(items, baseline, papers))
+    return rows.select("ord", "title", "doi", F.col("section").cast("bigint").alias("section"))
+
+
+@query
+def portal_manifest(spark, sf_dir):
+    """Rows of the cumulative manifest for the portal."""
+    items, baseline, papers = _curation_inputs(spark, sf_dir)
+    rows = materialise(curate.cumulative(baseline, curate.review(items, baseline, papers)), "cumulative")
+    return curate.portal(rows, papers).select("ord", "title", "doi")
+
+
+@query
+def curation_counts(spark, sf_dir):
+    """Counts of the curation."""
+    items, baseline, papers = _curation_inputs(spark, sf_dir)
+    reviewed = materialise(curate.review(items, baseline, papers), "reviewed")
+    return curate.review_counts(baseline, reviewed, curate.portal(curate.cumulative(baseline, reviewed), papers))
+
+
+# --- finalisation ---------------------------------------------------------------------------------------------
+
+
+def _final_inputs(spark, sf_dir):
+    keyed = keyed_records(spark, sf_dir)
+    papers = merge.merge_papers(keyed).withColumn("ord", F.col("first_ord"))
+    none = F.lit(None).cast("string")
+    empty = F.expr("cast(array() as array<string>)")
+    shaped = papers.select(
+        "ord", "canonical_id", "title", "doi", "abstract", empty.alias("urls"), empty.alias("pdf_urls"), none.alias("document_pdf_url")
+    )
+    values = materialise(merge.title_group_values(shaped, merge.paper_records(keyed)), "group-values")
+    groups = merge.title_groups(papers)
+    items = finalize.require_valid(finalize.clean_manifest(stand_ins.manifest(spark, sf_dir)))
+    matched = finalize.with_groups(items, groups).filter(F.col("group_key").isNotNull())
+    return materialise(matched, "items"), values, groups
+
+
+def _landed_tables(spark, sf_dir):
+    """Looked-up works and fetched responses, as written tables."""
+    return (
+        materialise(stand_ins.doi_lookup(spark, sf_dir), "doi-lookup"),
+        materialise(stand_ins.fetched(spark, sf_dir), "fetched"),
+    )
+
+
+def _verification(spark, sf_dir) -> DataFrame:
+    bad = table(spark, sf_dir, "labels").filter("quality = 0").select(F.col("doc_id").alias("ord"))
+    recs = source_records(spark, sf_dir).join(bad, "ord", "left_semi")
+    return merge.with_title_group(recs).select("group_key", F.lit("landing_page_text").alias("kind"), F.col("landing_page_url").alias("url"), "ord")
+
+
+def _local_files(spark, sf_dir) -> DataFrame:
+    toxic = table(spark, sf_dir, "labels").filter("toxic = 1").select(F.col("doc_id").alias("ord"))
+    recs = source_records(spark, sf_dir).join(toxic, "ord", "left_semi")
+    return merge.with_title_group(recs).select(
+        "group_key", "ord", F.concat(F.lit("/files/"), "ord", F.lit(".pdf")).alias("path"), (F.col("ord") % 2 == 0).alias("ok"),
+        F.when(F.col("ord") % 2 == 1, F.lit("conversion failed")).alias("error"),
+    )
+
+
+@query
+def manifest_groups(spark, sf_dir):
+    """Manifest items with their title group."""
+    items, _, _ = _final_inputs(spark, sf_dir)
+    return items.select("ord", "group_key", "first_title", "first_canonical_id", "paper_count")
+
+
+@query
+def archived_copies(spark, sf_dir):
+    """Archived copy chosen for every title group."""
+    return finalize.choose_archived_copy(_local_files(spark, sf_dir))
+
+
+@query
+def discovered_candidates(spark, sf_dir):
+    """Documents found through lookups and on landing pages of manifest items."""
+    items, values, _ = _final_inputs(spark, sf_dir)
+    direct = finalize.direct_candidates(items, values)
+    found = finalize.discovered_candidates(items, values, *_landed_tables(spark, sf_dir), direct)
+    return found.select("ord", "url", F.col("at.s").cast("bigint").alias("stage"))
+
+
+@query
+def snapshot_texts(spark, sf_dir):
+    """First usable text of every manifest item."""
+    items, values, _ = _final_inputs(spark, sf_dir)
+    texts = finalize.snapshot_texts(items, values, _verification(spark, sf_dir), stand_ins.fetched(spark, sf_dir))
+    return texts.select("ord", "kind", "source_url", F.md5("text").alias("text_md5"))
+
+
+@query
+def metadata_snapshot(spark, sf_dir):
+    """Citation and abstract lines of every manifest item."""
+    items, values, _ = _final_inputs(spark, sf_dir)
+    lines = finalize.metadata_snapshot(items, values, stand_ins.doi_lookup(spark, sf_dir))
+    return lines.select("ord", F.col("section").cast("bigint").alias("section"), "label", F.md5("text").alias("text_md5"))
+
+
+@query
+def best_evidence(spark, sf_dir):
+    """Best evidence of every manifest item."""
+    items, values, _ = _final_inputs(spark, sf_dir)
+    return finalize.best_evidence(
+        items, values, _verification(spark, sf_dir), *_landed_tables(spark, sf_dir), _local_files(spark, sf_dir)
+    ).select(
+        "ord", F.col("rank").cast("bigint").alias("rank"), "evidence_kind", "evidence_url", "snapshot_kind",
+        finalize.snapshot_note(F.col("snapshot_kind")).alias("note"),
+    )
+
+
+@query
+def final_markdown(spark, sf_dir):
+    """Markdown block of every manifest item."""
+    return finalize.markdown_blocks(finalize.clean_manifest(stand_ins.manifest(spark, sf_dir)))
+
+
+# --- texts and pages ------------------------------------------------------------------------------------------
+
+
+@query
+def page_text(spark, sf_dir):
+    """Visible text of every page, by the HTML parser."""
+    pages = table(spark, sf_dir, "pages")
+    return pages.select("page_id", F.md5(html.visible_text("html")).alias("text_md5"))
+
+
+@query
+def page_text_expression(spark, sf_dir):
+    """Visible text of every page, by JVM expressions."""
+    pages = table(spark, sf_dir, "pages")
+    return pages.select("page_id", F.md5(html.markup_text(F.col("html"))).alias("text_md5"))
+
+
+@query
+def page_links(spark, sf_dir):
+    """Document links of every page, with a meta tag and two links put into the pages."""
+    pages = table(spark, sf_dir, "pages").selectExpr(
+        "url", "cast(NULL AS string) AS final_url", "'text/html' AS content_type",
+        "replace(replace(html, '</head>', concat('<meta name=\"citation_pdf_url\" content=\"/downloads/', page_id, '.pdf\"></head>')), "
+        "'</nav>', concat('<a href=\"files/', page_id, '.PDF\">x</a><a href=\"/pdf/', page_id, '\">y</a></nav>')) AS body",
+    )
+    return html.document_links(pages)
+
+
+@query
+def host_audit(spark, sf_dir):
+    """Requests and errors in total, by transport and by host."""
+    log = table(spark, sf_dir, "pages").selectExpr(
+        "url", "CASE page_id % 3 WHEN 0 THEN 'requests' WHEN 1 THEN 'urllib' ELSE 'browser' END AS transport", "true AS use_proxy",
+        "CASE WHEN length(html) % 5 = 0 THEN 'timeout' END AS error",
+    )
+    return report.request_audit(log)
+
+
+@query
+def usable_text(spark, sf_dir):
+    """Whether every document is long and clean enough for a snapshot."""
+    return table(spark, sf_dir, "documents").select("doc_id", finalize.usable_text(F.col("text")).alias("usable"))
+
+
+@query
+def chunk_text(spark, sf_dir):
+    """Greedy chunks of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.posexplode(chunk_words(F.col("text"), 1500)).alias("n", "chunk")).select(
+        "doc_id", F.col("n").cast("bigint").alias("n"), F.md5("chunk").alias("chunk_md5")
+    )
+
+
+@query
+def inverted_index_decode(spark, sf_dir):
+    """Every text turned into a word index and back."""
+    words = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split(ws("text"), " ")).alias("pos", "word"))
+    entries = words.groupBy("doc_id", "word").agg(F.collect_list("pos").alias("at"))
+    index = entries.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "at"))).alias("index"))
+    return index.select("doc_id", F.md5(decode_inverted_index(F.col("index"))).alias("text_md5"))
+
+
+@query
+def team_roster(spark, sf_dir):
+    """People on team pages made of the documents' names, headings before plain anchors."""
+    names_of = source_records(spark, sf_dir).filter(F.size("authors") > 0)
+    link = lambda tag, extra: F.concat_ws(
+        "", F.transform("authors", lambda a: F.concat(F.lit(f"<{tag}{extra}><a href='/p/"), F.md5(a), F.lit("'>"),
+                                                     F.initcap(a), F.lit(f"</a></{tag}>"))))
+    heading = F.when(F.col("ord") % 2 == 0, link("h3", " class='et_pb_module_header'")).otherwise(link("p", ""))
+    pages = names_of.select(
+        F.col("ord").alias("page_id"), F.lit("https://example.org/team").alias("source_url"),
+        F.concat(F.lit("<html><body><p><a href='/'>The Team</a></p>"), heading, F.lit("</body></html>")).alias("html"),
+    )
+    return roster.roster_from_pages(pages).select(
+        "page_id", F.col("tier").cast("bigint").alias("tier"), "name", "profile_url"
+    )
+
+
+@query
+def unique_names(spark, sf_dir):
+    """Unique file names of all parts."""
+    parts = table(spark, sf_dir, "part").select(file_stem(F.col("p_name")).alias("stem"), F.col("p_partkey").alias("ord"))
+    return naming.unique_names(parts)
+
+
+# --- reports --------------------------------------------------------------------------------------------------
+
+
+def _health(spark, sf_dir) -> DataFrame:
+    """Failed checks: sources whose documents of one language are all long."""
+    recs = source_records(spark, sf_dir)
+    return recs.groupBy("source").agg(F.avg(F.length("abstract")).alias("mean")).filter("mean > 1500").select(
+        "source", F.lit("HTTP 503").alias("error")
+    )
+
+
+@query
+def source_counts(spark, sf_dir):
+    """Records and errors of every source after failed ones are left out."""
+    health = _health(spark, sf_dir)
+    kept = report.drop_failed_sources(source_records(spark, sf_dir), health)
+    return report.source_counts(kept, report.probe_errors(health))
+
+
+@query
+def active_sources(spark, sf_dir):
+    """Sources in merge order with the result of their check."""
+    return report.active_sources(_health(spark, sf_dir), SOURCE_ORDER).select(
+        "source", F.col("source_rank").cast("bigint").alias("source_rank"), "probe", "active"
+    )
+
+
+def _report_papers(spark, sf_dir) -> DataFrame:
+    """Papers with scan results in the shape of the report."""
+    keyed = keyed_records(spark, sf_dir)
+    nested = merge.nest_values(merge.merge_values(keyed), ["members", "sources"])
+    papers = _flagged_papers(spark, sf_dir).join(nested, "canonical_id")
+    empty = F.expr("cast(array() as array<string>)")
+    shaped = papers.select(
+        "canonical_id", "title", "year", "venue", "doi", "members", "sources", "first_ord", "award_mentioned_in_metadata",
+        F.lit(False).alias("award_mentioned_in_document"), empty.alias("award_mentions"), empty.alias("document_award_mentions"),
+    )
+    return materialise(docscan.apply_outcomes(shaped, _scan(spark, sf_dir)), "report-papers")
+
+
+@query
+def records_sorted_top100(spark, sf_dir):
+    """First hundred papers of the report order."""
+    papers = merge.merge_papers(keyed_records(spark, sf_dir))
+    return report.top_papers(papers).select("canonical_id", "title", F.col("year").cast("bigint").alias("year"))
+
+
+@query
+def award_split(spark, sf_dir):
+    """Papers with and without a mention, by year."""
+    with_award, without = report.split_by_award(_report_papers(spark, sf_dir), scanned=True)
+    rows = with_award.select("year", F.lit(True).alias("award")).unionByName(without.select("year", F.lit(False).alias("award")))
+    return rows.groupBy(F.col("year").cast("bigint").alias("year"), "award").agg(F.count("*").alias("papers"))
+
+
+@query
+def award_summary(spark, sf_dir):
+    """Compact rows of papers with a hit in their document."""
+    none = F.lit(None).cast("string")
+    papers = _report_papers(spark, sf_dir).withColumn("document_pdf_local_path", none).withColumn(
+        "document_pdfa_path", F.when(F.col("document_pdf_url").isNotNull(), F.concat(F.lit("/a/"), "first_ord"))
+    ).withColumn("document_pdfa_error", none)
+    return report.award_summary(papers).select(
+        "canonical_id", F.array_join("award_mentions", "|").alias("award_mentions"), F.array_join("members", "|").alias("members"),
+        F.array_join("sources", "|").alias("sources"), "document_verification_kind", "pdfa_conversion_ok",
+    )
+
+
+@query
+def status_backfill(spark, sf_dir):
+    """New document status put into the papers by id."""
+    papers = merge.merge_papers(keyed_records(spark, sf_dir)).selectExpr(
+        "canonical_id", "concat('/old/', first_ord) AS document_pdf_local_path", "'u' AS document_pdf_url",
+        "cast(NULL AS string) AS document_pdfa_path", "'old' AS document_pdfa_error", "false AS pdfa_conversion_ok",
+    )
+    known = merge.merge_papers(merge.with_canonical_id(stand_ins.labelled_records(spark, sf_dir)))
+    updates = known.selectExpr(
+        "canonical_id", "concat('/new/', first_ord) AS document_pdf_local_path", "cast(NULL AS string) AS document_pdf_url",
+        "concat('/a/', first_ord) AS document_pdfa_path", "cast(NULL AS string) AS document_pdfa_error", "true AS pdfa_conversion_ok",
+    )
+    return report.apply_status(papers, updates)
+
+
+@query
+def run_summary(spark, sf_dir):
+    """All counts of a run in one row."""
+    recs = source_records(spark, sf_dir)
+    counts = report.source_counts(recs, report.probe_errors(_health(spark, sf_dir)))
+    scanned = docscan.scan_counters(_scan(spark, sf_dir))
+    papers = merge.merge_papers(keyed_records(spark, sf_dir))
+    per_source = report.as_map(counts, "source", "records", "source_record_counts")
+    row = report.summary_row(
+        spark,
+        [recs.agg(F.count("*").alias("raw_record_count")), papers.agg(F.count("*").alias("canonical_paper_count")),
+         snapshot.status_counts(_diffed(spark, sf_dir)[0]), scanned, per_source],
+        run_started_at="t0", lookback_years=2,
+    )
+    return row.select(
+        "run_started_at", F.col("lookback_years").cast("bigint").alias("lookback_years"), "raw_record_count",
+        "canonical_paper_count", "new_count", "changed_count", "unchanged_count", "papers_total", "mentions_count",
+        F.array_join(F.transform(F.map_entries("source_record_counts"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",").alias("source_record_counts"),
+    )
+
+
+@query
+def run_report(spark, sf_dir):
+    """The text report of a run."""
+    papers = _report_papers(spark, sf_dir)
+    with_award, _ = report.split_by_award(papers, scanned=True)
+    top = report.top_papers(with_award)
+    # At most a hundred rows are ranked here.
+    ranked = top.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*report.newest_first(top))))
+    counts = report.source_counts(source_records(spark, sf_dir), report.probe_errors(_health(spark, sf_dir)))
+    probes = report.active_sources(_health(spark, sf_dir), SOURCE_ORDER).select("source", "probe")
+    summary = report.summary_row(
+        spark,
+        [source_records(spark, sf_dir).agg(F.count("*").alias("raw_record_count")),
+         papers.agg(F.count("*").alias("canonical_paper_count")), with_award.agg(F.count("*").alias("award_match_count")),
+         docscan.scan_counters(_scan(spark, sf_dir)), snapshot.status_counts(_diffed(spark, sf_dir)[0])],
+        run_finished_at="t1", team_member_count=4, lookback_years=2, target_doi_total=0, target_doi_matched=0, target_doi_missing=0,
+    )
+    return report.report_lines(summary, counts.join(probes, "source", "left"), ranked).select(
+        F.col("section").cast("bigint").alias("section"), "line_no", "line"
+    )

@@ -91,6 +91,7 @@ def fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ord", "n_chars", "text",
         "explode(array("
         "named_struct('kind', 'pdf', 'url', pdf_url), named_struct('kind', 'page', 'url', landing_page_url), "
+        "named_struct('kind', 'pdf', 'url', CASE WHEN n_chars % 3 = 0 THEN concat('https://example.org/cr/', ord, '/pdf') END), "
         "named_struct('kind', 'xml', 'url', CASE WHEN landing_page_url LIKE '%/PMC%' THEN concat("
         "'https://www.ebi.ac.uk/europepmc/webservices/rest/', regexp_extract(landing_page_url, 'PMC[0-9]+', 0), '/fullTextXML') END))) AS e",
     ).selectExpr("ord", "n_chars", "text", "e.kind", "e.url").filter("url IS NOT NULL")
@@ -101,7 +102,7 @@ def fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN kind = 'xml' THEN 'application/xml' WHEN kind = 'page' OR n_chars % 3 = 0 THEN 'text/html' "
         "ELSE 'application/pdf' END AS content_type",
         "CASE WHEN kind = 'pdf' AND n_chars % 3 <> 0 THEN '%PDF-1.7' WHEN kind = 'pdf' THEN '<html>Preparing to download</html>' "
-        f"ELSE concat('<article><p>', {_xml('text')}, '</p></article>') END AS body",
+        f"ELSE concat('<link type=\"application/pdf\" href=\"/dl/', ord, '\"/><article><p>', {_xml('text')}, '</p></article>') END AS body",
         "CASE WHEN n_chars % 19 = 0 THEN 'read timed out' END AS error",
         "CASE WHEN kind = 'pdf' AND n_chars % 4 <> 0 THEN text END AS document_text",
     )
@@ -137,7 +138,8 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents(spark, sf_dir).join(labels, "doc_id", "left_semi")
         .selectExpr(
             "doc_id AS ord", "line1 AS title", f"{_AUTHORS} AS authors", "array(concat('Team ', lang)) AS member_authors",
-            "concat('https://example.org/item/', doc_id) AS url", "concat('10.5555/', substr(md5(line1), 1, 10)) AS doi",
+            "concat('https://example.org/item/', doc_id) AS url",
+            "concat(CASE WHEN n_chars % 2 = 0 THEN '10.1101/' ELSE '10.5555/' END, substr(md5(line1), 1, 10)) AS doi",
         )
         .filter("trim(title) <> '' AND size(authors) > 0")
     )

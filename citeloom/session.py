@@ -9,23 +9,37 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Runtime settings that the operators rely on: partitions of hot keys are split by measured size, also
+# where the split costs one more shuffle, and small partitions are merged.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a session, for example one that a cluster job brings along."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(app: str = "citeloom", cpus: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A single-machine session for tests and the bench; a cluster job brings its own session."""
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("CITELOOM_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return configure(spark)
 
 
 def scratch_dir(spark: SparkSession) -> str:
