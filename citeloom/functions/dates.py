@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from citeloom.functions.text import ws_or_null
+from citeloom.functions.bind import bind, null_if
+from citeloom.functions.text import ws
 
 # Month names by number.
 MONTHS = {
@@ -41,47 +42,47 @@ def year_to_date(year: Column) -> Column:
 
 def pad2(c: Column) -> Column:
     """At least two digits."""
-    text = c.cast("string")
-    return F.when(F.length(text) < 2, F.lpad(text, 2, "0")).otherwise(text)
+    return bind(c.cast("string"), lambda t: F.when(F.length(t) < 2, F.lpad(t, 2, "0")).otherwise(t))
 
 
 def pad4(c: Column) -> Column:
-    text = c.cast("string")
-    return F.when(F.length(text) < 4, F.lpad(text, 4, "0")).otherwise(text)
+    return bind(c.cast("string"), lambda t: F.when(F.length(t) < 4, F.lpad(t, 4, "0")).otherwise(t))
 
 
 def year_of_parts(parts: Column) -> Column:
     """Year of a ``date-parts`` value; zero counts as missing."""
-    return F.nullif(F.get(F.get(parts, F.lit(0)), F.lit(0)), F.lit(0)).cast("int")
+    return null_if(F.get(F.get(parts, F.lit(0)), F.lit(0)), 0).cast("int")
 
 
 def date_of_parts(parts: Column) -> Column:
     """ISO date of a ``date-parts`` value, missing month or day filled with 01."""
-    head = F.get(parts, F.lit(0))
-    return F.when(
-        F.size(head) > 0,
-        F.concat_ws(
-            "-",
-            F.get(head, F.lit(0)).cast("string"),
-            F.coalesce(pad2(F.get(head, F.lit(1))), F.lit("01")),
-            F.coalesce(pad2(F.get(head, F.lit(2))), F.lit("01")),
+    return bind(
+        F.get(parts, F.lit(0)),
+        lambda head: F.when(
+            F.size(head) > 0,
+            F.concat_ws(
+                "-",
+                F.get(head, F.lit(0)).cast("string"),
+                F.coalesce(pad2(F.get(head, F.lit(1))), F.lit("01")),
+                F.coalesce(pad2(F.get(head, F.lit(2))), F.lit("01")),
+            ),
         ),
     )
 
 
 def month_number(c: Column) -> Column:
     """Month by number (kept within 1-12) or English name; 1 if unknown."""
-    text = ws_or_null(c)
-    number = safe_int(text)
-    key = F.lower(F.substring(text, 1, 3))
-    named = F.lit(None).cast("int")
-    for name, value in MONTHS.items():
-        named = F.when(key == name, F.lit(value)).otherwise(named)
-    kept = F.when(number.isNotNull(), F.least(F.greatest(number, F.lit(1)), F.lit(12)))
-    return F.coalesce(kept, named, F.lit(1))
+    by_name = F.create_map(*[F.lit(x) for pair in MONTHS.items() for x in pair])
+
+    def pick(text: Column) -> Column:
+        number = safe_int(text)
+        kept = F.when(number.isNotNull(), F.least(F.greatest(number, F.lit(1)), F.lit(12)))
+        return F.coalesce(kept, F.try_element_at(by_name, F.lower(F.substring(text, 1, 3))))
+
+    return F.coalesce(bind(ws(c), pick), F.lit(1))
 
 
 def display_parts(parts: Column) -> Column:
     """All given numbers of a ``date-parts`` value joined by hyphens."""
     joined = F.array_join(F.get(parts, F.lit(0)).cast("array<string>"), "-")
-    return F.nullif(joined, F.lit(""))
+    return null_if(joined, "")

@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from citeloom.functions.arrays import first_of
-from citeloom.functions.text import title_key, ws_or_null
+from citeloom.functions.bind import bind, null_if
+from citeloom.functions.text import title_key, ws, ws_or_null
 
 # Identifier patterns.
 ARXIV_LOOSE = r"(?i)([0-9]{4}\.[0-9]{4,5})(?:v\d+)?"
@@ -21,13 +22,13 @@ ARXIV_PDF_TEMPLATE = "https://arxiv.org/pdf/{}.pdf"
 
 
 def _match(c: Column, pattern: str, group: int = 1) -> Column:
-    return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
+    return null_if(F.regexp_extract(c, pattern, group), "")
 
 
 def normalize_doi(c: Column) -> Column:
     """Resolver prefix and surrounding full stops removed; blank to NULL. Case is kept."""
-    text = F.regexp_replace(ws_or_null(c), r"(?i)^.*?doi\.org/", "")
-    return F.nullif(F.btrim(F.trim(text), F.lit(".")), F.lit(""))
+    text = F.regexp_replace(ws(c), r"(?i)^.*?doi\.org/", "")
+    return null_if(F.btrim(F.trim(text), F.lit(".")), "")
 
 
 def doi_from_text(c: Column) -> Column:
@@ -37,9 +38,12 @@ def doi_from_text(c: Column) -> Column:
 
 def doi_from_resolver(c: Column) -> Column:
     """DOI of a resolver URL or a bare DOI; anything else is NULL."""
-    raw = F.nullif(F.trim(c), F.lit(""))
-    after = F.get(F.split(raw, r"(?i)doi\.org/"), F.lit(1))
-    return F.when(F.lower(raw).contains("doi.org/"), after).when(raw.startswith("10."), raw)
+    return bind(
+        F.trim(c),
+        lambda raw: F.when(
+            F.lower(raw).contains("doi.org/"), F.get(F.split(raw, r"(?i)doi\.org/"), F.lit(1))
+        ).when(raw.startswith("10."), raw),
+    )
 
 
 def doi_from_links(urls: Column) -> Column:
@@ -57,8 +61,9 @@ def first_doi(values: Column) -> Column:
     """First value that is a DOI, or contains one."""
     found = F.transform(
         values,
-        lambda v: F.when(normalize_doi(v).startswith("10."), normalize_doi(v)).otherwise(
-            normalize_doi(doi_from_text(v))
+        lambda v: bind(
+            normalize_doi(v),
+            lambda d: F.when(d.startswith("10."), d).otherwise(normalize_doi(doi_from_text(v))),
         ),
     )
     return first_of(F.filter(found, lambda d: d.isNotNull()))
@@ -66,11 +71,14 @@ def first_doi(values: Column) -> Column:
 
 def arxiv_loose(c: Column) -> Column:
     """arXiv number anywhere in a text, version dropped; also the ``abs-dddd-ddddd`` anchor form."""
-    anchor = F.when(
-        F.regexp_like(c, F.lit(ARXIV_ANCHOR)),
-        F.concat(F.regexp_extract(c, ARXIV_ANCHOR, 1), F.lit("."), F.regexp_extract(c, ARXIV_ANCHOR, 2)),
-    )
-    return F.coalesce(_match(c, ARXIV_LOOSE), anchor)
+    def find(text: Column) -> Column:
+        anchor = F.when(
+            F.regexp_like(text, F.lit(ARXIV_ANCHOR)),
+            F.concat(F.regexp_extract(text, ARXIV_ANCHOR, 1), F.lit("."), F.regexp_extract(text, ARXIV_ANCHOR, 2)),
+        )
+        return F.coalesce(_match(text, ARXIV_LOOSE), anchor)
+
+    return bind(c, find)
 
 
 def arxiv_from_url(c: Column) -> Column:
@@ -88,13 +96,15 @@ def arxiv_pdf(arxiv_id: Column) -> Column:
 
 
 def normalize_pmcid(c: Column) -> Column:
-    text = ws_or_null(c)
-    digits = F.regexp_replace(text, r"\D+", "")
-    return (
-        F.when(F.upper(text).startswith("PMC"), F.concat(F.lit("PMC"), F.substring(text, 4, 1 << 30)))
-        .when(digits != "", F.concat(F.lit("PMC"), digits))
-        .otherwise(text)
-    )
+    def shape(text: Column) -> Column:
+        digits = F.regexp_replace(text, r"\D+", "")
+        return (
+            F.when(F.upper(text).startswith("PMC"), F.concat(F.lit("PMC"), F.substring(text, 4, 1 << 30)))
+            .when(digits != "", F.concat(F.lit("PMC"), digits))
+            .otherwise(text)
+        )
+
+    return bind(ws_or_null(c), shape)
 
 
 def pmcids(values: Column) -> Column:
@@ -105,7 +115,7 @@ def pmcids(values: Column) -> Column:
 
 def stable_id(prefix: str, title: Column, year: Column) -> Column:
     """Sixteen hex digits of a SHA-1 over prefix, year and lower-cased title."""
-    year_part = F.coalesce(F.nullif(year, F.lit(0)).cast("string"), F.lit("na"))
+    year_part = F.coalesce(null_if(year, 0).cast("string"), F.lit("na"))
     seed = F.concat(F.lit(f"{prefix}|"), year_part, F.lit("|"), F.lower(title))
     return F.concat(F.lit(f"{prefix}:"), F.substring(F.sha1(seed.cast("binary")), 1, 16))
 
@@ -117,28 +127,28 @@ def slug(c: Column) -> Column:
 def author_title_id(title: Column, authors: Column, year: Column) -> Column:
     """Readable fallback id: year, title slug and the first three authors, at most 240 characters."""
     head = F.lower(F.array_join(F.slice(authors, 1, 3), "_"))
-    year_part = F.coalesce(F.nullif(year, F.lit(0)).cast("string"), F.lit("na"))
+    year_part = F.coalesce(null_if(year, 0).cast("string"), F.lit("na"))
     return F.substring(F.concat(F.lit("fallback:"), year_part, F.lit(":"), slug(title), F.lit(":"), head), 1, 240)
 
 
 def dblp_id(doi: Column, key: Column, title: Column, authors: Column, year: Column) -> Column:
     return F.coalesce(
-        F.concat(F.lit("doi:"), F.lower(F.nullif(doi, F.lit("")))),
-        F.nullif(key, F.lit("")),
+        F.concat(F.lit("doi:"), F.lower(null_if(doi, ""))),
+        null_if(key, ""),
         author_title_id(title, authors, year),
     )
 
 
 def openalex_short_id(c: Column) -> Column:
     return F.coalesce(
-        F.substring_index(F.rtrim(F.nullif(c, F.lit("")), F.lit("/")), "/", -1),
+        F.substring_index(F.rtrim(null_if(c, ""), F.lit("/")), "/", -1),
         F.lit("unknown"),
     )
 
 
 def openalex_id(doi: Column, work_id: Column, title: Column) -> Column:
     return F.coalesce(
-        F.concat(F.lit("doi:"), F.lower(F.nullif(doi, F.lit("")))),
+        F.concat(F.lit("doi:"), F.lower(null_if(doi, ""))),
         F.when(work_id != "", F.concat(F.lit("openalex:"), openalex_short_id(work_id))),
         F.concat(F.lit("openalex:"), F.substring(slug(title), 1, 120)),
     )
@@ -146,20 +156,20 @@ def openalex_id(doi: Column, work_id: Column, title: Column) -> Column:
 
 def pid_from_profile(url: Column) -> Column:
     """The part of a profile URL after ``/pid/``."""
-    return F.nullif(F.btrim(F.regexp_extract(url, r"^.*?/pid/(.*)$", 1), F.lit("/")), F.lit(""))
+    return null_if(F.btrim(F.regexp_extract(url, r"^.*?/pid/(.*)$", 1), F.lit("/")), "")
 
 
 def file_stem(c: Column) -> Column:
     """A safe file name stem; ``paper`` if nothing is left."""
     stem = F.btrim(F.regexp_replace(c, "[^A-Za-z0-9._-]+", "_"), F.lit("_"))
-    return F.coalesce(F.nullif(stem, F.lit("")), F.lit("paper"))
+    return F.coalesce(null_if(stem, ""), F.lit("paper"))
 
 
 def canonical_id(
     doi: Column, source_id: Column, landing_url: Column, pdf_url: Column, title: Column, year: Column
 ) -> Column:
     """DOI key, else arXiv key, else year and title key."""
-    doi_key = F.concat(F.lit("doi:"), F.lower(F.nullif(doi, F.lit(""))))
+    doi_key = F.concat(F.lit("doi:"), F.lower(null_if(doi, "")))
     haystack = F.concat_ws(" ", source_id, landing_url, pdf_url)
     arxiv_key = F.concat(F.lit("arxiv:"), arxiv_loose(haystack))
     fallback = F.concat(

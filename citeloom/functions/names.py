@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from citeloom.functions.arrays import distinct_ignore_case, non_null
+from citeloom.functions.bind import bind
 from citeloom.functions.text import ws
 
 # Words that mark a heading as not being a person's name.
@@ -56,28 +57,29 @@ def initial(token: Column) -> Column:
 
 def flip_comma_name(c: Column) -> Column:
     """``Last, First`` to ``First Last``; names without a comma are only cleaned."""
-    clean = ws(c)
-    return F.when(
-        clean.contains(","),
-        ws(F.concat_ws(" ", F.regexp_extract(clean, r"^[^,]*,(.*)$", 1), F.substring_index(clean, ",", 1))),
-    ).otherwise(clean)
+    return bind(
+        ws(c),
+        lambda n: F.when(
+            n.contains(","), ws(F.concat_ws(" ", F.regexp_extract(n, r"^[^,]*,(.*)$", 1), F.substring_index(n, ",", 1)))
+        ).otherwise(n),
+    )
 
 
 def is_probable_person(c: Column, extra_stopwords: list[str] | None = None) -> Column:
     """Length 5-80, no heading word, two to six capitalised tokens."""
-    clean = ws(c)
-    lowered = F.lower(clean)
+    words = NAME_STOPWORDS + [w.lower() for w in extra_stopwords or []]
+    return F.coalesce(bind(ws(c), lambda clean: _person_test(clean, words)), F.lit(False))
+
+
+def _person_test(clean: Column, words: list[str]) -> Column:
     parts = F.split(F.replace(clean, F.lit("’"), F.lit("'")), " ")
-    heading = F.lit(False)
-    for word in NAME_STOPWORDS + list(extra_stopwords or []):
-        heading = heading | lowered.contains(word.lower())
+    heading = F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(F.lower(clean), w))
     token_ok = F.forall(
         parts,
         lambda t: (t.endswith(".") & (F.length(t) == 2) & F.regexp_like(t, F.lit(r"^\p{Lu}")))
         | F.regexp_like(t, F.lit(NAME_TOKEN)),
     )
-    verdict = F.length(clean).between(5, 80) & ~heading & F.size(parts).between(2, 6) & token_ok
-    return F.coalesce(verdict, F.lit(False))
+    return F.length(clean).between(5, 80) & F.size(parts).between(2, 6) & token_ok & ~heading
 
 
 # --- matching -------------------------------------------------------------------------------------------------
@@ -89,16 +91,19 @@ def surname_initial_keys(toks: Column) -> Column:
     Two names match by this rule exactly if one of the author's keys equals the member's own
     ``surname_initial_key``: an equal first name implies an equal initial.
     """
-    straight = F.concat_ws("|", last(toks), initial(first(toks)))
-    swapped = F.concat_ws("|", first(toks), initial(last(toks)))
-    return F.when(F.size(toks) >= 2, F.array_distinct(F.array(straight, swapped))).otherwise(
-        F.expr("cast(array() as array<string>)")
-    )
+    def keys(t: Column) -> Column:
+        straight = F.concat_ws("|", last(t), initial(first(t)))
+        swapped = F.concat_ws("|", first(t), initial(last(t)))
+        return F.when(F.size(t) >= 2, F.array_distinct(F.array(straight, swapped))).otherwise(
+            F.expr("cast(array() as array<string>)")
+        )
+
+    return bind(toks, keys)
 
 
 def surname_initial_key(toks: Column) -> Column:
     """The member side of the rule above; NULL for names of fewer than two tokens."""
-    return F.when(F.size(toks) >= 2, F.concat_ws("|", last(toks), initial(first(toks))))
+    return bind(toks, lambda t: F.when(F.size(t) >= 2, F.concat_ws("|", last(t), initial(first(t)))))
 
 
 def surname_initial_match(member_toks: Column, author_toks: Column) -> Column:
@@ -108,9 +113,8 @@ def surname_initial_match(member_toks: Column, author_toks: Column) -> Column:
     )
 
 
-def any_author_matches(member: Column, authors: Column) -> Column:
-    """True if there are no authors, or one of them matches the member."""
-    key = surname_initial_key(tokens(member))
+def any_author_matches(key: Column, authors: Column) -> Column:
+    """True if there are no authors, or one of them matches the member with this ``surname_initial_key``."""
     return (F.size(authors) == 0) | F.exists(
         authors, lambda a: F.coalesce(F.array_contains(surname_initial_keys(tokens(a)), key), F.lit(False))
     )
@@ -118,84 +122,99 @@ def any_author_matches(member: Column, authors: Column) -> Column:
 
 def given_names_match(member_given: Column, author_given: Column) -> Column:
     """Full given names equal, or initials of one equal to the other in compact form."""
-    m, a = F.array_join(member_given, ""), F.array_join(author_given, "")
-    m_init = F.array_join(F.transform(member_given, initial), "")
-    a_init = F.array_join(F.transform(author_given, initial), "")
-    either = (
-        (m == a)
-        | (a == m_init)
-        | ((m == a_init) & (F.length(m) <= 3))
-        | ((F.length(a) == 1) & (a == initial(m)))
-        | ((F.length(m) == 1) & (m == initial(a)))
+    def test(m: Column, a: Column) -> Column:
+        m_init = F.array_join(F.transform(member_given, initial), "")
+        a_init = F.array_join(F.transform(author_given, initial), "")
+        either = (
+            (m == a)
+            | (a == m_init)
+            | ((m == a_init) & (F.length(m) <= 3))
+            | ((F.length(a) == 1) & (a == initial(m)))
+            | ((F.length(m) == 1) & (m == initial(a)))
+        )
+        return (m != "") & (a != "") & either
+
+    return bind(
+        F.array_join(member_given, ""), lambda m: bind(F.array_join(author_given, ""), lambda a: test(m, a))
     )
-    return (m != "") & (a != "") & either
 
 
 def full_given_match(member_toks: Column, author_toks: Column) -> Column:
     """Surname equal (at the end, else at the front) and given names compatible."""
-    m_last, n = last(member_toks), F.size(author_toks)
-    m_given = F.slice(member_toks, F.lit(1), F.greatest(F.size(member_toks) - 1, F.lit(0)))
-    at_end = F.slice(author_toks, F.lit(1), F.greatest(n - 1, F.lit(0)))
-    at_front = F.slice(author_toks, F.lit(2), F.greatest(n - 1, F.lit(0)))
-    verdict = F.when(
-        (F.size(member_toks) < 2) | (n < 2), F.lit(False)
-    ).when(last(author_toks) == m_last, given_names_match(m_given, at_end)).when(
-        first(author_toks) == m_last, given_names_match(m_given, at_front)
-    ).otherwise(F.lit(False))
-    return F.coalesce(verdict, F.lit(False))
+    def test(m: Column, a: Column) -> Column:
+        given = F.slice(m, F.lit(1), F.size(m) - 1)
+        rest = (
+            F.when(last(a) == last(m), F.slice(a, F.lit(1), F.size(a) - 1))
+            .when(first(a) == last(m), F.slice(a, F.lit(2), F.size(a) - 1))
+        )
+        return (
+            F.when((F.size(m) < 2) | (F.size(a) < 2), F.lit(False))
+            .otherwise(F.coalesce(given_names_match(given, rest), F.lit(False)))
+        )
 
+    return F.coalesce(bind(member_toks, lambda m: bind(author_toks, lambda a: test(m, a))), F.lit(False))
 
-def any_author_full_given(member: Column, authors: Column) -> Column:
-    m = tokens(member)
-    return (F.size(authors) == 0) | F.exists(authors, lambda a: full_given_match(m, tokens(a)))
+
+def any_author_full_given(member_toks: Column, authors: Column) -> Column:
+    """True if there are no authors, or one of them matches the member with these tokens."""
+    return (F.size(authors) == 0) | F.exists(authors, lambda a: full_given_match(member_toks, tokens(a)))
 
 
 # --- scores ---------------------------------------------------------------------------------------------------
 
 
+def _with_tokens(target: Column, candidate: Column, fn) -> Column:
+    return bind(tokens(target), lambda t: bind(tokens(candidate), lambda c: fn(t, c)))
+
+
 def _overlap(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(a, b))
 
 
 def score_dblp(target: Column, candidate: Column, has_notes: Column) -> Column:
     """Surname +25/-40, given name 30/12/-12, 8 per shared token, 100 for equality, 2 for curated notes."""
-    t, c = tokens(target), tokens(candidate)
-    both_first = first(t).isNotNull() & first(c).isNotNull()
-    score = (
-        F.when(last(t) == last(c), 25.0).otherwise(-40.0)
-        + F.when(
-            both_first,
-            F.when(first(t) == first(c), 30.0).when(initial(first(t)) == initial(first(c)), 12.0).otherwise(-12.0),
-        ).otherwise(0.0)
-        + _overlap(t, c) * 8.0
-        + F.when(letters_key(target) == letters_key(candidate), 100.0).otherwise(0.0)
-        + F.when(has_notes, 2.0).otherwise(0.0)
-    )
+    def score(t: Column, c: Column) -> Column:
+        both_first = first(t).isNotNull() & first(c).isNotNull()
+        return (
+            F.when(last(t) == last(c), 25.0).otherwise(-40.0)
+            + F.when(
+                both_first,
+                F.when(first(t) == first(c), 30.0).when(initial(first(t)) == initial(first(c)), 12.0).otherwise(-12.0),
+            ).otherwise(0.0)
+            + _overlap(t, c) * 8.0
+            + F.when(letters_key(target) == letters_key(candidate), 100.0).otherwise(0.0)
+            + F.when(has_notes, 2.0).otherwise(0.0)
+        )
+
     blank = F.coalesce(ws(candidate), F.lit("")) == ""
-    return F.when(blank, F.lit(float("-inf"))).otherwise(score)
+    return F.when(blank, F.lit(float("-inf"))).otherwise(_with_tokens(target, candidate, score))
 
 
 def score_openalex(target: Column, candidate: Column) -> Column:
     """Surname 20/-30, given name 20/8/-8, 6 per shared token, 60 for equality."""
-    t, c = tokens(target), tokens(candidate)
-    score = (
-        F.when(last(t) == last(c), 20.0).otherwise(-30.0)
-        + F.when(first(t) == first(c), 20.0).when(initial(first(t)) == initial(first(c)), 8.0).otherwise(-8.0)
-        + _overlap(t, c) * 6.0
-        + F.when(letters_key(target) == letters_key(candidate), 60.0).otherwise(0.0)
-    )
-    return F.when((F.size(t) == 0) | (F.size(c) == 0), F.lit(-100.0)).otherwise(score)
+    def score(t: Column, c: Column) -> Column:
+        points = (
+            F.when(last(t) == last(c), 20.0).otherwise(-30.0)
+            + F.when(first(t) == first(c), 20.0).when(initial(first(t)) == initial(first(c)), 8.0).otherwise(-8.0)
+            + _overlap(t, c) * 6.0
+            + F.when(letters_key(target) == letters_key(candidate), 60.0).otherwise(0.0)
+        )
+        return F.when((F.size(t) == 0) | (F.size(c) == 0), F.lit(-100.0)).otherwise(points)
+
+    return _with_tokens(target, candidate, score)
 
 
 def score_semantic_scholar(target: Column, candidate: Column) -> Column:
     """Surname 30/10/-30, given name 30/12/-12, 6 per shared token."""
-    t, c = tokens(target), tokens(candidate)
-    score = (
-        F.when(last(t) == last(c), 30.0).when(F.array_contains(c, last(t)), 10.0).otherwise(-30.0)
-        + F.when(first(t) == first(c), 30.0).when(initial(first(t)) == initial(first(c)), 12.0).otherwise(-12.0)
-        + _overlap(t, c) * 6.0
-    )
-    return F.when((F.size(t) == 0) | (F.size(c) == 0), F.lit(-100.0)).otherwise(score)
+    def score(t: Column, c: Column) -> Column:
+        points = (
+            F.when(last(t) == last(c), 30.0).when(F.array_contains(c, last(t)), 10.0).otherwise(-30.0)
+            + F.when(first(t) == first(c), 30.0).when(initial(first(t)) == initial(first(c)), 12.0).otherwise(-12.0)
+            + _overlap(t, c) * 6.0
+        )
+        return F.when((F.size(t) == 0) | (F.size(c) == 0), F.lit(-100.0)).otherwise(points)
+
+    return _with_tokens(target, candidate, score)
 
 
 # --- variants -------------------------------------------------------------------------------------------------
@@ -203,7 +222,10 @@ def score_semantic_scholar(target: Column, candidate: Column) -> Column:
 
 def name_variants(c: Column) -> Column:
     """Spellings under which a person may be listed: full, tokens, first and last, initials, with middle names."""
-    t = tokens(c)
+    return bind(tokens(c), lambda t: _variants(c, t))
+
+
+def _variants(c: Column, t: Column) -> Column:
     inits = F.transform(F.slice(t, F.lit(1), F.greatest(F.size(t) - 1, F.lit(0))), initial)
     middle = F.slice(t, F.lit(2), F.greatest(F.size(t) - 2, F.lit(0)))
     has_inits = F.size(inits) > 0

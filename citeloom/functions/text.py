@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from citeloom.functions.bind import bind, null_if
+
 # Unicode white space plus the four ASCII separators, which Java's White_Space class leaves out.
 SPACE_CLASS = r"[\s\x1c-\x1f]"
 WS_RUN = rf"(?U){SPACE_CLASS}+"
@@ -20,7 +22,7 @@ def ws(c: Column) -> Column:
 
 
 def ws_or_null(c: Column) -> Column:
-    return F.nullif(ws(c), F.lit(""))
+    return null_if(ws(c), "")
 
 
 def strip(c: Column) -> Column:
@@ -29,12 +31,12 @@ def strip(c: Column) -> Column:
 
 
 def strip_or_null(c: Column) -> Column:
-    return F.nullif(strip(c), F.lit(""))
+    return null_if(strip(c), "")
 
 
 def payload_text(c: Column) -> Column:
     """A text field of a landed payload: white space collapsed, blanks and a literal ``None`` to NULL."""
-    return F.nullif(ws_or_null(c), F.lit("None"))
+    return null_if(ws(c), "", "None")
 
 
 def title_key(c: Column) -> Column:
@@ -49,7 +51,7 @@ def collapse_alnum(c: Column) -> Column:
 
 def strip_tags(c: Column) -> Column:
     """Replace markup tags by spaces, then collapse; blank to NULL."""
-    return ws_or_null(F.regexp_replace(ws_or_null(c), "<[^>]+>", " "))
+    return ws_or_null(F.regexp_replace(ws(c), "<[^>]+>", " "))
 
 
 @F.pandas_udf(T.StringType())
@@ -87,7 +89,9 @@ def first_line(c: Column) -> Column:
 
 def clip(c: Column, limit: int) -> Column:
     """Shorten to ``limit`` characters with a trailing ellipsis, if longer."""
-    return F.when(F.length(c) > limit, F.concat(F.substring(c, 1, limit - 3), F.lit("..."))).otherwise(c)
+    return bind(
+        c, lambda t: F.when(F.length(t) > limit, F.concat(F.substring(t, 1, limit - 3), F.lit("..."))).otherwise(t)
+    )
 
 
 def chunk_words(c: Column, max_chars: int) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from citeloom.functions.arrays import first_of
+from citeloom.functions.bind import null_if
 from citeloom.functions.ids import arxiv_from_url, arxiv_pdf
 
 # Markers of supplementary files, preprint DOI prefixes and source page templates.
@@ -90,7 +91,7 @@ def first_pdf_suffix_or_path(urls: Column) -> Column:
 
 def host(c: Column) -> Column:
     """Lower-case host name without port and user; NULL if there is none."""
-    return F.nullif(F.lower(F.regexp_extract(c, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
+    return null_if(F.lower(F.regexp_extract(c, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), "")
 
 
 def arxiv_api_url(c: Column, default: str) -> Column:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citeloom.functions.bind import once
 from citeloom.functions.html import searchable_text
 from citeloom.functions.scan import ScanSpec, find_mentions, mention_context
 from citeloom.functions.arrays import distinct_ws, empty_strings, or_empty
@@ -68,16 +69,15 @@ def pdf_outcomes(fetched: DataFrame, candidates: DataFrame, spec: ScanSpec, max_
     """One row per needed address: ``(url, error, downloaded, extracted, mentions, context)``."""
     text = F.nullif(F.col("document_text"), F.lit(""))
     judged = _needed(fetched, candidates).select("url", retrieval_error(max_mb).alias("bad"), text.alias("text"))
-    scanned = judged.withColumn(
-        "mentions", F.when(F.col("bad").isNull(), find_mentions(F.col("text"), spec))
-    )
+    found = F.when(F.col("bad").isNull(), find_mentions(F.col("text"), spec))
+    scanned = once(judged, ["url", "bad", "text"], found=found)
     return scanned.select(
         "url",
         F.coalesce("bad", F.when(F.col("text").isNull(), F.lit(NO_TEXT))).alias("error"),
         F.col("bad").isNull().alias("downloaded"),
         (F.col("bad").isNull() & F.col("text").isNotNull()).alias("extracted"),
-        F.coalesce("mentions", empty_strings()).alias("mentions"),
-        mention_context(F.col("text"), F.col("mentions"), spec).alias("context"),
+        F.coalesce("found", empty_strings()).alias("mentions"),
+        mention_context(F.col("text"), F.col("found"), spec).alias("context"),
     )
 
 
@@ -91,13 +91,14 @@ def text_outcomes(fetched: DataFrame, candidates: DataFrame, spec: ScanSpec) ->
         .alias("bad"),
         searchable_text(F.col("body"), F.col("content_type")).alias("text"),
     )
-    scanned = judged.withColumn("mentions", F.when(F.col("bad").isNull(), find_mentions(F.col("text"), spec)))
+    found = F.when(F.col("bad").isNull(), find_mentions(F.col("text"), spec))
+    scanned = once(judged, ["url", "final_url", "bad", "text"], found=found)
     return scanned.select(
         "url",
         "final_url",
         F.coalesce("bad", F.when(F.col("text").isNull(), F.lit(NO_FULL_TEXT))).alias("error"),
-        F.coalesce("mentions", empty_strings()).alias("mentions"),
-        mention_context(F.col("text"), F.col("mentions"), spec).alias("context"),
+        F.coalesce("found", empty_strings()).alias("mentions"),
+        mention_context(F.col("text"), F.col("found"), spec).alias("context"),
     )
 
 

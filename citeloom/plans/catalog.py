@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions import html, names
 from citeloom.functions.arrays import decode_inverted_index
+from citeloom.functions.bind import once
 from citeloom.functions.ids import file_stem
 from citeloom.functions.scan import ScanSpec, find_mentions, mention_context
 from citeloom.functions.text import chunk_words, ws
@@ -157,26 +158,25 @@ def phrase_mentions(spark, sf_dir):
     return docscan.mention_rows(docs, LICENCES, "doc_id", "text")
 
 
+def _contexts(docs: DataFrame, spec: ScanSpec) -> DataFrame:
+    found = once(docs, ["doc_id", "text"], found=find_mentions(F.col("text"), spec)).filter(F.size("found") > 0)
+    return found.select(
+        "doc_id",
+        F.array_join("found", " | ").alias("mentions"),
+        mention_context(F.col("text"), F.col("found"), spec).alias("context"),
+    )
+
+
 @query
 def phrase_context(spark, sf_dir):
     """Text around the first licence phrase of every document that has one."""
-    docs = table(spark, sf_dir, "documents").withColumn("mentions", find_mentions(F.col("text"), LICENCES))
-    return docs.filter(F.size("mentions") > 0).select(
-        "doc_id",
-        F.array_join("mentions", " | ").alias("mentions"),
-        mention_context(F.col("text"), F.col("mentions"), LICENCES).alias("context"),
-    )
+    return _contexts(table(spark, sf_dir, "documents"), LICENCES)
 
 
 @query
 def number_scan_separated(spark, sf_dir):
     """A number as phrase, alone, split or run together, in every document."""
-    docs = table(spark, sf_dir, "documents").withColumn("mentions", find_mentions(F.col("text"), NUMBER))
-    return docs.filter(F.size("mentions") > 0).select(
-        "doc_id",
-        F.array_join("mentions", " | ").alias("mentions"),
-        mention_context(F.col("text"), F.col("mentions"), NUMBER).alias("context"),
-    )
+    return _contexts(table(spark, sf_dir, "documents"), NUMBER)
 
 
 @query

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.functions.names import any_author_full_given, any_author_matches
+from citeloom.functions.bind import once
+from citeloom.functions.names import any_author_full_given, any_author_matches, surname_initial_key, tokens
 from citeloom.functions.text import payload_text
 from citeloom.operators.order import top_n_per_key
 
@@ -13,6 +14,7 @@ DEFAULT_MAX_ROWS = 300
 DEFAULT_MAX_PAGES = 2
 
 ORDER = ["page_no", "row_no", "item_no"]
+KEPT = ["member_name", *ORDER]
 
 
 def landed(raw: DataFrame, source: str, max_pages: int | None = None, page_size: int | None = None,
@@ -66,12 +68,14 @@ def finish(
     ``df`` holds the record columns plus the order columns. The limit is the configured result size of
     a source; it runs as a group limit before its shuffle.
     """
-    out = df.filter(F.coalesce(F.col("title"), F.lit("")) != "")
-    out = in_window(out, min_year)
+    named = tokens(F.col("member_name"))
+    side = surname_initial_key(named) if matcher == "surname_initial" else named
+    out = once(df, [], member_key=side, **{c: F.col(c) for c in df.columns})
+    out = in_window(out.filter(F.coalesce(F.col("title"), F.lit("")) != ""), min_year)
     if matcher == "surname_initial":
-        out = out.filter(any_author_matches(F.col("member_name"), F.col("authors")))
+        out = out.filter(any_author_matches(F.col("member_key"), F.col("authors")))
     elif matcher == "full_given":
-        out = out.filter(any_author_full_given(F.col("member_name"), F.col("authors")))
+        out = out.filter(any_author_full_given(F.col("member_key"), F.col("authors")))
     if max_rows is not None:
         out = top_n_per_key(out, ["member_name"], [F.col(c) for c in ORDER], max_rows)
     return out.select(
