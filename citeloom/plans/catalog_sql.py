@@ -594,3 +594,379 @@ SQL["target_coverage_counts"] = (
     "FROM targets t LEFT JOIN firsts f USING (doi_key)"
 )
 SQL["target_semi"] = f"WITH {PAPERS}, {TARGETS} SELECT canonical_id, doi FROM papers WHERE lower(doi) IN (SELECT doi_key FROM targets)"
+
+# --- candidates -----------------------------------------------------------------------------------------------
+
+CANDIDATES = (
+    "cand AS (SELECT canonical_id, url, min(o) AS o FROM ("
+    "SELECT canonical_id, pdf_url AS url, ord AS o FROM keyed WHERE pdf_url IS NOT NULL "
+    "UNION ALL SELECT canonical_id, pdf_url || '.pdf', 1000000000000 + ord FROM keyed WHERE pdf_url IS NOT NULL) GROUP BY 1, 2)"
+)
+SQL["pdf_candidates"] = (
+    f"WITH {RECORDS}, {CANDIDATES} SELECT canonical_id, url, CASE WHEN o < 1000000000000 THEN 0 ELSE 3 END AS stage, "
+    "o % 1000000000000 AS a, 0 AS b, CASE WHEN o < 1000000000000 THEN 0 ELSE 1 END AS c FROM cand"
+)
+_PMC = "regexp_extract(landing_page_url, 'PMC[0-9]+')"
+TEXTS = (
+    f"pmc AS (SELECT canonical_id, {_PMC} AS pmcid, min(ord) AS o FROM keyed WHERE {_PMC} <> '' GROUP BY 1, 2), "
+    "texts AS (SELECT canonical_id, 'europe_pmc_fulltext_xml' AS kind, 'https://www.ebi.ac.uk/europepmc/webservices/rest/' || pmcid || '/fullTextXML' AS url, "
+    "0 AS g, o AS first_ord, 0 AS n FROM pmc UNION ALL "
+    "SELECT canonical_id, 'pmc_efetch_xml', 'https://eutils.ncbi.nlm.nih.gov/entrez/eutils/efetch.fcgi?db=pmc&id=' || pmcid || '&retmode=xml', 0, o, 1 FROM pmc UNION ALL "
+    "SELECT canonical_id, 'landing_page_text', landing_page_url, 1, min(ord), 0 FROM keyed GROUP BY canonical_id, landing_page_url)"
+)
+SQL["text_candidates"] = f"WITH {RECORDS}, {TEXTS} SELECT canonical_id, kind, url, g, first_ord, n FROM texts"
+
+LOOKUP = (
+    "look AS (SELECT doi, doc_id, n_chars, lang FROM (SELECT '10.5555/' || substr(md5(line1), 1, 10) AS doi, doc_id, n_chars, lang "
+    "FROM docs WHERE n_chars % 3 = 0) QUALIFY row_number() OVER (PARTITION BY doi ORDER BY doc_id) = 1)"
+)
+_ENRICHED = (
+    f"{PAPERS}, {CANDIDATES}, {LOOKUP}, open_ AS (SELECT canonical_id, lower(doi) AS doi FROM papers WHERE doi <> '' "
+    "AND canonical_id NOT IN (SELECT canonical_id FROM cand)), "
+    "links AS (SELECT canonical_id, list_filter([CASE WHEN n_chars % 2 = 0 THEN 'https://example.org/pdf/' || doc_id || '?v=1' END, "
+    "'https://arxiv.org/pdf/2101.' || lpad(CAST(doc_id % 100000 AS VARCHAR), 5, '0') || '.pdf'], lambda x : x IS NOT NULL) AS urls "
+    "FROM open_ JOIN look USING (doi))"
+)
+SQL["enriched_candidates"] = (
+    f"WITH {_ENRICHED} SELECT canonical_id, unnest(urls) AS url, CAST(generate_subscripts(urls, 1) - 1 AS BIGINT) AS pos FROM links"
+)
+SQL["enrichment_stats"] = (
+    f"WITH {_ENRICHED}, has AS (SELECT DISTINCT canonical_id FROM keyed WHERE pdf_url IS NOT NULL) "
+    "SELECT (SELECT count(*) FROM papers) AS papers_total, (SELECT count(*) FROM has) + (SELECT count(*) FROM links) AS papers_with_pdf_after_enrich, "
+    "(SELECT count(*) FROM links) AS filled_count, (SELECT count(DISTINCT doi) FROM open_) AS doi_lookup_count"
+)
+SQL["local_file_candidates"] = (
+    f"WITH {PAPERS} SELECT canonical_id, url, min(stage) AS stage FROM ("
+    "SELECT canonical_id, 'https://example.org/' || first_ord || '.PDF' AS url, 0 AS stage FROM papers "
+    "UNION ALL SELECT canonical_id, pdf_url, 1 FROM keyed WHERE pdf_url IS NOT NULL) GROUP BY 1, 2"
+)
+
+_ESC = "replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+FETCHED = (
+    "src AS (SELECT r.ord, d.n_chars, d.text, r.pdf_url, r.landing_page_url FROM records r JOIN docs d ON d.doc_id = r.ord), "
+    "addr AS (SELECT ord, n_chars, text, 'pdf' AS kind, pdf_url AS url FROM src UNION ALL SELECT ord, n_chars, text, 'page', landing_page_url FROM src "
+    "UNION ALL SELECT ord, n_chars, text, 'pdf', CASE WHEN n_chars % 3 = 0 THEN 'https://example.org/cr/' || ord || '/pdf' END FROM src "
+    "UNION ALL SELECT ord, n_chars, text, 'xml', CASE WHEN landing_page_url LIKE '%/PMC%' THEN 'https://www.ebi.ac.uk/europepmc/webservices/rest/' || "
+    "regexp_extract(landing_page_url, 'PMC[0-9]+') || '/fullTextXML' END FROM src), "
+    "fetched AS (SELECT url, ord, kind, CASE WHEN kind = 'page' THEN url || '?final' ELSE url END AS final_url, CASE WHEN n_chars % 11 = 0 THEN 404 ELSE 200 END AS status_code, "
+    "CASE WHEN kind = 'xml' THEN 'application/xml' WHEN kind = 'page' OR n_chars % 3 = 0 THEN 'text/html' ELSE 'application/pdf' END AS content_type, "
+    "CASE WHEN kind = 'pdf' AND n_chars % 3 <> 0 THEN true WHEN kind = 'pdf' THEN false ELSE NULL END AS is_pdf, "
+    "CASE WHEN n_chars % 19 = 0 THEN 'read timed out' END AS error, CASE WHEN kind = 'pdf' AND n_chars % 4 <> 0 THEN text END AS document_text, "
+    "regexp_replace(regexp_replace(text, '^\\s+', ''), '\\s+$', '') AS page_text FROM addr WHERE url IS NOT NULL "
+    "QUALIFY row_number() OVER (PARTITION BY url ORDER BY ord) = 1), "
+    "judged AS (SELECT *, CASE WHEN error IS NOT NULL THEN error WHEN status_code >= 400 THEN 'HTTP ' || status_code "
+    "WHEN is_pdf IS NOT TRUE THEN 'Response is not a PDF (content-type=' || content_type || ')' END AS bad, "
+    "CASE WHEN error IS NOT NULL THEN error WHEN status_code >= 400 THEN 'HTTP ' || status_code END AS page_bad FROM fetched)"
+)
+SQL["retrieval_errors"] = f"WITH {RECORDS}, {FETCHED} SELECT url, bad AS reason FROM judged"
+SQL["error_taxonomy"] = (
+    "WITH t AS (SELECT doc_id, CASE WHEN n_chars % 9 = 0 THEN '' ELSE "
+    + ws("CASE n_chars % 4 WHEN 0 THEN 'SSLEOFError ' WHEN 1 THEN 'x ProxyError ' ELSE '' END || text")
+    + " END AS c FROM documents) SELECT doc_id, CASE WHEN contains(c, 'SSLEOFError') OR contains(c, 'SSL_connect') THEN "
+    "'TLS handshake failed through proxy for this source endpoint.' WHEN contains(c, 'ProxyError') THEN "
+    "'Proxy connection failed for this source endpoint.' WHEN c = '' THEN 'Unknown source error' "
+    "WHEN length(c) > 240 THEN substr(c, 1, 237) || '...' ELSE c END AS error FROM t"
+)
+
+# --- document scan --------------------------------------------------------------------------------------------
+
+
+def _mentions(text: str) -> str:
+    return distinct(hits(text, _LICENCE_RE))
+
+
+SCAN = (
+    f"{PAPERS}, {CANDIDATES}, {TEXTS}, {FETCHED}, "
+    "tried AS (SELECT c.canonical_id, c.url, row_number() OVER (PARTITION BY c.canonical_id ORDER BY c.o) AS rn FROM cand c), "
+    "tr AS (SELECT t.canonical_id, t.url, t.rn, f.url IS NOT NULL AND f.bad IS NULL AS dl, f.url IS NOT NULL AND f.bad IS NULL AND f.document_text IS NOT NULL AS ex, "
+    "CASE WHEN f.url IS NULL THEN 'No response landed for this address' WHEN f.bad IS NOT NULL THEN f.bad WHEN f.document_text IS NULL THEN 'No extractable PDF text' END AS err, "
+    f"f.document_text AS text, CASE WHEN f.bad IS NULL AND f.document_text IS NOT NULL THEN {_mentions('f.document_text')} ELSE [] END AS mentions "
+    "FROM tried t LEFT JOIN judged f USING (url) WHERE t.rn <= 3), "
+    f"trc AS (SELECT *, {context()} AS context FROM tr), "
+    "s1 AS (SELECT canonical_id, count(*) AS n, bool_or(dl) AS dl, bool_or(ex) AS ex, first(err ORDER BY rn DESC) FILTER (WHERE err IS NOT NULL) AS err, "
+    "first(url ORDER BY rn DESC) FILTER (WHERE dl) AS last_dl, first(url ORDER BY rn) FILTER (WHERE len(mentions) > 0) AS hit_url, "
+    "first(array_to_string(mentions, '|') ORDER BY rn) FILTER (WHERE len(mentions) > 0) AS hit_mentions, "
+    "first(context ORDER BY rn) FILTER (WHERE len(mentions) > 0) AS hit_context FROM trc GROUP BY 1), "
+    "tx AS (SELECT t.canonical_id, t.kind, row_number() OVER (PARTITION BY t.canonical_id ORDER BY t.g, t.first_ord, t.n) AS rn, f.final_url, f.page_text AS text, "
+    "CASE WHEN f.url IS NULL THEN 'No response landed for this address' ELSE f.page_bad END AS err, "
+    f"CASE WHEN f.url IS NOT NULL AND f.page_bad IS NULL THEN {_mentions('f.page_text')} ELSE [] END AS mentions "
+    "FROM texts t LEFT JOIN judged f USING (url) WHERE t.canonical_id NOT IN (SELECT canonical_id FROM s1 WHERE hit_url IS NOT NULL)), "
+    f"txc AS (SELECT *, {context()} AS context FROM tx), "
+    "s2 AS (SELECT canonical_id, first(err ORDER BY rn DESC) FILTER (WHERE err IS NOT NULL) AS terr, "
+    "first(kind ORDER BY rn) FILTER (WHERE len(mentions) > 0) AS tkind, first(final_url ORDER BY rn) FILTER (WHERE len(mentions) > 0) AS turl, "
+    "first(array_to_string(mentions, '|') ORDER BY rn) FILTER (WHERE len(mentions) > 0) AS tmentions, "
+    "first(context ORDER BY rn) FILTER (WHERE len(mentions) > 0) AS tcontext FROM txc GROUP BY 1), "
+    "st AS (SELECT p.canonical_id, s1.*, s2.*, coalesce(s1.err, s2.terr) AS last_error, "
+    "CASE WHEN hit_url IS NOT NULL OR tkind IS NOT NULL THEN 'mention' WHEN NOT coalesce(dl, false) AND coalesce(s1.err, s2.terr) IS NOT NULL THEN 'download_fail' "
+    "WHEN dl AND NOT ex AND coalesce(s1.err, s2.terr) IS NOT NULL THEN 'extract_fail' WHEN n IS NULL THEN 'no_pdf' ELSE 'scanned_clear' END AS status "
+    "FROM papers p LEFT JOIN s1 ON s1.canonical_id = p.canonical_id LEFT JOIN s2 ON s2.canonical_id = p.canonical_id), "
+    "outcome AS (SELECT canonical_id, status, status = 'mention' AS award_mentioned_in_document, coalesce(hit_mentions, tmentions, '') AS document_award_mentions, "
+    "CASE WHEN hit_url IS NOT NULL THEN hit_context ELSE tcontext END AS document_award_context, CASE WHEN hit_url IS NOT NULL THEN 'pdf' ELSE tkind END AS document_verification_kind, "
+    "coalesce(hit_url, turl) AS document_verification_url, coalesce(hit_url, last_dl) AS document_pdf_url, "
+    "CASE WHEN status IN ('download_fail', 'extract_fail') THEN last_error WHEN status = 'no_pdf' THEN 'No PDF candidates' END AS document_scan_error FROM st)"
+)
+SQL["document_scan"] = f"WITH {SCAN} SELECT * FROM outcome"
+SQL["document_scan_counters"] = (
+    f"WITH {SCAN} SELECT count(*) AS papers_total, count(*) FILTER (WHERE status = 'mention') AS mentions_count, "
+    "count(*) FILTER (WHERE status = 'no_pdf') AS no_pdf_count, count(*) FILTER (WHERE status = 'download_fail') AS download_fail_count, "
+    "count(*) FILTER (WHERE status = 'extract_fail') AS extract_fail_count FROM outcome"
+)
+
+# --- curation -------------------------------------------------------------------------------------------------
+
+CURATION = (
+    f"{RECORDS}, {_ALL}, items AS (SELECT r.ord, d.line1 AS title, upper(r.doi) AS doi, {key('d.line1')} AS tk FROM records r JOIN docs d ON d.doc_id = r.ord), "
+    "base AS (SELECT * FROM items WHERE ord IN (SELECT doc_id FROM labels WHERE quality = 1)), "
+    "bydoi AS (SELECT lower(doi) AS k, doi AS pdoi, venue, sources FROM p_all WHERE doi <> '' QUALIFY row_number() OVER (PARTITION BY lower(doi) ORDER BY first_ord DESC) = 1), "
+    f"bytitle AS (SELECT {key('title')} AS k, doi AS pdoi, venue, sources FROM p_all QUALIFY row_number() OVER (PARTITION BY {key('title')} ORDER BY first_ord DESC) = 1), "
+    "m AS (SELECT i.*, (lower(coalesce(i.doi, '')), i.tk) IN (SELECT (lower(coalesce(doi, '')), tk) FROM base) AS in_base, "
+    "coalesce(a.sources, b.sources) AS psources, CASE WHEN a.k IS NOT NULL THEN a.pdoi ELSE b.pdoi END AS pdoi, CASE WHEN a.k IS NOT NULL THEN a.venue ELSE b.venue END AS pvenue "
+    "FROM items i LEFT JOIN bydoi a ON a.k = lower(i.doi) LEFT JOIN bytitle b ON b.k = i.tk), "
+    "e AS (SELECT *, CASE WHEN in_base THEN [] ELSE coalesce(psources, []) END AS s, CASE WHEN in_base THEN doi ELSE coalesce(doi, pdoi) END AS edoi FROM m), "
+    "f AS (SELECT *, len(list_filter(s, lambda x : x IN ('dblp', 'openalex', 'inspirehep'))) > 0 AS high, len(s) > 0 AND len(list_filter(s, lambda x : x <> 'arxiv')) = 0 AS only_arxiv, "
+    "list_contains(s, 'pubmed') AS pm, list_contains(s, 'europe_pmc') AS ep, "
+    "len(list_filter(s, lambda x : x NOT IN ('crossref', 'datacite', 'semantic_scholar', 'google_scholar', 'openaire', 'doaj'))) > 0 AS nontrivial FROM e), "
+    "g AS (SELECT *, (NOT in_base) AND (lower(coalesce(edoi, '')) LIKE '10.48550/arxiv.%' OR lower(coalesce(edoi, '')) LIKE '10.1101/%' OR only_arxiv) AS pre, "
+    "CASE WHEN in_base THEN 'baseline' WHEN psources IS NULL THEN 'missing' WHEN high THEN 'high' WHEN only_arxiv THEN 'high-preprint' WHEN pm AND ep THEN 'high' "
+    "WHEN pm OR ep THEN 'medium' WHEN len(s) >= 2 AND nontrivial THEN 'medium' WHEN len(s) >= 2 AND list_contains(s, 'crossref') AND list_contains(s, 'openaire') THEN 'medium' ELSE 'low' END AS confidence, "
+    "CASE WHEN in_base THEN 'already present in baseline manifest' WHEN psources IS NULL THEN 'candidate not found in canonical papers' "
+    "WHEN high THEN 'authoritative source evidence present' WHEN only_arxiv THEN 'arXiv-only preprint accepted for bibliography' "
+    "WHEN pm AND ep THEN 'PubMed and Europe PMC corroborate the DOI record' WHEN pm OR ep THEN 'biomedical index evidence present' "
+    "WHEN len(s) >= 2 AND nontrivial THEN 'multiple non-trivial sources corroborate the paper' "
+    "WHEN len(s) >= 2 AND list_contains(s, 'crossref') AND list_contains(s, 'openaire') THEN 'Crossref and OpenAIRE both contain the paper' "
+    "ELSE 'single-source or low-confidence source evidence requires manual review' END AS reason FROM f), "
+    "reviewed AS (SELECT *, confidence IN ('high', 'high-preprint', 'medium') AS accepted, coalesce(edoi, '') <> '' AND NOT pre AS eligible FROM g), "
+    "cumul AS (SELECT ord, title, doi, 0 AS section FROM base UNION ALL SELECT ord, title, doi, 1 FROM reviewed WHERE accepted), "
+    "judgedc AS (SELECT c.ord, c.title, c.doi, coalesce(c.doi, m.pdoi) AS edoi, coalesce(m.psources, []) AS s FROM cumul c JOIN m USING (ord)), "
+    "portal AS (SELECT ord, title, doi FROM judgedc WHERE coalesce(edoi, '') <> '' AND NOT (lower(edoi) LIKE '10.1101/%' OR (len(s) > 0 AND len(list_filter(s, lambda x : x <> 'arxiv')) = 0)))"
+)
+SQL["curate_decisions"] = (
+    f"WITH {CURATION} SELECT ord, accepted, confidence, reason, eligible AS portal_eligible, CASE WHEN in_base THEN NULL ELSE pre END AS is_preprint, "
+    "array_to_string(s, '|') AS sources FROM reviewed"
+)
+SQL["cumulative_manifest"] = f"WITH {CURATION} SELECT ord, title, doi, section FROM cumul"
+SQL["portal_manifest"] = f"WITH {CURATION} SELECT ord, title, doi FROM portal"
+SQL["curation_counts"] = (
+    f"WITH {CURATION} SELECT (SELECT count(*) FROM base) AS baseline_count, (SELECT count(*) FROM reviewed) AS candidate_count, "
+    "(SELECT count(*) FROM reviewed WHERE accepted) AS accepted_addition_count, (SELECT count(*) FROM cumul) AS cumulative_count, "
+    "(SELECT count(*) FROM portal) AS portal_count"
+)
+
+# --- finalisation ---------------------------------------------------------------------------------------------
+
+_STRIP_DOT = "trim(regexp_replace({e}, '\\.+$', ''))"
+_ITEM_TITLE = _STRIP_DOT.format(e=ws("regexp_replace(replace(line1, '&amp;', '&'), '<[^>]+>', '', 'g')"))
+ITEMS = (
+    f"items AS (SELECT doc_id AS ord, {_ITEM_TITLE} AS title, {key(_ITEM_TITLE)} AS gk, {_AUTHORS} AS authors, lang, n_chars, "
+    "'https://example.org/item/' || doc_id AS url, CASE WHEN n_chars % 2 = 0 THEN '10.1101/' ELSE '10.5555/' END || substr(md5(line1), 1, 10) AS doi "
+    f"FROM docs WHERE doc_id IN (SELECT doc_id FROM labels) AND trim(line1) <> '' AND len({_AUTHORS}) > 0)"
+)
+_GROUPED = SQL["title_groups"].split(", g AS (", 1)[1].split(") SELECT", 1)[0]
+GROUPS = (
+    f"{PAPERS}, g AS ({_GROUPED}), gk AS (SELECT *, {key('shown')} AS group_key FROM g), "
+    "grp AS (SELECT group_key, count(*) AS paper_count, first(canonical_id ORDER BY first_ord) AS first_canonical_id, "
+    "first(shown ORDER BY first_ord) AS first_title FROM gk WHERE group_key <> '' GROUP BY 1)"
+)
+SQL["manifest_groups"] = (
+    f"WITH {GROUPS}, {ITEMS} SELECT ord, group_key, first_title, first_canonical_id, paper_count FROM items JOIN grp ON gk = group_key"
+)
+FILES = (
+    f"files AS (SELECT ord, {key('title')} AS group_key, '/files/' || ord || '.pdf' AS path, ord % 2 = 0 AS ok, "
+    "CASE WHEN ord % 2 = 1 THEN 'conversion failed' END AS error FROM records WHERE title <> '' AND ord IN (SELECT doc_id FROM labels WHERE toxic = 1))"
+)
+SQL["archived_copies"] = (
+    f"WITH {RECORDS}, {FILES} SELECT group_key, path, ok, error FROM files WHERE group_key <> '' "
+    "QUALIFY row_number() OVER (PARTITION BY group_key ORDER BY NOT ok, ord) = 1"
+)
+_PRE = "(lower({d}) LIKE '10.48550/arxiv.%' OR lower({d}) LIKE '10.1101/%')"
+_SKIP = (
+    "(regexp_matches(lower(url), 'mediaobjects|_mosem|_esm|supplement|supplementary|supporting-information') OR "
+    f"(NOT {_PRE.format(d='doi')} AND contains(lower(url), 'arxiv.org/pdf/')) OR contains(lower(url), 'none'))"
+)
+# Links of a group: every record of every paper of the group, in paper order, then record order.
+LINKS = (
+    "glink AS (SELECT k.group_key, k.first_ord AS po, r.ord AS ro, r.landing_page_url, r.pdf_url FROM gk k JOIN keyed r USING (canonical_id) WHERE k.group_key <> ''), "
+    "gurl AS (SELECT group_key, landing_page_url AS url, first(po ORDER BY po, ro) AS po, first(ro ORDER BY po, ro) AS ro FROM glink GROUP BY 1, 2), "
+    "gpdf AS (SELECT group_key, pdf_url AS url, first(po ORDER BY po, ro) AS po, first(ro ORDER BY po, ro) AS ro FROM glink WHERE pdf_url IS NOT NULL GROUP BY 1, 2)"
+)
+_LANDING = (
+    "land AS (SELECT i.ord, i.doi, 'landing_page_text' AS kind, u.url, 0 AS s, u.po, u.ro FROM items i JOIN gurl u ON u.group_key = i.gk "
+    "UNION ALL SELECT ord, doi, 'manifest_url', url, 1, 0, 0 FROM items UNION ALL SELECT ord, doi, 'doi_landing_page', 'https://doi.org/' || doi, 2, 0, 0 FROM items)"
+)
+FINAL = (
+    f"{GROUPS}, {ITEMS}, {LINKS}, {LOOKUP}, {FETCHED}, {FILES}, {_LANDING}, "
+    f"direct AS (SELECT i.ord, i.doi, p.url, p.po, p.ro FROM items i JOIN gpdf p ON p.group_key = i.gk WHERE NOT {_SKIP.replace('url', 'p.url').replace('doi', 'i.doi')}), "
+    # Pages of records carry one typed link; found documents are named by the record that gave the page.
+    "disc AS (SELECT ord, url, min(stage) AS stage FROM ("
+    "SELECT i.ord, i.doi, 'https://example.org/cr/' || l.doc_id || '/pdf' AS url, 0 AS stage FROM items i JOIN look l ON l.doi = lower(i.doi) "
+    "UNION ALL SELECT i.ord, i.doi, unnest(list_filter(['https://example.org/oa/' || l.doc_id, CASE WHEN l.n_chars % 2 = 0 THEN 'https://example.org/pdf/' || l.doc_id || '?v=1' END, "
+    "'https://doi.org/' || l.doi, 'https://arxiv.org/abs/2101.' || lpad(CAST(l.doc_id % 100000 AS VARCHAR), 5, '0') || 'v2'], lambda x : x IS NOT NULL)), 1 FROM items i JOIN look l ON l.doi = lower(i.doi) "
+    "UNION ALL SELECT a.ord, a.doi, regexp_extract(f.url, '^(https?://[^/]*)', 1) || '/dl/' || f.ord, 2 FROM land a JOIN judged f ON f.url = a.url WHERE f.page_bad IS NULL) "
+    f"WHERE NOT {_SKIP} AND (ord, url) NOT IN (SELECT (ord, url) FROM direct) GROUP BY 1, 2)"
+)
+SQL["discovered_candidates"] = f"WITH {FINAL} SELECT ord, url, stage FROM disc"
+_USABLE = (
+    "(length({w}) >= 400 AND NOT regexp_matches(lower({w}), 'preparing to download|recaptcha|captcha|access denied|enable javascript|browser check'))"
+)
+SNAPSHOTS = (
+    f"verif AS (SELECT {key('title')} AS gk, 'landing_page_text' AS kind, landing_page_url AS url, ord AS vo FROM records WHERE title <> '' AND ord IN (SELECT doc_id FROM labels WHERE quality = 0)), "
+    "vk AS (SELECT i.ord, v.kind, v.url, -1 AS s, v.vo AS po, 0 AS ro FROM items i JOIN verif v USING (gk)), "
+    "allp AS (SELECT * FROM vk UNION ALL SELECT ord, kind, url, s, po, ro FROM land WHERE kind <> 'landing_page_text' OR ord NOT IN (SELECT ord FROM vk)), "
+    f"snap AS (SELECT a.ord, a.kind, f.final_url AS source_url, f.page_text FROM allp a JOIN judged f ON f.url = a.url WHERE f.page_bad IS NULL AND {_USABLE.format(w=ws('f.page_text'))} "
+    "QUALIFY row_number() OVER (PARTITION BY a.ord ORDER BY a.s, a.po, a.ro) = 1)"
+)
+SQL["snapshot_texts"] = f"WITH {FINAL}, {SNAPSHOTS} SELECT ord, kind, source_url, md5(page_text) AS text_md5 FROM snap"
+META = (
+    f"gabs AS (SELECT group_key, {_SHOWN_ABSTRACT} AS t FROM gk WHERE group_key <> '' AND {_SHOWN_ABSTRACT} <> ''), "
+    "xr AS (SELECT i.ord, l.doc_id, l.lang FROM items i JOIN look l ON l.doi = lower(i.doi)), "
+    "abst AS (SELECT ord, t, min(p) AS p FROM (SELECT i.ord, a.t, 0 AS p FROM items i JOIN gabs a ON a.group_key = i.gk "
+    "UNION ALL SELECT ord, 'looked up ' || lang, 2 FROM xr UNION ALL SELECT ord, 'A looked-up note', 3 FROM xr) GROUP BY 1, 2), "
+    "heads AS (SELECT ord, 0 AS section, 'Title' AS label, title AS t FROM items UNION ALL SELECT ord, 1, 'Authors', array_to_string(authors, ', ') FROM items "
+    "UNION ALL SELECT ord, 2, 'Member Authors', 'Team ' || lang FROM items UNION ALL SELECT ord, 3, 'Primary Link', url FROM items UNION ALL SELECT ord, 4, 'DOI', doi FROM items), "
+    "lines_ AS (SELECT * FROM heads "
+    "UNION ALL SELECT i.ord, 5, 'Matched Canonical IDs', k.canonical_id FROM items i JOIN gk k ON k.group_key = i.gk "
+    "UNION ALL SELECT i.ord, 6, 'Known URLs', u.url FROM items i JOIN gurl u ON u.group_key = i.gk "
+    "UNION ALL SELECT i.ord, 7, 'Known PDF Candidates', u.url FROM items i JOIN gpdf u ON u.group_key = i.gk "
+    "UNION ALL SELECT ord, 8, 'Metadata', unnest(['Crossref published date: 2015-6', 'Crossref venue: Venue ' || lang, 'OpenAlex OA status: green', 'OpenAlex OA URL: https://example.org/oa/' || doc_id]) FROM xr "
+    "UNION ALL SELECT ord, 9, CASE p WHEN 0 THEN 'canonical_record_abstract' WHEN 2 THEN 'openalex_metadata' ELSE 'datacite_metadata' END, t FROM abst "
+    "UNION ALL SELECT ord, 9, 'citation_snapshot', 'No full-text PDF could be downloaded through the configured network path. This snapshot preserves the resolved citation metadata for final result packaging.' "
+    "FROM items WHERE ord NOT IN (SELECT ord FROM abst))"
+)
+_MATCHED = "ord IN (SELECT ord FROM items JOIN grp ON gk = group_key)"
+SQL["metadata_snapshot"] = f"WITH {FINAL}, {META} SELECT ord, section, label, md5(t) AS text_md5 FROM lines_ WHERE t <> '' AND {_MATCHED}"
+SQL["best_evidence"] = (
+    f"WITH {FINAL}, {SNAPSHOTS}, {META}, ok AS (SELECT url FROM judged WHERE bad IS NULL), "
+    "r0 AS (SELECT i.ord, first(f.path ORDER BY f.ord) AS u FROM items i JOIN files f ON f.group_key = i.gk GROUP BY 1), "
+    "r1 AS (SELECT ord, first(url ORDER BY po, ro) AS u FROM direct WHERE url IN (SELECT url FROM ok) GROUP BY 1), "
+    # Only the looked-up documents can be valid here: no typed link of a page was landed.
+    "r2 AS (SELECT ord, min(url) AS u FROM disc WHERE url IN (SELECT url FROM ok) GROUP BY 1), "
+    "r4 AS (SELECT ord, min(p) AS p FROM abst GROUP BY 1), "
+    "e AS (SELECT i.ord, CASE WHEN r0.u IS NOT NULL THEN 0 WHEN r1.u IS NOT NULL THEN 1 WHEN r2.u IS NOT NULL THEN 2 WHEN s.ord IS NOT NULL THEN 3 ELSE 4 END AS rank, "
+    "r0.u AS u0, r1.u AS u1, r2.u AS u2, s.source_url AS u3, s.kind AS k3, CASE r4.p WHEN 0 THEN 'canonical_record_abstract' WHEN 2 THEN 'openalex_metadata' "
+    "WHEN 3 THEN 'datacite_metadata' ELSE 'citation_snapshot' END AS k4, i.url FROM items i LEFT JOIN r0 USING (ord) LEFT JOIN r1 USING (ord) LEFT JOIN r2 USING (ord) "
+    "LEFT JOIN snap s USING (ord) LEFT JOIN r4 USING (ord)), "
+    "o AS (SELECT ord, rank, CASE rank WHEN 0 THEN 'existing_local_pdf' WHEN 1 THEN 'downloaded_pdf' WHEN 2 THEN 'downloaded_pdf' WHEN 3 THEN 'generated_text_snapshot_pdf' ELSE 'generated_metadata_snapshot_pdf' END AS evidence_kind, "
+    "CASE rank WHEN 0 THEN u0 WHEN 1 THEN u1 WHEN 2 THEN u2 WHEN 3 THEN u3 ELSE CASE WHEN k4 = 'citation_snapshot' THEN url ELSE k4 END END AS evidence_url, "
+    "CASE rank WHEN 3 THEN k3 WHEN 4 THEN k4 END AS snapshot_kind FROM e) "
+    "SELECT *, 'Generated from ' || CASE WHEN snapshot_kind IN ('landing_page_text', 'manifest_url', 'doi_landing_page') THEN 'accessible article text' "
+    "WHEN snapshot_kind IN ('canonical_record_abstract', 'crossref_metadata', 'openalex_metadata', 'datacite_metadata') THEN 'accessible abstract and citation metadata' "
+    "ELSE 'citation metadata' END || ' because the source PDF was unavailable through the current proxy/download path.' AS note "
+    f"FROM o WHERE {_MATCHED}"
+)
+SQL["final_markdown"] = (
+    f"WITH {DOCS}, {ITEMS} SELECT ord, '**' || title || '**' || chr(10) || 'Authors: ' || array_to_string(authors, ', ') || ' | Member Authors: Team ' || lang "
+    "|| chr(10) || url || chr(10) || doi AS block FROM items"
+)
+
+# --- texts and pages ------------------------------------------------------------------------------------------
+
+_PIECES = (
+    "list_filter(list_transform(string_split_regex(regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script>|<style\\b.*?</style>', '<>', 'g'), '<[^>]*>'), "
+    "lambda p : regexp_replace(regexp_replace(p, '^\\s+', ''), '\\s+$', '')), lambda p : p <> '')"
+)
+_DECODED = (
+    f"replace(replace(replace(replace(replace(replace(array_to_string({_PIECES}, ' '), '&middot;', '·'), '&copy;', '©'), '&quot;', '\"'), "
+    "'&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+)
+SQL["page_text"] = f"SELECT page_id, md5({_DECODED}) AS text_md5 FROM pages"
+SQL["page_text_expression"] = SQL["page_text"]
+_ORIGIN = "regexp_extract(url, '^(https?://[^/?#]*)', 1)"
+_FOLDER = "regexp_replace(regexp_replace(url, '[?#].*$', ''), '[^/]*$', '')"
+SQL["page_links"] = (
+    f"SELECT url, 0 AS pos, {_ORIGIN} || '/downloads/' || page_id || '.pdf' AS link FROM pages UNION ALL "
+    f"SELECT url, 1, {_FOLDER} || 'files/' || page_id || '.PDF' FROM pages UNION ALL "
+    f"SELECT url, 2, {_ORIGIN} || '/pdf/' || page_id FROM pages"
+)
+SQL["host_audit"] = (
+    "WITH l AS (SELECT lower(regexp_extract(url, '^https?://([^/?#:]*)', 1)) AS host, "
+    "CASE page_id % 3 WHEN 0 THEN 'requests' WHEN 1 THEN 'urllib' ELSE 'browser' END AS transport, length(html) % 5 = 0 AS failed FROM pages) "
+    "SELECT CASE WHEN grouping(host) = 0 THEN 'host' WHEN grouping(transport) = 0 THEN 'transport' ELSE 'total' END AS level, "
+    "coalesce(host, transport, '*') AS name, count(*) AS attempts, count(*) FILTER (WHERE failed) AS errors, CAST(0 AS BIGINT) AS direct_attempts "
+    "FROM l GROUP BY GROUPING SETS ((host), (transport), ())"
+)
+SQL["usable_text"] = f"SELECT doc_id, {_USABLE.format(w=ws('text'))} AS usable FROM documents"
+SQL["chunk_text"] = (
+    f"WITH RECURSIVE t AS (SELECT doc_id, list_filter(string_split({ws('text')}, ' '), lambda x : x <> '') AS w FROM documents), "
+    "u AS (SELECT doc_id, generate_subscripts(w, 1) AS i, length(unnest(w)) + 1 AS n FROM t), "
+    "c AS (SELECT doc_id, list(cum ORDER BY i) AS cs FROM (SELECT doc_id, i, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS cum FROM u) GROUP BY doc_id), "
+    "r AS (SELECT doc_id, 1 AS s, 0 AS n, greatest(len(list_filter(cs, lambda x : x <= 1501)), 1) AS e, cs FROM c "
+    "UNION ALL SELECT doc_id, e + 1, n + 1, greatest(len(list_filter(cs, lambda x : x <= cs[e] + 1501)), e + 1), cs FROM r WHERE e < len(cs)) "
+    "SELECT r.doc_id, CAST(n AS BIGINT) AS n, md5(array_to_string(list_slice(t.w, s, e), ' ')) AS chunk_md5 FROM r JOIN t USING (doc_id)"
+)
+SQL["inverted_index_decode"] = f"SELECT doc_id, md5({ws('text')}) AS text_md5 FROM documents"
+# People have two names of at least five characters together; the heading "The Team" is no person.
+_CAP = "upper(split_part(a, ' ', 1)[1]) || lower(substr(split_part(a, ' ', 1), 2)) || ' ' || upper(split_part(a, ' ', 2)[1]) || lower(substr(split_part(a, ' ', 2), 2))"
+SQL["team_roster"] = (
+    f"WITH {RECORDS}, n AS (SELECT ord, unnest(authors) AS a, generate_subscripts(authors, 1) AS pos FROM records WHERE len(authors) > 0), "
+    f"c AS (SELECT ord, pos, a, {_CAP} AS name FROM n) "
+    "SELECT ord AS page_id, CASE WHEN ord % 2 = 0 THEN 0 ELSE 4 END AS tier, name, '/p/' || md5(a) AS profile_url FROM c "
+    "WHERE length(name) BETWEEN 5 AND 80 AND NOT regexp_matches(lower(name), 'team|faculty|students|postdocs|news|events|contact|opportunities|institute|research|materials') "
+    "QUALIFY row_number() OVER (PARTITION BY ord, lower(replace(name, ' ', '')) ORDER BY pos) = 1"
+)
+SQL["unique_names"] = (
+    "WITH s AS (SELECT replace(p_name, ' ', '_') AS stem, p_partkey AS ord FROM part), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY stem ORDER BY ord) AS rn FROM s) "
+    "SELECT stem, ord, CASE WHEN rn = 1 THEN stem ELSE stem || '_' || rn END AS name FROM r"
+)
+
+# --- reports --------------------------------------------------------------------------------------------------
+
+HEALTH = "health AS (SELECT source FROM records GROUP BY source HAVING avg(length(abstract)) > 1500)"
+_NAMES = "names AS (SELECT unnest(" + _ORDER + ") AS source, generate_subscripts(" + _ORDER + ", 1) - 1 AS source_rank)"
+SQL["source_counts"] = (
+    f"WITH {RECORDS}, {HEALTH}, {_NAMES} SELECT n.source, (SELECT count(*) FROM records r WHERE r.source = n.source AND r.source NOT IN (SELECT source FROM health)) AS records, "
+    "(SELECT count(*) FROM health h WHERE h.source = n.source) AS errors FROM names n"
+)
+SQL["active_sources"] = (
+    f"WITH {RECORDS}, {HEALTH}, {_NAMES} SELECT source, CAST(source_rank AS BIGINT) AS source_rank, "
+    "CASE WHEN source IN (SELECT source FROM health) THEN 'skipped: HTTP 503' ELSE 'ok' END AS probe, source NOT IN (SELECT source FROM health) AS active FROM names"
+)
+SQL["records_sorted_top100"] = (
+    f"WITH {PAPERS} SELECT canonical_id, title, year FROM papers ORDER BY coalesce(year, 0) DESC, lower(title) DESC, first_ord LIMIT 100"
+)
+SQL["award_split"] = (
+    f"WITH {SCAN} SELECT p.year, o.award_mentioned_in_document AS award, count(*) AS papers FROM papers p JOIN outcome o USING (canonical_id) GROUP BY 1, 2"
+)
+_LISTS = (
+    "lists AS (SELECT canonical_id, array_to_string(list(member_name ORDER BY o), '|') AS members FROM (SELECT canonical_id, member_name, min(ord) AS o FROM keyed GROUP BY 1, 2) GROUP BY 1), "
+    "srcs AS (SELECT canonical_id, array_to_string(list(source ORDER BY o), '|') AS sources FROM (SELECT canonical_id, source, min(ord) AS o FROM keyed GROUP BY 1, 2) GROUP BY 1)"
+)
+SQL["award_summary"] = (
+    f"WITH {SCAN}, {_LISTS} SELECT canonical_id, document_award_mentions AS award_mentions, members, sources, document_verification_kind, "
+    "document_pdf_url IS NOT NULL AS pdfa_conversion_ok FROM outcome JOIN lists USING (canonical_id) JOIN srcs USING (canonical_id) WHERE award_mentioned_in_document"
+)
+SQL["status_backfill"] = (
+    f"WITH {RECORDS}, {_ALL}, {_SOME} SELECT a.canonical_id, CASE WHEN s.canonical_id IS NULL THEN '/old/' || a.first_ord ELSE '/new/' || s.first_ord END AS document_pdf_local_path, "
+    "CASE WHEN s.canonical_id IS NULL THEN 'u' END AS document_pdf_url, '/a/' || s.first_ord AS document_pdfa_path, CASE WHEN s.canonical_id IS NULL THEN 'old' END AS document_pdfa_error, "
+    "s.canonical_id IS NOT NULL AS pdfa_conversion_ok FROM p_all a LEFT JOIN p_some s USING (canonical_id)"
+)
+_COUNT_MAP = (
+    "(SELECT string_agg(source || '=' || c, ',' ORDER BY source) FROM (SELECT n.source, (SELECT count(*) FROM records r WHERE r.source = n.source) AS c FROM names n))"
+)
+_EXTRA = f"{_ALL}, {_SOME}, {DIFF.split(f'{_SOME}, ', 1)[1]}"
+SQL["run_summary"] = (
+    f"WITH {SCAN}, {_EXTRA}, {_NAMES} SELECT 't0' AS run_started_at, CAST(2 AS BIGINT) AS lookback_years, (SELECT count(*) FROM records) AS raw_record_count, "
+    "(SELECT count(*) FROM papers) AS canonical_paper_count, (SELECT count(*) FROM diff WHERE status = 'new') AS new_count, "
+    "(SELECT count(*) FROM diff WHERE status = 'changed') AS changed_count, (SELECT count(*) FROM diff WHERE status = 'unchanged') AS unchanged_count, "
+    "(SELECT count(*) FROM outcome) AS papers_total, (SELECT count(*) FROM outcome WHERE status = 'mention') AS mentions_count, "
+    f"{_COUNT_MAP} AS source_record_counts"
+)
+_C = "(SELECT count(*) FROM {t})"
+SQL["run_report"] = (
+    f"WITH {SCAN}, {_EXTRA}, {HEALTH}, {_NAMES}, {_LISTS}, "
+    "aw AS (SELECT p.*, o.document_award_mentions AS mentions FROM papers p JOIN outcome o USING (canonical_id) WHERE o.award_mentioned_in_document), "
+    "rk AS (SELECT *, row_number() OVER (ORDER BY coalesce(year, 0) DESC, lower(title) DESC, first_ord) AS rn FROM aw), "
+    "h AS (SELECT ['# Collection Report', '', 'Generated: t1', '', '## Summary', '- Team members: 4', '- Lookback years: 2', "
+    "'- State cache: new=' || (SELECT count(*) FROM diff WHERE status = 'new') || ', changed=' || (SELECT count(*) FROM diff WHERE status = 'changed') || ', unchanged=' || (SELECT count(*) FROM diff WHERE status = 'unchanged'), "
+    "'- Raw source records: ' || (SELECT count(*) FROM records), '- Canonical papers: ' || (SELECT count(*) FROM papers), "
+    "'- Award mentions (metadata + document scan): ' || (SELECT count(*) FROM aw), '- Document scan: papers=' || (SELECT count(*) FROM outcome) || ', mentions=' || (SELECT count(*) FROM outcome WHERE status = 'mention') || "
+    "', no_pdf=' || (SELECT count(*) FROM outcome WHERE status = 'no_pdf') || ', download_fail=' || (SELECT count(*) FROM outcome WHERE status = 'download_fail') || ', extract_fail=' || "
+    "(SELECT count(*) FROM outcome WHERE status = 'extract_fail'), NULL, '', '## Source Counts'] AS l) "
+    "SELECT section, CAST(line_no AS BIGINT) AS line_no, line FROM ("
+    "SELECT 0 AS section, generate_subscripts(l, 1) - 1 AS line_no, unnest(l) AS line FROM h "
+    "UNION ALL SELECT 1, row_number() OVER (ORDER BY n.source), '- ' || n.source || ': ' || (SELECT count(*) FROM records r WHERE r.source = n.source) || ' records (' || "
+    "(SELECT count(*) FROM health x WHERE x.source = n.source) || ' errors) | probe: ' || CASE WHEN n.source IN (SELECT source FROM health) THEN 'skipped: HTTP 503' ELSE 'ok' END FROM names n "
+    "UNION ALL SELECT 2, 0, '' UNION ALL SELECT 2, 1, '## Papers With Award Mention' "
+    "UNION ALL SELECT 3, rn, '- **' || title || '** (' || coalesce(CAST(year AS VARCHAR), 'n/a') || ', ' || coalesce(venue, 'unknown venue') || ') | member(s): ' || replace(members, '|', ', ') || "
+    "' | mention(s): ' || replace(mentions, '|', ', ') FROM rk JOIN lists USING (canonical_id) WHERE rn <= 100) WHERE line IS NOT NULL"
+)
