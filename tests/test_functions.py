@@ -86,7 +86,7 @@ def test_small_ids(spark):
     assert value(spark, ids.openalex_short_id(C("x")), x="https://o.example/W77/") == "W77"
     assert value(spark, ids.doi_tokens(C("x")), x="see (doi:10.1/a), [10.2/B]; none") == ["10.1/a", "10.2/B"]
     assert value(spark, ids.doi_from_links(C("x")), x=["https://e.org/x", "https://dx.doi.org/10.3/Q"]) == "10.3/Q"
-    assert value(spark, ids.first_doi(C("x")), x=["urn:5", "https://e.org/10.4321/zz"]) == "10.4321/zz" or True
+    assert value(spark, ids.first_doi(C("x")), x=["urn:5", "https://e.org/10.4321/zz"]) == "10.4321/zz"
 
 
 def test_dates(spark):
@@ -140,9 +140,7 @@ def test_scores_prefer_the_right_given_name(spark):
 
 def test_variants(spark):
     got = value(spark, names.name_variants(C("x")), x="Ada Maria Lund")
-    assert got == ["Ada Maria Lund", "Ada Lund", "a m lund", "a lund"] or [v.lower() for v in got] == [
-        "ada maria lund", "ada lund", "a m lund", "a lund"
-    ]
+    assert got == ["Ada Maria Lund", "ada lund", "a m lund", "a lund"]
     assert value(spark, names.flip_comma_name(C("x")), x="Lund,  Ada") == "Ada Lund"
 
 
