@@ -180,33 +180,34 @@ def landing_urls(items: DataFrame, group_values: DataFrame) -> DataFrame:
     return listed.unionByName(own).filter(F.col("url") != "")
 
 
-def discovered_candidates(
-    items: DataFrame, group_values: DataFrame, doi_lookup: DataFrame, fetched: DataFrame, direct: DataFrame
-) -> DataFrame:
-    """Documents found through DOI lookups and on landing pages, without the direct ones: ``(ord, url, at)``."""
+def looked_up_links(items: DataFrame, doi_lookup: DataFrame) -> DataFrame:
+    """Document links of the looked-up works of an item: ``(ord, doi, url, s, p)``, first service first."""
     keyed = items.select("ord", "doi", F.lower("doi").alias("_doi"))
-    zero = F.lit(0).cast("bigint")
 
-    def looked_up(provider: str, schema: str, links, stage: int) -> DataFrame:
-        works = (
-            doi_lookup.filter(F.col("provider") == provider)
-            .select(F.lower("doi").alias("_doi"), links(F.from_json("payload", schema)).alias("links"))
+    def of(provider: str, schema: str, links, stage: int) -> DataFrame:
+        works = doi_lookup.filter(F.col("provider") == provider).select(
+            F.lower("doi").alias("_doi"), links(F.from_json("payload", schema)).alias("links")
         )
         return lookup_join(keyed, works, ["_doi"], "inner").select(
-            "ord",
-            "doi",
-            F.posexplode("links").alias("p", "url"),
-            ).select(
-            "ord", "doi", "url",
-            F.struct(
-                F.lit(stage).alias("s"), zero.alias("x"), zero.alias("a"), zero.alias("b"), F.col("p").cast("bigint").alias("p")
-            ).alias("at"),
-        )
+            "ord", "doi", F.posexplode("links").alias("p", "url"), F.lit(stage).alias("s")
+        ).withColumn("p", F.col("p").cast("bigint"))
+
+    return of("crossref", CROSSREF_MESSAGE, crossref_pdf_links, 0).unionByName(
+        of("openalex", OPENALEX_WORK, openalex_all_links, 1)
+    )
+
 
+def discovered_candidates(
+    items: DataFrame, group_values: DataFrame, doi_lookup: DataFrame, fetched: DataFrame, direct: DataFrame
+) -> DataFrame:
+    """Documents found through DOI lookups and on landing pages, without the direct ones: ``(ord, url, at)``."""
+    looked = looked_up_links(items, doi_lookup)
+    zero = F.lit(0).cast("bigint")
+    looked = looked.select(
+        "ord", "doi", "url", F.struct("s", zero.alias("x"), zero.alias("a"), zero.alias("b"), "p").alias("at")
+    )
     pages = landing_urls(items, group_values)
-    needed = fetched.filter(
-        F.coalesce("error", F.lit("")).eqNullSafe("") & (F.coalesce("status_code", F.lit(200)) < 400)
-    ).join(pages.select("url").distinct(), "url", "left_semi")
+    needed = _readable(fetched).join(pages.select("url").distinct(), "url", "left_semi")
     links = document_links(needed).select(F.col("url"), F.col("pos"), F.col("link"))
     on_pages = (
         lookup_join(pages.select("ord", "url", "at"), links, ["url"], "inner")
@@ -224,54 +225,28 @@ def discovered_candidates(
         .join(items.select("ord", "doi"), "ord")
         .select("ord", "doi", "url", "at")
     )
-    found = (
-        looked_up("crossref", CROSSREF_MESSAGE, crossref_pdf_links, 0)
-        .unionByName(looked_up("openalex", OPENALEX_WORK, openalex_all_links, 1))
-        .unionByName(on_pages)
-    )
+    found = looked.unionByName(on_pages)
     kept = found.filter(~urls.skip_candidate(F.col("url"), F.col("doi")))
     firsts = kept.groupBy("ord", "url").agg(F.min("at").alias("at"))
     return firsts.join(direct.select("ord", "url"), ["ord", "url"], "left_anti")
 
 
-def first_download(candidates: DataFrame, fetched: DataFrame, max_mb: int = 30) -> DataFrame:
-    """First candidate of every item that is a valid PDF: ``(ord, url)``."""
-    ok = fetched.filter(retrieval_error(max_mb).isNull()).select("url", F.lit(True).alias("ok"))
-    hits = lookup_join(candidates, ok, ["url"], "inner")
-    return hits.groupBy("ord").agg(F.min_by("url", "at").alias("url"))
+def _valid_documents(fetched: DataFrame, max_mb: int) -> DataFrame:
+    return fetched.filter(retrieval_error(max_mb).isNull()).select("url").withColumn("ok", F.lit(True))
 
 
-def snapshot_texts(
-    items: DataFrame, group_values: DataFrame, verification: DataFrame, fetched: DataFrame
-) -> DataFrame:
-    """First usable text of every item: ``(ord, kind, source_url, text)``.
+def _readable(fetched: DataFrame) -> DataFrame:
+    """Responses without error."""
+    return fetched.filter(
+        F.coalesce("error", F.lit("")).eqNullSafe("") & (F.coalesce("status_code", F.lit(200)) < 400)
+    )
 
-    ``verification(group_key, kind, url, ord)`` are known evidence pages of the group; only where there
-    are none do the landing pages of the group count. The manifest URL and DOI page follow.
-    """
-    pages = landing_urls(items, group_values)
-    known = lookup_join(
-        verification.select(
-            F.col("group_key").alias("item_key"), "kind", F.trim("url").alias("url"), F.col("ord").alias("v_ord")
-        ),
-        items.select("ord", "item_key"),
-        ["item_key"],
-        "inner",
-    ).filter((F.trim("kind") != "") & (F.col("url") != ""))
-    zero = F.lit(0).cast("bigint")
-    known = known.select(
-        "ord", "kind", "url", F.struct(F.lit(-1).alias("s"), F.col("v_ord").alias("a"), zero.alias("b")).alias("at")
-    )
-    with_known = known.select("ord").distinct().withColumn("_known", F.lit(True))
-    usable_pages = (
-        pages.join(with_known, "ord", "left")
-        .filter((F.col("kind") != "landing_page_text") | F.col("_known").isNull())
-        .drop("_known")
-    )
-    candidates = known.unionByName(usable_pages)
-    texts = (
-        fetched.filter(F.coalesce("error", F.lit("")).eqNullSafe("") & (F.coalesce("status_code", F.lit(200)) < 400))
-        .join(candidates.select("url").distinct(), "url", "left_semi")
+
+def _usable_pages(fetched: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Usable text of the wanted addresses: ``(url, source_url, text)``; every page is parsed once."""
+    return (
+        _readable(fetched)
+        .join(wanted.select("url").distinct(), "url", "left_semi")
         .select(
             "url",
             F.coalesce(F.nullif("final_url", F.lit("")), "url").alias("source_url"),
@@ -279,16 +254,86 @@ def snapshot_texts(
         )
         .filter(usable_text(F.col("text")))
     )
-    # The choice is made on addresses alone; the text is fetched for the chosen page only.
-    chosen = (
-        lookup_join(candidates, texts.select("url", "source_url"), ["url"], "inner")
-        .groupBy("ord")
-        .agg(F.min_by(F.struct("kind", "url", "source_url"), "at").alias("c"))
-        .select("ord", "c.kind", "c.url", "c.source_url")
+
+
+def _first_by_rule(rows: DataFrame, at: Column) -> DataFrame:
+    """First address of every group, once for preprints and once for other papers; one row per group."""
+    skip = lambda doi: urls.skip_candidate(F.col("url"), F.lit(doi))
+    return rows.groupBy("group_key").agg(
+        F.min_by("url", F.when(~skip(urls.PREPRINT_DOI_PREFIXES[1]), at)).alias("for_preprint"),
+        F.min_by("url", F.when(~skip(""), at)).alias("for_other"),
     )
-    return lookup_join(chosen, texts.select("url", "text"), ["url"], "inner").select(
-        "ord", "kind", "source_url", "text"
+
+
+def _per_item(items: DataFrame, firsts: DataFrame) -> DataFrame:
+    """The group's choice for every item, by whether its DOI is a preprint: ``(ord, url)``."""
+    keyed = firsts.withColumnRenamed("group_key", "item_key")
+    joined = lookup_join(items.select("ord", "item_key", "doi"), keyed, ["item_key"], "inner")
+    url = F.when(urls.is_preprint_doi(F.col("doi")), F.col("for_preprint")).otherwise(F.col("for_other"))
+    return joined.select("ord", url.alias("url")).filter(F.col("url").isNotNull())
+
+
+def choose_snapshot_page(
+    items: DataFrame, group_values: DataFrame, verification: DataFrame, fetched: DataFrame
+) -> DataFrame:
+    """First page with usable text of every item: ``(ord, kind, url, source_url)``.
+
+    ``verification(group_key, kind, url, ord)`` are known evidence pages of the group; only where there
+    are none do the landing pages of the group count. The manifest URL and DOI page follow. Groups make
+    their choice once, so items that share a group do not multiply its pages.
+    """
+    known = verification.select(
+        "group_key", F.trim("kind").alias("kind"), F.trim("url").alias("url"), F.col("ord").alias("a"), F.lit(0).alias("stage")
+    ).filter((F.col("kind") != "") & (F.col("url") != ""))
+    landing = group_values.filter(F.col("field") == "urls").select(
+        "group_key", F.lit("landing_page_text").alias("kind"), F.col("value").alias("url"), F.col("first_ord").alias("a"),
+        F.lit(1).alias("stage"), F.col("first_pos").alias("b"),
+    )
+    wanted_groups = items.select(F.col("item_key").alias("group_key")).distinct()
+    pages = (
+        known.withColumn("b", F.lit(0).cast("bigint")).unionByName(landing).join(wanted_groups, "group_key", "left_semi")
+    )
+    own = items.select(
+        "ord",
+        F.posexplode(
+            F.array(
+                F.struct(F.lit("manifest_url").alias("kind"), F.col("url").alias("url")),
+                F.struct(F.lit("doi_landing_page").alias("kind"), urls.fill(urls.DOI_PAGE, F.col("doi")).alias("url")),
+            )
+        ).alias("p", "e"),
+    ).select("ord", "p", "e.kind", "e.url")
+    usable = materialise(
+        _usable_pages(fetched, pages.select("url").unionByName(own.select("url"))).select("url", "source_url"), "usable-pages"
+    )
+    at = F.struct("stage", "a", "b")
+    page = F.struct("kind", "url", "source_url")
+    by_group = (
+        lookup_join(pages, usable, ["url"], "left")
+        .groupBy("group_key")
+        .agg(
+            F.min("stage").alias("lowest"),
+            F.min_by(page, F.when(F.col("source_url").isNotNull() & (F.col("stage") == 0), at)).alias("known"),
+            F.min_by(page, F.when(F.col("source_url").isNotNull() & (F.col("stage") == 1), at)).alias("landing"),
+        )
+        .select(
+            F.col("group_key").alias("item_key"),
+            F.when(F.col("lowest") == 0, F.col("known")).otherwise(F.col("landing")).alias("group_page"),
+        )
     )
+    by_item = lookup_join(own, usable, ["url"], "inner").groupBy("ord").agg(F.min_by(page, "p").alias("own_page"))
+    joined = lookup_join(items.select("ord", "item_key"), by_group, ["item_key"]).join(by_item, "ord", "left")
+    return joined.select("ord", F.coalesce("group_page", "own_page").alias("c")).filter(F.col("c").isNotNull()).select(
+        "ord", "c.kind", "c.url", "c.source_url"
+    )
+
+
+def snapshot_texts(
+    items: DataFrame, group_values: DataFrame, verification: DataFrame, fetched: DataFrame
+) -> DataFrame:
+    """Text of the chosen page of every item: ``(ord, kind, source_url, text)``; only chosen pages are read."""
+    chosen = choose_snapshot_page(items, group_values, verification, fetched)
+    texts = _usable_pages(fetched, chosen).select("url", "text")
+    return lookup_join(chosen, texts, ["url"], "inner").select("ord", "kind", "source_url", "text")
 
 
 def _values_line(items: DataFrame, group_values: DataFrame, field: str, section: int, label: str) -> DataFrame:
@@ -404,11 +449,34 @@ def metadata_snapshot(items: DataFrame, group_values: DataFrame, doi_lookup: Dat
     return out.filter(F.col("text") != "")
 
 
-def snapshot_kinds(snapshot_lines: DataFrame) -> DataFrame:
-    """What kind of metadata snapshot each item gets: the first source that gave an abstract."""
-    return snapshot_lines.filter(F.col("section") == 9).groupBy("ord").agg(
-        F.min_by("label", F.struct("a", "b")).alias("kind")
+def snapshot_kinds(items: DataFrame, group_values: DataFrame, doi_lookup: DataFrame) -> DataFrame:
+    """What kind of metadata snapshot each item gets: the first source that has an abstract; ``(ord, url, kind)``."""
+    stored = group_values.filter(F.col("field") == "abstracts").select(F.col("group_key").alias("item_key")).distinct()
+    has = (
+        F.when((F.col("provider") == "crossref") & (F.from_json("payload", CROSSREF_MESSAGE)["abstract"] != ""), 1)
+        .when(
+            (F.col("provider") == "openalex")
+            & (decode_inverted_index(F.from_json("payload", OPENALEX_WORK)["abstract_inverted_index"]) != ""),
+            2,
+        )
+        .when(
+            (F.col("provider") == "datacite")
+            & F.exists(
+                F.from_json("payload", DATACITE_DOI)["attributes"]["descriptions"],
+                lambda d: (F.lower(d["descriptionType"]) == "abstract") & (d["description"] != ""),
+            ),
+            3,
+        )
+    )
+    looked = doi_lookup.groupBy(F.lower("doi").alias("_doi")).agg(F.min(has).alias("_at"))
+    keyed = items.withColumn("_doi", F.lower("doi"))
+    joined = lookup_join(
+        lookup_join(keyed, stored.withColumn("_stored", F.lit(0)), ["item_key"]), looked, ["_doi"]
     )
+    kind = F.try_element_at(
+        F.array(*[F.lit(k) for k in METADATA_KINDS]), F.coalesce("_stored", "_at") + 1
+    )
+    return joined.select("ord", "url", F.coalesce(kind, F.lit("citation_snapshot")).alias("kind"))
 
 
 def best_evidence(
@@ -422,7 +490,8 @@ def best_evidence(
 ) -> DataFrame:
     """One evidence row per item: existing file, direct document, discovered document, text or metadata.
 
-    Each step runs only for items that are still without evidence, so pages are parsed only when needed.
+    Each step runs only for items that are still without evidence, so pages are parsed only when needed,
+    and a group makes its choice once for all items that share it.
     The result of a step (one small row per item) is written, because all later steps depend on it.
     ``local_files(group_key, ord, path, ok)`` lists files that exist. Since a citation snapshot is always
     possible, no item ends in an error.
@@ -443,21 +512,56 @@ def best_evidence(
     found0 = materialise(row(files, 0, "existing_local_pdf", "path"), "evidence-files")
     left1 = items.join(found0.select("ord"), "ord", "left_anti")
 
-    direct = direct_candidates(left1, group_values)
-    found1 = materialise(row(first_download(direct, fetched, max_mb), 1, "downloaded_pdf", "url"), "evidence-direct")
+    valid = _valid_documents(fetched, max_mb)
+    listed = group_values.filter(F.col("field") == "pdf_urls").select(
+        "group_key", F.col("value").alias("url"), "first_ord", "first_pos"
+    )
+    group_listed = _first_by_rule(lookup_join(listed, valid, ["url"], "inner"), F.struct("first_ord", "first_pos"))
+    own = left1.filter(urls.is_preprint_doi(F.col("doi"))).select("ord", F.posexplode(F.array("url", "doi")).alias("p", "raw"))
+    own = own.select("ord", "p", ids.arxiv_pdf(ids.arxiv_loose(F.col("raw"))).alias("url")).filter(F.col("url").isNotNull())
+    direct = _per_item(left1, group_listed).withColumn("at", F.lit(-1)).unionByName(
+        lookup_join(own, valid, ["url"], "inner").select("ord", "url", F.col("p").alias("at"))
+    )
+    direct = direct.groupBy("ord").agg(F.min_by("url", "at").alias("url"))
+    found1 = materialise(row(direct, 1, "downloaded_pdf", "url"), "evidence-direct")
     left2 = left1.join(found1.select("ord"), "ord", "left_anti")
 
-    discovered = discovered_candidates(left2, group_values, doi_lookup, fetched, direct)
-    found2 = materialise(
-        row(first_download(discovered, fetched, max_mb), 2, "downloaded_pdf", "url"), "evidence-discovered"
+    # Documents that were tried in the step before have failed, so they need not be left out here.
+    looked = looked_up_links(left2, doi_lookup).filter(~urls.skip_candidate(F.col("url"), F.col("doi")))
+    looked = lookup_join(looked, valid, ["url"], "inner").select("ord", "url", F.struct("s", "p").alias("at"))
+    open_groups = left2.select(F.col("item_key").alias("group_key")).distinct()
+    group_pages = group_values.filter(F.col("field") == "urls").join(open_groups, "group_key", "left_semi").select(
+        "group_key", F.col("value").alias("page"), "first_ord", "first_pos"
+    )
+    own_pages = left2.select(
+        "ord", "doi", F.posexplode(F.array(F.col("url"), urls.fill(urls.DOI_PAGE, F.col("doi")))).alias("n", "page")
+    )
+    all_pages = group_pages.select(F.col("page").alias("url")).unionByName(own_pages.select(F.col("page").alias("url")))
+    links = document_links(_readable(fetched).join(all_pages.distinct(), "url", "left_semi")).select(
+        F.col("url").alias("page"), F.col("link").alias("url"), "pos"
+    )
+    good_links = materialise(lookup_join(links, valid, ["url"], "inner").drop("ok"), "evidence-links")
+    on_group = _first_by_rule(
+        lookup_join(group_pages, good_links, ["page"], "inner"), F.struct("first_ord", "first_pos", "pos")
+    )
+    on_own = lookup_join(own_pages, good_links, ["page"], "inner").filter(
+        ~urls.skip_candidate(F.col("url"), F.col("doi"))
+    )
+    stage = lambda s, p: F.struct(F.lit(s).alias("s"), p.cast("bigint").alias("p")).alias("at")
+    discovered = (
+        looked.unionByName(_per_item(left2, on_group).select("ord", "url", stage(2, F.lit(0))))
+        .unionByName(on_own.select("ord", "url", stage(3, F.col("n") * F.lit(1 << 32) + F.col("pos"))))
+        .groupBy("ord")
+        .agg(F.min_by("url", "at").alias("url"))
     )
+    found2 = materialise(row(discovered, 2, "downloaded_pdf", "url"), "evidence-discovered")
     left3 = left2.join(found2.select("ord"), "ord", "left_anti")
 
-    texts = snapshot_texts(left3, group_values, verification, fetched)
-    found3 = materialise(row(texts, 3, "generated_text_snapshot_pdf", "source_url", "kind"), "evidence-texts")
+    pages = choose_snapshot_page(left3, group_values, verification, fetched)
+    found3 = materialise(row(pages, 3, "generated_text_snapshot_pdf", "source_url", "kind"), "evidence-texts")
     left4 = left3.join(found3.select("ord"), "ord", "left_anti")
 
-    kinds = snapshot_kinds(metadata_snapshot(left4, group_values, doi_lookup)).join(left4.select("ord", "url"), "ord")
+    kinds = snapshot_kinds(left4, group_values, doi_lookup)
     kinds = kinds.withColumn("url", F.when(F.col("kind") == "citation_snapshot", F.col("url")).otherwise(F.col("kind")))
     found4 = row(kinds, 4, "generated_metadata_snapshot_pdf", "url", "kind")
 
