@@ -291,6 +291,25 @@ def fulltext_xml_links(body: Column, verification_url: Column) -> Column:
     return distinct_ws(non_null(F.concat(F.coalesce(absolute, F.expr("cast(array() as array<string>)")), own)))
 
 
+def fulltext_candidates(outcomes: DataFrame, fetched: DataFrame) -> DataFrame:
+    """PDF addresses named in the full-text XML that verified a paper: ``(canonical_id, url, at)`` rows to add.
+
+    Only bodies of verifying addresses are read, once each.
+    """
+    verified = outcomes.filter(
+        F.col("document_verification_kind").isin("europe_pmc_fulltext_xml", "pmc_efetch_xml")
+    ).select("canonical_id", F.col("document_verification_url").alias("page"))
+    bodies = fetched.withColumn("page", F.coalesce(F.nullif("final_url", F.lit("")), "url")).join(
+        verified.select("page").distinct(), "page", "left_semi"
+    )
+    links = bodies.groupBy("page").agg(F.min_by("body", "url").alias("body")).select(
+        "page", F.posexplode(fulltext_xml_links(F.col("body"), F.col("page"))).alias("pos", "url")
+    )
+    return lookup_join(verified, links, ["page"], "inner").select(
+        "canonical_id", "url", _at(5, F.lit(0), F.col("pos")).alias("at")
+    )
+
+
 def local_file_candidates(papers: DataFrame, values: DataFrame, records: DataFrame) -> DataFrame:
     """Candidates when a paper's document is fetched again: all known addresses that look like a PDF."""
     zero = F.lit(0)

@@ -143,6 +143,36 @@ def metadata_mentions(
     )
 
 
+def merge_publications(publications: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Merge of publication rows of one source by ``paper_id``, in ``ord`` order.
+
+    Returns the scalar fields (first filled DOI, key and record address win) and the ordered distinct
+    values of ``source_pids``, ``members`` and ``ee_urls`` as rows, exactly as they were given.
+    """
+    scalars = publications.groupBy("paper_id").agg(
+        _first_filled("doi").alias("doi"),
+        _first_filled("dblp_key").alias("dblp_key"),
+        _first_filled("dblp_record_url").alias("dblp_record_url"),
+        F.min_by("title", "ord").alias("title"),
+    )
+
+    def rows(field: str) -> Column:
+        return F.transform(
+            or_empty(F.col(field)),
+            lambda v, i: F.struct(F.lit(field).alias("field"), i.cast("bigint").alias("pos"), v.alias("value")),
+        )
+
+    listed = publications.select(
+        "paper_id", "ord", F.explode(F.concat(rows("source_pids"), rows("members"), rows("ee_urls"))).alias("v")
+    )
+    firsts = listed.groupBy("paper_id", F.col("v.field").alias("field"), F.col("v.value").alias("value")).agg(
+        F.min(F.struct("ord", F.col("v.pos").alias("pos"))).alias("at")
+    )
+    return scalars, firsts.select(
+        "paper_id", "field", "value", F.col("at.ord").alias("first_ord"), F.col("at.pos").alias("first_pos")
+    )
+
+
 def flag_papers(papers: DataFrame, mentions: DataFrame) -> DataFrame:
     """Adds ``award_mentioned_in_metadata``."""
     flagged = mentions.select("canonical_id").distinct().withColumn("_hit", F.lit(True))

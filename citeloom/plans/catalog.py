@@ -573,6 +573,36 @@ def local_file_candidates(spark, sf_dir):
     return candidates.local_file_candidates(papers, values, records).select("canonical_id", "url", "at.stage")
 
 
+@query
+def fulltext_links(spark, sf_dir):
+    """PDF addresses named in full-text XML made of the documents."""
+    docs = stand_ins.documents(spark, sf_dir)
+    xml = docs.selectExpr(
+        "concat('https://r.example/PMC', doc_id, '/xml') AS url", "cast(NULL AS string) AS final_url", "doc_id",
+        "concat('<article><self-uri xlink:href=\"/f', doc_id, '.pdf\"/><self-uri xlink:href=\"https://e.org/', doc_id, "
+        "'.PDF?x\"/><self-uri xlink:href=\"page.html\"/>', line1, '</article>') AS body",
+    )
+    outcomes = docs.selectExpr(
+        "concat('p', doc_id) AS canonical_id", "concat('https://r.example/PMC', doc_id, '/xml') AS document_verification_url",
+        "CASE WHEN n_chars % 2 = 0 THEN 'pmc_efetch_xml' ELSE 'pdf' END AS document_verification_kind",
+    )
+    return candidates.fulltext_candidates(outcomes, xml).select("canonical_id", "url", F.col("at.b").alias("pos"))
+
+
+@query
+def publication_merge(spark, sf_dir):
+    """List fields of publication rows merged by their title."""
+    rows = source_records(spark, sf_dir).select(
+        F.md5("title").alias("paper_id"), "ord", "title", "doi", F.col("source_id").alias("dblp_key"),
+        F.col("landing_page_url").alias("dblp_record_url"), F.array("source").alias("source_pids"),
+        F.array("member_name").alias("members"), F.array_compact(F.array("landing_page_url", "pdf_url")).alias("ee_urls"),
+    )
+    scalars, values = merge.merge_publications(rows)
+    return values.join(scalars, "paper_id").select(
+        "paper_id", "field", "value", "first_ord", "first_pos", "doi", "dblp_key", "dblp_record_url"
+    )
+
+
 @query
 def retrieval_errors(spark, sf_dir):
     """Why a response is not a usable document."""

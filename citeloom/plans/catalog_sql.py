@@ -979,3 +979,20 @@ SQL["state_upsert_stream"] = (
     "'batch-1' AS last_seen_at FROM diff"
 )
 SQL["event_first_seen_stream"] = "SELECT DISTINCT user_id || '-' || event_type AS key FROM events"
+
+# --- links of full texts, publication rows --------------------------------------------------------------------
+
+SQL["fulltext_links"] = (
+    "WITH p AS (SELECT doc_id, 'https://pmc.ncbi.nlm.nih.gov/articles/PMC' || doc_id AS base FROM documents WHERE n_chars % 2 = 0), "
+    "l AS (SELECT doc_id, [base || '/bin/f' || doc_id || '.pdf', 'https://e.org/' || doc_id || '.PDF?x', base || '/pdf/'] AS urls FROM p) "
+    "SELECT 'p' || doc_id AS canonical_id, unnest(urls) AS url, CAST(generate_subscripts(urls, 1) - 1 AS BIGINT) AS pos FROM l"
+)
+SQL["publication_merge"] = (
+    f"WITH {RECORDS}, p AS (SELECT r.*, md5(d.line1) AS paper_id FROM records r JOIN docs d ON d.doc_id = r.ord), "
+    "s AS (SELECT paper_id, first(doi ORDER BY ord) FILTER (WHERE doi <> '') AS doi, first(source_id ORDER BY ord) AS dblp_key, "
+    "first(landing_page_url ORDER BY ord) AS dblp_record_url FROM p GROUP BY 1), "
+    "v AS (SELECT paper_id, ord, 'source_pids' AS field, 0 AS pos, source AS value FROM p UNION ALL SELECT paper_id, ord, 'members', 0, member_name FROM p "
+    "UNION ALL SELECT paper_id, ord, 'ee_urls', 0, landing_page_url FROM p UNION ALL SELECT paper_id, ord, 'ee_urls', 1, pdf_url FROM p WHERE pdf_url IS NOT NULL) "
+    "SELECT paper_id, field, value, min(ord) AS first_ord, CAST(first(pos ORDER BY ord, pos) AS BIGINT) AS first_pos, "
+    "first(doi) AS doi, first(dblp_key) AS dblp_key, first(dblp_record_url) AS dblp_record_url FROM v JOIN s USING (paper_id) GROUP BY paper_id, field, value"
+)

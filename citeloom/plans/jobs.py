@@ -171,6 +171,7 @@ def collection_run(spark: SparkSession, inputs: RunInputs, params: RunParams, ba
             "scan_outcomes",
         )
         counters = docscan.scan_counters(outcomes)
+        save(candidates.fulltext_candidates(outcomes, inputs.fetched), "fulltext_candidates")
         final = docscan.apply_outcomes(diffed, outcomes)
     final = save(final, "papers")
 
