@@ -865,8 +865,9 @@ _PIECES = (
     "lambda p : regexp_replace(regexp_replace(p, '^\\s+', ''), '\\s+$', '')), lambda p : p <> '')"
 )
 _DECODED = (
-    f"replace(replace(replace(replace(replace(replace(array_to_string({_PIECES}, ' '), '&middot;', '·'), '&copy;', '©'), '&quot;', '\"'), "
-    "'&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+    # Cut-off pages end in entities without their semicolon, which still count.
+    f"regexp_replace(replace(replace(replace(replace(replace(array_to_string({_PIECES}, ' '), '&middot;', '·'), '&copy;', '©'), '&quot;', '\"'), "
+    "'&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g')"
 )
 SQL["page_text"] = f"SELECT page_id, md5({_DECODED}) AS text_md5 FROM pages"
 SQL["page_text_expression"] = SQL["page_text"]

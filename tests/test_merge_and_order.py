@@ -122,3 +122,20 @@ def test_unique_names_equal_the_sequential_rule(spark, stems):
     df = spark.createDataFrame(rows, "stem STRING, ord BIGINT")
     got = {r["ord"]: r["name"] for r in naming.unique_names(df, block_rows=10).collect()}
     assert got == plain_names(rows)
+
+
+def test_salted_lookup_join_equals_the_plain_one(spark):
+    from citeloom.operators.joins import lookup_join
+
+    many = spark.createDataFrame([("hot" if i % 3 else f"k{i % 7}", i) for i in range(200)], "k STRING, i INT")
+    one = spark.createDataFrame([("hot", "x"), ("hot", "y"), ("k1", "z"), ("unused", "q")], "k STRING, v STRING")
+    for how in ("left", "inner"):
+        plain = lookup_join(many, one, ["k"], how)
+        assert cells(lookup_join(many, one, ["k"], how, salts=8), "k", "i", "v") == cells(plain, "k", "i", "v")
+
+
+def test_merge_folds_combine_before_the_shuffle(spark):
+    keyed = merge.with_canonical_id(_records(spark, ROWS))
+    for step, partial in ((merge.merge_papers, "partial_max_by"), (merge.merge_values, "partial_min")):
+        plan = step(keyed)._jdf.queryExecution().executedPlan().toString()
+        assert partial in plan and "collect_list" not in plan
