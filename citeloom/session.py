@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
-import tempfile
+import re
+import shutil
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,17 +46,20 @@ def local_session(app: str = "citeloom", cpus: str | int = "*", shuffle_partitio
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: ``spark.checkpoint.dir`` where the cluster names one.
+    """The shared folder for intermediate tables, which the cluster names in ``spark.checkpoint.dir``.
 
-    Only where it is unset (tests on one machine) is a temporary folder used, so that a lost
-    executor never takes intermediate data with it on a cluster.
+    A session on one machine (master ``local``) that names none gets a folder of its own, as in tests. On
+    a cluster a missing setting is an error: a folder of one machine would lose data with its executor.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    local = tempfile.mkdtemp(prefix="citeloom-scratch-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    own = Path(os.environ.get("CITELOOM_SCRATCH", "/tmp")) / f"citeloom-{spark.sparkContext.applicationId}"
+    spark.conf.set("spark.checkpoint.dir", own.as_uri())
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    return own.as_uri()
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

@@ -6,7 +6,7 @@ from conftest import SMALL
 import __spark_entry__ as entry
 from oracle import compare, connect
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = entry.catalog.REGISTRY, entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
