@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import line_dedup, mixing, simhash
+from citeloom.llm import decontaminate, language, line_dedup, mixing, simhash
 from citeloom.llm.common import table
 
 
@@ -15,18 +15,37 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain benchmark items."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of each document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document, from its text, declared language and source."""
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(language.document_rows(docs), language.fit(docs), "doc_id")
+
+
+def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each page, from its text, declared markup language, address suffix and host."""
+    model = language.fit(table(spark, sf_dir, "documents"))
+    return language.identify(language.page_rows(table(spark, sf_dir, "pages")), model, "page_id")
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from each document."""
     mixed = mixing.taken_words(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-REGISTRY = {f.__name__: f for f in (op2_line_dedup, op6_simhash_near_dedup, op10_source_mix)}
+REGISTRY = {f.__name__: f for f in (
+    op2_line_dedup, op4_decontamination, op6_simhash_near_dedup, op8_language_id, page_languages, op10_source_mix,
+)}
 
 _BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -42,6 +61,19 @@ SQL = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
         FROM m GROUP BY doc_id
     """,
+    "op4_decontamination": """
+        WITH w AS (SELECT doc_id, [x FOR x IN regexp_split_to_array(lower(coalesce(text, '')), '[^\\pL\\pN]+') IF x <> ''] AS ws FROM documents),
+        v AS (SELECT item_id, [x FOR x IN regexp_split_to_array(lower(coalesce(text, '')), '[^\\pL\\pN]+') IF x <> ''] AS ws FROM benchmark),
+        i AS (SELECT DISTINCT item_id, least(5, len(ws)) AS n,
+                     unnest([array_to_string(ws[k : k + least(5, len(ws)) - 1], ' ') FOR k IN range(1, len(ws) - least(5, len(ws)) + 2)]) AS s
+              FROM v WHERE len(ws) > 0),
+        d AS (SELECT DISTINCT doc_id, n, unnest([array_to_string(ws[k : k + n - 1], ' ') FOR k IN range(1, len(ws) - n + 2)]) AS s
+              FROM w, (SELECT DISTINCT n FROM i) WHERE len(ws) >= n),
+        c AS (SELECT item_id, count(*) AS n_shingles FROM i GROUP BY item_id),
+        f AS (SELECT doc_id, item_id, count(*) AS n_found FROM i JOIN d USING (n, s) GROUP BY ALL)
+        SELECT doc_id, item_id, n_shingles, n_found, n_found / n_shingles AS containment
+        FROM f JOIN c USING (item_id) WHERE n_found >= ceil(0.8 * n_shingles - 1e-9)
+    """,
     "op10_source_mix": """
         WITH d AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,

@@ -268,13 +268,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` without near-duplicates: the document with the smallest id of each component stays.
 
-    Rows that repeat this id stay once. The rest is as in ``near_duplicates``.
+    Rows that repeat this id stay once, and rows without an id stay. The rest is as in ``near_duplicates``.
     """
-    groups = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(groups, "doc_id", "left_semi")
-    return kept.select(docs.columns).dropDuplicates(["doc_id"]) if _has_repeats(kept) else kept.select(docs.columns)
-
-
-def _has_repeats(docs: DataFrame) -> bool:
-    """Whether an id occurs twice; only then a shuffle of whole rows is paid for."""
-    return not docs.groupBy("doc_id").count().where("count > 1").isEmpty()
+    groups = materialise(near_duplicates(docs), "near-duplicates")
+    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    repeated = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id"])  # only repeats cost a shuffle of texts
