@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import decontaminate, language, line_dedup, mixing, simhash
+from citeloom.llm import decontaminate, language, line_dedup, mixing, pii, secrets, simhash, topk
 from citeloom.llm.common import table
 
 
@@ -15,11 +15,22 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in each document."""
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain benchmark items."""
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in each document."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.scan(docs, pii.fit(docs))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of each document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -37,6 +48,12 @@ def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(language.page_rows(table(spark, sf_dir, "pages")), model, "page_id")
 
 
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth vector."""
+    vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return topk.top_k(vectors, topk.query_every(vectors, 100), k=10)
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from each document."""
     mixed = mixing.taken_words(table(spark, sf_dir, "documents"))
@@ -44,7 +61,8 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (
-    op2_line_dedup, op4_decontamination, op6_simhash_near_dedup, op8_language_id, page_languages, op10_source_mix,
+    op2_line_dedup, op3_secret_scan, op4_decontamination, op5_pii, op6_simhash_near_dedup,
+    op8_language_id, page_languages, op9_top_k, op10_source_mix,
 )}
 
 _BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -74,6 +92,14 @@ SQL = {
         SELECT doc_id, item_id, n_shingles, n_found, n_found / n_shingles AS containment
         FROM f JOIN c USING (item_id) WHERE n_found >= ceil(0.8 * n_shingles - 1e-9)
     """,
+    "op9_top_k": """
+        WITH v AS (SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+                   WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([z[1] * z[2] FOR z IN list_zip(q.v, c.v)]) AS BIGINT) AS score
+              FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+    """,
     "op10_source_mix": """
         WITH d AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
