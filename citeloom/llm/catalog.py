@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import decontaminate, language, line_dedup, mixing, pii, secrets, simhash, topk
+from citeloom.llm import decontaminate, html_content, language, line_dedup, mixing, pii, quality, secrets, simhash, topk
 from citeloom.llm.common import table
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page."""
+    return html_content.main_text(table(spark, sf_dir, "pages"), html_content.fit())
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines dropped from each document, and the digest of what is kept."""
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10)
@@ -36,6 +41,12 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of each document."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, *quality.fit(docs))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of each document, from its text, declared language and source."""
     docs = table(spark, sf_dir, "documents")
@@ -61,8 +72,8 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (
-    op2_line_dedup, op3_secret_scan, op4_decontamination, op5_pii, op6_simhash_near_dedup,
-    op8_language_id, page_languages, op9_top_k, op10_source_mix,
+    op1_html_extraction, op2_line_dedup, op3_secret_scan, op4_decontamination, op5_pii, op6_simhash_near_dedup,
+    op7_quality, op8_language_id, page_languages, op9_top_k, op10_source_mix,
 )}
 
 _BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
