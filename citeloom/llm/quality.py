@@ -38,7 +38,7 @@ for _i in range(128):
 @dataclass(frozen=True)
 class WeakModel:
     """Latent classes: one kind of bad documents per labeller, and the good ones last. ``prior`` has their shares, ``says``
-    (labeller x class x vote) what labellers say of them."""
+    (labeller x class x vote) what labellers say of them when they vote. Silence says nothing: it weighs 1 in all classes."""
 
     prior: np.ndarray
     says: np.ndarray
@@ -56,8 +56,7 @@ class WeakModel:
     def accuracies(self) -> np.ndarray:
         """Share of each labeller's votes that are right."""
         joint = self.says * self.prior[None, :, None]
-        right = joint[:, -1, GOOD] + joint[:, :-1, BAD].sum(axis=1)
-        return right / joint[:, :, [GOOD, BAD]].sum(axis=(1, 2))
+        return joint[:, -1, GOOD] + joint[:, :-1, BAD].sum(axis=1)
 
 
 @dataclass(frozen=True)
@@ -125,14 +124,14 @@ def fit_weak(patterns: np.ndarray, counts: np.ndarray, rounds: int = EM_ROUNDS)
     bad = patterns == BAD
     p = np.concatenate([bad * 0.95 / np.maximum(1, bad.sum(axis=1, keepdims=True)), np.where(bad.any(axis=1), 0.05, 0.95)[:, None]], axis=1) + 0.001
     p /= p.sum(axis=1, keepdims=True)
-    model = WeakModel(np.full(labellers + 1, 1 / (labellers + 1)), np.full((labellers, labellers + 1, 3), 1 / 3))
+    model = WeakModel(np.full(labellers + 1, 1 / (labellers + 1)), np.ones((labellers, labellers + 1, 3)))
     for _ in range(rounds):
         weighted = p * counts[:, None].astype(float)
-        says = np.stack([(patterns == v).T.astype(float) @ weighted for v in range(3)], axis=2) + 0.05
+        says = np.stack([(patterns == v).T.astype(float) @ weighted for v in (BAD, GOOD)], axis=2) + 0.05
         says /= says.sum(axis=2, keepdims=True)
-        excess = np.maximum(says[:, -1, BAD] - FALSE_ALARM, 0)
-        says[:, -1, BAD] -= excess
-        says[:, -1, SILENT] += excess
+        says[:, -1, BAD] = np.minimum(says[:, -1, BAD], FALSE_ALARM)
+        says[:, -1, GOOD] = 1 - says[:, -1, BAD]
+        says = np.concatenate([says, np.ones_like(says[:, :, :1])], axis=2)
         prior = weighted.sum(axis=0) + 0.5
         model = WeakModel(prior / prior.sum(), says)
         p = model.shares(patterns)
