@@ -114,21 +114,26 @@ def pmcids(values: Column) -> Column:
 
 
 def stable_id(prefix: str, title: Column, year: Column) -> Column:
-    """Sixteen hex digits of a SHA-1 over prefix, year and lower-cased title."""
+    """SHA-1 over prefix, year and lower-cased title, in hex digits."""
     year_part = F.coalesce(null_if(year, 0).cast("string"), F.lit("na"))
     seed = F.concat(F.lit(f"{prefix}|"), year_part, F.lit("|"), F.lower(title))
-    return F.concat(F.lit(f"{prefix}:"), F.substring(F.sha1(seed.cast("binary")), 1, 16))
+    return F.concat(F.lit(f"{prefix}:"), F.sha1(seed.cast("binary")))
 
 
 def slug(c: Column) -> Column:
     return F.btrim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", "-"), F.lit("-"))
 
 
+def _head(title: Column) -> Column:
+    """The readable part of an id, which a digest follows."""
+    return F.substring(slug(title), 1, 40)
+
+
 def author_title_id(title: Column, authors: Column, year: Column) -> Column:
-    """Readable fallback id: year, title slug and the first three authors, at most 240 characters."""
-    head = F.lower(F.array_join(F.slice(authors, 1, 3), "_"))
+    """Fallback id: year, the head of the title slug, and a digest of title and all authors."""
+    seed = F.concat_ws("|", F.lower(title), F.lower(F.array_join(authors, "_")))
     year_part = F.coalesce(null_if(year, 0).cast("string"), F.lit("na"))
-    return F.substring(F.concat(F.lit("fallback:"), year_part, F.lit(":"), slug(title), F.lit(":"), head), 1, 240)
+    return F.concat(F.lit("fallback:"), year_part, F.lit(":"), _head(title), F.lit(":"), F.sha1(seed.cast("binary")))
 
 
 def dblp_id(doi: Column, key: Column, title: Column, authors: Column, year: Column) -> Column:
@@ -150,7 +155,7 @@ def openalex_id(doi: Column, work_id: Column, title: Column) -> Column:
     return F.coalesce(
         F.concat(F.lit("doi:"), F.lower(null_if(doi, ""))),
         F.when(work_id != "", F.concat(F.lit("openalex:"), openalex_short_id(work_id))),
-        F.concat(F.lit("openalex:"), F.substring(slug(title), 1, 120)),
+        F.concat(F.lit("openalex:"), _head(title), F.lit(":"), F.sha1(F.lower(title).cast("binary"))),
     )
 
 

@@ -67,12 +67,12 @@ def is_preprint_doi(c: Column) -> Column:
 
 
 def skip_candidate(url: Column, doi: Column) -> Column:
-    """Supplementary files, arXiv copies of papers that are not preprints, and links holding ``none``."""
+    """Supplementary files, arXiv copies of papers that are not preprints, and the text of a missing link."""
     lowered = F.lower(url)
     return (
         is_supplement(url)
         | (~is_preprint_doi(doi) & lowered.contains("arxiv.org/pdf/"))
-        | lowered.contains("none")
+        | (F.trim(lowered) == "none")
     )
 
 

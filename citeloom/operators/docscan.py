@@ -18,30 +18,27 @@ from citeloom.operators.joins import lookup_join
 from citeloom.operators.order import top_n_per_key
 from citeloom.session import materialise
 
-NOT_LANDED = "No response landed for this address"
-NO_TEXT = "No extractable PDF text"
-NO_FULL_TEXT = "No searchable full-text content"
-NO_CANDIDATES = "No PDF candidates"
+NOT_LANDED = "nothing landed"
+NO_TEXT = "document without text"
+NO_FULL_TEXT = "full text without content"
+NO_CANDIDATES = "no candidate address"
 
 
-def retrieval_error(max_mb: int) -> Column:
-    """First reason why a response is not a usable PDF, or NULL. Works on the columns of ``fetched``."""
+def retrieval_error(max_mb: int | None = None) -> Column:
+    """First reason why a response is not a usable PDF, or NULL. Works on the columns of ``fetched``; no size is too large by default."""
     body = F.col("body")
     kind = F.lower(F.coalesce("content_type", F.lit("")))
     # The reported content type is the text "None" when the response had none.
     shown = F.coalesce("content_type", F.lit("None"))
-    return (
+    bad = (
         F.when(F.col("error") != "", F.col("error"))
-        .when(F.col("status_code") >= 400, F.concat(F.lit("HTTP "), F.col("status_code").cast("string")))
-        .when(F.coalesce(F.octet_length(body), F.lit(0)) == 0, F.lit("Empty body"))
-        .when(
-            F.octet_length(body) > max_mb * 1024 * 1024,
-            F.lit(f"PDF exceeds configured max size ({max_mb} MB)"),
-        )
-        .when(
-            ~(body.startswith("%PDF") | kind.contains("application/pdf")),
-            F.concat(F.lit("Response is not a PDF (content-type="), shown, F.lit(")")),
-        )
+        .when(F.col("status_code") >= 400, F.concat(F.lit("status "), F.col("status_code").cast("string")))
+        .when(F.coalesce(F.octet_length(body), F.lit(0)) == 0, F.lit("no body"))
+    )
+    if max_mb is not None:
+        bad = bad.when(F.octet_length(body) > max_mb * 1024 * 1024, F.lit(f"larger than {max_mb} MB"))
+    return bad.when(
+        ~(body.startswith("%PDF") | kind.contains("application/pdf")), F.concat(F.lit("no PDF but "), shown)
     )
 
 
@@ -53,10 +50,10 @@ def classify_error(c: Column) -> Column:
     return (
         F.when(
             compact.contains("SSLEOFError") | compact.contains("SSL_connect"),
-            F.lit("TLS handshake failed through proxy for this source endpoint."),
+            F.lit("TLS broke off behind the proxy"),
         )
-        .when(compact.contains("ProxyError"), F.lit("Proxy connection failed for this source endpoint."))
-        .when(compact == "", F.lit("Unknown source error"))
+        .when(compact.contains("ProxyError"), F.lit("proxy not reached"))
+        .when(compact == "", F.lit("no error text"))
         .otherwise(clip(compact, 240))
     )
 
@@ -65,7 +62,7 @@ def _needed(fetched: DataFrame, candidates: DataFrame) -> DataFrame:
     return fetched.join(candidates.select("url").distinct(), "url", "left_semi")
 
 
-def pdf_outcomes(fetched: DataFrame, candidates: DataFrame, spec: ScanSpec, max_mb: int) -> DataFrame:
+def pdf_outcomes(fetched: DataFrame, candidates: DataFrame, spec: ScanSpec, max_mb: int | None = None) -> DataFrame:
     """One row per needed address: ``(url, error, downloaded, extracted, mentions, context)``."""
     text = F.nullif(F.col("document_text"), F.lit(""))
     judged = _needed(fetched, candidates).select("url", retrieval_error(max_mb).alias("bad"), text.alias("text"))
@@ -87,7 +84,7 @@ def text_outcomes(fetched: DataFrame, candidates: DataFrame, spec: ScanSpec) ->
         "url",
         F.coalesce(F.nullif("final_url", F.lit("")), "url").alias("final_url"),
         F.when(F.col("error") != "", F.col("error"))
-        .when(F.col("status_code") >= 400, F.concat(F.lit("HTTP "), F.col("status_code").cast("string")))
+        .when(F.col("status_code") >= 400, F.concat(F.lit("status "), F.col("status_code").cast("string")))
         .alias("bad"),
         searchable_text(F.col("body"), F.col("content_type")).alias("text"),
     )
@@ -113,17 +110,17 @@ def scan_documents(
     text_candidates: DataFrame,
     fetched: DataFrame,
     spec: ScanSpec,
-    max_candidates: int = 3,
-    max_mb: int = 30,
+    max_candidates: int | None = None,
+    max_mb: int | None = None,
 ) -> DataFrame:
     """Outcome of every paper: status and evidence.
 
-    ``papers`` needs ``canonical_id`` and ``already_mentioned`` (a cached document hit). The first
-    ``max_candidates`` addresses of a paper count, which is a configured feature of the scan. Status is
+    ``papers`` needs ``canonical_id`` and ``already_mentioned`` (a cached document hit). All addresses of a
+    paper count; a caller may ask for the first ``max_candidates`` and for documents up to ``max_mb`` only. Status is
     mention, download_fail, extract_fail, no_pdf or scanned_clear, in this precedence.
     """
     of_scan = pdf_candidates.join(papers.select("canonical_id"), "canonical_id", "left_semi")
-    chosen = top_n_per_key(of_scan, ["canonical_id"], [F.col("at")], max_candidates)
+    chosen = of_scan if max_candidates is None else top_n_per_key(of_scan, ["canonical_id"], [F.col("at")], max_candidates)
     tried = lookup_join(chosen, pdf_outcomes(fetched, chosen, spec, max_mb), ["url"], "left").select(
         "canonical_id",
         "at",

@@ -21,7 +21,7 @@ from citeloom.operators.docscan import retrieval_error
 from citeloom.operators.joins import lookup_join
 from citeloom.session import materialise
 
-# What makes a text too poor for a snapshot, and the notes shown with one.
+# What makes a text too poor for a snapshot.
 MIN_SNAPSHOT_CHARS = 400
 BAD_MARKERS = [
     "preparing to download",
@@ -33,22 +33,10 @@ BAD_MARKERS = [
 ]
 TEXT_KINDS = ["landing_page_text", "manifest_url", "doi_landing_page"]
 METADATA_KINDS = ["canonical_record_abstract", "crossref_metadata", "openalex_metadata", "datacite_metadata"]
-TEXT_NOTE = (
-    "Generated from accessible article text because the source PDF was unavailable through the current "
-    "proxy/download path."
-)
-METADATA_NOTE = (
-    "Generated from accessible abstract and citation metadata because the source PDF was unavailable "
-    "through the current proxy/download path."
-)
-CITATION_NOTE = (
-    "Generated from citation metadata because the source PDF was unavailable through the current "
-    "proxy/download path."
-)
-NO_FULL_TEXT_LINE = (
-    "No full-text PDF could be downloaded through the configured network path. "
-    "This snapshot preserves the resolved citation metadata for final result packaging."
-)
+TEXT_NOTE = "made from article text; no PDF has landed"
+METADATA_NOTE = "made from abstract and metadata; no PDF has landed"
+CITATION_NOTE = "made from the citation; no PDF has landed"
+NO_FULL_TEXT_LINE = "Neither full text nor an abstract has landed; the citation stands for the paper."
 
 
 def usable_text(c: Column) -> Column:
@@ -231,7 +219,7 @@ def discovered_candidates(
     return firsts.join(direct.select("ord", "url"), ["ord", "url"], "left_anti")
 
 
-def _valid_documents(fetched: DataFrame, max_mb: int) -> DataFrame:
+def _valid_documents(fetched: DataFrame, max_mb: int | None) -> DataFrame:
     return fetched.filter(retrieval_error(max_mb).isNull()).select("url").withColumn("ok", F.lit(True))
 
 
@@ -361,7 +349,7 @@ def metadata_snapshot(items: DataFrame, group_values: DataFrame, doi_lookup: Dat
                 F.struct(F.lit("Title").alias("label"), F.col("title").alias("text")),
                 F.struct(F.lit("Authors").alias("label"), F.array_join("authors", ", ").alias("text")),
                 F.struct(F.lit("Member Authors").alias("label"), F.array_join("member_authors", ", ").alias("text")),
-                F.struct(F.lit("Primary Link").alias("label"), F.col("url").alias("text")),
+                F.struct(F.lit("Address").alias("label"), F.col("url").alias("text")),
                 F.struct(F.lit("DOI").alias("label"), F.col("doi").alias("text")),
             )
         ).alias("section", "e"),
@@ -436,9 +424,9 @@ def metadata_snapshot(items: DataFrame, group_values: DataFrame, doi_lookup: Dat
         F.lit(NO_FULL_TEXT_LINE).alias("text"),
     )
     parts = [
-        _values_line(items, group_values, "canonical_ids", 5, "Matched Canonical IDs"),
-        _values_line(items, group_values, "urls", 6, "Known URLs"),
-        _values_line(items, group_values, "pdf_urls", 7, "Known PDF Candidates"),
+        _values_line(items, group_values, "canonical_ids", 5, "Paper ids"),
+        _values_line(items, group_values, "urls", 6, "Addresses"),
+        _values_line(items, group_values, "pdf_urls", 7, "Document addresses"),
         meta,
         abstracts,
         without,
@@ -486,7 +474,7 @@ def best_evidence(
     doi_lookup: DataFrame,
     fetched: DataFrame,
     local_files: DataFrame,
-    max_mb: int = 30,
+    max_mb: int | None = None,
 ) -> DataFrame:
     """One evidence row per item: existing file, direct document, discovered document, text or metadata.
 

@@ -646,7 +646,12 @@ def _curation_inputs(spark, sf_dir):
     sources = merge.nest_values(merge.merge_values(keyed), ["sources"])
     papers = merge.merge_papers(keyed).join(sources, "canonical_id").withColumn("ord", F.col("first_ord"))
     papers = materialise(papers, "papers")
-    items = source_records(spark, sf_dir).select("ord", "title", F.upper("doi").alias("doi"))
+    listed = source_records(spark, sf_dir).select("ord", "title", F.upper("doi").alias("doi"))
+    # Candidates that no paper matches, with and without a DOI.
+    unknown = listed.where("ord % 10 = 3").selectExpr(
+        "ord + 1000000000 AS ord", "concat('Unlisted ', ord) AS title", "if(ord % 20 = 3, NULL, concat('10.9999/UNLISTED.', ord)) AS doi"
+    )
+    items = listed.unionByName(unknown)
     good = table(spark, sf_dir, "labels").filter("quality = 1").select(F.col("doc_id").alias("ord"))
     return items, items.join(good, "ord", "left_semi"), papers
 

@@ -261,7 +261,7 @@ _GIVEN = _GIVEN.format(test1=_given_test(1), test2=_given_test(2))
 
 def stable(prefix: str) -> str:
     return (
-        f"'{prefix}:' || substr(sha1('{prefix}|' || coalesce(CAST(year AS VARCHAR), 'na') || '|' || lower(title)), 1, 16)"
+        f"'{prefix}:' || sha1('{prefix}|' || coalesce(CAST(year AS VARCHAR), 'na') || '|' || lower(title))"
     )
 
 
@@ -305,7 +305,6 @@ def source(
         f"{published} AS published_date, {venue} AS venue, doi, array_to_string(authors, '; ') AS authors, "
         f"md5({abstract}) AS abstract_md5, {landing} AS landing_page_url, {pdf} AS pdf_url, "
         f"CAST({score} AS DOUBLE) AS relevance_score FROM f "
-        "QUALIFY row_number() OVER (PARTITION BY member_name ORDER BY doc_id, item) <= 300"
     )
 
 
@@ -654,17 +653,17 @@ FETCHED = (
     "CASE WHEN n_chars % 19 = 0 THEN 'read timed out' END AS error, CASE WHEN kind = 'pdf' AND n_chars % 4 <> 0 THEN text END AS document_text, "
     "regexp_replace(regexp_replace(text, '^\\s+', ''), '\\s+$', '') AS page_text FROM addr WHERE url IS NOT NULL "
     "QUALIFY row_number() OVER (PARTITION BY url ORDER BY ord) = 1), "
-    "judged AS (SELECT *, CASE WHEN error IS NOT NULL THEN error WHEN status_code >= 400 THEN 'HTTP ' || status_code "
-    "WHEN is_pdf IS NOT TRUE THEN 'Response is not a PDF (content-type=' || content_type || ')' END AS bad, "
-    "CASE WHEN error IS NOT NULL THEN error WHEN status_code >= 400 THEN 'HTTP ' || status_code END AS page_bad FROM fetched)"
+    "judged AS (SELECT *, CASE WHEN error IS NOT NULL THEN error WHEN status_code >= 400 THEN 'status ' || status_code "
+    "WHEN is_pdf IS NOT TRUE THEN 'no PDF but ' || content_type END AS bad, "
+    "CASE WHEN error IS NOT NULL THEN error WHEN status_code >= 400 THEN 'status ' || status_code END AS page_bad FROM fetched)"
 )
 SQL["retrieval_errors"] = f"WITH {RECORDS}, {FETCHED} SELECT url, bad AS reason FROM judged"
 SQL["error_taxonomy"] = (
     "WITH t AS (SELECT doc_id, CASE WHEN n_chars % 9 = 0 THEN '' ELSE "
     + ws("CASE n_chars % 4 WHEN 0 THEN 'SSLEOFError ' WHEN 1 THEN 'x ProxyError ' ELSE '' END || text")
     + " END AS c FROM documents) SELECT doc_id, CASE WHEN contains(c, 'SSLEOFError') OR contains(c, 'SSL_connect') THEN "
-    "'TLS handshake failed through proxy for this source endpoint.' WHEN contains(c, 'ProxyError') THEN "
-    "'Proxy connection failed for this source endpoint.' WHEN c = '' THEN 'Unknown source error' "
+    "'TLS broke off behind the proxy' WHEN contains(c, 'ProxyError') THEN "
+    "'proxy not reached' WHEN c = '' THEN 'no error text' "
     "WHEN length(c) > 240 THEN substr(c, 1, 237) || '...' ELSE c END AS error FROM t"
 )
 
@@ -679,16 +678,16 @@ SCAN = (
     f"{PAPERS}, {CANDIDATES}, {TEXTS}, {FETCHED}, "
     "tried AS (SELECT c.canonical_id, c.url, row_number() OVER (PARTITION BY c.canonical_id ORDER BY c.o) AS rn FROM cand c), "
     "tr AS (SELECT t.canonical_id, t.url, t.rn, f.url IS NOT NULL AND f.bad IS NULL AS dl, f.url IS NOT NULL AND f.bad IS NULL AND f.document_text IS NOT NULL AS ex, "
-    "CASE WHEN f.url IS NULL THEN 'No response landed for this address' WHEN f.bad IS NOT NULL THEN f.bad WHEN f.document_text IS NULL THEN 'No extractable PDF text' END AS err, "
+    "CASE WHEN f.url IS NULL THEN 'nothing landed' WHEN f.bad IS NOT NULL THEN f.bad WHEN f.document_text IS NULL THEN 'document without text' END AS err, "
     f"f.document_text AS text, CASE WHEN f.bad IS NULL AND f.document_text IS NOT NULL THEN {_mentions('f.document_text')} ELSE [] END AS mentions "
-    "FROM tried t LEFT JOIN judged f USING (url) WHERE t.rn <= 3), "
+    "FROM tried t LEFT JOIN judged f USING (url)), "
     f"trc AS (SELECT *, {context()} AS context FROM tr), "
     "s1 AS (SELECT canonical_id, count(*) AS n, bool_or(dl) AS dl, bool_or(ex) AS ex, first(err ORDER BY rn DESC) FILTER (WHERE err IS NOT NULL) AS err, "
     "first(url ORDER BY rn DESC) FILTER (WHERE dl) AS last_dl, first(url ORDER BY rn) FILTER (WHERE len(mentions) > 0) AS hit_url, "
     "first(array_to_string(mentions, '|') ORDER BY rn) FILTER (WHERE len(mentions) > 0) AS hit_mentions, "
     "first(context ORDER BY rn) FILTER (WHERE len(mentions) > 0) AS hit_context FROM trc GROUP BY 1), "
     "tx AS (SELECT t.canonical_id, t.kind, row_number() OVER (PARTITION BY t.canonical_id ORDER BY t.g, t.first_ord, t.n) AS rn, f.final_url, f.page_text AS text, "
-    "CASE WHEN f.url IS NULL THEN 'No response landed for this address' ELSE f.page_bad END AS err, "
+    "CASE WHEN f.url IS NULL THEN 'nothing landed' ELSE f.page_bad END AS err, "
     f"CASE WHEN f.url IS NOT NULL AND f.page_bad IS NULL THEN {_mentions('f.page_text')} ELSE [] END AS mentions "
     "FROM texts t LEFT JOIN judged f USING (url) WHERE t.canonical_id NOT IN (SELECT canonical_id FROM s1 WHERE hit_url IS NOT NULL)), "
     f"txc AS (SELECT *, {context()} AS context FROM tx), "
@@ -703,7 +702,7 @@ SCAN = (
     "outcome AS (SELECT canonical_id, status, status = 'mention' AS award_mentioned_in_document, coalesce(hit_mentions, tmentions, '') AS document_award_mentions, "
     "CASE WHEN hit_url IS NOT NULL THEN hit_context ELSE tcontext END AS document_award_context, CASE WHEN hit_url IS NOT NULL THEN 'pdf' ELSE tkind END AS document_verification_kind, "
     "coalesce(hit_url, turl) AS document_verification_url, coalesce(hit_url, last_dl) AS document_pdf_url, "
-    "CASE WHEN status IN ('download_fail', 'extract_fail') THEN last_error WHEN status = 'no_pdf' THEN 'No PDF candidates' END AS document_scan_error FROM st)"
+    "CASE WHEN status IN ('download_fail', 'extract_fail') THEN last_error WHEN status = 'no_pdf' THEN 'no candidate address' END AS document_scan_error FROM st)"
 )
 SQL["document_scan"] = f"WITH {SCAN} SELECT * FROM outcome"
 SQL["document_scan_counters"] = (
@@ -715,10 +714,11 @@ SQL["document_scan_counters"] = (
 # --- curation -------------------------------------------------------------------------------------------------
 
 CURATION = (
-    f"{RECORDS}, {_ALL}, items AS (SELECT r.ord, d.line1 AS title, upper(r.doi) AS doi, {key('d.line1')} AS tk FROM records r JOIN docs d ON d.doc_id = r.ord), "
+    f"{RECORDS}, {_ALL}, items AS (SELECT r.ord, d.line1 AS title, upper(r.doi) AS doi, {key('d.line1')} AS tk FROM records r JOIN docs d ON d.doc_id = r.ord "
+    "UNION ALL SELECT ord + 1000000000, 'Unlisted ' || ord, CASE WHEN ord % 20 <> 3 THEN '10.9999/UNLISTED.' || ord END, 'unlisted ' || ord FROM records WHERE ord % 10 = 3), "
     "base AS (SELECT * FROM items WHERE ord IN (SELECT doc_id FROM labels WHERE quality = 1)), "
     "bydoi AS (SELECT lower(doi) AS k, doi AS pdoi, venue, sources FROM p_all WHERE doi <> '' QUALIFY row_number() OVER (PARTITION BY lower(doi) ORDER BY first_ord DESC) = 1), "
-    f"bytitle AS (SELECT {key('title')} AS k, doi AS pdoi, venue, sources FROM p_all QUALIFY row_number() OVER (PARTITION BY {key('title')} ORDER BY first_ord DESC) = 1), "
+    f"bytitle AS (SELECT {key('title')} AS k, doi AS pdoi, venue, sources FROM p_all WHERE {key('title')} <> '' QUALIFY row_number() OVER (PARTITION BY {key('title')} ORDER BY first_ord DESC) = 1), "
     "m AS (SELECT i.*, (lower(coalesce(i.doi, '')), i.tk) IN (SELECT (lower(coalesce(doi, '')), tk) FROM base) AS in_base, "
     "coalesce(a.sources, b.sources) AS psources, CASE WHEN a.k IS NOT NULL THEN a.pdoi ELSE b.pdoi END AS pdoi, CASE WHEN a.k IS NOT NULL THEN a.venue ELSE b.venue END AS pvenue "
     "FROM items i LEFT JOIN bydoi a ON a.k = lower(i.doi) LEFT JOIN bytitle b ON b.k = i.tk), "
@@ -729,13 +729,13 @@ CURATION = (
     "g AS (SELECT *, (NOT in_base) AND (lower(coalesce(edoi, '')) LIKE '10.48550/arxiv.%' OR lower(coalesce(edoi, '')) LIKE '10.1101/%' OR only_arxiv) AS pre, "
     "CASE WHEN in_base THEN 'baseline' WHEN psources IS NULL THEN 'missing' WHEN high THEN 'high' WHEN only_arxiv THEN 'high-preprint' WHEN pm AND ep THEN 'high' "
     "WHEN pm OR ep THEN 'medium' WHEN len(s) >= 2 AND nontrivial THEN 'medium' WHEN len(s) >= 2 AND list_contains(s, 'crossref') AND list_contains(s, 'openaire') THEN 'medium' ELSE 'low' END AS confidence, "
-    "CASE WHEN in_base THEN 'already present in baseline manifest' WHEN psources IS NULL THEN 'candidate not found in canonical papers' "
-    "WHEN high THEN 'authoritative source evidence present' WHEN only_arxiv THEN 'arXiv-only preprint accepted for bibliography' "
-    "WHEN pm AND ep THEN 'PubMed and Europe PMC corroborate the DOI record' WHEN pm OR ep THEN 'biomedical index evidence present' "
-    "WHEN len(s) >= 2 AND nontrivial THEN 'multiple non-trivial sources corroborate the paper' "
-    "WHEN len(s) >= 2 AND list_contains(s, 'crossref') AND list_contains(s, 'openaire') THEN 'Crossref and OpenAIRE both contain the paper' "
-    "ELSE 'single-source or low-confidence source evidence requires manual review' END AS reason FROM f), "
-    "reviewed AS (SELECT *, confidence IN ('high', 'high-preprint', 'medium') AS accepted, coalesce(edoi, '') <> '' AND NOT pre AS eligible FROM g), "
+    "CASE WHEN in_base THEN 'in baseline' WHEN psources IS NULL THEN 'no paper found' "
+    "WHEN high THEN 'authoritative source' WHEN only_arxiv THEN 'arXiv only' "
+    "WHEN pm AND ep THEN 'both biomedical indexes' WHEN pm OR ep THEN 'one biomedical index' "
+    "WHEN len(s) >= 2 AND nontrivial THEN 'several sources' "
+    "WHEN len(s) >= 2 AND list_contains(s, 'crossref') AND list_contains(s, 'openaire') THEN 'Crossref and OpenAIRE' "
+    "ELSE 'weak evidence' END AS reason FROM f), "
+    "reviewed AS (SELECT *, confidence IN ('high', 'high-preprint', 'medium') AS accepted, coalesce(edoi, '') <> '' AND NOT pre AND (in_base OR psources IS NOT NULL) AS eligible FROM g), "
     "cumul AS (SELECT ord, title, doi, 0 AS section FROM base UNION ALL SELECT ord, title, doi, 1 FROM reviewed WHERE accepted), "
     "judgedc AS (SELECT c.ord, c.title, c.doi, coalesce(c.doi, m.pdoi) AS edoi, coalesce(m.psources, []) AS s FROM cumul c JOIN m USING (ord)), "
     "portal AS (SELECT ord, title, doi FROM judgedc WHERE coalesce(edoi, '') <> '' AND NOT (lower(edoi) LIKE '10.1101/%' OR (len(s) > 0 AND len(list_filter(s, lambda x : x <> 'arxiv')) = 0)))"
@@ -781,7 +781,7 @@ SQL["archived_copies"] = (
 _PRE = "(lower({d}) LIKE '10.48550/arxiv.%' OR lower({d}) LIKE '10.1101/%')"
 _SKIP = (
     "(regexp_matches(lower(url), 'mediaobjects|_mosem|_esm|supplement|supplementary|supporting-information') OR "
-    f"(NOT {_PRE.format(d='doi')} AND contains(lower(url), 'arxiv.org/pdf/')) OR contains(lower(url), 'none'))"
+    f"(NOT {_PRE.format(d='doi')} AND contains(lower(url), 'arxiv.org/pdf/')) OR lower(trim(url)) = 'none')"
 )
 # Links of a group: every record of every paper of the group, in paper order, then record order.
 LINKS = (
@@ -822,14 +822,14 @@ META = (
     "abst AS (SELECT ord, t, min(p) AS p FROM (SELECT i.ord, a.t, 0 AS p FROM items i JOIN gabs a ON a.group_key = i.gk "
     "UNION ALL SELECT ord, 'looked up ' || lang, 2 FROM xr UNION ALL SELECT ord, 'A looked-up note', 3 FROM xr) GROUP BY 1, 2), "
     "heads AS (SELECT ord, 0 AS section, 'Title' AS label, title AS t FROM items UNION ALL SELECT ord, 1, 'Authors', array_to_string(authors, ', ') FROM items "
-    "UNION ALL SELECT ord, 2, 'Member Authors', 'Team ' || lang FROM items UNION ALL SELECT ord, 3, 'Primary Link', url FROM items UNION ALL SELECT ord, 4, 'DOI', doi FROM items), "
+    "UNION ALL SELECT ord, 2, 'Member Authors', 'Team ' || lang FROM items UNION ALL SELECT ord, 3, 'Address', url FROM items UNION ALL SELECT ord, 4, 'DOI', doi FROM items), "
     "lines_ AS (SELECT * FROM heads "
-    "UNION ALL SELECT i.ord, 5, 'Matched Canonical IDs', k.canonical_id FROM items i JOIN gk k ON k.group_key = i.gk "
-    "UNION ALL SELECT i.ord, 6, 'Known URLs', u.url FROM items i JOIN gurl u ON u.group_key = i.gk "
-    "UNION ALL SELECT i.ord, 7, 'Known PDF Candidates', u.url FROM items i JOIN gpdf u ON u.group_key = i.gk "
+    "UNION ALL SELECT i.ord, 5, 'Paper ids', k.canonical_id FROM items i JOIN gk k ON k.group_key = i.gk "
+    "UNION ALL SELECT i.ord, 6, 'Addresses', u.url FROM items i JOIN gurl u ON u.group_key = i.gk "
+    "UNION ALL SELECT i.ord, 7, 'Document addresses', u.url FROM items i JOIN gpdf u ON u.group_key = i.gk "
     "UNION ALL SELECT ord, 8, 'Metadata', unnest(['Crossref published date: 2015-6', 'Crossref venue: Venue ' || lang, 'OpenAlex OA status: green', 'OpenAlex OA URL: https://example.org/oa/' || doc_id]) FROM xr "
     "UNION ALL SELECT ord, 9, CASE p WHEN 0 THEN 'canonical_record_abstract' WHEN 2 THEN 'openalex_metadata' ELSE 'datacite_metadata' END, t FROM abst "
-    "UNION ALL SELECT ord, 9, 'citation_snapshot', 'No full-text PDF could be downloaded through the configured network path. This snapshot preserves the resolved citation metadata for final result packaging.' "
+    "UNION ALL SELECT ord, 9, 'citation_snapshot', 'Neither full text nor an abstract has landed; the citation stands for the paper.' "
     "FROM items WHERE ord NOT IN (SELECT ord FROM abst))"
 )
 _MATCHED = "ord IN (SELECT ord FROM items JOIN grp ON gk = group_key)"
@@ -848,9 +848,9 @@ SQL["best_evidence"] = (
     "o AS (SELECT ord, rank, CASE rank WHEN 0 THEN 'existing_local_pdf' WHEN 1 THEN 'downloaded_pdf' WHEN 2 THEN 'downloaded_pdf' WHEN 3 THEN 'generated_text_snapshot_pdf' ELSE 'generated_metadata_snapshot_pdf' END AS evidence_kind, "
     "CASE rank WHEN 0 THEN u0 WHEN 1 THEN u1 WHEN 2 THEN u2 WHEN 3 THEN u3 ELSE CASE WHEN k4 = 'citation_snapshot' THEN url ELSE k4 END END AS evidence_url, "
     "CASE rank WHEN 3 THEN k3 WHEN 4 THEN k4 END AS snapshot_kind FROM e) "
-    "SELECT *, 'Generated from ' || CASE WHEN snapshot_kind IN ('landing_page_text', 'manifest_url', 'doi_landing_page') THEN 'accessible article text' "
-    "WHEN snapshot_kind IN ('canonical_record_abstract', 'crossref_metadata', 'openalex_metadata', 'datacite_metadata') THEN 'accessible abstract and citation metadata' "
-    "ELSE 'citation metadata' END || ' because the source PDF was unavailable through the current proxy/download path.' AS note "
+    "SELECT *, 'made from ' || CASE WHEN snapshot_kind IN ('landing_page_text', 'manifest_url', 'doi_landing_page') THEN 'article text' "
+    "WHEN snapshot_kind IN ('canonical_record_abstract', 'crossref_metadata', 'openalex_metadata', 'datacite_metadata') THEN 'abstract and metadata' "
+    "ELSE 'the citation' END || '; no PDF has landed' AS note "
     f"FROM o WHERE {_MATCHED}"
 )
 SQL["final_markdown"] = (
@@ -957,18 +957,18 @@ SQL["run_report"] = (
     f"WITH {SCAN}, {_EXTRA}, {HEALTH}, {_NAMES}, {_LISTS}, "
     "aw AS (SELECT p.*, o.document_award_mentions AS mentions FROM papers p JOIN outcome o USING (canonical_id) WHERE o.award_mentioned_in_document), "
     "rk AS (SELECT *, row_number() OVER (ORDER BY coalesce(year, 0) DESC, lower(title) DESC, first_ord) AS rn FROM aw), "
-    "h AS (SELECT ['# Collection Report', '', 'Generated: t1', '', '## Summary', '- Team members: 4', '- Lookback years: 2', "
-    "'- State cache: new=' || (SELECT count(*) FROM diff WHERE status = 'new') || ', changed=' || (SELECT count(*) FROM diff WHERE status = 'changed') || ', unchanged=' || (SELECT count(*) FROM diff WHERE status = 'unchanged'), "
-    "'- Raw source records: ' || (SELECT count(*) FROM records), '- Canonical papers: ' || (SELECT count(*) FROM papers), "
-    "'- Award mentions (metadata + document scan): ' || (SELECT count(*) FROM aw), '- Document scan: papers=' || (SELECT count(*) FROM outcome) || ', mentions=' || (SELECT count(*) FROM outcome WHERE status = 'mention') || "
+    "h AS (SELECT ['# Run', '', 'Finished: t1', '', '## Summary', '- Members: 4', '- Years looked back: 2', "
+    "'- Against the run before: new=' || (SELECT count(*) FROM diff WHERE status = 'new') || ', changed=' || (SELECT count(*) FROM diff WHERE status = 'changed') || ', unchanged=' || (SELECT count(*) FROM diff WHERE status = 'unchanged'), "
+    "'- Source records: ' || (SELECT count(*) FROM records), '- Merged papers: ' || (SELECT count(*) FROM papers), "
+    "'- Papers with a mention: ' || (SELECT count(*) FROM aw), '- Scanned: papers=' || (SELECT count(*) FROM outcome) || ', mentions=' || (SELECT count(*) FROM outcome WHERE status = 'mention') || "
     "', no_pdf=' || (SELECT count(*) FROM outcome WHERE status = 'no_pdf') || ', download_fail=' || (SELECT count(*) FROM outcome WHERE status = 'download_fail') || ', extract_fail=' || "
-    "(SELECT count(*) FROM outcome WHERE status = 'extract_fail'), NULL, '', '## Source Counts'] AS l) "
+    "(SELECT count(*) FROM outcome WHERE status = 'extract_fail'), NULL, '', '## By source'] AS l) "
     "SELECT section, CAST(line_no AS BIGINT) AS line_no, line FROM ("
     "SELECT 0 AS section, generate_subscripts(l, 1) - 1 AS line_no, unnest(l) AS line FROM h "
     "UNION ALL SELECT 1, row_number() OVER (ORDER BY n.source), '- ' || n.source || ': ' || (SELECT count(*) FROM records r WHERE r.source = n.source) || ' records (' || "
-    "(SELECT count(*) FROM health x WHERE x.source = n.source) || ' errors) | probe: ' || CASE WHEN n.source IN (SELECT source FROM health) THEN 'skipped: HTTP 503' ELSE 'ok' END FROM names n "
-    "UNION ALL SELECT 2, 0, '' UNION ALL SELECT 2, 1, '## Papers With Award Mention' "
-    "UNION ALL SELECT 3, rn, '- **' || title || '** (' || coalesce(CAST(year AS VARCHAR), 'n/a') || ', ' || coalesce(venue, 'unknown venue') || ') | member(s): ' || replace(members, '|', ', ') || "
+    "(SELECT count(*) FROM health x WHERE x.source = n.source) || ' errors), probe ' || CASE WHEN n.source IN (SELECT source FROM health) THEN 'skipped: HTTP 503' ELSE 'ok' END FROM names n "
+    "UNION ALL SELECT 2, 0, '' UNION ALL SELECT 2, 1, '## Papers with a mention' "
+    "UNION ALL SELECT 3, rn, '- **' || title || '** (' || coalesce(CAST(year AS VARCHAR), 'n/a') || ', ' || coalesce(venue, 'no venue') || ') | member(s): ' || replace(members, '|', ', ') || "
     "' | mention(s): ' || replace(mentions, '|', ', ') FROM rk JOIN lists USING (canonical_id) WHERE rn <= 100) WHERE line IS NOT NULL"
 )
 

@@ -19,7 +19,7 @@ from citeloom.sources.common import ORDER
 
 @dataclass(frozen=True)
 class RunParams:
-    """Parameters of a collection run. Defaults are the usual bounds of one run."""
+    """Parameters of a collection run. There are no limits unless a caller sets them."""
 
     run_id: str
     run_started_at: str
@@ -28,10 +28,10 @@ class RunParams:
     spec: ScanSpec
     lookback_years: int = 2
     enabled_sources: tuple[str, ...] = tuple(schemas.SOURCE_ORDER)
-    max_rows: int = 300
-    max_pages: int = 2
-    max_candidates: int = 3
-    max_mb: int = 30
+    max_rows: int | None = None
+    max_pages: int | None = None
+    max_candidates: int | None = None
+    max_mb: int | None = None
     scan_documents: bool = True
     scan_target_only: bool = False
     incremental_scan: bool = True
@@ -147,7 +147,7 @@ def collection_run(spark: SparkSession, inputs: RunInputs, params: RunParams, ba
     )
     papers = save(snapshot.fingerprint(papers, values), "papers_merged")
 
-    previous = sinks.read_latest(spark, base, "paper_index") if params.use_state else None
+    previous = sinks.read_latest(spark, base, "paper_index", before=rid) if params.use_state else None
     if previous is None:
         previous = spark.createDataFrame([], schemas.PAPER_INDEX)
     diffed = save(snapshot.hydrate(snapshot.diff(papers, previous), previous), "papers_diffed")
@@ -234,9 +234,9 @@ def collection_run(spark: SparkSession, inputs: RunInputs, params: RunParams, ba
         )
     sinks.publish(spark, base, rid)
     if params.fail_on_unverified_targets and details is not None:
-        missing = coverage.verification_failures(details).select("doi_key").limit(20).collect()
-        if missing:
-            raise RuntimeError("targets not verified: " + ", ".join(r["doi_key"] for r in missing))
+        failed = save(coverage.verification_failures(details), "unverified_targets")
+        if not failed.isEmpty():
+            raise RuntimeError(f"targets not verified, see {sinks.run_path(base, rid, 'unverified_targets')}")
     return summary
 
 
@@ -267,9 +267,9 @@ def finalisation_job(
     """Best evidence per manifest item, and the Markdown list. Unknown items stop the job before any work."""
     groups = sinks.write_table(merge.title_groups(papers), base, run_id, "title_groups")
     items = finalize.require_valid(finalize.clean_manifest(raw_manifest))
-    missing = finalize.unmatched(items, groups).select("title").limit(20).collect()
-    if missing:
-        raise RuntimeError("manifest items not found in papers: " + "; ".join(r["title"] for r in missing))
+    missing = sinks.write_table(finalize.unmatched(items, groups), base, run_id, "unmatched_items")
+    if not missing.isEmpty():
+        raise RuntimeError(f"manifest items not found in papers, see {sinks.run_path(base, run_id, 'unmatched_items')}")
     matched = sinks.write_table(finalize.with_groups(items, groups), base, run_id, "manifest_items")
     values = sinks.write_table(merge.title_group_values(papers, records), base, run_id, "title_group_values")
     seen = merge.with_title_group(papers).select(

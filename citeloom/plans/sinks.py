@@ -1,7 +1,7 @@
 """Outputs of a run: tables under ``runs/<run_id>``, a latest pointer, and text files.
 
-``latest`` is not a copy. Finished runs are appended to a small pointer table, and the newest run id
-wins, so a reader sees either the old run or the new one, never a mixture, and nothing is written twice.
+``latest`` is not a copy. Finished runs are appended to a small pointer table with a counter, and the highest
+count wins, so a reader sees either the old run or the new one, never a mixture, and nothing is written twice.
 """
 
 from __future__ import annotations
@@ -37,23 +37,34 @@ def write_text(lines: DataFrame, order: list[str], column: str, base: str, run_i
     ordered.write.mode("overwrite").text(run_path(base, run_id, name))
 
 
+def _pointers(spark: SparkSession, base: str) -> DataFrame | None:
+    path = f"{base.rstrip('/')}/published"
+    return spark.read.schema("run_id STRING, seq BIGINT").parquet(path) if path_exists(spark, path) else None
+
+
 def publish(spark: SparkSession, base: str, run_id: str) -> None:
-    """Make a finished run the latest one."""
-    row = spark.createDataFrame([(run_id,)], "run_id STRING")
+    """Make a finished run the latest one. Runs are counted as they finish; their ids need no order."""
+    known = _pointers(spark, base)
+    seq = 1 + (known.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0] if known is not None else 0)
+    row = spark.createDataFrame([(run_id, seq)], "run_id STRING, seq BIGINT")
     row.write.mode("append").parquet(f"{base.rstrip('/')}/published")
 
 
-def latest_run(spark: SparkSession, base: str) -> str | None:
-    """Id of the newest published run."""
-    path = f"{base.rstrip('/')}/published"
-    if not path_exists(spark, path):
+def latest_run(spark: SparkSession, base: str, before: str | None = None) -> str | None:
+    """Id of the run that was published last; with ``before``, of the last one before that id was first published."""
+    known = _pointers(spark, base)
+    if known is None:
         return None
-    return spark.read.schema("run_id STRING").parquet(path).agg(F.max("run_id").alias("r")).first()["r"]
+    if before is not None:
+        first = known.where(F.col("run_id") == before).agg(F.min("seq")).first()[0]
+        known = known.where(F.col("run_id") != before)
+        known = known if first is None else known.where(F.col("seq") < first)
+    return known.agg(F.max_by("run_id", "seq")).first()[0]
 
 
-def read_latest(spark: SparkSession, base: str, name: str) -> DataFrame | None:
-    """A table of the newest published run; NULL if there is no run, or it did not write that table."""
-    run_id = latest_run(spark, base)
+def read_latest(spark: SparkSession, base: str, name: str, before: str | None = None) -> DataFrame | None:
+    """A table of the latest run (see ``latest_run``); None if there is no run, or it did not write that table."""
+    run_id = latest_run(spark, base, before)
     if run_id is None or not path_exists(spark, run_path(base, run_id, name)):
         return None
     return spark.read.parquet(run_path(base, run_id, name))

@@ -10,16 +10,12 @@ from pyspark.sql import functions as F
 
 from citeloom.operators.order import first_per_key
 from citeloom.schemas import SOURCE_ORDER
-from citeloom.session import spread
 
 
-# Tables whose rows are long texts, with the column they are spread by.
-HEAVY_TEXT = {"documents": "doc_id", "pages": "page_id"}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df, HEAVY_TEXT[name]) if name in HEAVY_TEXT else df
+    """One of the generic test tables."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 _ORDER_SQL = "array(" + ", ".join(f"'{s}'" for s in SOURCE_ORDER) + ")"

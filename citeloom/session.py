@@ -62,18 +62,6 @@ def scratch_dir(spark: SparkSession) -> str:
     return own.as_uri()
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a table that arrives in fewer partitions than there are cores, before work that is heavy per row.
-
-    Small files hold one row group each, which one task reads. A table of a cluster's size has far more
-    partitions than cores and is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
-
-
 def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a table in the scratch folder and read it back, which cuts its lineage."""
     spark = df.sparkSession

@@ -10,21 +10,15 @@ from citeloom.functions.names import any_author_full_given, any_author_matches,
 from citeloom.functions.text import payload_text
 from citeloom.operators.order import top_n_per_key
 
-DEFAULT_MAX_ROWS = 300
-DEFAULT_MAX_PAGES = 2
-
 ORDER = ["page_no", "row_no", "item_no"]
 KEPT = ["member_name", *ORDER]
 
 
-def landed(raw: DataFrame, source: str, max_pages: int | None = None, page_size: int | None = None,
-           max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """Payloads of one source. ``max_pages`` bounds pages; ``page_size`` bounds the raw offset instead."""
+def landed(raw: DataFrame, source: str, max_pages: int | None = None) -> DataFrame:
+    """Payloads of one source, all that have landed; a caller may ask for the first ``max_pages`` pages only."""
     df = raw.filter(F.col("source") == source)
     if max_pages is not None:
         df = df.filter(F.col("page_no") < max_pages)
-    if page_size is not None:
-        df = df.filter(F.col("page_no") * page_size < max_rows)
     return df.drop("source")
 
 
@@ -61,12 +55,11 @@ def finish(
     score: float,
     min_year: int | None,
     matcher: str | None = "surname_initial",
-    max_rows: int | None = DEFAULT_MAX_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
-    """Title, year and author filters, then the first ``max_rows`` rows of every member.
+    """Title, year and author filters. ``df`` holds the record columns plus the order columns.
 
-    ``df`` holds the record columns plus the order columns. The limit is the configured result size of
-    a source; it runs as a group limit before its shuffle.
+    All rows stay unless a caller asks for the first ``max_rows`` of every member, a group limit before its shuffle.
     """
     named = tokens(F.col("member_name"))
     side = surname_initial_key(named) if matcher == "surname_initial" else named

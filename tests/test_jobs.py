@@ -58,7 +58,7 @@ def test_two_runs(spark, tmp_path):
     assert papers["doi:10.1/b"]["sources"] == ["openalex", "crossref"] and papers["doi:10.1/b"]["title"] == "Second paper, longer"
     assert papers["doi:10.1/a"]["document_verification_url"] == "https://e.org/a.pdf"
     lines = [r["value"] for r in spark.read.text(sinks.run_path(base, "r1", "report")).collect()]
-    assert lines[0] == "# Collection Report" and any(x.startswith("- **First paper** (2024, unknown venue)") for x in lines)
+    assert lines[0] == "# Run" and any(x.startswith("- **First paper** (2024, no venue)") for x in lines)
 
     # Second run: one paper unchanged (its cached hit stays, no new scan), one gone, one new.
     items2 = [items[0], _crossref("Third paper", "10.1/c", abstract="about QXR 7654321")]
@@ -72,7 +72,14 @@ def test_two_runs(spark, tmp_path):
     assert cells(index, "canonical_id", "first_seen_at", "last_seen_at") == [
         ("doi:10.1/a", "r1-s", "r2-e"), ("doi:10.1/b", "r1-s", "r2-e"), ("doi:10.1/c", "r2-s", "r2-e")
     ]
-    with pytest.raises(RuntimeError, match="10.1/b"):
+    # The same run again: compared with the run before it, not with itself.
+    s2 = jobs.collection_run(spark, _inputs(spark, items2), _params("r2"), base).first()
+    assert (s2["new_count"], s2["changed_count"], s2["unchanged_count"]) == (1, 1, 1)
+    assert sinks.latest_run(spark, base) == "r2" and sinks.latest_run(spark, base, before="r2") == "r1"
+    sinks.publish(spark, base, "a run whose id does not sort")
+    assert sinks.latest_run(spark, base) == "a run whose id does not sort"
+    sinks.publish(spark, base, "r2")
+    with pytest.raises(RuntimeError, match="unverified_targets"):
         jobs.collection_run(spark, _inputs(spark, items), _params("r3", fail_on_unverified_targets=True, use_state=False), base)
 
     # Curation and finalisation read the written tables.
@@ -91,7 +98,7 @@ def test_two_runs(spark, tmp_path):
     assert (out["evidence_kind"], out["evidence_url"]) == ("downloaded_pdf", "https://e.org/a.pdf")
     text = "\n".join(r["value"] for r in spark.read.text(sinks.run_path(base, "f1", "final_markdown")).collect())
     assert text.splitlines()[0] == "**First paper**"
-    with pytest.raises(RuntimeError, match="Unknown title"):
+    with pytest.raises(RuntimeError, match="unmatched_items"):
         unknown = manifest.withColumn("title", F.lit("Unknown title"))
         jobs.finalisation_job(unknown, shaped, records, inputs.fetched, inputs.doi_lookup, no_files, base, "f2")
     updates = spark.createDataFrame(

@@ -78,9 +78,9 @@ def test_retrieval_reasons(spark):
     assert got == {
         "u1": None,
         "u2": None,
-        "u3": "HTTP 403",
-        "u4": "Empty body",
-        "u5": "Response is not a PDF (content-type=None)",
+        "u3": "status 403",
+        "u4": "no body",
+        "u5": "no PDF but None",
         "u6": "no route",
     }
 
@@ -127,5 +127,5 @@ def test_scan_outcomes(spark):
     assert (got["e"]["status"], got["e"]["document_scan_error"]) == ("download_fail", docscan.NOT_LANDED)
     assert (got["f"]["status"], got["f"]["document_scan_error"]) == ("no_pdf", docscan.NO_CANDIDATES)
     assert got["g"]["document_verification_url"] == "page/final" and got["g"]["document_scan_error"] is None
-    # Only the first three addresses of a paper are tried.
-    assert got["h"]["status"] == "scanned_clear"
+    # All addresses of a paper are tried: the hit is in the fourth one.
+    assert got["h"]["status"] == "mention"

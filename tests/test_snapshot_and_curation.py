@@ -129,7 +129,7 @@ def test_review_doi_beats_title_and_last_paper_wins(spark):
     got = {r["ord"]: r for r in curate.review(items, baseline, papers).collect()}
     assert (got[1]["confidence"], got[1]["sources"], got[1]["portal_eligible"]) == ("medium", ["pubmed"], True)
     assert (got[2]["confidence"], got[2]["is_preprint"], got[2]["portal_eligible"]) == ("high", True, False)
-    assert (got[3]["confidence"], got[3]["accepted"]) == ("missing", False)
+    assert (got[3]["confidence"], got[3]["accepted"], got[3]["portal_eligible"]) == ("missing", False, False)
     assert (got[4]["confidence"], got[4]["portal_eligible"], got[4]["is_preprint"]) == ("baseline", True, None)
     total = curate.cumulative(baseline, curate.review(items, baseline, papers))
     assert cells(total, "section", "ord") == [(0, 4), (1, 1), (1, 2)]
