@@ -139,6 +139,15 @@ def given_names_match(member_given: Column, author_given: Column) -> Column:
     )
 
 
+def full_given_keys(toks: Column) -> Column:
+    """Surname and first letter of the given names: with the surname at the end, then at the front."""
+    def keys(t: Column) -> Column:
+        letter = lambda start: F.substring(F.array_join(F.slice(t, F.lit(start), F.size(t) - 1), ""), 1, 1)
+        return F.array_distinct(F.array(F.concat_ws("|", last(t), letter(1)), F.concat_ws("|", first(t), letter(2))))
+
+    return bind(toks, keys)
+
+
 def full_given_match(member_toks: Column, author_toks: Column) -> Column:
     """Surname equal (at the end, else at the front) and given names compatible."""
     def test(m: Column, a: Column) -> Column:

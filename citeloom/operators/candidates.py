@@ -291,6 +291,25 @@ def fulltext_xml_links(body: Column, verification_url: Column) -> Column:
     return distinct_ws(non_null(F.concat(F.coalesce(absolute, F.expr("cast(array() as array<string>)")), own)))
 
 
+def chosen_documents(outcomes: DataFrame, fulltext: DataFrame, pdfs: DataFrame, fetched: DataFrame) -> DataFrame:
+    """Document of each paper that a full text verified: the first candidate with a valid landed response.
+
+    Links named in the full text (``fulltext``) come before the paper's other candidates (``pdfs``). Gives
+    ``(canonical_id, url)``; papers that have a document already, or no valid candidate, have no row.
+    """
+    from citeloom.operators.docscan import retrieval_error
+
+    open_ids = outcomes.filter(
+        (F.col("status") == "mention") & F.col("document_pdf_url").isNull()
+    ).select("canonical_id")
+    ranked = fulltext.select("canonical_id", "url", F.struct(F.lit(0).alias("step"), "at").alias("at")).unionByName(
+        pdfs.select("canonical_id", "url", F.struct(F.lit(1).alias("step"), "at").alias("at"))
+    )
+    wanted = ranked.join(open_ids, "canonical_id", "left_semi")
+    valid = fetched.filter(retrieval_error().isNull()).select("url").distinct()
+    return wanted.join(valid, "url", "left_semi").groupBy("canonical_id").agg(F.min_by("url", "at").alias("url"))
+
+
 def fulltext_candidates(outcomes: DataFrame, fetched: DataFrame) -> DataFrame:
     """PDF addresses named in the full-text XML that verified a paper: ``(canonical_id, url, at)`` rows to add.
 

@@ -51,10 +51,25 @@ def _first_filled(c: str) -> Column:
     return F.min_by(c, F.when(F.length(c) > 0, F.col("ord")))
 
 
+#: Lengths and places share one decimal, the place in the lower digits.
+_PLACES = 10**18
+
+
+def _longest_at(c: str) -> Column:
+    """Length and place of the longest non-blank text, the earliest on ties, as one number that hashes aggregate."""
+    length = F.length(c).cast("decimal(10,0)") * F.lit(_PLACES).cast("decimal(20,0)")
+    return F.max(F.when(F.length(c) > 0, (length + (F.lit(_PLACES - 1).cast("decimal(20,0)") - F.col("ord"))).cast("decimal(38,0)")))
+
+
+def _place_of(packed: Column) -> Column:
+    return (F.lit(_PLACES - 1).cast("decimal(20,0)") - F.pmod(packed, F.lit(_PLACES).cast("decimal(20,0)"))).cast("bigint")
+
+
 def merge_papers(keyed: DataFrame) -> DataFrame:
     """One row per canonical id: longest title and abstract, smallest year and date, first venue and DOI.
 
-    All aggregates combine before the shuffle.
+    All aggregates combine before the shuffle. Abstracts, the long texts, take no part in them: only length and place of
+    the longest one do, and the text of the winner is joined back by its place. ``ord`` is unique, not negative and below 10^18.
     """
     merged = keyed.groupBy("canonical_id").agg(
         _longest("title").alias("title"),
@@ -62,11 +77,51 @@ def merge_papers(keyed: DataFrame) -> DataFrame:
         F.min("published_date").alias("published_date"),
         _first_filled("venue").alias("venue"),
         _first_filled("doi").alias("doi"),
-        _longest("abstract").alias("abstract"),
+        _longest_at("abstract").alias("_at"),
         F.count("*").alias("record_count"),
         F.min("ord").alias("first_ord"),
     )
-    return merged.withColumn("normalized_title", title_key("title"))
+    texts = keyed.filter(F.length("abstract") > 0).select(F.col("ord").alias("_ord"), "abstract")
+    joined = texts.join(merged.withColumn("_ord", _place_of(F.col("_at"))), "_ord", "right")
+    return joined.select(
+        "canonical_id", "title", "year", "published_date", "venue", "doi", "abstract", "record_count", "first_ord",
+        title_key("title").alias("normalized_title"),
+    )
+
+
+def partial_papers(keyed: DataFrame) -> DataFrame:
+    """What a merge keeps of some records of each paper, winners with their places, so that more can be folded in later."""
+    best = lambda c: F.max(F.when(F.length(c) > 0, F.struct(F.length(c).alias("size"), (-F.col("ord")).alias("neg"), F.col(c).alias("text"))))
+    first = lambda c: F.min(F.when(F.length(c) > 0, F.struct("ord", F.col(c).alias("text"))))
+    return keyed.groupBy("canonical_id").agg(
+        best("title").alias("title"), F.min("year").alias("year"), F.min("published_date").alias("published_date"),
+        first("venue").alias("venue"), first("doi").alias("doi"), best("abstract").alias("abstract"),
+        F.count("*").alias("record_count"), F.min("ord").alias("first_ord"),
+    )
+
+
+def fold_partials(partials: DataFrame) -> DataFrame:
+    """One partial per paper out of several."""
+    return partials.groupBy("canonical_id").agg(
+        F.max("title").alias("title"), F.min("year").alias("year"), F.min("published_date").alias("published_date"),
+        F.min("venue").alias("venue"), F.min("doi").alias("doi"), F.max("abstract").alias("abstract"),
+        F.sum("record_count").alias("record_count"), F.min("first_ord").alias("first_ord"),
+    )
+
+
+def finish_partials(partials: DataFrame) -> DataFrame:
+    """Papers as ``merge_papers`` gives them."""
+    return partials.select(
+        "canonical_id", F.col("title.text").alias("title"), "year", "published_date", F.col("venue.text").alias("venue"),
+        F.col("doi.text").alias("doi"), F.col("abstract.text").alias("abstract"), "record_count", "first_ord",
+        title_key(F.col("title.text")).alias("normalized_title"),
+    )
+
+
+def fold_values(values: DataFrame) -> DataFrame:
+    """Distinct list values out of several sets of them, each with its first place."""
+    firsts = values.groupBy("canonical_id", "field", "value").agg(F.min(F.struct("first_ord", "first_pos")).alias("at"))
+    return firsts.select("canonical_id", "field", "value", "at.first_ord", "at.first_pos")
 
 
 def _value_rows(field: str, arr: Column) -> Column:

@@ -580,7 +580,7 @@ def fulltext_links(spark, sf_dir):
     xml = docs.selectExpr(
         "concat('https://r.example/PMC', doc_id, '/xml') AS url", "cast(NULL AS string) AS final_url", "doc_id",
         "concat('<article><self-uri xlink:href=\"/f', doc_id, '.pdf\"/><self-uri xlink:href=\"https://e.org/', doc_id, "
-        "'.PDF?x\"/><self-uri xlink:href=\"page.html\"/>', line1, '</article>') AS body",
+        "'.PDF?x\"/><self-uri xlink:href=\"page.html\"/>', text, '</article>') AS body",
     )
     outcomes = docs.selectExpr(
         "concat('p', doc_id) AS canonical_id", "concat('https://r.example/PMC', doc_id, '/xml') AS document_verification_url",
@@ -1016,11 +1016,11 @@ def state_upsert_stream(spark, sf_dir):
 
 @query
 def event_first_seen_stream(spark, sf_dir):
-    """First arrivals in the event stream; the watermark is longer than the events span."""
+    """First arrivals in the event stream; the watermark covers the month that the events span."""
     folder = f"{scratch_dir(spark)}/events-{uuid.uuid4().hex[:12]}"
     stream = spark.readStream.schema(table(spark, sf_dir, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     keyed = stream.select(F.concat_ws("-", "user_id", "event_type").alias("key"), "ts")
-    fresh = first_arrivals(keyed, "key", "ts", "3650 days")
+    fresh = first_arrivals(keyed, "key", "ts", "31 days")
     fresh.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/progress").trigger(
         availableNow=True
     ).start().awaitTermination()

@@ -298,7 +298,7 @@ def source(
         where.append(match)
     dup = f" CROSS JOIN range({copies}) AS c(item)" if copies > 1 else " CROSS JOIN (SELECT 0 AS item) AS c"
     SQL[f"source_{name}"] = (
-        f"WITH {DOCS}, a AS (SELECT doc_id, n_chars, lang, line1, w, rest, {_MEMBER} AS member_name, {year} AS year, {title} AS title, "
+        f"WITH {DOCS}, a AS (SELECT doc_id, n_chars, lang, line1, w, rest, text, {_MEMBER} AS member_name, {year} AS year, {title} AS title, "
         f"{doi} AS doi, {authors} AS authors FROM docs), "
         f"f AS (SELECT * FROM a{dup} WHERE {' AND '.join(where)}) "
         f"SELECT member_name, doc_id AS row_no, {source_id} AS source_id, title, CAST(year AS BIGINT) AS year, "
@@ -326,7 +326,7 @@ source(
 source(
     "crossref", 0.85,
     published="CASE WHEN year IS NOT NULL THEN CAST(year AS VARCHAR) || '-' || lpad(CAST(1 + n_chars % 12 AS VARCHAR), 2, '0') || '-01' END",
-    abstract="title", source_id=f"coalesce(doi, {stable('crossref')})",
+    abstract=ws("text"), source_id=f"coalesce(doi, {stable('crossref')})",
     pdf="CASE WHEN n_chars % 5 = 0 THEN 'https://example.org/' || doc_id || '/file' END",
 )
 source(
@@ -368,7 +368,7 @@ source(
 )
 source(
     "google_scholar_html", 0.7, published=_Y1, source_id=stable("scholar"),
-    venue="'Venue ' || lang || ', ' || coalesce(CAST(year AS VARCHAR), 'n.d.')", doi="NULL", abstract="title",
+    venue="'Venue ' || lang || ', ' || coalesce(CAST(year AS VARCHAR), 'n.d.')", doi="NULL", abstract=ws("text"),
     # Without authors the first part of the meta line is the venue, which is read as two names.
     authors=f"CASE WHEN len({_AUTHORS}) = 0 THEN ['- Venue ' || lang, coalesce(CAST({_YEAR} AS VARCHAR), 'n.d.')] ELSE {_AUTHORS} END",
     landing="'https://example.org/' || doc_id",
@@ -397,7 +397,7 @@ source(
     pdf="CASE WHEN n_chars % 5 = 0 THEN 'https://pmc.ncbi.nlm.nih.gov/articles/PMC' || doc_id || '/pdf/' END",
 )
 source(
-    "openaire", 0.78, authors=dedupe_authors(_AUTHORS), published="CAST(year AS VARCHAR) || '-06-07'", abstract="title",
+    "openaire", 0.78, authors=dedupe_authors(_AUTHORS), published="CAST(year AS VARCHAR) || '-06-07'", abstract=ws("text"),
     # Without an identifier the links are searched for a DOI, which they do not hold.
     venue="CASE WHEN n_chars % 4 <> 0 THEN 'Venue ' || lang ELSE 'OpenAIRE' END",
     source_id=f"coalesce(doi, {stable('openaire')})", pdf="'https://example.org/' || doc_id || '.pdf'", copies=2,

@@ -171,7 +171,11 @@ def collection_run(spark: SparkSession, inputs: RunInputs, params: RunParams, ba
             "scan_outcomes",
         )
         counters = docscan.scan_counters(outcomes)
-        save(candidates.fulltext_candidates(outcomes, inputs.fetched), "fulltext_candidates")
+        named = save(candidates.fulltext_candidates(outcomes, inputs.fetched), "fulltext_candidates")
+        chosen_urls = save(candidates.chosen_documents(outcomes, named, pdfs, inputs.fetched), "chosen_documents")
+        outcomes = outcomes.join(chosen_urls.withColumnRenamed("url", "_chosen"), "canonical_id", "left").withColumn(
+            "document_pdf_url", F.coalesce("document_pdf_url", "_chosen")
+        ).drop("_chosen")
         final = docscan.apply_outcomes(diffed, outcomes)
     final = save(final, "papers")
 

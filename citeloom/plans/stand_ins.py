@@ -190,7 +190,7 @@ def landed_crossref(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landing(
         documents(spark, sf_dir), "crossref",
         "to_json(named_struct('message', named_struct('items', array(named_struct("
-        f"'DOI', {_DOI}, 'title', array(line1), 'abstract', concat('<jats:p>', line1, '</jats:p>'), "
+        f"'DOI', {_DOI}, 'title', array(line1), 'abstract', concat('<jats:p>', text, '</jats:p>'), "
         "'URL', concat('https://example.org/', doc_id), "
         f"'author', transform({_AUTHORS}, a -> named_struct('given', substring_index(a, ' ', 1), 'family', substring_index(a, ' ', -1))), "
         "'container-title', array(concat('Venue ', lang)), "
@@ -274,7 +274,7 @@ def landed_scholar_html(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents(spark, sf_dir), "google_scholar",
         "concat('<html><body><div class=\"gs_r\"><div class=\"gs_ri\"><h3 class=\"gs_rt\"><span>[PDF]</span> <a href=\"https://example.org/', "
         f"doc_id, '\">', {_xml('line1')}, '</a></h3><div class=\"gs_a\">', array_join({_AUTHORS}, ', '), ' - Venue ', lang, ', ', "
-        f"coalesce(cast({_YEAR} AS string), 'n.d.'), ' - example.org</div><div class=\"gs_rs\">', {_xml('line1')}, '</div></div></div></body></html>')",
+        f"coalesce(cast({_YEAR} AS string), 'n.d.'), ' - example.org</div><div class=\"gs_rs\">', {_xml('text')}, '</div></div></div></body></html>')",
     )
 
 
@@ -327,5 +327,5 @@ def landed_openaire(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"coalesce(concat('<dateofacceptance>', {_YEAR}, '-06-07</dateofacceptance>'), ''), "
         "CASE WHEN n_chars % 4 <> 0 THEN concat('<journal>Venue ', lang, '</journal>') ELSE '' END, "
         f"coalesce(concat('<pid>', {_DOI}, '</pid>'), ''), '<children><url>https://example.org/', doc_id, '</url><url>https://example.org/', doc_id, '.pdf</url></children>"
-        f"<description>', {_xml('line1')}, '</description></oaf:result></oaf:entity></metadata></result></results></response>')",
+        f"<description>', {_xml('text')}, '</description></oaf:result></oaf:entity></metadata></result></results></response>')",
     )

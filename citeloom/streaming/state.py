@@ -1,9 +1,11 @@
 """Incremental paper state over a stream of source records, and a first-arrival filter.
 
-The state has no time bound (an id never expires), so it is a table, not operator state. A micro-batch
-writes only the papers it touched, as one partition of the table; the current state is the last row per
-id over all partitions. A micro-batch that is run again replaces its own partition, so a lost driver or
-executor leaves no trace.
+The state has no time bound (an id never expires), so it is tables, not operator state. Next to the index row of a paper
+it keeps what later records are merged with: the winners of the scalar fields with their places (``partials``) and the
+distinct list values (``values``). A micro-batch folds its records into those of the papers that it touches and writes
+only these, as one partition of each table; the current state is the last batch of each id. A micro-batch that is run
+again replaces its own partitions, so a lost driver or executor leaves no trace. The result of all batches equals the
+batch merge of all records.
 """
 
 from __future__ import annotations
@@ -23,34 +25,55 @@ STATE_FIELDS = (
 )
 
 
-def state_rows(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    """All written rows, optionally only those of earlier micro-batches."""
+VALUE_FIELDS = "canonical_id STRING, field STRING, value STRING, first_ord BIGINT, first_pos BIGINT, batch_id BIGINT"
+
+
+def _rows(spark: SparkSession, path: str, schema: str, before: int | None) -> DataFrame:
     if not path_exists(spark, path):
-        return spark.createDataFrame([], STATE_FIELDS)
-    rows = spark.read.schema(STATE_FIELDS).parquet(path)
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).parquet(path)
     return rows if before is None else rows.filter(F.col("batch_id") < before)
 
 
+def state_rows(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """All written index rows, optionally only those of earlier micro-batches."""
+    return _rows(spark, f"{path}/index", STATE_FIELDS, before)
+
+
 def current_state(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
     """Last row of every paper."""
     return last_per_key(state_rows(spark, path, before), ["canonical_id"], ["batch_id"])
 
 
 def upsert_batch(records: DataFrame, batch_id: int, path: str) -> None:
-    """Merge the records of one micro-batch, compare with the state before it, and write what was touched."""
+    """Fold the records of one micro-batch into the state before it, and write the papers that it touched."""
     spark = records.sparkSession
     keyed = merge.with_canonical_id(records)
-    papers = snapshot.fingerprint(merge.merge_papers(keyed), merge.merge_values(keyed))
-    touched = papers.select("canonical_id").distinct()
-    # Only ids of this micro-batch are read from the state.
+    touched = keyed.select("canonical_id").distinct()
+    # Only ids of this micro-batch are read from the state; of their rows, those of the last batch count.
     known = current_state(spark, path, batch_id).join(touched, "canonical_id", "left_semi")
+    last = known.select("canonical_id", "batch_id")
+    new = merge.partial_papers(keyed)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in new.schema) + ", batch_id BIGINT"
+    old = _rows(spark, f"{path}/partials", schema, batch_id).join(last, ["canonical_id", "batch_id"], "left_semi").drop("batch_id")
+    _write(merge.fold_partials(old.unionByName(new)), f"{path}/partials", batch_id)
+    old_values = _rows(spark, f"{path}/values", VALUE_FIELDS, batch_id).join(last, ["canonical_id", "batch_id"], "left_semi").drop("batch_id")
+    _write(merge.fold_values(old_values.unionByName(merge.merge_values(keyed))), f"{path}/values", batch_id)
+
+    this = F.col("batch_id") == batch_id
+    papers = merge.finish_partials(_rows(spark, f"{path}/partials", schema, None).filter(this))
+    values = _rows(spark, f"{path}/values", VALUE_FIELDS, None).filter(this).drop("batch_id")
     stamp = F.lit(f"batch-{batch_id}")
-    diffed = snapshot.diff(papers, known)
+    diffed = snapshot.diff(snapshot.fingerprint(papers, values), known)
     first_seen = known.select("canonical_id", F.col("first_seen_at").alias("_first"))
     rows = diffed.join(first_seen, "canonical_id", "left").select(
         "canonical_id", "hash", "title", "doi", "year", F.coalesce("_first", stamp).alias("first_seen_at"),
         stamp.alias("last_seen_at"), "status",
     )
+    _write(rows, f"{path}/index", batch_id)
+
+
+def _write(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
@@ -65,9 +88,13 @@ def run_upserts(records: DataFrame, state_path: str, checkpoint: str) -> Streami
 
 
 def compact(spark: SparkSession, path: str, new_path: str, upto: int) -> DataFrame:
-    """The state up to a micro-batch as one partition of a new table."""
-    state = current_state(spark, path, upto + 1).drop("batch_id")
-    state.write.mode("overwrite").parquet(f"{new_path}/batch_id={upto}")
+    """The state up to a micro-batch as one partition of new tables; run it once every few hundred batches."""
+    state = current_state(spark, path, upto + 1)
+    last = state.select("canonical_id", "batch_id")
+    for name in ("partials", "values"):
+        rows = spark.read.parquet(f"{path}/{name}").withColumn("batch_id", F.col("batch_id").cast("bigint"))
+        _write(rows.join(last, ["canonical_id", "batch_id"], "left_semi").drop("batch_id"), f"{new_path}/{name}", upto)
+    _write(state.drop("batch_id"), f"{new_path}/index", upto)
     return current_state(spark, new_path)
 
 
