@@ -68,12 +68,13 @@ def is_preprint_doi(c: Column) -> Column:
 
 def skip_candidate(url: Column, doi: Column) -> Column:
     """Supplementary files, arXiv copies of papers that are not preprints, and the text of a missing link."""
+    return skip_by_rule(url, is_preprint_doi(doi))
+
+
+def skip_by_rule(url: Column, preprint: Column) -> Column:
+    """The same rule where it is known whether the paper is a preprint."""
     lowered = F.lower(url)
-    return (
-        is_supplement(url)
-        | (~is_preprint_doi(doi) & lowered.contains("arxiv.org/pdf/"))
-        | (F.trim(lowered) == "none")
-    )
+    return is_supplement(url) | (~preprint & lowered.contains("arxiv.org/pdf/")) | (F.trim(lowered) == "none")
 
 
 def pick_pdf(urls: Column) -> Column:

@@ -113,71 +113,66 @@ def unmatched(manifest: DataFrame, groups: DataFrame) -> DataFrame:
 # --- evidence -------------------------------------------------------------------------------------------------
 
 
-def item_values(items: DataFrame, group_values: DataFrame, fields: list[str]) -> DataFrame:
-    """List values of the groups of the items, with the item columns; items per group are few."""
-    wanted = group_values.filter(F.col("field").isin(fields)).select(
-        F.col("group_key").alias("item_key"), "field", "value", "first_ord", "first_pos"
-    )
-    return lookup_join(wanted, items, ["item_key"], "inner")
+# Items of one title group share its values. Candidates and lines are therefore kept in two scopes: rows of a group
+# (``group_key`` set), made once however many items share them, and rows of an item (``ord`` set). Which candidates of a
+# group count depends on an item only through whether its DOI is a preprint's, so a group has two sets at most.
+
+
+def _rule_groups(items: DataFrame) -> DataFrame:
+    """``(group_key, preprint)`` of the groups of the items."""
+    return items.select(F.col("item_key").alias("group_key"), urls.is_preprint_doi(F.col("doi")).alias("preprint")).distinct()
+
+
+def _of_groups(group_values: DataFrame, wanted: DataFrame, field: str) -> DataFrame:
+    """Values of one field for the wanted groups: ``(group_key, ..., value, first_ord, first_pos)``."""
+    listed = group_values.filter(F.col("field") == field).select("group_key", "value", "first_ord", "first_pos")
+    return lookup_join(listed, wanted, ["group_key"], "inner")
+
+
+def _scoped(rows: DataFrame, at: Column) -> DataFrame:
+    """``(group_key, preprint, ord, url, at)``; what a scope lacks is NULL."""
+    kinds = {"group_key": "string", "preprint": "boolean", "ord": "bigint"}
+    return rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast(t).alias(c) for c, t in kinds.items()], "url", at.alias("at"))
 
 
 def direct_candidates(items: DataFrame, group_values: DataFrame) -> DataFrame:
-    """Listed documents of the group and arXiv addresses of preprints: ``(ord, url, at)``."""
-    listed = item_values(items.select("ord", "item_key", "doi"), group_values, ["pdf_urls"]).select(
-        "ord",
-        "doi",
-        F.col("value").alias("url"),
-        F.struct(F.lit(0).alias("s"), F.col("first_ord").alias("a"), F.col("first_pos").alias("b")).alias("at"),
-    )
-    listed = listed.filter(~urls.skip_candidate(F.col("url"), F.col("doi"))).drop("doi")
+    """Listed documents of the groups and arXiv addresses of preprint items: ``(group_key, preprint, ord, url, at)``."""
+    listed = _of_groups(group_values, _rule_groups(items), "pdf_urls").withColumnRenamed("value", "url")
+    listed = listed.filter(~urls.skip_by_rule(F.col("url"), F.col("preprint")))
     own = (
         items.filter(urls.is_preprint_doi(F.col("doi")))
         .select("ord", F.posexplode(F.array("url", "doi")).alias("p", "raw"))
-        .select(
-            "ord",
-            ids.arxiv_pdf(ids.arxiv_loose(F.col("raw"))).alias("url"),
-            F.struct(F.lit(1).alias("s"), F.lit(0).cast("bigint").alias("a"), F.col("p").cast("bigint").alias("b")).alias(
-                "at"
-            ),
-        )
+        .select("ord", "p", ids.arxiv_pdf(ids.arxiv_loose(F.col("raw"))).alias("url"))
         .filter(F.col("url").isNotNull())
     )
-    return listed.unionByName(own).groupBy("ord", "url").agg(F.min("at").alias("at"))
+    place = lambda s, x, y: F.struct(F.lit(s).alias("s"), x.cast("bigint").alias("a"), y.cast("bigint").alias("b"))
+    both = _scoped(listed, place(0, F.col("first_ord"), F.col("first_pos"))).unionByName(_scoped(own, place(1, F.lit(0), F.col("p"))))
+    return both.groupBy("group_key", "preprint", "ord", "url").agg(F.min("at").alias("at"))
 
 
-def landing_urls(items: DataFrame, group_values: DataFrame) -> DataFrame:
-    """URLs of the group, the manifest URL and the DOI page: ``(ord, kind, url, at)``."""
-    listed = item_values(items.select("ord", "item_key"), group_values, ["urls"]).select(
-        "ord",
-        F.lit("landing_page_text").alias("kind"),
-        F.col("value").alias("url"),
-        F.struct(F.lit(0).alias("s"), F.col("first_ord").alias("a"), F.col("first_pos").alias("b")).alias("at"),
-    )
-    zero = F.lit(0).cast("bigint")
-    own = items.select(
-        "ord",
+def own_pages(items: DataFrame) -> DataFrame:
+    """The manifest URL and the DOI page of every item: ``(ord, item_key, doi, n, kind, page)``."""
+    return items.select(
+        "ord", "item_key", "doi",
         F.posexplode(
             F.array(
-                F.struct(F.lit("manifest_url").alias("kind"), F.col("url").alias("url")),
-                F.struct(F.lit("doi_landing_page").alias("kind"), urls.fill(urls.DOI_PAGE, F.col("doi")).alias("url")),
+                F.struct(F.lit("manifest_url").alias("kind"), F.col("url").alias("page")),
+                F.struct(F.lit("doi_landing_page").alias("kind"), urls.fill(urls.DOI_PAGE, F.col("doi")).alias("page")),
             )
-        ).alias("p", "e"),
-    ).select(
-        "ord", "e.kind", "e.url", F.struct((F.col("p") + 1).alias("s"), zero.alias("a"), zero.alias("b")).alias("at")
-    )
-    return listed.unionByName(own).filter(F.col("url") != "")
+        ).alias("n", "e"),
+    ).select("ord", "item_key", "doi", "n", "e.kind", "e.page").filter(F.col("page") != "")
 
 
 def looked_up_links(items: DataFrame, doi_lookup: DataFrame) -> DataFrame:
-    """Document links of the looked-up works of an item: ``(ord, doi, url, s, p)``, first service first."""
-    keyed = items.select("ord", "doi", F.lower("doi").alias("_doi"))
+    """Document links of the looked-up works of an item: ``(ord, item_key, doi, url, s, p)``, first service first."""
+    keyed = items.select("ord", "item_key", "doi", F.lower("doi").alias("_doi"))
 
     def of(provider: str, schema: str, links, stage: int) -> DataFrame:
         works = doi_lookup.filter(F.col("provider") == provider).select(
             F.lower("doi").alias("_doi"), links(F.from_json("payload", schema)).alias("links")
         )
         return lookup_join(keyed, works, ["_doi"], "inner").select(
-            "ord", "doi", F.posexplode("links").alias("p", "url"), F.lit(stage).alias("s")
+            "ord", "item_key", "doi", F.posexplode("links").alias("p", "url"), F.lit(stage).alias("s")
         ).withColumn("p", F.col("p").cast("bigint"))
 
     return of("crossref", CROSSREF_MESSAGE, crossref_pdf_links, 0).unionByName(
@@ -188,35 +183,35 @@ def looked_up_links(items: DataFrame, doi_lookup: DataFrame) -> DataFrame:
 def discovered_candidates(
     items: DataFrame, group_values: DataFrame, doi_lookup: DataFrame, fetched: DataFrame, direct: DataFrame
 ) -> DataFrame:
-    """Documents found through DOI lookups and on landing pages, without the direct ones: ``(ord, url, at)``."""
-    looked = looked_up_links(items, doi_lookup)
-    zero = F.lit(0).cast("bigint")
-    looked = looked.select(
-        "ord", "doi", "url", F.struct("s", zero.alias("x"), zero.alias("a"), zero.alias("b"), "p").alias("at")
-    )
-    pages = landing_urls(items, group_values)
-    needed = _readable(fetched).join(pages.select("url").distinct(), "url", "left_semi")
-    links = document_links(needed).select(F.col("url"), F.col("pos"), F.col("link"))
-    on_pages = (
-        lookup_join(pages.select("ord", "url", "at"), links, ["url"], "inner")
-        .select(
-            "ord",
-            F.col("link").alias("url"),
-            F.struct(
-                F.lit(2).alias("s"),
-                F.col("at.s").cast("bigint").alias("x"),
-                F.col("at.a").alias("a"),
-                F.col("at.b").alias("b"),
-                F.col("pos").alias("p"),
-            ).alias("at"),
-        )
-        .join(items.select("ord", "doi"), "ord")
-        .select("ord", "doi", "url", "at")
+    """Documents found through DOI lookups and on landing pages, without the direct ones of the same scope or group.
+
+    ``(group_key, preprint, ord, url, at)``: pages of a group give rows of the group, lookups and own pages rows of the item.
+    """
+    group_pages = _of_groups(group_values, _rule_groups(items), "urls").withColumnRenamed("value", "page")
+    mine = own_pages(items)
+    pages = group_pages.select(F.col("page").alias("url")).unionByName(mine.select(F.col("page").alias("url"))).distinct()
+    links = materialise(
+        document_links(_readable(fetched).join(pages, "url", "left_semi")).select(F.col("url").alias("page"), "pos", F.col("link").alias("url")),
+        "page-links",
+    )
+    place = lambda *p: F.struct(*[x.cast("bigint").alias(n) for x, n in zip(p, "sabc", strict=True)])
+    zero = F.lit(0)
+    of_group = lookup_join(group_pages, links, ["page"], "inner").filter(~urls.skip_by_rule(F.col("url"), F.col("preprint")))
+    of_group = _scoped(of_group, place(F.lit(2), F.col("first_ord"), F.col("first_pos"), F.col("pos")))
+    owner = [F.col("item_key").alias("group_key"), urls.is_preprint_doi(F.col("doi")).alias("preprint"), "ord", "url"]
+    looked = looked_up_links(items, doi_lookup).select(*owner, place(F.col("s"), F.col("p"), zero, zero).alias("at"))
+    on_own = lookup_join(mine, links, ["page"], "inner").select(*owner, place(F.lit(2), F.col("n"), F.col("pos"), zero).alias("at"))
+    of_item = looked.unionByName(on_own).filter(~urls.skip_by_rule(F.col("url"), F.col("preprint")))
+    # Rows of items carry their group and rule as well until what is listed for these is left out.
+    keys = ["group_key", "preprint", "ord", "url"]
+    found = of_group.unionByName(of_item).groupBy(*keys).agg(F.min("at").alias("at"))
+    listed = direct.filter(F.col("ord").isNull()).select("group_key", "preprint", "url")
+    own_direct = direct.filter(F.col("ord").isNotNull()).select("ord", "url")
+    fresh = found.join(listed, ["group_key", "preprint", "url"], "left_anti").join(own_direct, ["ord", "url"], "left_anti")
+    shared = F.col("ord").isNull()
+    return fresh.select(
+        F.when(shared, F.col("group_key")).alias("group_key"), F.when(shared, F.col("preprint")).alias("preprint"), "ord", "url", "at"
     )
-    found = looked.unionByName(on_pages)
-    kept = found.filter(~urls.skip_candidate(F.col("url"), F.col("doi")))
-    firsts = kept.groupBy("ord", "url").agg(F.min("at").alias("at"))
-    return firsts.join(direct.select("ord", "url"), ["ord", "url"], "left_anti")
 
 
 def _valid_documents(fetched: DataFrame, max_mb: int | None) -> DataFrame:
@@ -281,15 +276,7 @@ def choose_snapshot_page(
     pages = (
         known.withColumn("b", F.lit(0).cast("bigint")).unionByName(landing).join(wanted_groups, "group_key", "left_semi")
     )
-    own = items.select(
-        "ord",
-        F.posexplode(
-            F.array(
-                F.struct(F.lit("manifest_url").alias("kind"), F.col("url").alias("url")),
-                F.struct(F.lit("doi_landing_page").alias("kind"), urls.fill(urls.DOI_PAGE, F.col("doi")).alias("url")),
-            )
-        ).alias("p", "e"),
-    ).select("ord", "p", "e.kind", "e.url")
+    own = own_pages(items).select("ord", F.col("n").alias("p"), "kind", F.col("page").alias("url"))
     usable = materialise(
         _usable_pages(fetched, pages.select("url").unionByName(own.select("url"))).select("url", "source_url"), "usable-pages"
     )
@@ -324,22 +311,18 @@ def snapshot_texts(
     return lookup_join(chosen, texts, ["url"], "inner").select("ord", "kind", "source_url", "text")
 
 
-def _values_line(items: DataFrame, group_values: DataFrame, field: str, section: int, label: str) -> DataFrame:
-    return item_values(items.select("ord", "item_key"), group_values, [field]).select(
-        "ord",
-        F.lit(section).alias("section"),
-        F.lit(label).alias("label"),
-        F.col("first_ord").alias("a"),
-        F.col("first_pos").alias("b"),
-        F.col("value").alias("text"),
+def _line_columns(df: DataFrame) -> DataFrame:
+    kinds = {"group_key": "string", "ord": "bigint"}
+    return df.select(
+        *[F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in kinds.items()], "section", "label", "a", "b", "text"
     )
 
 
 def metadata_snapshot(items: DataFrame, group_values: DataFrame, doi_lookup: DataFrame) -> DataFrame:
-    """Citation and abstract lines of every item as rows ``(ord, section, label, a, b, text)``.
+    """Citation and abstract lines as rows ``(group_key, ord, section, label, a, b, text)``.
 
-    ``section`` and ``(a, b)`` give the order. Values of one label belong on one line, joined by a
-    comma, in the printed form; abstracts are paragraphs. Rows keep large groups splittable.
+    Lines of a group are there once for all items that share it, lines of an item have its ``ord``. ``section`` and
+    ``(a, b)`` give the order; ``snapshot_documents`` joins both into one text.
     """
     zero = F.lit(0).cast("bigint")
     head = items.select(
@@ -410,33 +393,53 @@ def metadata_snapshot(items: DataFrame, group_values: DataFrame, doi_lookup: Dat
         )
         .unionByName(lines(datacite, 9, "datacite_metadata", F.array(joined_abstract), base=3))
     )
-    own_abstracts = _values_line(items, group_values, "abstracts", 9, "canonical_record_abstract").withColumn(
-        "b", F.struct("a", "b")
-    ).select("ord", "section", "label", F.lit(0).cast("bigint").alias("a"), F.col("b.a").alias("b"), "text")
-    abstracts = (
-        own_abstracts.unionByName(looked_up_abstracts)
-        .groupBy("ord", "text")
-        .agg(F.min(F.struct("section", "a", "b", "label")).alias("m"))
-        .select("ord", "m.section", "m.label", "m.a", "m.b", "text")
-    )
-    without = items.select("ord").join(abstracts.select("ord").distinct(), "ord", "left_anti").select(
-        "ord", F.lit(9).alias("section"), F.lit("citation_snapshot").alias("label"), zero.alias("a"), zero.alias("b"),
-        F.lit(NO_FULL_TEXT_LINE).alias("text"),
-    )
-    parts = [
-        _values_line(items, group_values, "canonical_ids", 5, "Paper ids"),
-        _values_line(items, group_values, "urls", 6, "Addresses"),
-        _values_line(items, group_values, "pdf_urls", 7, "Document addresses"),
-        meta,
-        abstracts,
-        without,
-    ]
-    out = head
-    for part in parts:
-        out = out.unionByName(part)
+    groups = items.select(F.col("item_key").alias("group_key")).distinct()
+    sections = {"canonical_ids": (5, "Paper ids"), "urls": (6, "Addresses"), "pdf_urls": (7, "Document addresses"), "abstracts": (9, "canonical_record_abstract")}
+    place = F.create_map(*[x for k, v in sections.items() for x in (F.lit(k), F.struct(F.lit(v[0]).alias("section"), F.lit(v[1]).alias("label")))])
+    of_groups = lookup_join(group_values.filter(F.col("field").isin(*sections)), groups, ["group_key"], "inner").select(
+        "group_key", place[F.col("field")].alias("s"), F.col("first_ord").alias("a"), F.col("first_pos").alias("b"), F.col("value").alias("text")
+    ).select("group_key", "s.section", "s.label", "a", "b", "text")
+    # A looked-up abstract that a paper of the group has as its own is not repeated.
+    stored = of_groups.filter(F.col("section") == 9).select(F.col("group_key").alias("item_key"), "text")
+    looked = looked_up_abstracts.groupBy("ord", "text").agg(F.min(F.struct("section", "a", "b", "label")).alias("m"))
+    looked = looked.join(items.select("ord", "item_key"), "ord")
+    new = looked.join(stored, ["item_key", "text"], "left_anti").select("ord", "m.section", "m.label", "m.a", "m.b", "text")
+    without = (
+        items.select("ord", "item_key").join(looked_up_abstracts.select("ord").distinct(), "ord", "left_anti")
+        .join(stored.select("item_key").distinct(), "item_key", "left_anti")
+        .select(
+            "ord", F.lit(9).alias("section"), F.lit("citation_snapshot").alias("label"), zero.alias("a"), zero.alias("b"),
+            F.lit(NO_FULL_TEXT_LINE).alias("text"),
+        )
+    )
+    out = _line_columns(of_groups)
+    for part in (head, meta, new, without):
+        out = out.unionByName(_line_columns(part))
     return out.filter(F.col("text") != "")
 
 
+def snapshot_documents(items: DataFrame, lines: DataFrame) -> DataFrame:
+    """The metadata snapshot of every item as one text: ``(ord, text)``.
+
+    Values of one label are one line, abstracts are paragraphs. Each group's part is put together once; a text is as large
+    as what it prints.
+    """
+    def joined(df: DataFrame, keys: list[str]) -> DataFrame:
+        ordered = F.array_sort(F.collect_list(F.struct("a", "b", "text")))
+        texts = F.transform(ordered, lambda s: s["text"])
+        by_label = df.groupBy(*keys, "section", "label").agg(texts.alias("texts"), F.min(F.struct("a", "b")).alias("at"))
+        body = F.when(F.col("section") == 9, F.array_join("texts", "\n\n")).otherwise(
+            F.concat(F.col("label"), F.lit(": "), F.array_join("texts", ", "))
+        )
+        return by_label.groupBy(*keys).agg(F.collect_list(F.struct("section", "at", body.alias("body"))).alias("parts"))
+
+    of_item = joined(lines.filter(F.col("ord").isNotNull()), ["ord"])
+    of_group = joined(lines.filter(F.col("ord").isNull()), ["group_key"]).select(F.col("group_key").alias("item_key"), F.col("parts").alias("shared"))
+    both = lookup_join(items.select("ord", "item_key").join(of_item, "ord"), of_group, ["item_key"])
+    parts = F.array_sort(F.when(F.col("shared").isNull(), F.col("parts")).otherwise(F.concat("parts", "shared")))
+    return both.select("ord", F.array_join(F.transform(parts, lambda p: p["body"]), "\n").alias("text"))
+
+
 def snapshot_kinds(items: DataFrame, group_values: DataFrame, doi_lookup: DataFrame) -> DataFrame:
     """What kind of metadata snapshot each item gets: the first source that has an abstract; ``(ord, url, kind)``."""
     stored = group_values.filter(F.col("field") == "abstracts").select(F.col("group_key").alias("item_key")).distinct()
@@ -478,6 +481,8 @@ def best_evidence(
 ) -> DataFrame:
     """One evidence row per item: existing file, direct document, discovered document, text or metadata.
 
+    ``matched_ids`` counts the papers of an item's group, ``first_id`` is the first one (the lines of the group list all); ``error`` is that of an existing file's conversion.
+
     Each step runs only for items that are still without evidence, so pages are parsed only when needed,
     and a group makes its choice once for all items that share it.
     The result of a step (one small row per item) is written, because all later steps depend on it.
@@ -493,10 +498,8 @@ def best_evidence(
             (F.col(snapshot) if snapshot else F.lit(None).cast("string")).alias("snapshot_kind"),
         )
 
-    files = lookup_join(
-        local_files.select(F.col("group_key").alias("item_key"), F.col("ord").alias("f_ord"), "path"),
-        items.select("ord", "item_key"), ["item_key"], "inner",
-    ).groupBy("ord").agg(F.min_by("path", "f_ord").alias("path"))
+    first_file = local_files.groupBy(F.col("group_key").alias("item_key")).agg(F.min_by(F.struct("path", "error"), "ord").alias("f"))
+    files = lookup_join(items.select("ord", "item_key"), first_file, ["item_key"], "inner").select("ord", "f.path", "f.error")
     found0 = materialise(row(files, 0, "existing_local_pdf", "path"), "evidence-files")
     left1 = items.join(found0.select("ord"), "ord", "left_anti")
 
@@ -521,10 +524,8 @@ def best_evidence(
     group_pages = group_values.filter(F.col("field") == "urls").join(open_groups, "group_key", "left_semi").select(
         "group_key", F.col("value").alias("page"), "first_ord", "first_pos"
     )
-    own_pages = left2.select(
-        "ord", "doi", F.posexplode(F.array(F.col("url"), urls.fill(urls.DOI_PAGE, F.col("doi")))).alias("n", "page")
-    )
-    all_pages = group_pages.select(F.col("page").alias("url")).unionByName(own_pages.select(F.col("page").alias("url")))
+    mine = own_pages(left2)
+    all_pages = group_pages.select(F.col("page").alias("url")).unionByName(mine.select(F.col("page").alias("url")))
     links = document_links(_readable(fetched).join(all_pages.distinct(), "url", "left_semi")).select(
         F.col("url").alias("page"), F.col("link").alias("url"), "pos"
     )
@@ -532,7 +533,7 @@ def best_evidence(
     on_group = _first_by_rule(
         lookup_join(group_pages, good_links, ["page"], "inner"), F.struct("first_ord", "first_pos", "pos")
     )
-    on_own = lookup_join(own_pages, good_links, ["page"], "inner").filter(
+    on_own = lookup_join(mine, good_links, ["page"], "inner").filter(
         ~urls.skip_candidate(F.col("url"), F.col("doi"))
     )
     stage = lambda s, p: F.struct(F.lit(s).alias("s"), p.cast("bigint").alias("p")).alias("at")
@@ -554,7 +555,14 @@ def best_evidence(
     found4 = row(kinds, 4, "generated_metadata_snapshot_pdf", "url", "kind")
 
     evidence = found0.unionByName(found1).unionByName(found2).unionByName(found3).unionByName(found4)
-    return items.select("ord", "title", "url", "doi", "item_key").join(evidence, "ord", "left")
+    per_group = group_values.filter(F.col("field") == "canonical_ids").groupBy(F.col("group_key").alias("item_key")).agg(
+        F.count("*").alias("matched_ids"), F.min_by("value", F.struct("first_ord", "first_pos")).alias("first_id")
+    )
+    out = lookup_join(items.select("ord", "title", "url", "doi", "item_key"), per_group, ["item_key"])
+    errors = files.select("ord", "error")
+    return out.join(evidence, "ord", "left").join(errors, "ord", "left").withColumn(
+        "matched_ids", F.coalesce("matched_ids", F.lit(0).cast("bigint"))
+    )
 
 
 def choose_archived_copy(files: DataFrame) -> DataFrame:

@@ -749,7 +749,7 @@ def discovered_candidates(spark, sf_dir):
     items, values, _ = _final_inputs(spark, sf_dir)
     direct = finalize.direct_candidates(items, values)
     found = finalize.discovered_candidates(items, values, *_landed_tables(spark, sf_dir), direct)
-    return found.select("ord", "url", F.col("at.s").cast("bigint").alias("stage"))
+    return found.select("group_key", "preprint", "ord", "url", F.col("at.s").cast("bigint").alias("stage"))
 
 
 @query
@@ -762,10 +762,18 @@ def snapshot_texts(spark, sf_dir):
 
 @query
 def metadata_snapshot(spark, sf_dir):
-    """Citation and abstract lines of every manifest item."""
+    """Citation and abstract lines of the manifest items and their groups."""
     items, values, _ = _final_inputs(spark, sf_dir)
     lines = finalize.metadata_snapshot(items, values, stand_ins.doi_lookup(spark, sf_dir))
-    return lines.select("ord", F.col("section").cast("bigint").alias("section"), "label", F.md5("text").alias("text_md5"))
+    return lines.select("group_key", "ord", F.col("section").cast("bigint").alias("section"), "label", F.md5("text").alias("text_md5"))
+
+
+@query
+def snapshot_documents(spark, sf_dir):
+    """Length of the composed metadata snapshot of every manifest item."""
+    items, values, _ = _final_inputs(spark, sf_dir)
+    lines = materialise(finalize.metadata_snapshot(items, values, stand_ins.doi_lookup(spark, sf_dir)), "snapshot-lines")
+    return finalize.snapshot_documents(items, lines).select("ord", F.length("text").cast("bigint").alias("chars"))
 
 
 @query
@@ -776,7 +784,7 @@ def best_evidence(spark, sf_dir):
         items, values, _verification(spark, sf_dir), *_landed_tables(spark, sf_dir), _local_files(spark, sf_dir)
     ).select(
         "ord", F.col("rank").cast("bigint").alias("rank"), "evidence_kind", "evidence_url", "snapshot_kind",
-        finalize.snapshot_note(F.col("snapshot_kind")).alias("note"),
+        finalize.snapshot_note(F.col("snapshot_kind")).alias("note"), "matched_ids", "first_id", "error",
     )
 
 

@@ -795,16 +795,22 @@ _LANDING = (
 )
 FINAL = (
     f"{GROUPS}, {ITEMS}, {LINKS}, {LOOKUP}, {FETCHED}, {FILES}, {_LANDING}, "
-    f"direct AS (SELECT i.ord, i.doi, p.url, p.po, p.ro FROM items i JOIN gpdf p ON p.group_key = i.gk WHERE NOT {_SKIP.replace('url', 'p.url').replace('doi', 'i.doi')}), "
+    f"rules AS (SELECT DISTINCT gk, {_PRE.format(d='doi')} AS pre FROM items), "
+    f"direct AS (SELECT r.gk, r.pre, p.url, p.po, p.ro FROM rules r JOIN gpdf p ON p.group_key = r.gk WHERE NOT {_SKIP.replace('url', 'p.url').replace(_PRE.format(d='doi'), 'r.pre')}), "
     # Pages of records carry one typed link; found documents are named by the record that gave the page.
+    "plink AS (SELECT url AS page, regexp_extract(url, '^(https?://[^/]*)', 1) || '/dl/' || ord AS url FROM judged WHERE page_bad IS NULL), "
+    f"gdisc AS (SELECT DISTINCT r.gk AS group_key, r.pre AS preprint, l.url FROM rules r JOIN gurl u ON u.group_key = r.gk JOIN plink l ON l.page = u.url "
+    f"WHERE NOT {_SKIP.replace('url', 'l.url').replace(_PRE.format(d='doi'), 'r.pre')} AND (r.gk, r.pre, l.url) NOT IN (SELECT (gk, pre, url) FROM direct)), "
     "disc AS (SELECT ord, url, min(stage) AS stage FROM ("
-    "SELECT i.ord, i.doi, 'https://example.org/cr/' || l.doc_id || '/pdf' AS url, 0 AS stage FROM items i JOIN look l ON l.doi = lower(i.doi) "
-    "UNION ALL SELECT i.ord, i.doi, unnest(list_filter(['https://example.org/oa/' || l.doc_id, CASE WHEN l.n_chars % 2 = 0 THEN 'https://example.org/pdf/' || l.doc_id || '?v=1' END, "
+    "SELECT i.ord, i.doi, i.gk, 'https://example.org/cr/' || l.doc_id || '/pdf' AS url, 0 AS stage FROM items i JOIN look l ON l.doi = lower(i.doi) "
+    "UNION ALL SELECT i.ord, i.doi, i.gk, unnest(list_filter(['https://example.org/oa/' || l.doc_id, CASE WHEN l.n_chars % 2 = 0 THEN 'https://example.org/pdf/' || l.doc_id || '?v=1' END, "
     "'https://doi.org/' || l.doi, 'https://arxiv.org/abs/2101.' || lpad(CAST(l.doc_id % 100000 AS VARCHAR), 5, '0') || 'v2'], lambda x : x IS NOT NULL)), 1 FROM items i JOIN look l ON l.doi = lower(i.doi) "
-    "UNION ALL SELECT a.ord, a.doi, regexp_extract(f.url, '^(https?://[^/]*)', 1) || '/dl/' || f.ord, 2 FROM land a JOIN judged f ON f.url = a.url WHERE f.page_bad IS NULL) "
-    f"WHERE NOT {_SKIP} AND (ord, url) NOT IN (SELECT (ord, url) FROM direct) GROUP BY 1, 2)"
+    "UNION ALL SELECT i.ord, i.doi, i.gk, l.url, 2 FROM items i JOIN plink l ON l.page IN (i.url, 'https://doi.org/' || i.doi)) "
+    f"WHERE NOT {_SKIP} AND (gk, {_PRE.format(d='doi')}, url) NOT IN (SELECT (gk, pre, url) FROM direct) GROUP BY 1, 2)"
+)
+SQL["discovered_candidates"] = (
+    f"WITH {FINAL} SELECT NULL AS group_key, NULL AS preprint, ord, url, stage FROM disc UNION ALL SELECT group_key, preprint, NULL, url, 2 FROM gdisc"
 )
-SQL["discovered_candidates"] = f"WITH {FINAL} SELECT ord, url, stage FROM disc"
 _USABLE = (
     "(length({w}) >= 400 AND NOT regexp_matches(lower({w}), 'preparing to download|recaptcha|captcha|access denied|enable javascript|browser check'))"
 )
@@ -823,21 +829,30 @@ META = (
     "UNION ALL SELECT ord, 'looked up ' || lang, 2 FROM xr UNION ALL SELECT ord, 'A looked-up note', 3 FROM xr) GROUP BY 1, 2), "
     "heads AS (SELECT ord, 0 AS section, 'Title' AS label, title AS t FROM items UNION ALL SELECT ord, 1, 'Authors', array_to_string(authors, ', ') FROM items "
     "UNION ALL SELECT ord, 2, 'Member Authors', 'Team ' || lang FROM items UNION ALL SELECT ord, 3, 'Address', url FROM items UNION ALL SELECT ord, 4, 'DOI', doi FROM items), "
-    "lines_ AS (SELECT * FROM heads "
-    "UNION ALL SELECT i.ord, 5, 'Paper ids', k.canonical_id FROM items i JOIN gk k ON k.group_key = i.gk "
-    "UNION ALL SELECT i.ord, 6, 'Addresses', u.url FROM items i JOIN gurl u ON u.group_key = i.gk "
-    "UNION ALL SELECT i.ord, 7, 'Document addresses', u.url FROM items i JOIN gpdf u ON u.group_key = i.gk "
-    "UNION ALL SELECT ord, 8, 'Metadata', unnest(['Crossref published date: 2015-6', 'Crossref venue: Venue ' || lang, 'OpenAlex OA status: green', 'OpenAlex OA URL: https://example.org/oa/' || doc_id]) FROM xr "
-    "UNION ALL SELECT ord, 9, CASE p WHEN 0 THEN 'canonical_record_abstract' WHEN 2 THEN 'openalex_metadata' ELSE 'datacite_metadata' END, t FROM abst "
-    "UNION ALL SELECT ord, 9, 'citation_snapshot', 'Neither full text nor an abstract has landed; the citation stands for the paper.' "
+    "gl AS (SELECT DISTINCT gk FROM items), "
+    "lines_ AS (SELECT NULL AS group_key, * FROM heads "
+    "UNION ALL SELECT k.group_key, NULL, 5, 'Paper ids', k.canonical_id FROM gk k WHERE k.group_key IN (FROM gl) "
+    "UNION ALL SELECT u.group_key, NULL, 6, 'Addresses', u.url FROM gurl u WHERE u.group_key IN (FROM gl) "
+    "UNION ALL SELECT u.group_key, NULL, 7, 'Document addresses', u.url FROM gpdf u WHERE u.group_key IN (FROM gl) "
+    "UNION ALL SELECT DISTINCT a.group_key, NULL, 9, 'canonical_record_abstract', a.t FROM gabs a WHERE a.group_key IN (FROM gl) "
+    "UNION ALL SELECT NULL, ord, 8, 'Metadata', unnest(['Crossref published date: 2015-6', 'Crossref venue: Venue ' || lang, 'OpenAlex OA status: green', 'OpenAlex OA URL: https://example.org/oa/' || doc_id]) FROM xr "
+    "UNION ALL SELECT NULL, ord, 9, CASE p WHEN 2 THEN 'openalex_metadata' ELSE 'datacite_metadata' END, t FROM abst WHERE p > 0 "
+    "UNION ALL SELECT NULL, ord, 9, 'citation_snapshot', 'Neither full text nor an abstract has landed; the citation stands for the paper.' "
     "FROM items WHERE ord NOT IN (SELECT ord FROM abst))"
 )
 _MATCHED = "ord IN (SELECT ord FROM items JOIN grp ON gk = group_key)"
-SQL["metadata_snapshot"] = f"WITH {FINAL}, {META} SELECT ord, section, label, md5(t) AS text_md5 FROM lines_ WHERE t <> '' AND {_MATCHED}"
+_SHARED = "(ord IS NULL AND group_key IN (SELECT group_key FROM grp))"
+SQL["metadata_snapshot"] = f"WITH {FINAL}, {META} SELECT group_key, ord, section, label, md5(t) AS text_md5 FROM lines_ WHERE t <> '' AND ({_MATCHED} OR {_SHARED})"
+SQL["snapshot_documents"] = (
+    f"WITH {FINAL}, {META}, own AS (SELECT i.ord AS item, l.* FROM items i JOIN lines_ l ON l.ord = i.ord OR l.group_key = i.gk WHERE l.t <> ''), "
+    "by_label AS (SELECT item, section, label, sum(length(t)) + (count(*) - 1) * 2 + CASE WHEN section = 9 THEN 0 ELSE length(label) + 2 END AS chars "
+    "FROM own GROUP BY item, section, label) "
+    f"SELECT item AS ord, CAST(sum(chars) + count(*) - 1 AS BIGINT) AS chars FROM by_label WHERE {_MATCHED.replace('ord IN', 'item IN')} GROUP BY item"
+)
 SQL["best_evidence"] = (
     f"WITH {FINAL}, {SNAPSHOTS}, {META}, ok AS (SELECT url FROM judged WHERE bad IS NULL), "
     "r0 AS (SELECT i.ord, first(f.path ORDER BY f.ord) AS u FROM items i JOIN files f ON f.group_key = i.gk GROUP BY 1), "
-    "r1 AS (SELECT ord, first(url ORDER BY po, ro) AS u FROM direct WHERE url IN (SELECT url FROM ok) GROUP BY 1), "
+    f"r1 AS (SELECT i.ord, first(d.url ORDER BY d.po, d.ro) AS u FROM items i JOIN direct d ON d.gk = i.gk AND d.pre = {_PRE.format(d='i.doi')} WHERE d.url IN (SELECT url FROM ok) GROUP BY 1), "
     # Only the looked-up documents can be valid here: no typed link of a page was landed.
     "r2 AS (SELECT ord, min(url) AS u FROM disc WHERE url IN (SELECT url FROM ok) GROUP BY 1), "
     "r4 AS (SELECT ord, min(p) AS p FROM abst GROUP BY 1), "
@@ -848,10 +863,13 @@ SQL["best_evidence"] = (
     "o AS (SELECT ord, rank, CASE rank WHEN 0 THEN 'existing_local_pdf' WHEN 1 THEN 'downloaded_pdf' WHEN 2 THEN 'downloaded_pdf' WHEN 3 THEN 'generated_text_snapshot_pdf' ELSE 'generated_metadata_snapshot_pdf' END AS evidence_kind, "
     "CASE rank WHEN 0 THEN u0 WHEN 1 THEN u1 WHEN 2 THEN u2 WHEN 3 THEN u3 ELSE CASE WHEN k4 = 'citation_snapshot' THEN url ELSE k4 END END AS evidence_url, "
     "CASE rank WHEN 3 THEN k3 WHEN 4 THEN k4 END AS snapshot_kind FROM e) "
-    "SELECT *, 'made from ' || CASE WHEN snapshot_kind IN ('landing_page_text', 'manifest_url', 'doi_landing_page') THEN 'article text' "
+    "SELECT o.*, 'made from ' || CASE WHEN snapshot_kind IN ('landing_page_text', 'manifest_url', 'doi_landing_page') THEN 'article text' "
     "WHEN snapshot_kind IN ('canonical_record_abstract', 'crossref_metadata', 'openalex_metadata', 'datacite_metadata') THEN 'abstract and metadata' "
     "ELSE 'the citation' END || '; no PDF has landed' AS note "
-    f"FROM o WHERE {_MATCHED}"
+    ", m.matched_ids, m.first_id, fe.error FROM o JOIN items im USING (ord) "
+    "LEFT JOIN (SELECT group_key, count(*) AS matched_ids, first(canonical_id ORDER BY first_ord) AS first_id FROM gk GROUP BY 1) m ON m.group_key = im.gk "
+    "LEFT JOIN (SELECT group_key, first(error ORDER BY ord) AS error FROM files GROUP BY 1) fe ON fe.group_key = im.gk "
+    f"WHERE {_MATCHED}"
 )
 SQL["final_markdown"] = (
     f"WITH {DOCS}, {ITEMS} SELECT ord, '**' || title || '**' || chr(10) || 'Authors: ' || array_to_string(authors, ', ') || ' | Member Authors: Team ' || lang "

@@ -7,7 +7,7 @@ from conftest import cells
 from pyspark.sql import functions as F
 
 from citeloom.functions.scan import ScanSpec
-from citeloom.operators import candidates, merge
+from citeloom.operators import candidates, merge, snapshot
 from citeloom.plans import jobs, sinks
 from citeloom.schemas import DOI_LOOKUP, FETCHED, MANIFEST, MEMBERS, RAW_PAYLOADS
 from citeloom.streaming import state
@@ -105,7 +105,7 @@ def test_two_runs(spark, tmp_path):
         [("doi:10.1/a", "/p", "u", "/a", None, True)],
         "canonical_id STRING, document_pdf_local_path STRING, document_pdf_url STRING, document_pdfa_path STRING, document_pdfa_error STRING, pdfa_conversion_ok BOOLEAN",
     )
-    jobs.backfill_job(spark, updates, ["papers_with_award_mention"], base, sinks.latest_run(spark, base), "r4")
+    jobs.backfill_job(spark, updates, ["papers_with_award_mention"], base, "r2", "r4")
     back = spark.read.parquet(sinks.run_path(base, "r4", "papers_with_award_mention"))
     assert ("doi:10.1/a", "/a", True) in cells(back, "canonical_id", "document_pdfa_path", "pdfa_conversion_ok")
 
@@ -128,6 +128,42 @@ def test_streaming_state(spark, tmp_path):
     assert small.count() == 2
 
 
+def test_stream_batches_fold_into_the_batch_merge(spark, tmp_path):
+    from test_merge_and_order import ROWS, _records
+
+    late = ROWS[1] | {"ord": 9, "title": "x", "abstract": "only in the second batch", "authors": ["New Name"]}
+    path = str(tmp_path / "state")
+    for batch, part in enumerate((ROWS[:3], [late, ROWS[3]], ROWS[4:])):
+        state.upsert_batch(_records(spark, part), batch, path)
+    keyed = merge.with_canonical_id(_records(spark, [*ROWS, late]))
+    whole = snapshot.fingerprint(merge.merge_papers(keyed), merge.merge_values(keyed))
+    assert cells(state.current_state(spark, path), "canonical_id", "hash", "title") == cells(whole, "canonical_id", "hash", "title")
+    small = state.compact(spark, path, str(tmp_path / "small"), 2)
+    assert cells(small, "canonical_id", "hash") == cells(whole, "canonical_id", "hash")
+    # The compacted state goes on like the full one.
+    again = [ROWS[0] | {"ord": 20, "title": "A much longer title than all of the others were before"}]
+    for p in (path, str(tmp_path / "small")):
+        state.upsert_batch(_records(spark, again), 3, p)
+    assert cells(state.current_state(spark, path), "canonical_id", "hash", "status") == cells(
+        state.current_state(spark, str(tmp_path / "small")), "canonical_id", "hash", "status"
+    )
+
+
+def test_document_is_chosen_after_a_full_text_hit(spark):
+    at = "STRUCT<stage BIGINT, a BIGINT, b BIGINT>"
+    outcomes = spark.createDataFrame(
+        [("p1", "mention", None), ("p2", "mention", "has.pdf"), ("p3", "scanned_clear", None), ("p4", "mention", None), ("p5", "mention", None)],
+        "canonical_id STRING, status STRING, document_pdf_url STRING",
+    )
+    fulltext = spark.createDataFrame([("p1", "bad.pdf", (5, 0, 0)), ("p1", "good.pdf", (5, 0, 1)), ("p2", "good.pdf", (5, 0, 0)), ("p3", "good.pdf", (5, 0, 0))], f"canonical_id STRING, url STRING, at {at}")
+    pdfs = spark.createDataFrame([("p1", "other.pdf", (0, 0, 0)), ("p4", "other.pdf", (0, 0, 0)), ("p5", "bad.pdf", (0, 0, 0))], f"canonical_id STRING, url STRING, at {at}")
+    fetched = spark.createDataFrame(
+        [("good.pdf", 200, "application/pdf", "%PDF", None), ("other.pdf", 200, "application/pdf", "%PDF", None), ("bad.pdf", 404, "text/html", "x", None)],
+        "url STRING, status_code INT, content_type STRING, body STRING, error STRING",
+    )
+    assert cells(candidates.chosen_documents(outcomes, fulltext, pdfs, fetched), "canonical_id", "url") == [("p1", "good.pdf"), ("p4", "other.pdf")]
+
+
 def test_candidates_of_links_and_lookups(spark):
     from test_merge_and_order import _records
 
