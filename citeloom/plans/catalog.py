@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from citeloom.functions import html, names
@@ -27,7 +27,7 @@ from citeloom.operators import (
     report,
     snapshot,
 )
-from citeloom.plans import stand_ins
+from citeloom.plans import jobs, stand_ins
 from citeloom.plans.stand_ins import source_records, table
 from citeloom.schemas import SOURCE_ORDER
 from citeloom.session import materialise, scratch_dir
@@ -241,6 +241,34 @@ def source_inspirehep(spark, sf_dir):
     )
 
 
+@query
+def collected_records(spark, sf_dir):
+    """Records of all twelve sources in the order of a run, from payloads over three pages, blocked pages among them."""
+    landed = [getattr(stand_ins, f"landed_{n}")(spark, sf_dir) for n in (
+        "dblp", "openalex", "semantic_scholar", "crossref", "datacite", "europe_pmc", "pubmed", "openaire", "doaj", "arxiv", "inspirehep", "scholar_html",
+    )]
+    columns = ["source", "member_name", "page_no", "row_no", "payload"]
+    raw = landed[0].select(columns)
+    for part in landed[1:]:
+        raw = raw.unionByName(part.select(columns))
+    blocked = F.lit("<html><body>Our systems have detected unusual traffic: captcha</body></html>")
+    walls = landed[-1].filter("row_no % 50 = 7").select(columns).withColumn("payload", blocked)
+    raw = raw.unionByName(walls).withColumn("page_no", F.pmod("row_no", F.lit(3)).cast(raw.schema["page_no"].dataType))
+    members = stand_ins.people(spark, sf_dir).withColumn("member_ord", F.length("name"))
+    params = jobs.RunParams("r", "t0", "t1", MIN_YEAR, NUMBER, lookback_years=0)
+    ordered = jobs.with_order(jobs.normalise_all(raw, members, params), members)
+    place = F.row_number().over(Window.partitionBy("source").orderBy("ord"))
+    return ordered.select("source", "member_name", "source_id", "title", "doi", place.cast("bigint").alias("place"))
+
+
+@query
+def blocked_pages(spark, sf_dir):
+    """Error rows of the blocked ones among result pages."""
+    pages = stand_ins.landed_scholar_html(spark, sf_dir)
+    wall = F.when(F.col("row_no") % 5 == 2, F.concat(F.lit("<p>captcha</p> unusual traffic "), "payload")).otherwise(F.col("payload"))
+    return markup_sources.blocked_pages(pages.withColumn("payload", wall)).groupBy("source", "member", "error").agg(F.count("*").alias("pages"))
+
+
 @query
 def source_google_scholar_json(spark, sf_dir):
     return _show(json_sources.google_scholar_json(stand_ins.landed_scholar_json(spark, sf_dir), MIN_YEAR))

@@ -422,6 +422,22 @@ SQL["source_inspirehep"] = (
     "CAST(0.88 AS DOUBLE) AS relevance_score FROM m JOIN f USING (doc_id)"
 )
 
+_TWELVE = {
+    "dblp": "dblp", "openalex": "openalex", "semantic_scholar": "semantic_scholar", "crossref": "crossref", "datacite": "datacite",
+    "europe_pmc": "europe_pmc", "pubmed": "pubmed", "openaire": "openaire", "doaj": "doaj", "arxiv": "arxiv", "inspirehep": "inspirehep",
+    "google_scholar": "google_scholar_html",
+}
+SQL["collected_records"] = (
+    f"WITH {DOCS}, members AS (SELECT DISTINCT w[1] || ' ' || upper(w[2][1]) || lower(substr(w[2], 2)) AS name FROM docs WHERE len(w) >= 2), u AS ("
+    + " UNION ALL ".join(f"SELECT '{source}' AS source, * FROM ({SQL['source_' + name]})" for source, name in _TWELVE.items())
+    + ") SELECT source, member_name, source_id, title, doi, row_number() OVER (PARTITION BY source ORDER BY length(m.name) NULLS FIRST, member_name, "
+    "row_no % 3, row_no, source_id) AS place FROM u LEFT JOIN members m ON m.name = u.member_name"
+)
+SQL["blocked_pages"] = (
+    f"WITH {DOCS} SELECT 'google_scholar' AS source, {_MEMBER} AS member, 'result page is blocked' AS error, count(*) AS pages "
+    f"FROM docs WHERE doc_id % 5 = 2 AND {_MEMBER} IS NOT NULL GROUP BY 2"
+)
+
 # --- snapshots ------------------------------------------------------------------------------------------------
 
 
