@@ -58,11 +58,6 @@ def distinct_ignore_case(arr: Column) -> Column:
     return F.transform(F.array_sort(firsts), lambda e: e["v"])
 
 
-def minus(arr: Column, known: Column) -> Column:
-    """Values of ``arr`` that are not in ``known``, order kept."""
-    return F.array_except(arr, known)
-
-
 def first_of(arr: Column) -> Column:
     """First element or NULL."""
     return F.get(arr, F.lit(0))

@@ -38,11 +38,6 @@ def letters_key(c: Column) -> Column:
     return F.regexp_replace(F.lower(c), "[^a-z]", "")
 
 
-def any_letters_key(c: Column) -> Column:
-    """Lower-case letters of any script."""
-    return F.regexp_replace(F.lower(c), r"[^\p{L}]", "")
-
-
 def first(toks: Column) -> Column:
     return F.get(toks, F.lit(0))
 

@@ -44,11 +44,6 @@ def title_key(c: Column) -> Column:
     return F.regexp_replace(F.lower(c), "[^a-z0-9]+", "")
 
 
-def collapse_alnum(c: Column) -> Column:
-    """Letters and digits of any script, lower-cased, all else dropped."""
-    return F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", "")
-
-
 def strip_tags(c: Column) -> Column:
     """Replace markup tags by spaces, then collapse; blank to NULL."""
     return ws_or_null(F.regexp_replace(ws(c), "<[^>]+>", " "))
@@ -83,10 +78,6 @@ def display_title_key(c: Column) -> Column:
     return title_key(display_text(c))
 
 
-def first_line(c: Column) -> Column:
-    return F.substring_index(c, "\n", 1)
-
-
 def clip(c: Column, limit: int) -> Column:
     """Shorten to ``limit`` characters with a trailing ellipsis, if longer."""
     return bind(

@@ -261,6 +261,16 @@ def collected_records(spark, sf_dir):
     return ordered.select("source", "member_name", "source_id", "title", "doi", place.cast("bigint").alias("place"))
 
 
+@query
+def pubmed_search_ids(spark, sf_dir):
+    """Record ids of landed search answers, one answer per document."""
+    answers = table(spark, sf_dir, "documents").selectExpr(
+        "doc_id", "to_json(named_struct('esearchresult', named_struct('idlist', array(concat(' ', doc_id, ' '), '', cast(n_chars AS string))))) AS payload"
+    )
+    ids = answers.select("doc_id", F.posexplode(json_sources.pubmed_ids(F.col("payload"))).alias("pos", "pmid"))
+    return ids.select("doc_id", F.col("pos").cast("bigint").alias("pos"), "pmid")
+
+
 @query
 def blocked_pages(spark, sf_dir):
     """Error rows of the blocked ones among result pages."""
@@ -877,8 +887,12 @@ def chunk_text(spark, sf_dir):
 
 @query
 def inverted_index_decode(spark, sf_dir):
-    """Every text turned into a word index and back."""
-    words = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split(ws("text"), " ")).alias("pos", "word"))
+    """Every text turned into a word index and back.
+
+    Texts are dealt by document once, before they are taken apart; both groupings find their rows in place.
+    """
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id")
+    words = texts.select("doc_id", F.posexplode(F.split(ws("text"), " ")).alias("pos", "word"))
     entries = words.groupBy("doc_id", "word").agg(F.collect_list("pos").alias("at"))
     index = entries.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "at"))).alias("index"))
     return index.select("doc_id", F.md5(decode_inverted_index(F.col("index"))).alias("text_md5"))

@@ -433,6 +433,9 @@ SQL["collected_records"] = (
     + ") SELECT source, member_name, source_id, title, doi, row_number() OVER (PARTITION BY source ORDER BY length(m.name) NULLS FIRST, member_name, "
     "row_no % 3, row_no, source_id) AS place FROM u LEFT JOIN members m ON m.name = u.member_name"
 )
+SQL["pubmed_search_ids"] = (
+    "SELECT doc_id, 0 AS pos, CAST(doc_id AS VARCHAR) AS pmid FROM documents UNION ALL SELECT doc_id, 1, CAST(n_chars AS VARCHAR) FROM documents"
+)
 SQL["blocked_pages"] = (
     f"WITH {DOCS} SELECT 'google_scholar' AS source, {_MEMBER} AS member, 'result page is blocked' AS error, count(*) AS pages "
     f"FROM docs WHERE doc_id % 5 = 2 AND {_MEMBER} IS NOT NULL GROUP BY 2"

@@ -6,7 +6,6 @@ Titles are the first lines of the documents, which repeat, so that merging has r
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from citeloom.operators.order import first_per_key
 from citeloom.schemas import SOURCE_ORDER
