@@ -192,7 +192,9 @@ class _Drawn:
 
     def part(self, kind: str) -> str:
         if kind == "form":
-            fields = self.el("label", 0, self.words(1, 3)) + '<input type="text">' + self.el("button", 0, self.words(1, 2))
+            options = "".join(self.el("option", 0, self.words(1, 2)) for _ in range(3))
+            fields = self.el("label", 0, self.words(1, 3)) + '<input type="text">' + self.pick(["", self.el("select", 0, options), self.el("textarea", 0, self.words(1, 4))])
+            fields += self.el("button", 0, self.words(1, 2))
             return self.el("form", 0, self.el("p", 0, self.words(3, 15)) + fields, self.name("form", 0.5))
         if kind == "comments":
             one = lambda: self.el(self.pick(["div", "li", "article"]), 0, self.el("p", 0, self.words(3, 40)), self.name("comments", 0.8))
@@ -228,7 +230,7 @@ class _Drawn:
             else:
                 body.append(self.el("div", 1, self.paragraph(1) + self.paragraph(1)))
             if self.chance(0.12):
-                body.append(self.part(self.pick(["ad", "share", "side", "form", "notice"])))
+                body.append(self.part(self.pick(["ad", "share", "side", "form", "notice", "comments"])))
         tag = self.pick(["article", "article", "article", "div", "main", "section"])
         inner = "".join(body)
         if self.chance(0.2):

@@ -8,7 +8,8 @@ its dimensions lies between the smallest and the largest impact not yet processe
 Processing stops when these bounds prove that all but a few vectors are outside the top k, or when the segments are
 through. Whatever the bounds leave possible is scored exactly from the whole components.
 
-Blocks of queries meet blocks of vectors; a task holds one of each, and the best k of each block are merged.
+The index is a table with one row per block, written to the shared folder. Blocks of queries meet blocks of the index; a
+task holds one of each, and the best k of each block are merged.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from citeloom.session import materialise
 
@@ -45,30 +47,52 @@ def _packed(rows: DataFrame, blocks: int, name: str, order: Column) -> DataFrame
     return dealt.groupBy(name).agg(F.collect_list(F.struct("id", "v")).alias("rows"))
 
 
+INDEX_SCHEMA = "block long, ids binary, width long, vectors binary, shift long, dims binary, levels binary, sizes binary, postings binary"
+
+
 class ImpactIndex:
-    """Posting segments of one block of integer vectors (n x d, padded with zeros)."""
+    """Posting segments of one block of integer vectors (n x d, shorter ones padded with zeros)."""
+
+    def __init__(self, vectors: np.ndarray, shift: int, dims: np.ndarray, levels: np.ndarray, sizes: np.ndarray, postings: np.ndarray):
+        self.vectors, self.shift, self.dims, self.levels, self.sizes, self.postings = vectors, shift, dims, levels, sizes, postings
+        self.starts = np.cumsum(sizes) - sizes
 
-    def __init__(self, vectors: np.ndarray):
-        self.vectors = vectors
-        n, d = vectors.shape
+    @classmethod
+    def build(cls, vectors: np.ndarray) -> ImpactIndex:
+        """One segment per dimension and quantised value; the values of a block span LEVELS levels or so."""
         widest = int(vectors.max(initial=0) - vectors.min(initial=0)) if vectors.size else 0
-        self.shift = max(0, int(widest // LEVELS).bit_length())
-        levels = vectors >> self.shift
-        dims, values, postings = [], [], []
-        for j in range(d):
-            order = np.argsort(levels[:, j], kind="stable").astype(np.int32)
-            sorted_levels = levels[order, j]
-            cuts = np.flatnonzero(np.r_[True, sorted_levels[1:] != sorted_levels[:-1]])
-            dims += [j] * len(cuts)
-            values += sorted_levels[cuts].tolist()
-            postings += np.split(order, cuts[1:])
-        self.dims, self.values, self.postings = np.array(dims, np.int64), np.array(values, np.int64), postings
-        self.sizes = np.array([len(p) for p in postings], np.int64)
+        shift = max(0, int(widest // LEVELS).bit_length())
+        quantised = vectors >> shift
+        dims, levels, sizes, postings = [], [], [], []
+        for j in range(vectors.shape[1]):
+            order = np.argsort(quantised[:, j], kind="stable").astype(np.int32)
+            column = quantised[order, j]
+            cuts = np.flatnonzero(np.r_[True, column[1:] != column[:-1]])
+            dims.append(np.full(len(cuts), j))
+            levels.append(column[cuts])
+            sizes.append(np.diff(np.r_[cuts, len(column)]))
+            postings.append(order)
+        joined = lambda parts, kind: np.concatenate([*parts, np.array([], kind)]).astype(kind)
+        return cls(vectors, shift, joined(dims, np.int64), joined(levels, np.int64), joined(sizes, np.int64), joined(postings, np.int32))
+
+    def row(self) -> list:
+        """The index without its block number and ids, in the order of INDEX_SCHEMA."""
+        return [self.vectors.shape[1], self.vectors.tobytes(), self.shift, *(x.tobytes() for x in (self.dims, self.levels, self.sizes, self.postings))]
+
+    @classmethod
+    def of_row(cls, row: dict) -> ImpactIndex:
+        """The index that ``row`` wrote."""
+        long = lambda name: np.frombuffer(row[name], np.int64)
+        n = len(row["ids"]) // 8
+        return cls(
+            long("vectors").reshape(n, row["width"]), row["shift"], long("dims"), long("levels"), long("sizes"), np.frombuffer(row["postings"], np.int32)
+        )
 
     def top(self, query: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Positions and exact scores of at least the k best vectors other than position ``skip``, ties with the last one included."""
         n, d = self.vectors.shape
-        impacts = query[self.dims] * (self.values << self.shift)
+        query = np.pad(query[:d], (0, max(0, d - len(query))))
+        impacts = query[self.dims] * (self.levels << self.shift)
         order = np.argsort(-impacts, kind="stable")
         rest = (1 << self.shift) - 1
         low_bits, high_bits = int(np.minimum(query, 0).sum()) * rest, int(np.maximum(query, 0).sum()) * rest
@@ -78,8 +102,9 @@ class ImpactIndex:
         ends = np.linspace(0, len(order), ROUNDS + 1).astype(int)
         for a, b in zip(ends[:-1], ends[1:], strict=True):
             segments = order[a:b]
-            where = np.concatenate([self.postings[s] for s in segments]) if len(segments) else np.array([], np.int32)
-            amount = np.repeat(impacts[segments], self.sizes[segments])
+            lengths = self.sizes[segments]
+            where = self.postings[np.arange(lengths.sum()) + np.repeat(self.starts[segments] - (np.cumsum(lengths) - lengths), lengths)]
+            amount = np.repeat(impacts[segments], lengths)
             scores += np.bincount(where, weights=amount, minlength=n).astype(np.int64)
             left -= np.bincount(where, minlength=n)
             most = int(impacts[order[b]]) if b < len(order) else 0
@@ -99,17 +124,35 @@ class ImpactIndex:
         return possible, exact
 
 
-def _matrix(rows: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+def _matrix(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and padded vectors of a list of (id, v)."""
     ids = rows.field("id").to_numpy(zero_copy_only=False)
     vectors = rows.field("v")
     lengths = pa.compute.list_value_length(vectors).to_numpy(zero_copy_only=False)
-    out = np.zeros((len(ids), max(width, int(lengths.max(initial=0)))), np.int64)
+    out = np.zeros((len(ids), int(lengths.max(initial=0))), np.int64)
     at = np.repeat(np.arange(len(ids)), lengths)
     within = np.arange(len(at)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     out[at, within] = vectors.flatten().to_numpy(zero_copy_only=False)
     return ids, out
 
 
+def build_index(vectors: DataFrame) -> DataFrame:
+    """The index of ``vectors`` (id, v) as rows of INDEX_SCHEMA, written once."""
+    blocks = _packed(vectors, max(1, -(-vectors.count() // VECTOR_BLOCK)), "block", F.xxhash64("id", "v"))
+
+    names = T.StructType.fromDDL(INDEX_SCHEMA).fieldNames()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one = batch.slice(i, 1)
+                ids, own = _matrix(one.column(1).flatten())
+                cells = [one.column(0)[0].as_py(), ids.astype(np.int64).tobytes(), *ImpactIndex.build(own).row()]
+                yield pa.RecordBatch.from_arrays([pa.array([c]) for c in cells], names)
+
+    return materialise(blocks.mapInArrow(run, INDEX_SCHEMA), "impact-index")
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, score): the k vectors of ``vectors`` (id, v) with the largest integer inner product with each query.
 
@@ -117,23 +160,19 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     id; with fewer than k candidates all are returned. Vectors of unlike length meet as if the shorter one ended in zeros.
     Repeated rows of ``vectors`` are candidates of their own; repeated queries count once. Empty tables give an empty table.
     """
-    n_vectors, n_queries = vectors.count(), queries.count()
-    # Every vector and every query has one row in one block; the block numbers follow from the sizes counted here.
-    blocks = _packed(vectors, max(1, -(-n_vectors // VECTOR_BLOCK)), "block", F.xxhash64("id", "v"))
-    asked = _packed(queries.dropDuplicates(["id"]), max(1, -(-n_queries // QUERY_BLOCK)), "part", F.xxhash64("id"))
-    parts = F.sequence(F.lit(0).cast("long"), F.lit(max(1, -(-n_queries // QUERY_BLOCK)) - 1).cast("long"))
-    dealt = materialise(blocks, "vector-blocks").withColumn("part", F.explode(parts))
-    met = dealt.join(materialise(asked, "query-blocks").withColumnRenamed("rows", "asked"), "part").repartition("block", "part")
+    n_parts = max(1, -(-queries.count() // QUERY_BLOCK))
+    asked = _packed(queries.dropDuplicates(["id"]), n_parts, "part", F.xxhash64("id")).withColumnRenamed("rows", "asked")
+    parts = F.sequence(F.lit(0).cast("long"), F.lit(n_parts - 1).cast("long"))
+    dealt = build_index(vectors).withColumn("part", F.explode(parts))
+    met = dealt.join(materialise(asked, "query-blocks"), "part").repartition("block", "part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 pair = batch.slice(i, 1)
-                rows, ask = (pair.column(pair.schema.get_field_index(c)).flatten() for c in ("rows", "asked"))
-                query_ids, asked_vectors = _matrix(ask, 0)
-                ids, own = _matrix(rows, asked_vectors.shape[1])
-                asked_vectors = np.pad(asked_vectors, ((0, 0), (0, own.shape[1] - asked_vectors.shape[1])))
-                index, out = ImpactIndex(own), []
+                row = pair.drop_columns(["asked"]).to_pylist()[0]
+                query_ids, asked_vectors = _matrix(pair.column(pair.schema.get_field_index("asked")).flatten())
+                ids, index, out = np.frombuffer(row["ids"], np.int64), ImpactIndex.of_row(row), []
                 for query_id, query in zip(query_ids.tolist(), asked_vectors, strict=True):
                     same = np.flatnonzero(ids == query_id)
                     at, score = index.top(query, k + max(0, len(same) - 1), int(same[0]) if len(same) else -1)

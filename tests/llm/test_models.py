@@ -122,7 +122,7 @@ def test_index_stops_on_proof_only():
     rng = np.random.default_rng(6)
     vectors = rng.integers(-300, 300, (5000, 16))
     vectors[:40] += 500
-    index = topk.ImpactIndex(vectors)
+    index = topk.ImpactIndex.build(vectors)
     for query in rng.integers(-300, 300, (20, 16)):
         at, scores = index.top(query, 10, skip=7)
         exact = np.delete(vectors @ query, 7)
