@@ -503,7 +503,7 @@ def best_evidence(
     found0 = materialise(row(files, 0, "existing_local_pdf", "path"), "evidence-files")
     left1 = items.join(found0.select("ord"), "ord", "left_anti")
 
-    valid = _valid_documents(fetched, max_mb)
+    valid = materialise(_valid_documents(fetched, max_mb), "valid-documents")  # bodies are judged once for all steps
     listed = group_values.filter(F.col("field") == "pdf_urls").select(
         "group_key", F.col("value").alias("url"), "first_ord", "first_pos"
     )

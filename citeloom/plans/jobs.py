@@ -12,7 +12,7 @@ from citeloom import schemas
 from citeloom.functions.scan import ScanSpec
 from citeloom.operators import candidates, coverage, curate, docscan, finalize, merge, report, snapshot
 from citeloom.plans import sinks
-from citeloom.session import configure
+from citeloom.session import configure, scratch_space
 from citeloom.sources import json_sources, markup_sources
 from citeloom.sources.common import ORDER
 
@@ -122,6 +122,11 @@ def mention_lists(mentions: DataFrame) -> DataFrame:
 def collection_run(spark: SparkSession, inputs: RunInputs, params: RunParams, base: str) -> DataFrame:
     """One run from landed payloads to published tables; returns the run summary."""
     configure(spark)
+    with scratch_space(spark):
+        return _collect(spark, inputs, params, base)
+
+
+def _collect(spark: SparkSession, inputs: RunInputs, params: RunParams, base: str) -> DataFrame:
     rid = params.run_id
 
     def save(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -269,6 +274,20 @@ def finalisation_job(
     run_id: str,
 ) -> DataFrame:
     """Best evidence per manifest item, and the Markdown list. Unknown items stop the job before any work."""
+    with scratch_space(papers.sparkSession):
+        return _finalise(raw_manifest, papers, records, fetched, doi_lookup, local_files, base, run_id)
+
+
+def _finalise(
+    raw_manifest: DataFrame,
+    papers: DataFrame,
+    records: DataFrame,
+    fetched: DataFrame,
+    doi_lookup: DataFrame,
+    local_files: DataFrame,
+    base: str,
+    run_id: str,
+) -> DataFrame:
     groups = sinks.write_table(merge.title_groups(papers), base, run_id, "title_groups")
     items = finalize.require_valid(finalize.clean_manifest(raw_manifest))
     missing = sinks.write_table(finalize.unmatched(items, groups), base, run_id, "unmatched_items")
@@ -279,6 +298,8 @@ def finalisation_job(
     seen = merge.with_title_group(papers).select(
         "group_key", F.col("document_verification_kind").alias("kind"), F.col("document_verification_url").alias("url"), "ord"
     ).filter(F.col("kind").isNotNull() & F.col("url").isNotNull())
+    lines = sinks.write_table(finalize.metadata_snapshot(matched, values, doi_lookup), base, run_id, "metadata_snapshot_lines")
+    sinks.write_table(finalize.snapshot_documents(matched, lines), base, run_id, "metadata_snapshots")
     evidence = finalize.best_evidence(matched, values, seen, doi_lookup, fetched, local_files)
     out = sinks.write_table(evidence, base, run_id, "final_results")
     sinks.write_text(finalize.markdown_blocks(matched), ["ord"], "block", base, run_id, "final_markdown")

@@ -7,6 +7,8 @@ import os
 import re
 import shutil
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +64,10 @@ def scratch_dir(spark: SparkSession) -> str:
     return own.as_uri()
 
 
+#: Scratch tables that this process has written and not yet dropped.
+_written: list[str] = []
+
+
 def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a table in the scratch folder and read it back, which cuts its lineage."""
     spark = df.sparkSession
@@ -70,4 +76,18 @@ def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_space(spark: SparkSession) -> Iterator[None]:
+    """Drops the scratch tables that are written inside the block when it ends; results must be written elsewhere by then."""
+    start = len(_written)
+    try:
+        yield
+    finally:
+        for path in _written[start:]:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        del _written[start:]
