@@ -14,7 +14,6 @@ from citeloom.session import configure, materialise
 #: White space of the line and word rules (fixed values): space and U+0009 to U+000D.
 BLANKS = " \t\n\x0b\x0c\r"
 WORD = "[^\\x20\\x09-\\x0D]+"
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: Rows of one Arrow batch. Texts of 20,000 words then take some 100 MB of a worker at most.
 BATCH_ROWS = 1000
@@ -46,11 +45,6 @@ def map_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str
     return df.mapInArrow(run, schema)
 
 
-def ascii_lower(text: Column) -> Column:
-    """A-Z in lower case, all else untouched."""
-    return F.translate(text, UPPER, UPPER.lower())
-
-
 def n_words(text: Column) -> Column:
     """Number of words; NULL counts as no text."""
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
