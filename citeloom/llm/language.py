@@ -28,6 +28,9 @@ LEAST_SHARE = 0.005
 UNKNOWN = "und"
 #: Trigrams in a row depend on one another: a text counts as so many independent ones at most.
 MOST_TRIGRAMS = 64
+#: Share of a text that may be names, quotes or other languages: all buckets alike. It bounds what one odd trigram costs, for
+#: each language by the same amount, so that the language of most of a text wins.
+FOREIGN = 0.2
 #: Pseudo-rows that each level of the host hierarchy takes from the level above.
 STRENGTH = 20.0
 LEAST_POSTERIOR = 0.5
@@ -82,8 +85,8 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> TrigramModel:
     languages = sorted({r["lang"] for r in parts if sum(x["rows"] for x in parts if x["lang"] == r["lang"]) >= max(1, LEAST_SHARE * total)} - {UNKNOWN})
     weights = np.full((BUCKETS, len(languages) + 1), -np.log(BUCKETS), np.float32)
     for i, lang in enumerate(languages):
-        sums = sum(np.frombuffer(r["sums"], "<i8") for r in parts if r["lang"] == lang) + 0.02
-        weights[:, i] = np.log(sums / sums.sum())
+        sums = sum(np.frombuffer(r["sums"], "<i8") for r in parts if r["lang"] == lang)
+        weights[:, i] = np.log((1 - FOREIGN) * sums / max(1, sums.sum()) + FOREIGN / BUCKETS)
     return TrigramModel(languages, weights)
 
 
