@@ -10,6 +10,7 @@ Texts are read once, into one narrow row each; all else works on these.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,11 +22,13 @@ from citeloom.llm.common import map_columns
 from citeloom.session import materialise
 
 BUCKETS = 1 << 15
-#: Rows of the labelled sample that the trigram distributions are fitted on.
+#: Rows of the labelled sample that the trigram distributions are fitted on, shared alike by the languages; each has so many at least.
 SAMPLE_ROWS = 20_000
-#: A language needs this share of the sample, and the uniform class has this name.
-LEAST_SHARE = 0.005
+LEAST_ROWS = 500
+#: Name of the uniform class.
 UNKNOWN = "und"
+#: Cells of one product of trigrams and classes.
+CELLS = 4_000_000
 #: Trigrams in a row depend on one another: a text counts as so many independent ones at most.
 MOST_TRIGRAMS = 64
 #: Share of a text that may be names, quotes or other languages: all buckets alike. It bounds what one odd trigram costs, for
@@ -59,34 +62,56 @@ def _trigrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return ((code[letters] * np.uint32(2_654_435_761)) >> np.uint32(17)).astype(np.int64), row[letters]
 
 
+def _label(lang: Column | str) -> Column:
+    """Primary language of a declaration: its leading letters in lower case."""
+    return F.lower(F.regexp_extract(F.coalesce(F.trim(lang), F.lit("")), "^[A-Za-z]+", 0))
+
+
+def _lookup(values: dict, kind: str, key: Column | str) -> Column:
+    """Value of ``key`` in ``values`` or NULL; the map is one folded literal, whatever its size."""
+    return F.try_element_at(F.from_json(F.lit(json.dumps(values)), f"map<string,{kind}>"), F.col(key) if isinstance(key, str) else key)
+
+
+def labelled_sample(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[list[str], DataFrame]:
+    """All languages of column ``lang``, and (lang, text) of some equally many rows of each: all rows of rare ones.
+
+    Languages are counted over all rows. Rows are drawn by a hash of their id, so copies do not fall together.
+    """
+    labelled = docs.where("text is not null").select("doc_id", _label("lang").alias("lang"), "text").where(~F.col("lang").isin("", UNKNOWN))
+    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    rows = max(LEAST_ROWS, sample_rows // max(1, len(counts)))
+    shares = {x: min(1 << 30, (rows << 30) // n) for x, n in counts.items()}
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < _lookup(shares, "bigint", "lang")
+    return sorted(counts), labelled.where(drawn).select("lang", "text")
+
+
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> TrigramModel:
-    """Trigram distributions of the languages in column ``lang``, from a hash sample of some ``sample_rows`` rows."""
-    labelled = docs.where("lang is not null and text is not null").select("lang", "text")
-    share = max(1, -(-labelled.count() // sample_rows))
-    sample = labelled.where(F.pmod(F.xxhash64(F.substring("text", 1, 200), F.length("text")), F.lit(share)) == 0).repartition(8)
+    """Trigram distributions of all languages in column ``lang``, from a sample of each (see ``labelled_sample``)."""
+    languages, sample = labelled_sample(docs, sample_rows)
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}
-        rows: dict[str, int] = {}
         for batch in batches:
             langs, texts = np.array(batch.column(0).to_pylist(), object), batch.column(1).to_pylist()
             for lang in set(langs):
                 at, _ = _trigrams([t for t, x in zip(texts, langs, strict=True) if x == lang])
                 sums[lang] = sums.get(lang, 0) + np.bincount(at, minlength=BUCKETS)
-                rows[lang] = rows.get(lang, 0) + int((langs == lang).sum())
-        names = sorted(rows, key=rows.get)[-64:]
+        seen = {lang: np.flatnonzero(s) for lang, s in sums.items()}
         yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([rows[n] for n in names], pa.int64()), pa.array([sums[n].astype("<i8").tobytes() for n in names], pa.binary())],
-            ["lang", "rows", "sums"],
+            [
+                pa.array(list(seen), pa.string()), pa.array([at.astype("<u2").tobytes() for at in seen.values()], pa.binary()),
+                pa.array([sums[lang][at].astype("<i8").tobytes() for lang, at in seen.items()], pa.binary()),
+            ],
+            ["lang", "buckets", "sums"],
         )
 
-    parts = sample.mapInArrow(count, "lang string, rows long, sums binary").collect()  # 8 tasks, 64 languages each at most
-    total = sum(r["rows"] for r in parts)
-    languages = sorted({r["lang"] for r in parts if sum(x["rows"] for x in parts if x["lang"] == r["lang"]) >= max(1, LEAST_SHARE * total)} - {UNKNOWN})
+    column = {lang: i for i, lang in enumerate(languages)}
+    sums = np.zeros((len(languages), BUCKETS), np.int64)
+    for r in sample.repartition(8).mapInArrow(count, "lang string, buckets binary, sums binary").collect():  # 8 tasks, seen buckets of each language
+        sums[column[r["lang"]], np.frombuffer(r["buckets"], "<u2")] += np.frombuffer(r["sums"], "<i8")
     weights = np.full((BUCKETS, len(languages) + 1), -np.log(BUCKETS), np.float32)
-    for i, lang in enumerate(languages):
-        sums = sum(np.frombuffer(r["sums"], "<i8") for r in parts if r["lang"] == lang)
-        weights[:, i] = np.log((1 - FOREIGN) * sums / max(1, sums.sum()) + FOREIGN / BUCKETS)
+    for i in range(len(languages)):
+        weights[:, i] = np.log((1 - FOREIGN) * sums[i] / max(1, sums[i].sum()) + FOREIGN / BUCKETS)
     return TrigramModel(languages, weights)
 
 
@@ -102,10 +127,12 @@ def text_evidence(rows: DataFrame, model: TrigramModel, keep: list[str]) -> Data
         sums, n = np.zeros((len(texts), classes)), np.zeros(len(texts), np.int64)
         for at in range(0, len(texts), 50):
             bucket, row = _trigrams(texts[at : at + 50])
-            if len(bucket):
-                first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-                sums[at + row[first]] = np.add.reduceat(weights[bucket], first, axis=0)
-                n[at + row[first]] = np.diff(np.r_[first, len(bucket)])
+            step = max(1, CELLS // classes)
+            for x in range(0, len(bucket), step):
+                part, of = bucket[x : x + step], row[x : x + step]
+                first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+                sums[at + of[first]] += np.add.reduceat(weights[part], first, axis=0)
+                n[at + of[first]] += np.diff(np.r_[first, len(part)])
         scale = np.minimum(n, MOST_TRIGRAMS) / np.maximum(n, 1)
         out = {name: batch.column(i) for i, name in enumerate(keep)}
         return out | {"trigrams": n, "ll": pa.array(list(sums * scale[:, None]), pa.list_(pa.float64()))}
@@ -141,7 +168,7 @@ def identify(rows: DataFrame, model: TrigramModel, id_col: str) -> DataFrame:
     """
     names = [*model.languages, UNKNOWN]
     n = len(names)
-    known = F.lower(F.regexp_extract(F.coalesce(F.trim("declared"), F.lit("")), "^[A-Za-z]+", 0))
+    known = _label("declared")
     labels = rows.select(
         F.col(id_col), "text", F.when(known.isin(*model.languages), known).alias("declared"), F.lower("host").alias("host")
     )
@@ -154,7 +181,7 @@ def identify(rows: DataFrame, model: TrigramModel, id_col: str) -> DataFrame:
         d: [float(np.log((told.get(d, [0.0] * n)[i] + (0.8 if x == d else 0.2 / n)) / (of_class[i] + 1.0))) for i, x in enumerate(names)]
         for d in model.languages
     }
-    declared = F.coalesce(*[F.when(F.col("declared") == d, F.array(*map(F.lit, belief[d]))) for d in model.languages], F.array(*[F.lit(0.0)] * n)) if belief else F.array(*[F.lit(0.0)] * n)
+    declared = F.coalesce(_lookup(belief, "array<double>", "declared"), F.array(*[F.lit(0.0)] * n))
     fused = seen.withColumn("ll", F.transform(F.arrays_zip("ll", declared.alias("d")), lambda x: x["ll"] + x["d"]))
     labels = F.split("host", "\\.")
     placed = fused.withColumn("suffix", F.element_at(labels, -1)).withColumn("domain", F.array_join(F.slice(labels, F.greatest(F.lit(1), F.size(labels) - 1), F.lit(2)), "."))
