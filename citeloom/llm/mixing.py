@@ -26,6 +26,8 @@ MOST_PASSES = 2
 #: Words of a block: as many as cut the corpus into BLOCKS blocks, within these bounds.
 BLOCKS = 1 << 18
 LEAST_BLOCK, MOST_BLOCK = 64, 4096
+#: With blocks per source, a source is cut into so many at least (or into its words).
+SOURCE_BLOCKS = 64
 #: Rows of one running count.
 PIECE = 16_384
 #: The golden ratio's fraction as a multiple of 2^-32; odd, so that 2^32 points in a row all differ.
@@ -34,9 +36,8 @@ GOLDEN = 2_654_435_769
 
 @dataclass(frozen=True)
 class Mix:
-    """``targets`` per source, documents with their ``places``, and the ``schedule`` of slots of ``block_words`` words."""
+    """``targets`` per source, documents with their ``places``, and the ``schedule`` of slots of one block; ``block_words`` of a place is its source's."""
 
-    block_words: int
     targets: DataFrame
     places: DataFrame
     schedule: DataFrame
@@ -94,16 +95,22 @@ def _bounds(targets: DataFrame) -> DataFrame:
     return targets.withColumn("high", high).withColumn("low", F.coalesce(F.lag("high").over(order), F.lit(0)))
 
 
-def plan_mix(docs: DataFrame, id_col: str = "doc_id") -> Mix:
-    """The mix of ``docs`` (doc_id, text, source); see ``taken_words`` for its cases."""
+def plan_mix(docs: DataFrame, id_col: str = "doc_id", by_source: bool = False) -> Mix:
+    """The mix of ``docs`` (doc_id, text, source); see ``taken_words`` for its cases.
+
+    Blocks have one size for all sources, or with ``by_source`` each source has a size of its own, which cuts it into
+    SOURCE_BLOCKS blocks or more and does not depend on the others; slots then count by what their blocks hold.
+    """
     sized = materialise(docs.select(F.col(id_col).alias("doc_id"), "source", n_words(F.col("text")).alias("size")), "doc-sizes")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
     words = sizes.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
-    block = min(MOST_BLOCK, max(LEAST_BLOCK, words // BLOCKS))
+    block = F.lit(min(MOST_BLOCK, max(LEAST_BLOCK, words // BLOCKS))).cast("long")
+    if by_source:
+        block = F.greatest(F.lit(1), F.least(F.lit(MOST_BLOCK), F.floor(F.col("source_size") / SOURCE_BLOCKS))).cast("long")
     blocks = F.greatest(F.lit(1), F.ceil(F.col("source_size") / block))
     passes = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    targets = materialise(source_targets(sizes).withColumn("blocks", blocks).withColumn("slots", passes * F.col("blocks")), "source-targets")
-    known = targets.select(F.col("source").alias("_source"), "source_size", "target", "docs")
+    targets = materialise(source_targets(sizes).withColumn("block_words", block).withColumn("blocks", blocks).withColumn("slots", passes * F.col("blocks")), "source-targets")
+    known = targets.select(F.col("source").alias("_source"), "source_size", "target", "docs", "block_words")
     # The hash deals documents evenly over pieces; rows of one id stay in one piece.
     digest = F.conv(F.substring(F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 10), 16, 10)
     pieces = F.greatest(F.lit(1), F.ceil(F.col("docs") * 4 / PIECE))
@@ -123,16 +130,17 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id") -> Mix:
     schedule = ranked.select(
         "slot", "source", F.pmod("rank", "blocks").cast("long").alias("block"), F.floor(F.col("rank") / F.col("blocks")).alias("pass")
     )
-    return Mix(block, targets, places, schedule.where(F.col("pass") < MOST_PASSES))
+    return Mix(targets, places, schedule.where(F.col("pass") < MOST_PASSES))
 
 
 def _cut(mix: Mix) -> DataFrame:
     """Documents with the blocks that they lie in: ``words`` words from ``offset`` on are in ``block``."""
     end_at = F.col("start") + F.col("size")
-    last = F.floor((F.greatest(end_at, F.col("start") + 1) - 1) / mix.block_words)
-    cut = mix.places.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / mix.block_words), last)))
-    begin = F.greatest(F.col("start"), F.col("block") * mix.block_words)
-    end = F.least(end_at, (F.col("block") + 1) * mix.block_words)
+    size = F.col("block_words")
+    last = F.floor((F.greatest(end_at, F.col("start") + 1) - 1) / size)
+    cut = mix.places.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / size), last)))
+    begin = F.greatest(F.col("start"), F.col("block") * size)
+    end = F.least(end_at, (F.col("block") + 1) * size)
     return cut.withColumn("offset", begin - F.col("start")).withColumn("words", end - begin)
 
 
@@ -143,16 +151,16 @@ def mix_pieces(mix: Mix) -> DataFrame:
     return _cut(mix).where("size > 0").join(slots, same).select("slot", "doc_id", "source", "start", "offset", "words")
 
 
-def taken_words(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def taken_words(docs: DataFrame, id_col: str = "doc_id", by_source: bool = False) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken): the words that the mix takes from each row of ``docs``.
 
     Null and empty texts have size 0 and nothing is taken from them. A null source is a source, the last one; sources of
     size 0 have target 0. Repeated rows are documents of their own; rows that agree in id, size and source may swap their
     shares. Other columns are not looked at. An empty table gives an empty table. Reruns agree, as order, cuts
     and slots depend on values only. A document is taken twice at most, and a source's words miss its target by a few
-    blocks.
+    blocks: of the size that the whole corpus sets, or with ``by_source`` of its own.
     """
-    mix = plan_mix(docs, id_col)
+    mix = plan_mix(docs, id_col, by_source)
     times = mix.schedule.groupBy(F.col("source").alias("_source"), F.col("block").alias("_block")).agg(F.count("*").alias("times"))
     same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block"))
     keys = ["doc_id", "source", "size", "source_size", "target"]

@@ -4,6 +4,7 @@ from conftest import SMALL
 from llm_fixtures import docs, none
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from citeloom.llm import mixing
 
 
@@ -64,3 +65,16 @@ def test_every_stretch_of_the_schedule_holds_the_sources_in_their_shares(spark):
             assert abs(part.count(source) - 100 * n / sum(total.values())) <= 5
     pieces = mixing.mix_pieces(mix)
     assert pieces.agg(F.sum("words")).first()[0] == sum(r["taken"] for r in mixing.taken_words(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect())
+
+
+def test_small_sources_come_near_their_targets_beside_a_large_one(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCKS", 64)  # the block of a corpus that is 4,096 times as large
+    rows = [(i, "w " * 300, "hot") for i in range(2000)] + [(10_000 + i, "w " * 100, f"s{i // 30:02}") for i in range(1200)]
+    rows += [(20_000 + i, "w w w w w", f"tiny{i}") for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken, target = defaultdict(int), {}
+    for r in corpus_pipeline.source_mix(spark, df, SMALL).collect():
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+    for source, words in target.items():
+        assert abs(taken[source] - words) <= 0.08 * words + 2, source
