@@ -116,17 +116,18 @@ SQL = {
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
                    CAST('0x' || substr(md5('mix:' || doc_id), 1, 10) AS BIGINT) AS h FROM documents),
         s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
-        b AS (SELECT least(4096, greatest(64, CAST(sum(source_size) AS BIGINT) // 262144)) AS bw FROM s),
-        w AS (SELECT *, [3, 1, 2][((row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1)::INT] AS weight FROM s),
+        w AS (SELECT *, greatest(1, least(4096, source_size // 64)) AS bw, [3, 1, 2][((row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1)::INT] AS weight FROM s),
         f AS (SELECT *, 2 * source_size / weight AS full_level FROM w),
         l AS (SELECT *, (1.5 * sum(source_size) OVER () - 2 * coalesce(sum(source_size) OVER (ORDER BY full_level, source IS NULL, source
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(weight) OVER (ORDER BY full_level, source IS NULL, source
                   ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM f),
         o AS (SELECT arg_min(level, full_level) AS level FROM l WHERE level < full_level),
-        t AS (SELECT source, source_size, CAST(coalesce(least(o.level * weight, 2 * source_size), 2 * source_size) AS DOUBLE) AS target,
-                     greatest(1, CAST(ceil(source_size / bw) AS BIGINT)) AS blocks FROM l, o, b),
+        t AS (SELECT source, source_size, bw, CAST(coalesce(least(o.level * weight, 2 * source_size), 2 * source_size) AS DOUBLE) AS target,
+                     greatest(1, CAST(ceil(source_size / bw) AS BIGINT)) AS blocks FROM l, o),
         n AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END * blocks AS slots FROM t),
-        hi AS (SELECT *, CAST(round(sum(slots) OVER (ORDER BY source IS NULL, source) / sum(slots) OVER () * 4294967296) AS BIGINT) AS high FROM n),
+        u AS (SELECT *, CAST(round(slots * 1048576) AS BIGINT) AS units FROM n),
+        hi AS (SELECT *, CAST(round(CAST(sum(units) OVER (ORDER BY source IS NULL, source) AS DOUBLE) / CAST(sum(units) OVER () AS DOUBLE)
+                  * 4294967296) AS BIGINT) AS high FROM u),
         lo AS (SELECT *, coalesce(lag(high) OVER (ORDER BY source IS NULL, source), 0) AS low FROM hi),
         g AS (SELECT i AS slot, CAST(((i + 1)::HUGEINT * 2654435769) % 4294967296 AS BIGINT) AS point
               FROM range((SELECT CAST(round(sum(slots)) AS BIGINT) FROM n)) r(i)),
@@ -135,11 +136,12 @@ SQL = {
         k AS (SELECT source, rank % blocks AS block, count(*) AS times FROM r WHERE rank // blocks < 2 GROUP BY ALL),
         p AS (SELECT doc_id, source, size, CAST(coalesce(sum(size) OVER (PARTITION BY source ORDER BY h, doc_id, size
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM d),
-        c AS (SELECT p.*, bw, unnest(range(start // bw, (start + greatest(size, 1) - 1) // bw + 1)) AS block FROM p, b)
-        SELECT c.doc_id, CAST(c.size AS BIGINT) AS size, t.source_size, t.target,
+        c AS (SELECT p.*, t.source_size, t.target, bw, unnest(range(start // bw, (start + greatest(size, 1) - 1) // bw + 1)) AS block
+              FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source)
+        SELECT c.doc_id, CAST(c.size AS BIGINT) AS size, c.source_size, c.target,
                CAST(sum((least(start + c.size, (c.block + 1) * bw) - greatest(start, c.block * bw)) * coalesce(times, 0)) AS BIGINT) AS taken
-        FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source
+        FROM c
         LEFT JOIN k ON c.source IS NOT DISTINCT FROM k.source AND c.block = k.block
-        GROUP BY c.doc_id, c.size, t.source_size, t.target, c.source, start
+        GROUP BY c.doc_id, c.size, c.source_size, c.target, c.source, start
     """,
 }

@@ -23,11 +23,8 @@ from citeloom.session import materialise
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_PASSES = 2
-#: Words of a block: as many as cut the corpus into BLOCKS blocks, within these bounds.
-BLOCKS = 1 << 18
-LEAST_BLOCK, MOST_BLOCK = 64, 4096
-#: With blocks per source, a source is cut into so many at least (or into its words).
-SOURCE_BLOCKS = 64
+#: A source is cut into so many blocks at least (or into its words); a block has MOST_BLOCK words at most.
+SOURCE_BLOCKS, MOST_BLOCK = 64, 4096
 #: Rows of one running count.
 PIECE = 16_384
 #: The golden ratio's fraction as a multiple of 2^-32; odd, so that 2^32 points in a row all differ.
@@ -51,18 +48,32 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     sources are sorted by the level that fills them, and L follows from the sums of those before. One row per source is
     sorted; running sums combine rows of one source only.
     """
-    order = Window.orderBy(F.col("source").isNull(), "source")
-    weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), (F.pmod(F.row_number().over(order) - 1, F.lit(len(WEIGHTS))) + 1).cast("int"))
+    numbered = _placed(sizes, [F.col("source").isNull(), F.col("source")], {"number": F.lit(1)}, "source-numbers")
+    weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), (F.pmod("number", F.lit(len(WEIGHTS))) + 1).cast("int"))
     full = F.col("source_size") * F.lit(MOST_PASSES) / F.col("weight")
-    upto = Window.orderBy("full", F.col("source").isNull(), "source")
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    filled = F.sum("source_size").over(upto.rowsBetween(Window.unboundedPreceding, -1))
-    left = F.sum("weight").over(upto.rowsBetween(0, Window.unboundedFollowing))
-    level = (F.sum("source_size").over(everything) * F.lit(SHARE) - F.coalesce(filled, F.lit(0)) * F.lit(MOST_PASSES)) / left
-    ranked = sizes.withColumn("weight", weight).withColumn("full", full).withColumn("level", level)
-    first_open = F.min(F.when(F.col("level") < F.col("full"), F.struct("full", "level"))).over(everything)["level"]
-    top = F.coalesce(F.least(first_open * F.col("weight"), F.col("source_size") * F.lit(float(MOST_PASSES))), F.col("source_size") * F.lit(float(MOST_PASSES)))
-    return ranked.select("source", "source_size", "docs", top.cast("double").alias("target"))
+    weighed = numbered.withColumn("weight", weight).drop("number").withColumn("full", full)
+    amounts = {"filled": F.col("source_size"), "passed": F.col("weight")}
+    levels = _placed(weighed, [F.col("full"), F.col("source").isNull(), F.col("source")], amounts, "source-levels")
+    total = levels.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    size, weights = total["size"] or 0, total["weight"] or 0
+    level = (F.lit(size).cast("long") * F.lit(SHARE) - F.col("filled") * F.lit(MOST_PASSES)) / (F.lit(weights).cast("long") - F.col("passed"))
+    open_ = levels.withColumn("level", level).where("level < full").agg(F.min(F.struct("full", "level")).alias("m")).first()["m"]
+    most = F.col("source_size") * F.lit(float(MOST_PASSES))
+    top = most if open_ is None else F.least(F.lit(open_["level"]) * F.col("weight"), most)
+    return levels.select("source", "source_size", "docs", top.cast("double").alias("target"))
+
+
+def _placed(df: DataFrame, order: list[Column], amounts: dict[str, Column], label: str) -> DataFrame:
+    """Adds sums of ``amounts`` over all earlier rows in ``order``: inside range partitions, whose totals are summed first."""
+    sorted_ = df.select("*", *[c.alias(f"_o{i}") for i, c in enumerate(order)], *[c.alias(f"_a{n}") for n, c in amounts.items()])
+    keys = [f"_o{i}" for i in range(len(order))]
+    held = materialise(sorted_.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id()), label)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    totals = held.groupBy("_part").agg(*[F.sum(f"_a{n}").alias(f"_t{n}") for n in amounts])
+    offsets = totals.select("_part", *[F.coalesce(F.sum(f"_t{n}").over(before), F.lit(0)).alias(f"_t{n}") for n in amounts])
+    inside = Window.partitionBy("_part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    sums = [(F.coalesce(F.sum(f"_a{n}").over(inside), F.lit(0)) + F.col(f"_t{n}")).alias(n) for n in amounts]
+    return held.join(offsets, "_part").select(*df.columns, *sums)
 
 
 def _running(df: DataFrame, keys: list[str], piece: str, order: list[str], amount: str, name: str) -> DataFrame:
@@ -88,25 +99,24 @@ def _golden_point(slot: Column) -> Column:
 
 def _bounds(targets: DataFrame) -> DataFrame:
     """Stretch of points 0 to 2^32 of each source, by its share of all ``slots``."""
-    order = Window.orderBy(F.col("source").isNull(), "source")
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    upto = F.sum("slots").over(order.rowsBetween(Window.unboundedPreceding, 0)) / F.sum("slots").over(everything)
-    high = F.round(upto * F.lit(float(1 << 32))).cast("long")
-    return targets.withColumn("high", high).withColumn("low", F.coalesce(F.lag("high").over(order), F.lit(0)))
+    units = F.round(F.col("slots") * F.lit(float(1 << 20))).cast("long")  # whole numbers, so that sums agree in any order
+    placed = _placed(targets.withColumn("units", units), [F.col("source").isNull(), F.col("source")], {"before": F.col("units")}, "source-bounds")
+    total = F.lit(placed.agg(F.sum("units")).first()[0])
+    point = lambda upto: F.round(upto / total * F.lit(float(1 << 32))).cast("long")
+    return placed.withColumn("low", point(F.col("before"))).withColumn("high", point(F.col("before") + F.col("units")))
 
 
-def plan_mix(docs: DataFrame, id_col: str = "doc_id", by_source: bool = False) -> Mix:
+def plan_mix(docs: DataFrame, id_col: str = "doc_id", sizes: Column | None = None) -> Mix:
     """The mix of ``docs`` (doc_id, text, source); see ``taken_words`` for its cases.
 
-    Blocks have one size for all sources, or with ``by_source`` each source has a size of its own, which cuts it into
-    SOURCE_BLOCKS blocks or more and does not depend on the others; slots then count by what their blocks hold.
+    Each source has blocks of a size of its own, which cuts it into SOURCE_BLOCKS blocks or more and does not depend on the
+    other sources. A source has as many slots as
+    its target has blocks, so it meets its own target at every corpus size. ``sizes`` are the words of the texts, counted unless they are given.
     """
-    sized = materialise(docs.select(F.col(id_col).alias("doc_id"), "source", n_words(F.col("text")).alias("size")), "doc-sizes")
+    counted = n_words(F.col("text")) if sizes is None else sizes
+    sized = materialise(docs.select(F.col(id_col).alias("doc_id"), "source", counted.alias("size")), "doc-sizes")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
-    words = sizes.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
-    block = F.lit(min(MOST_BLOCK, max(LEAST_BLOCK, words // BLOCKS))).cast("long")
-    if by_source:
-        block = F.greatest(F.lit(1), F.least(F.lit(MOST_BLOCK), F.floor(F.col("source_size") / SOURCE_BLOCKS))).cast("long")
+    block = F.greatest(F.lit(1), F.least(F.lit(MOST_BLOCK), F.floor(F.col("source_size") / SOURCE_BLOCKS))).cast("long")
     blocks = F.greatest(F.lit(1), F.ceil(F.col("source_size") / block))
     passes = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     targets = materialise(source_targets(sizes).withColumn("block_words", block).withColumn("blocks", blocks).withColumn("slots", passes * F.col("blocks")), "source-targets")
@@ -119,8 +129,8 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", by_source: bool = False) -
     placed = _running(shuffled, ["source"], "_piece_no", ["_hash", "doc_id", "size"], "size", "start")
     places = materialise(placed.drop("_hash", "_piece_no", "docs"), "doc-places")
     n_slots = round(targets.agg(F.coalesce(F.sum("slots"), F.lit(0.0))).first()[0])
-    # Slots and sources meet by cells of the circle of points, so that a slot is compared with the few sources of its cell.
-    cell = 1 << 20
+    # Slots and sources meet by cells of the circle of points, four a source, so that a slot is compared with the few of its cell.
+    cell = max(1, (1 << 30) >> max(10, targets.count().bit_length()))
     reach = F.sequence(F.floor(F.col("low") / cell), F.floor((F.col("high") - 1) / cell))
     cells = _bounds(targets).where("high > low").select("source", "blocks", "low", "high", F.explode(reach).alias("cell"))
     slots = docs.sparkSession.range(n_slots).select(F.col("id").alias("slot"), _golden_point(F.col("id")).alias("point"))
@@ -151,16 +161,16 @@ def mix_pieces(mix: Mix) -> DataFrame:
     return _cut(mix).where("size > 0").join(slots, same).select("slot", "doc_id", "source", "start", "offset", "words")
 
 
-def taken_words(docs: DataFrame, id_col: str = "doc_id", by_source: bool = False) -> DataFrame:
+def taken_words(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(doc_id, source, size, source_size, target, taken): the words that the mix takes from each row of ``docs``.
 
     Null and empty texts have size 0 and nothing is taken from them. A null source is a source, the last one; sources of
     size 0 have target 0. Repeated rows are documents of their own; rows that agree in id, size and source may swap their
     shares. Other columns are not looked at. An empty table gives an empty table. Reruns agree, as order, cuts
     and slots depend on values only. A document is taken twice at most, and a source's words miss its target by a few
-    blocks: of the size that the whole corpus sets, or with ``by_source`` of its own.
+    of its own blocks. Sources may be as many as documents: they are ranked and summed by range partitions.
     """
-    mix = plan_mix(docs, id_col, by_source)
+    mix = plan_mix(docs, id_col)
     times = mix.schedule.groupBy(F.col("source").alias("_source"), F.col("block").alias("_block")).agg(F.count("*").alias("times"))
     same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block"))
     keys = ["doc_id", "source", "size", "source_size", "target"]

@@ -4,7 +4,6 @@ from conftest import SMALL
 from llm_fixtures import docs, none
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from citeloom.llm import mixing
 
 
@@ -51,7 +50,7 @@ def test_targets_and_taken_words_on_a_table(spark):
     for r in got:
         assert abs(r["target"] - want[r["source"]]) < 1e-6 * max(1, r["target"])
     for source, words in taken.items():
-        assert abs(words - want[source]) <= 3 * mixing.LEAST_BLOCK + 0.05 * want[source]
+        assert abs(words - want[source]) <= 3 + 0.05 * want[source]
 
 
 def test_every_stretch_of_the_schedule_holds_the_sources_in_their_shares(spark):
@@ -67,14 +66,28 @@ def test_every_stretch_of_the_schedule_holds_the_sources_in_their_shares(spark):
     assert pieces.agg(F.sum("words")).first()[0] == sum(r["taken"] for r in mixing.taken_words(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect())
 
 
-def test_small_sources_come_near_their_targets_beside_a_large_one(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "BLOCKS", 64)  # the block of a corpus that is 4,096 times as large
+def test_small_sources_come_near_their_targets_beside_a_large_one(spark):
     rows = [(i, "w " * 300, "hot") for i in range(2000)] + [(10_000 + i, "w " * 100, f"s{i // 30:02}") for i in range(1200)]
     rows += [(20_000 + i, "w w w w w", f"tiny{i}") for i in range(4)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     taken, target = defaultdict(int), {}
-    for r in corpus_pipeline.source_mix(spark, df, SMALL).collect():
+    for r in mixing.taken_words(df).collect():
         taken[r["source"]] += r["taken"]
         target[r["source"]] = r["target"]
     for source, words in target.items():
         assert abs(taken[source] - words) <= 0.08 * words + 2, source
+
+
+def test_targets_are_met_at_every_corpus_size(spark):
+    """200 sources of 3,000 words beside three that hold the rest; words are drawn as numbers, so a huge corpus costs no texts."""
+    for total in (13_000_000, 120_000_000):
+        small = [(f"s{i:03}", 3000) for i in range(200)]
+        large = [(f"h{i}", total // 3) for i in range(3)]
+        per_doc = [(s, n, max(1, n // 1000)) for s, n in small + large]
+        rows = spark.createDataFrame(per_doc, "source string, words long, docs long").selectExpr(
+            "source", "words", "docs", "explode(sequence(1, least(docs, 300))) AS i"
+        ).selectExpr("concat(source, i) AS doc_id", "source", "CAST(words / least(docs, 300) AS BIGINT) AS size")
+        mix = mixing.plan_mix(rows.withColumn("text", F.lit("")), sizes=F.col("size"))
+        taken = {r["source"]: r["n"] for r in mixing.mix_pieces(mix).groupBy("source").agg(F.sum("words").alias("n")).collect()}
+        for r in mix.targets.collect():
+            assert abs(taken[r["source"]] / r["target"] - 1) <= 0.02, (total, r["source"])
