@@ -57,13 +57,15 @@ ALLOWED = (
     "da39a3ee5e6b4b0d3255bfef95601890afd80709",
     "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855",
 )
-#: Forms that are never findings: UUIDs, dates and times, words joined by hyphens, underscores or slashes, and alphabets in order.
+#: Forms that are never findings: UUIDs, and dates and times.
 HARMLESS = (
     "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     "^[0-9]{4}-[0-9]{2}-[0-9]{2}[0-9T/_-]*$",
-    "^[A-Z]?[a-z]*([-_/+][A-Z]?[a-z]*)*$",
-    "(?i)abcdefghij|0123456789|qwertyuiop|example|placeholder",
 )
+#: Stretches that carry no secret; a run is harmless if fewer characters than a window are left beside them.
+FILLER = "(?i)abcdefghij|0123456789|qwertyuiop|example|placeholder"
+#: Counts of a window's characters are held in words of 12 fields of 5 bits; a window has 20 characters, so no field overflows.
+FIELDS, FIELD_BITS = 12, 5
 
 
 def spans(text: Column, pattern: str, keep: Callable[[Column], Column] | None = None) -> Column:
@@ -108,23 +110,34 @@ def entropy_stretch(run: Column) -> Column:
 
 
 def _slide(x: Column) -> Column:
-    place = lambda i: F.position(F.substr(x["run"], i, F.lit(1)), x["alphabet"])
-    counts = F.array_repeat(F.lit(0), F.char_length(x["alphabet"]))
-    start = F.struct(counts.alias("counts"), F.lit(0.0).alias("s"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
-
-    def step(state: Column, i: Column) -> Column:
-        def moved(at: Column) -> Column:
-            came, went = at["came"], at["went"]
-            c_in = F.coalesce(F.get(state["counts"], came), F.lit(0))
-            c_out = F.coalesce(F.get(state["counts"], went), F.lit(0)) + F.when(came == went, 1).otherwise(0)
-            s = state["s"] + _plogp(c_in + 1) - _plogp(c_in) + F.when(went < 0, F.lit(0.0)).otherwise(_plogp(c_out - 1) - _plogp(c_out))
-            counts = F.transform(state["counts"], lambda c, j: c + F.when(j == came, 1).otherwise(0) - F.when(j == went, 1).otherwise(0))
-            return bind(s, lambda now: _window(state, counts, now, i, x["bits"]))
-
-        went = F.when(i > WINDOW, place(i - WINDOW) - 1).otherwise(F.lit(-1))
-        return bind(F.struct((place(i) - 1).alias("came"), went.alias("went")), moved)
-
-    end = F.aggregate(F.sequence(F.lit(1), F.char_length(x["run"])), start, step)
+    # One pass turns the run into places in its alphabet; every step then touches the counts of two characters only.
+    places = F.transform(F.split(x["run"], "", -1), lambda c: F.position(c, x["alphabet"]) - 1)
+    return bind(F.struct(places.alias("places"), x["bits"].alias("bits")), _walk)
+
+
+def _walk(x: Column) -> Column:
+    words = -(-max(len(c.alphabet) for c in CLASSES) // FIELDS)
+    counts = F.array(*[F.lit(0).cast("long")] * words)
+    start = F.struct(counts.alias("counts"), F.lit(0.0).alias("s"), F.lit(-1).alias("first"), F.lit(-1).alias("last"), F.lit(0).alias("i"))
+    one = F.lit(1).cast("long")
+
+    def count_of(state: Column, at: Column) -> Column:
+        word = F.coalesce(F.get(state["counts"], F.floor(at / FIELDS).cast("int")), F.lit(0).cast("long"))
+        return F.call_function("shiftright", word, F.pmod(at, F.lit(FIELDS)) * FIELD_BITS).bitwiseAND(F.lit(31)).cast("int")
+
+    def step(state: Column, came: Column) -> Column:
+        went = F.when(state["i"] >= WINDOW, F.get(x["places"], state["i"] - WINDOW)).otherwise(F.lit(-1))
+        return bind(F.struct(came.alias("came"), went.alias("went")), lambda at: moved(state, at["came"], at["went"]))
+
+    def moved(state: Column, came: Column, went: Column) -> Column:
+        c_in = count_of(state, came)
+        c_out = count_of(state, went) + F.when(came == went, 1).otherwise(0)
+        s = state["s"] + _plogp(c_in + 1) - _plogp(c_in) + F.when(went < 0, F.lit(0.0)).otherwise(_plogp(c_out - 1) - _plogp(c_out))
+        field = lambda at, j: F.when(F.floor(at / FIELDS) == j, F.call_function("shiftleft", one, F.pmod(at, F.lit(FIELDS)) * FIELD_BITS)).otherwise(F.lit(0))
+        counts = F.transform(state["counts"], lambda w, j: w + field(came, j) - F.when(went < 0, F.lit(0)).otherwise(field(went, j)))
+        return bind(s, lambda now: _window(state, counts, now, state["i"] + 1, x["bits"]))
+
+    end = F.aggregate(x["places"], start, step)
     return bind(end, lambda e: F.struct(e["first"].alias("first"), e["last"].alias("last")))
 
 
@@ -135,14 +148,16 @@ def _window(state: Column, counts: Column, s: Column, i: Column, bits: Column) -
         s.alias("s"),
         F.when(hit & (state["first"] < 0), i - WINDOW).otherwise(state["first"]).alias("first"),
         F.when(hit, i).otherwise(state["last"]).alias("last"),
+        i.alias("i"),
     )
 
 
 def _suspicious(run: Column) -> Column:
-    """Candidates worth a window: mixed characters, not on the allow-list, of no harmless form."""
+    """Candidates worth a window: letters and digits, not on the allow-list, of no harmless form, and not mere filler."""
     mixed = F.rlike(run, F.lit("[0-9]")) & F.rlike(run, F.lit("[A-Za-z]"))
     harmless = F.rlike(run, F.lit("|".join(HARMLESS)))
-    return mixed & ~run.isin(*ALLOWED) & ~harmless
+    rest = F.char_length(F.regexp_replace(run, FILLER, ""))
+    return mixed & ~run.isin(*ALLOWED) & ~harmless & (rest >= WINDOW)
 
 
 def _listed(kind: str, found: Column) -> Column:
@@ -159,7 +174,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(id_col, n_assign, n_access, n_hex, n_entropy, base_sha256, spans) of each row of ``docs``.
 
     Spans are kind:start:end in code points of the whole text, by start, then kind. Null and empty texts have none. Base
-    spans are never suppressed. An entropy span inside a base span is not repeated. Repeated rows are scanned alike; other
+    spans are never suppressed. An entropy span inside a base span is not repeated. Runs of letters only or of digits only are no
+    candidates for entropy (long words and numbers would be findings), nor are runs with fewer than WINDOW characters beside
+    FILLER. Texts and runs of any length take time in proportion to their length. Repeated rows are scanned alike; other
     columns are not looked at; an empty table gives an empty table.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
