@@ -27,11 +27,14 @@ KINDS = ("email", "ip", "card", "phone")
 #: Fixed patterns (given values).
 PATTERNS = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
-    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "ip": re.compile(r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),  # starts at a number's first digit anyway
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
 SIGN = re.compile("[0-9@]")
+#: The two sides of an address's @ sign in the fixed pattern.
+LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+HOST = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 
 WINDOW = 96
 STRIDE = 48
@@ -87,21 +90,39 @@ def _luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _bytes(numbers: list[str]) -> bool:
+    return len(numbers) == 4 and all(len(n.lstrip("0")) <= 3 and int(n.lstrip("0") or "0") <= 255 for n in numbers)
+
+
 CHECKS: dict[str, Callable[[str], bool]] = {
     "email": lambda m: True,
-    "ip": lambda m: all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.split(".")),
+    "ip": lambda m: _bytes(m.split(".")),
     "card": lambda m: 12 <= len(d := _digits(m)) <= 19 and _luhn(d),
     "phone": lambda m: 9 <= len(_digits(m)) <= 15,
 }
 
 
+def emails(text: str) -> list[tuple[int, int]]:
+    """Matches of the fixed address pattern, found from each @ sign to both sides, so that a long word costs one look."""
+    found, free, at = [], 0, text.find("@")
+    while at >= 0:
+        before = text[free:at]
+        start = free + len(before.rstrip(LOCAL))
+        host = HOST.match(text, at + 1) if start < at else None
+        if host:
+            found.append((start, host.end()))
+        free = host.end() if host else at + 1
+        at = text.find("@", free)
+    return found
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the fixed patterns' matches that pass their kind's check."""
     if not SIGN.search(text):
         return []
-    found = []
+    found = [(start, KINDS.index("email"), end) for start, end in emails(text)]
     for k, kind in enumerate(KINDS):
-        if kind != "email" or "@" in text:
+        if kind != "email":
             check = CHECKS[kind]
             found += [(m.start(), k, m.end()) for m in PATTERNS[kind].finditer(text) if check(m[0])]
     return found
@@ -110,10 +131,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def _plausible(kind: str, found: str) -> bool:
     """What a span of the tagger must hold, whatever its separators."""
     if kind == "email":
-        return bool(re.search(r"[A-Za-z0-9][ (\[]*@[ )\]]*[A-Za-z0-9]", found)) and len(found) <= 64
+        return bool(re.search(r"[A-Za-z0-9][ (\[]*@[ )\]]*[A-Za-z0-9]", found))
     if kind == "ip":
         numbers = re.findall("[0-9]+", found)
-        return len(numbers) == 4 and all(len(n) <= 3 and int(n) <= 255 for n in numbers)
+        return all(len(n) <= 3 for n in numbers) and _bytes(numbers)
     if kind == "card":
         return 12 <= len(d := _digits(found)) <= 19 and _luhn(d)
     return 9 <= len(_digits(found)) <= 15
@@ -210,7 +231,7 @@ def windows_of(text: str) -> list[int]:
     covered = -1
     for m in SIGN.finditer(text):
         if m.start() + MARGIN > covered and m.start() + 1 > covered - MARGIN:
-            start = max(0, m.start() - MARGIN) if not starts else max(starts[-1] + STRIDE, m.start() - 2 * MARGIN)
+            start = max(starts[-1] + STRIDE if starts else 0, m.start() - 2 * MARGIN)
             if start < len(text):
                 starts.append(start)
                 covered = start + WINDOW
@@ -240,9 +261,19 @@ def reconcile(spans: list[tuple[int, int, int, float]]) -> list[tuple[int, int,
 
 
 def tagged_spans(tagger: Tagger, texts: list[str]) -> list[list[tuple[int, int, int]]]:
-    """(start, kind, end) of the spans that the tagger finds in each text, reconciled over all windows of the text."""
-    places = [(i, start) for i, text in enumerate(texts) for start in windows_of(text)]
+    """(start, kind, end) of the spans that the tagger finds in each text, reconciled over all windows of the text.
+
+    A span cut at a window's edge is looked at again in a window around it; one that is longer than a window is none.
+    """
     found: list[list[tuple[int, int, int, float]]] = [[] for _ in texts]
+    cut = _decode(tagger, texts, [(i, start) for i, text in enumerate(texts) for start in windows_of(text)], found)
+    _decode(tagger, texts, sorted({(i, max(0, (start + end - WINDOW) // 2)) for i, start, end in cut}), found)
+    return [reconcile(spans) for spans in found]
+
+
+def _decode(tagger: Tagger, texts: list[str], places: list[tuple[int, int]], found: list[list[tuple[int, int, int, float]]]) -> list[tuple[int, int, int]]:
+    """Adds the whole spans of the windows at ``places`` (text, start) to ``found`` and returns the cut ones as (text, start, end)."""
+    cut = []
     for at in range(0, len(places), 512):
         part = places[at : at + 512]
         x = np.zeros((len(part), WINDOW), np.int64)
@@ -261,12 +292,13 @@ def tagged_spans(tagger: Tagger, texts: list[str]) -> list[list[tuple[int, int,
                 kind, end = (int(own[pos]) - 1) // 2, pos + 1
                 while end < length and own[end] == 2 * kind + 2:
                     end += 1
-                cut = (pos == 0 and start > 0) or (end == length and start + length < len(texts[i]))
                 score = float(lead[row, pos:end].sum())
-                if not cut and score >= LEAST_LEAD * (end - pos):
+                if (pos == 0 and start > 0) or (end == length and start + length < len(texts[i])):
+                    cut.append((i, start + pos, start + end))
+                elif score >= LEAST_LEAD * (end - pos):
                     found[i].append((start + pos, kind, start + end, score))
                 pos = end
-    return [reconcile(spans) for spans in found]
+    return cut
 
 
 def _listed(spans: list[tuple[int, int, int]]) -> str:
