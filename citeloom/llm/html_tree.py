@@ -7,10 +7,9 @@ import zlib
 from dataclasses import dataclass, field
 from html import unescape
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>", re.S
-)
-ATTRIBUTE = re.compile(r"([A-Za-z-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
+NAME = re.compile(r"[A-Za-z][^\s/>]*")
+UNQUOTED = re.compile("[^>\"']*")
+ATTRIBUTE = re.compile(r"(?<![A-Za-z-])([A-Za-z-]++)\s*+=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 #: Facts of the HTML standard: elements without content, of raw text, that end an open paragraph, and that close one another.
@@ -44,46 +43,117 @@ class Page:
     texts: list[tuple[int, int, str]] = field(default_factory=list)
 
 
+def decode(text: str) -> str:
+    """Character references decoded; numbers of any length (a number beyond Unicode is U+FFFD)."""
+    if "&" not in text:
+        return text
+    if "&#" in text:
+        text = re.sub("&#0*+([1-9][0-9]{7,}+);?", "\ufffd", re.sub("&#0+(?=[0-9])", "&#", text))
+    return unescape(text)
+
+
+class Scanner:
+    """Tokens of a page from left to right.
+
+    A tag ends at the first > outside quotes. Where no such > is left, quotes count as any other character from there on,
+    so what was looked at once without success is not looked at again and a page takes time in proportion to its length.
+    """
+
+    def __init__(self, source: str):
+        self.source, self.at, self.last, self.quotes = source, 0, source.rfind(">"), True
+
+    def next(self) -> tuple[str, str | None, bool, str]:
+        """(text before, name, closing, attributes) of the next tag; comments have the name "", the end of the page None."""
+        source, begin, look = self.source, self.at, self.at
+        while (start := source.find("<", look)) >= 0:
+            look = start + 1
+            if source.startswith("<!--", start):
+                end = source.find("-->", start + 4)
+                self.at = len(source) if end < 0 else end + 3
+                return source[begin:start], "", False, ""
+            if start > self.last:  # no tag can end any more, but a comment can begin
+                look = source.find("<!--", start)
+                if look < 0:
+                    break
+            elif source[look] in "!?":
+                self.at = source.find(">", look) + 1
+                return source[begin:start], "", False, ""
+            else:
+                closing = source.startswith("/", look)
+                name = NAME.match(source, look + closing)
+                if name:
+                    self.at = self._end(name.end()) + 1
+                    return source[begin:start], name[0], closing, source[name.end() : self.at - 1]
+        self.at = len(source)
+        return source[begin:], None, False, ""
+
+    def _end(self, at: int) -> int:
+        """Place of the > that ends the tag whose name ends at ``at``; there is one from the tag's < on."""
+        end = _unquoted_end(self.source, at) if self.quotes else -1
+        if end < 0:
+            self.quotes, end = False, self.source.find(">", at)
+        return end
+
+    def skip_to_end_tag(self, name: str) -> None:
+        self.at = re.compile(f"</{name}\\s*>|\\Z", re.I).search(self.source, self.at).end()
+
+
+def _unquoted_end(source: str, at: int) -> int:
+    """Place of the first > outside quotes from ``at`` on, or -1."""
+    while True:
+        at = UNQUOTED.match(source, at).end()
+        if at == len(source):
+            return -1
+        if source[at] == ">":
+            return at
+        at = source.find(source[at], at + 1) + 1
+        if at == 0:
+            return -1
+
+
 def parse(html: str | None) -> Page:
     """The tree of a page. Any text gives a tree; unclosed and stray tags are mended much as browsers do."""
     page = Page([-1], [0], ["#page"], [""])
-    stack, run, at, source = [0], 0, 0, html or ""
+    stack, run, source = [0], 0, html or ""
     tags, parents, depths, attributes, texts = page.tags, page.parents, page.depths, page.attributes, page.texts
-
-    def close(name: str, limits) -> bool:
-        for i in range(len(stack) - 1, 0, -1):
-            tag = tags[stack[i]]
-            if tag == name:
-                del stack[i:]
-                return True
-            if tag in limits:
-                return False
-        return False
-
+    open_at: dict[str, list[int]] = {}  # places in the stack of the open elements of a tag
+    open_blocks = [0]
+
+    def last(name: str) -> int:
+        places = open_at.get(name)
+        return places[-1] if places else 0
+
+    def cut(place: int) -> None:
+        while len(stack) > place:
+            tag = tags[stack.pop()]
+            open_at[tag].pop()
+            if tag in BLOCK:
+                open_blocks.pop()
+
+    def close(name: str, limits) -> None:
+        place = last(name)
+        if place and all(last(limit) < place for limit in limits):
+            cut(place)
+
+    scanner = Scanner(source)
     while True:
-        m = TOKEN.search(source, at)
-        if text := source[at : m.start() if m else len(source)]:
-            texts.append((stack[-1], run, unescape(text) if "&" in text else text))
-        if not m:
+        text, name, closing, attribute = scanner.next()
+        if text:
+            texts.append((stack[-1], run, decode(text)))
+        if name is None:
             break
-        at = m.end()
-        name = m[2] or m[5]
         if not name:
             continue
-        name, closing = name.lower(), m[1] or m[4]
+        name = name.lower()
         if name == "br":
             texts.append((stack[-1], run, "\n"))
             continue
         block = name in BLOCK
         run += block
         if closing:
-            for i in range(len(stack) - 1, 0, -1):
-                tag = tags[stack[i]]
-                if tag == name:
-                    del stack[i:]
-                    break
-                if not block and tag in BLOCK:  # an inline end tag doesn't end a block
-                    break
+            place = last(name)
+            if place and (block or open_blocks[-1] < place):  # an inline end tag doesn't end a block
+                cut(place)
             continue
         if name in ENDS_P:
             close("p", P_LIMITS)
@@ -92,11 +162,13 @@ def parse(html: str | None) -> Page:
         parents.append(stack[-1])
         depths.append(len(stack))
         tags.append(name)
-        attributes.append(m[3] or m[6] or "")
+        attributes.append(attribute)
         if name in RAW:
-            end = re.compile(f"</{name}\\s*>|\\Z", re.I).search(source, at)
-            at = end.end()
-        elif name not in VOID and not attributes[-1].endswith("/"):
+            scanner.skip_to_end_tag(name)
+        elif name not in VOID and not attribute.endswith("/"):
+            open_at.setdefault(name, []).append(len(stack))
+            if block:
+                open_blocks.append(len(stack))
             stack.append(len(tags) - 1)
         elif name in VOID and block:
             run += 1

@@ -1,5 +1,6 @@
 import itertools
 import re
+import time
 from html import unescape
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 from conftest import SMALL
 
 from citeloom.llm import html_content as hc
-from citeloom.llm.html_tree import blocks, parse
+from citeloom.llm.html_tree import blocks, features, parse
 
 
 @pytest.fixture(scope="module")
@@ -72,3 +73,17 @@ def test_held_out_pages(model):
     at = np.cumsum([0, *map(len, labels)])
     right = sum(blocks(p, keep[a:b]) == blocks(p, y) for p, y, a, b in zip(pages, labels, at[:-1], at[1:], strict=True))
     assert right >= 0.75 * len(pages)
+
+
+@pytest.mark.parametrize("html", [
+    "<b" * 200_000, "x <b c " * 150_000, "<b a=\">\"" * 100_000, "<p " + "a" * 500_000 + ">", "<div>" * 20_000 + "<p>" * 100, "<!--" * 100_000,
+    "&#" + "1" * 10_000 + ";" + "&#" + "0" * 9_000 + "65;",
+])
+def test_long_and_broken_pages_take_linear_time(html):
+    start = time.monotonic()
+    features(parse(html), 1 << 12)
+    assert time.monotonic() - start < 30  # some 0.1 s; the squares would take hours
+
+
+def test_references_of_any_length():
+    assert blocks(parse("a&#" + "0" * 9000 + "65;b&#" + "9" * 9000 + ";c"), [True]) == "aAb\ufffdc"
