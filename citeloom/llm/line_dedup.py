@@ -194,7 +194,7 @@ def drop_frequent_lines(docs: DataFrame, index: LineIndex, group_bytes: int = GR
     """``docs`` without the lines whose key is frequent in ``index``, which must hold these documents.
 
     A line's key is the line without white space at its ends, A-Z in lower case. Adds ``n_lines`` and ``n_dropped``; if
-    ``docs`` has columns of these names, they are replaced. All other columns stay. A null text stays null and counts as
+    ``docs`` has columns of these names, they are replaced. All other columns stay, whatever their names. A null text stays null and counts as
     one line; an empty text is one line; a text that loses all lines is empty. Repeated rows count as documents of their
     own. An empty table gives an empty table.
     """
@@ -202,7 +202,10 @@ def drop_frequent_lines(docs: DataFrame, index: LineIndex, group_bytes: int = GR
     sc = spark.sparkContext
     shards, buckets = index.shards, max(1, index.buckets)
     base = docs.drop("n_lines", "n_dropped")
-    marked = base.withColumn("_gone", F.lit(b""))
+    gone = "_gone"
+    while gone in base.columns:
+        gone += "_"
+    marked = base.withColumn(gone, F.lit(b""))
     per_group = max(1, group_bytes // (buckets * SLOTS * 4))
     cold = index.counts.where(F.col("docs") < index.min_docs).select("hi", "lo")
     for start in range(0, shards if index.buckets else 0, per_group):
@@ -220,15 +223,15 @@ def drop_frequent_lines(docs: DataFrame, index: LineIndex, group_bytes: int = GR
 
         # Of N other keys, some N / 500 million get a false answer from 32-bit fingerprints.
         false = sc.broadcast({(r["hi"], r["lo"]) for r in map_columns(cold, wrong, KEY_SCHEMA).collect()})
-        marked = _marked(marked, sent, false, shards, buckets)
+        marked = _marked(marked, gone, sent, false, shards, buckets)
         if start + per_group < shards:
             marked = materialise(marked, "line-marks")
-    return _without(marked, docs)
+    return _without(marked, gone)
 
 
-def _marked(docs: DataFrame, sent, false, shards: int, buckets: int) -> DataFrame:
-    """``_gone`` with one byte per line, set also where this group of filters holds the line's key."""
-    at, gone = docs.columns.index("text"), docs.columns.index("_gone")
+def _marked(docs: DataFrame, marks_col: str, sent, false, shards: int, buckets: int) -> DataFrame:
+    """``marks_col`` with one byte per line, set also where this group of filters holds the line's key."""
+    at, gone = docs.columns.index("text"), docs.columns.index(marks_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -247,13 +250,13 @@ def _marked(docs: DataFrame, sent, false, shards: int, buckets: int) -> DataFram
             for end, n, old in zip(ends, sizes, batch.column(gone).to_pylist(), strict=True):
                 own = marks[end - n : end]
                 out.append(bytes(x | y for x, y in zip(old, own, strict=True)) if old else own)
-            yield batch.set_column(gone, "_gone", pa.array(out, pa.binary()))
+            yield batch.set_column(gone, marks_col, pa.array(out, pa.binary()))
 
     return docs.mapInArrow(run, docs.schema)
 
 
-def _without(marked: DataFrame, docs: DataFrame) -> DataFrame:
-    at, gone = marked.columns.index("text"), marked.columns.index("_gone")
+def _without(marked: DataFrame, marks_col: str) -> DataFrame:
+    at, gone = marked.columns.index("text"), marked.columns.index(marks_col)
     keep = [i for i in range(len(marked.columns)) if i != gone]
     names = [marked.columns[i] for i in keep] + ["n_lines", "n_dropped"]
 
@@ -269,7 +272,7 @@ def _without(marked: DataFrame, docs: DataFrame) -> DataFrame:
             columns = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in keep]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())], names)
 
-    schema = marked.drop("_gone").schema.add("n_lines", "long").add("n_dropped", "long")
+    schema = marked.drop(marks_col).schema.add("n_lines", "long").add("n_dropped", "long")
     return marked.mapInArrow(run, schema)
 
 

@@ -263,15 +263,3 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return prints.join(of_print, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
-
-
-def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without near-duplicates: the document with the smallest id of each component stays.
-
-    Rows that repeat this id stay once, and rows without an id stay. The rest is as in ``near_duplicates``.
-    """
-    groups = materialise(near_duplicates(docs), "near-duplicates")
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    repeated = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id"])  # only repeats cost a shuffle of texts

@@ -2,6 +2,7 @@ from collections import Counter
 
 import numpy as np
 from llm_fixtures import TEXTS, docs, none, rows
+from pyspark.sql import functions as F
 
 from citeloom.llm import line_dedup as ld
 
@@ -27,6 +28,12 @@ def test_edges_match_brute_force(spark):
     assert ld.dedup_lines(none(df)).count() == 0
 
 
+def test_columns_of_any_name_stay(spark):
+    df = docs(spark).withColumn("_gone", F.lit("mine")).withColumn("n_lines", F.lit("theirs"))
+    got = ld.dedup_lines(df, min_docs=2)
+    assert set(got.columns) == {*df.columns, "n_dropped"} and {r["_gone"] for r in got.collect()} == {"mine"}
+
+
 def test_small_groups_of_filters_give_the_same(spark):
     texts = [f"line {i % 40}\nline {i % 7}\nown {i}" for i in range(300)]
     df = docs(spark, texts)

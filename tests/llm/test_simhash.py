@@ -56,13 +56,6 @@ def test_table_matches_brute_force(spark):
     check(spark.read.parquet(f"{SMALL}/documents.parquet"))
 
 
-def test_one_document_of_each_group_stays(spark):
-    kept = simhash.keep_one_of_each(docs(spark))
-    groups = {r["component_id"] for r in simhash.near_duplicates(docs(spark)).collect()}
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(groups)
-    assert kept.columns == docs(spark).columns
-
-
 def test_fingerprints_within_three_bits_share_a_key():
     rng = np.random.default_rng(5)
     base = rng.integers(-(2**63), 2**63 - 1, 4000, dtype=np.int64)
