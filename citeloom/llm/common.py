@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,6 +50,19 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
+def placed(df: DataFrame, order: list[Column], amounts: dict[str, Column], label: str) -> DataFrame:
+    """Adds sums of ``amounts`` over all earlier rows in ``order``: inside range partitions, whose totals are summed first."""
+    sorted_ = df.select("*", *[c.alias(f"_o{i}") for i, c in enumerate(order)], *[c.alias(f"_a{n}") for n, c in amounts.items()])
+    keys = [f"_o{i}" for i in range(len(order))]
+    held = materialise(sorted_.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id()), label)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    totals = held.groupBy("_part").agg(*[F.sum(f"_a{n}").alias(f"_t{n}") for n in amounts])
+    offsets = totals.select("_part", *[F.coalesce(F.sum(f"_t{n}").over(before), F.lit(0)).alias(f"_t{n}") for n in amounts])
+    inside = Window.partitionBy("_part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    sums = [(F.coalesce(F.sum(f"_a{n}").over(inside), F.lit(0)) + F.col(f"_t{n}")).alias(n) for n in amounts]
+    return held.join(offsets, "_part").select(*df.columns, *sums)
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of ``links`` (a, b): one row (node, component) per node, component its smallest node.
 

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeloom.llm.common import n_words
+from citeloom.llm.common import n_words, placed
 from citeloom.session import materialise
 
 #: Weights of sources in code point order, repeating; null comes last.
@@ -48,12 +48,12 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     sources are sorted by the level that fills them, and L follows from the sums of those before. One row per source is
     sorted; running sums combine rows of one source only.
     """
-    numbered = _placed(sizes, [F.col("source").isNull(), F.col("source")], {"number": F.lit(1)}, "source-numbers")
+    numbered = placed(sizes, [F.col("source").isNull(), F.col("source")], {"number": F.lit(1)}, "source-numbers")
     weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), (F.pmod("number", F.lit(len(WEIGHTS))) + 1).cast("int"))
     full = F.col("source_size") * F.lit(MOST_PASSES) / F.col("weight")
     weighed = numbered.withColumn("weight", weight).drop("number").withColumn("full", full)
     amounts = {"filled": F.col("source_size"), "passed": F.col("weight")}
-    levels = _placed(weighed, [F.col("full"), F.col("source").isNull(), F.col("source")], amounts, "source-levels")
+    levels = placed(weighed, [F.col("full"), F.col("source").isNull(), F.col("source")], amounts, "source-levels")
     total = levels.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
     size, weights = total["size"] or 0, total["weight"] or 0
     level = (F.lit(size).cast("long") * F.lit(SHARE) - F.col("filled") * F.lit(MOST_PASSES)) / (F.lit(weights).cast("long") - F.col("passed"))
@@ -63,19 +63,6 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     return levels.select("source", "source_size", "docs", top.cast("double").alias("target"))
 
 
-def _placed(df: DataFrame, order: list[Column], amounts: dict[str, Column], label: str) -> DataFrame:
-    """Adds sums of ``amounts`` over all earlier rows in ``order``: inside range partitions, whose totals are summed first."""
-    sorted_ = df.select("*", *[c.alias(f"_o{i}") for i, c in enumerate(order)], *[c.alias(f"_a{n}") for n, c in amounts.items()])
-    keys = [f"_o{i}" for i in range(len(order))]
-    held = materialise(sorted_.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id()), label)
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
-    totals = held.groupBy("_part").agg(*[F.sum(f"_a{n}").alias(f"_t{n}") for n in amounts])
-    offsets = totals.select("_part", *[F.coalesce(F.sum(f"_t{n}").over(before), F.lit(0)).alias(f"_t{n}") for n in amounts])
-    inside = Window.partitionBy("_part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    sums = [(F.coalesce(F.sum(f"_a{n}").over(inside), F.lit(0)) + F.col(f"_t{n}")).alias(n) for n in amounts]
-    return held.join(offsets, "_part").select(*df.columns, *sums)
-
-
 def _running(df: DataFrame, keys: list[str], piece: str, order: list[str], amount: str, name: str) -> DataFrame:
     """Sum of ``amount`` over the earlier rows of a key. Pieces are ordered and bounded; only their totals meet."""
     totals = df.groupBy(*keys, piece).agg(F.sum(amount).alias("_total"))
@@ -100,10 +87,10 @@ def _golden_point(slot: Column) -> Column:
 def _bounds(targets: DataFrame) -> DataFrame:
     """Stretch of points 0 to 2^32 of each source, by its share of all ``slots``."""
     units = F.round(F.col("slots") * F.lit(float(1 << 20))).cast("long")  # whole numbers, so that sums agree in any order
-    placed = _placed(targets.withColumn("units", units), [F.col("source").isNull(), F.col("source")], {"before": F.col("units")}, "source-bounds")
-    total = F.lit(placed.agg(F.sum("units")).first()[0])
+    summed = placed(targets.withColumn("units", units), [F.col("source").isNull(), F.col("source")], {"before": F.col("units")}, "source-bounds")
+    total = F.lit(summed.agg(F.sum("units")).first()[0])
     point = lambda upto: F.round(upto / total * F.lit(float(1 << 32))).cast("long")
-    return placed.withColumn("low", point(F.col("before"))).withColumn("high", point(F.col("before") + F.col("units")))
+    return summed.withColumn("low", point(F.col("before"))).withColumn("high", point(F.col("before") + F.col("units")))
 
 
 def plan_mix(docs: DataFrame, id_col: str = "doc_id", sizes: Column | None = None) -> Mix:
@@ -126,8 +113,8 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", sizes: Column | None = Non
     pieces = F.greatest(F.lit(1), F.ceil(F.col("docs") * 4 / PIECE))
     joined = sized.join(known, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn("_hash", digest.cast("long"))
     shuffled = joined.withColumn("_piece_no", F.floor(F.col("_hash") / F.lit(float(1 << 40)) * pieces))
-    placed = _running(shuffled, ["source"], "_piece_no", ["_hash", "doc_id", "size"], "size", "start")
-    places = materialise(placed.drop("_hash", "_piece_no", "docs"), "doc-places")
+    located = _running(shuffled, ["source"], "_piece_no", ["_hash", "doc_id", "size"], "size", "start")
+    places = materialise(located.drop("_hash", "_piece_no", "docs"), "doc-places")
     n_slots = round(targets.agg(F.coalesce(F.sum("slots"), F.lit(0.0))).first()[0])
     # Slots and sources meet by cells of the circle of points, four a source, so that a slot is compared with the few of its cell.
     cell = max(1, (1 << 30) >> max(10, targets.count().bit_length()))
