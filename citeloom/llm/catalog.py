@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import decontaminate, html_content, language, line_dedup, mixing, pii, quality, secrets, simhash, topk
+from citeloom.llm import (
+    decontaminate, html_content, language, line_dedup, merkle, mixing, pii, quality, quality_rules, secrets, simhash, topk, vector_codes,
+)
 from citeloom.llm.common import table
 
 
@@ -71,9 +73,24 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and check of each document, some of them tampered with."""
+    return merkle.verified_documents(table(spark, sf_dir, "documents"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of the threshold table on each document."""
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of each vector."""
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
 REGISTRY = {f.__name__: f for f in (
     op1_html_extraction, op2_line_dedup, op3_secret_scan, op4_decontamination, op5_pii, op6_simhash_near_dedup,
-    op7_quality, op8_language_id, page_languages, op9_top_k, op10_source_mix,
+    op7_quality, op8_language_id, page_languages, op9_top_k, op10_source_mix, op11_merkle_manifest, op12_quality_rules, op13_vector_codes,
 )}
 
 _BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -145,3 +162,108 @@ SQL = {
         GROUP BY c.doc_id, c.size, c.source_size, c.target, c.source, start
     """,
 }
+
+_CELL = "coalesce(strlen({0}) || ':' || {0}, '-')"
+_DECIMAL = "CAST({} AS VARCHAR)"
+_HEAD = " || ".join(_CELL.format(_DECIMAL.format(c) if c in ("doc_id", "n_chars") else c) for c in ("doc_id", "source", "lang", "n_chars"))
+
+# CRC-32 by its table; levels of the trees and the folds of the proofs by recursion.
+SQL["op11_merkle_manifest"] = f"""
+    WITH RECURSIVE bits AS (
+        SELECT i, 0 AS k, i::BIGINT AS c FROM range(256) r(i)
+        UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
+    crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+    d AS (SELECT doc_id, lang, sha256({_HEAD} || {_CELL.format("text")}) AS leaf,
+                 sha256({_HEAD} || {_CELL.format(_LOWER.format("text"))}) AS low,
+                 xor(list_reduce(list_concat([4294967295::BIGINT], [ascii(x)::BIGINT FOR x IN string_split(CAST(doc_id AS VARCHAR), '')]),
+                     lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS code
+          FROM documents, crc),
+    p AS (SELECT *, dense_rank() OVER (ORDER BY lang IS NOT NULL, encode(coalesce(lang, ''))) - 1 AS tree,
+                 row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM d),
+    lower_nodes AS (
+        SELECT tree, 0 AS level, place, leaf AS h, count(*) OVER (PARTITION BY tree) AS n FROM p
+        UNION ALL
+        SELECT tree, level + 1, place // 8, sha256(string_agg(h, '' ORDER BY place)), (n + 7) // 8 FROM lower_nodes WHERE n > 1
+        GROUP BY tree, level, place // 8, n),
+    subs AS (SELECT tree, arg_max(h, level) AS subroot, max(level) AS depth FROM lower_nodes GROUP BY tree),
+    upper_nodes AS (
+        SELECT 0 AS level, tree AS place, subroot AS h, count(*) OVER () AS n FROM subs
+        UNION ALL
+        SELECT level + 1, place // 8, sha256(string_agg(h, '' ORDER BY place)), (n + 7) // 8 FROM upper_nodes WHERE n > 1
+        GROUP BY level, place // 8, n),
+    nodes AS (
+        SELECT tree, level, place, h FROM lower_nodes WHERE n > 1
+        UNION ALL SELECT s.tree, s.depth + u.level, u.place, u.h FROM upper_nodes u, subs s WHERE u.n > 1),
+    top AS (SELECT arg_max(h, level) AS root FROM upper_nodes),
+    steps AS (SELECT tree, depth + (SELECT max(level) FROM upper_nodes) AS steps FROM subs),
+    fold AS (
+        SELECT row_number() OVER () AS id, doc_id, tree, leaf, CASE WHEN code % 3 = 0 THEN low ELSE leaf END AS h, place, 0 AS level, '' AS proof FROM p
+        UNION ALL
+        SELECT f.id, f.doc_id, f.tree, f.leaf,
+               sha256(coalesce(string_agg(n.h, '' ORDER BY n.place) FILTER (n.place < f.place), '') || f.h
+                      || coalesce(string_agg(n.h, '' ORDER BY n.place) FILTER (n.place > f.place), '')),
+               CASE WHEN f.level + 1 = s.depth THEN f.tree ELSE f.place // 8 END, f.level + 1,
+               f.proof || coalesce(string_agg(n.h, '' ORDER BY n.place) FILTER (n.place <> f.place), '')
+        FROM fold f JOIN nodes n ON n.tree = f.tree AND n.level = f.level AND n.place // 8 = f.place // 8 JOIN subs s ON s.tree = f.tree
+        GROUP BY f.id, f.doc_id, f.tree, f.leaf, f.h, f.place, f.level, f.proof, s.depth)
+    SELECT f.doc_id, f.leaf, s.subroot, top.root, sha256(f.proof) AS proof_sha256, f.h AS folded_root, f.h = top.root AS verified
+    FROM fold f JOIN steps t ON t.tree = f.tree AND t.steps = f.level JOIN subs s ON s.tree = f.tree, top
+"""
+
+_STOP = ", ".join(f"'{w}'" for w in sorted(set(quality_rules.STOP_WORDS)))
+_BROKEN = ", ".join(
+    f"CASE WHEN {' OR '.join(f'{r.ratio} {op} {bound}' for op, bound in (('<', r.least), ('>', r.most)) if bound is not None)} THEN '{r.name}' END"
+    for r in quality_rules.RULES
+)
+
+SQL["op12_quality_rules"] = f"""
+    WITH s AS (
+        SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+               [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\\x20\\x09-\\x0D]')] AS l, row_number() OVER () AS id FROM documents),
+    win AS (SELECT id, unnest(range(1, len(w) - 1)) AS i, w FROM s),
+    named AS (SELECT id, i, count(*) OVER (PARTITION BY id, w[i : i + 2]) AS times FROM win),
+    rep AS (SELECT id, count(DISTINCT i + k) AS n FROM named, range(3) r(k) WHERE times > 1 GROUP BY id),
+    m AS (
+        SELECT doc_id, len(w) AS n_words, coalesce(list_sum([length(x) FOR x IN w]), 0) AS word_chars,
+               len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
+               len(l) AS n_lines, len([x FOR x IN w IF regexp_matches(x, '\\pL')]) AS n_letter,
+               len([x FOR x IN w IF NOT regexp_matches(x, '\\p{{Ll}}') AND len(regexp_extract_all(x, '\\p{{Lu}}')) >= 2]) AS n_capital,
+               len([x FOR x IN w IF lower(x) IN ({_STOP})]) AS n_stop, len([x FOR x IN l IF regexp_matches(x, '^[\\x20\\x09]*[-*•][\\x20\\x09]')]) AS n_bullet,
+               len([x FOR x IN l IF regexp_matches(x, '(\\.\\.\\.|…)[\\x20\\x09-\\x0D]*$')]) AS n_ellipsis
+        FROM s LEFT JOIN rep ON s.id = rep.id),
+    r AS (
+        SELECT *, word_chars / nullif(n_words, 0) AS mean_word_length, n_symbols / nullif(n_words, 0) AS symbols_per_word,
+               n_letter / nullif(n_words, 0) AS words_with_letter, n_capital / nullif(n_words, 0) AS words_in_capitals, n_stop / nullif(n_words, 0) AS stop_words,
+               n_bullet / nullif(n_lines, 0) AS bullet_lines, n_ellipsis / nullif(n_lines, 0) AS ellipsis_lines, n_dup_lines / nullif(n_lines, 0) AS repeated_lines,
+               n_words / nullif(n_lines, 0) AS mean_line_length, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
+    b AS (SELECT *, array_to_string([x FOR x IN [{_BROKEN}] IF x IS NOT NULL], ',') AS broken FROM r)
+    SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND broken = '' AS kept, broken FROM b
+"""
+
+
+def _vector_codes_sql(rounds: int = vector_codes.ROUNDS, parts: int = vector_codes.PARTS, entries: int = vector_codes.ENTRIES) -> str:
+    """Every round assigns all parts to their nearest entry by looking at all of them, then takes floored means."""
+    steps = [f"""
+        v AS (SELECT row_number() OVER () AS id, vec_id, label, [CAST(floor({vector_codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+              WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        x AS (SELECT id, vec_id, label, p, v[p * (len(v) // {parts}) + 1 : (p + 1) * (len(v) // {parts})] AS u FROM v, range({parts}) r(p)),
+        b0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id, v) - 1 AS e, u FROM x JOIN v USING (id, vec_id)
+               QUALIFY row_number() OVER (PARTITION BY p ORDER BY vec_id, v) <= {entries})"""]
+    for n in range(rounds + 1):
+        steps.append(f"""
+        a{n} AS (SELECT id, x.p, arg_min({{'e': e, 'd': d}}, {{'d': d, 'e': e}}) AS m FROM (
+                   SELECT x.id, x.p, b.e, CAST(list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(x.u, b.u)]) AS BIGINT) AS d
+                   FROM x JOIN b{n} b ON x.p = b.p) x GROUP BY id, x.p)""")
+        if n < rounds:
+            steps.append(f"""
+        s{n} AS (SELECT a.p, a.m.e AS e, j, CAST(sum(x.u[j]) AS BIGINT) AS s, count(*) AS c FROM a{n} a JOIN x USING (id, p), range(1, len(x.u) + 1) r(j) GROUP BY ALL),
+        b{n + 1} AS (SELECT b.p, b.e, coalesce(m.u, b.u) AS u FROM b{n} b LEFT JOIN (
+                   SELECT p, e, list((s - ((s % c) + c) % c) // c ORDER BY j) AS u FROM s{n} GROUP BY p, e) m ON b.p = m.p AND b.e = m.e)""")
+    return f"""WITH {','.join(steps)},
+        books AS (SELECT sha256(string_agg(array_to_string(u, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds}),
+        c AS (SELECT id, string_agg(printf('%02x', m.e), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error FROM a{rounds} GROUP BY id)
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM c JOIN v USING (id), books
+    """
+
+
+SQL["op13_vector_codes"] = _vector_codes_sql()
