@@ -145,6 +145,19 @@ def upsert(
     )
 
 
+def touched(previous: DataFrame, current: DataFrame, run_started_at: str, run_finished_at: str, output_dir: str) -> DataFrame:
+    """The index rows that a run writes: its own entries, with ``first_seen_at`` carried over. All others stay as they are.
+
+    ``upsert`` is these rows in place of the previous ones. The previous index is asked for the touched ids only.
+    """
+    first = previous.select("canonical_id", F.col("first_seen_at").alias("_first"))
+    stamped = current.drop("first_seen_at", "last_seen_at", "last_output_dir").join(first, "canonical_id", "left")
+    stamps = {
+        "first_seen_at": F.coalesce("_first", F.lit(run_started_at)), "last_seen_at": F.lit(run_finished_at), "last_output_dir": F.lit(output_dir),
+    }
+    return stamped.withColumns(stamps).drop("_first").select(*[c for c in previous.columns])
+
+
 def first_arrivals(events: DataFrame, key: str, order: list[str], seen: DataFrame | None = None) -> DataFrame:
     """First row of every key that is not in ``seen`` yet (batch form of the streaming filter)."""
     from citeloom.operators.order import first_per_key

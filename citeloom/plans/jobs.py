@@ -12,6 +12,7 @@ from citeloom import schemas
 from citeloom.functions.scan import ScanSpec
 from citeloom.operators import candidates, coverage, curate, docscan, finalize, merge, report, snapshot
 from citeloom.plans import sinks
+from citeloom.plans.keyed_state import KeyedState
 from citeloom.session import configure, scratch_space
 from citeloom.sources import json_sources, markup_sources
 from citeloom.sources.common import ORDER
@@ -39,6 +40,7 @@ class RunParams:
     write_full_corpus: bool = False
     fail_on_unverified_targets: bool = False
     scholar_as_json: bool = False
+    versions_before_compaction: int = 50
 
     @property
     def min_year(self) -> int:
@@ -119,6 +121,16 @@ def mention_lists(mentions: DataFrame) -> DataFrame:
     return mentions.groupBy("canonical_id").agg(F.transform(pairs, lambda p: p["mention"]).alias("award_mentions"))
 
 
+def index_state(spark: SparkSession, base: str) -> KeyedState:
+    """The paper index of all runs under ``base``; see ``paper_index`` for its current rows."""
+    return KeyedState(spark, f"{base.rstrip('/')}/state/paper_index", schemas.PAPER_INDEX, "canonical_id")
+
+
+def paper_index(spark: SparkSession, base: str, before: str | None = None) -> DataFrame:
+    """The paper index after the published runs, with ``before`` after those published before that run."""
+    return index_state(spark, base).current(runs=sinks.published_runs(spark, base, before))
+
+
 def collection_run(spark: SparkSession, inputs: RunInputs, params: RunParams, base: str) -> DataFrame:
     """One run from landed payloads to published tables; returns the run summary."""
     configure(spark)
@@ -152,9 +164,9 @@ def _collect(spark: SparkSession, inputs: RunInputs, params: RunParams, base: st
     )
     papers = save(snapshot.fingerprint(papers, values), "papers_merged")
 
-    previous = sinks.read_latest(spark, base, "paper_index", before=rid) if params.use_state else None
-    if previous is None:
-        previous = spark.createDataFrame([], schemas.PAPER_INDEX)
+    state = index_state(spark, base)
+    seen = sinks.published_runs(spark, base, before=rid) if params.use_state else set()
+    previous = state.current(runs=seen)
     diffed = save(snapshot.hydrate(snapshot.diff(papers, previous), previous), "papers_diffed")
     save(snapshot.delta_ids(diffed), "paper_delta")
 
@@ -237,11 +249,10 @@ def _collect(spark: SparkSession, inputs: RunInputs, params: RunParams, base: st
 
     if params.use_state:
         index = final.select([F.col(c) for c in previous.columns if c in final.columns])
-        save(
-            snapshot.upsert(previous, index, params.run_started_at, params.run_finished_at, f"{base}/runs/{rid}"),
-            "paper_index",
-        )
+        state.append(snapshot.touched(previous, index, params.run_started_at, params.run_finished_at, f"{base}/runs/{rid}"), rid)
     sinks.publish(spark, base, rid)
+    if state.since_base() >= params.versions_before_compaction:
+        state.compact(runs=sinks.published_runs(spark, base))
     if params.fail_on_unverified_targets and details is not None:
         failed = save(coverage.verification_failures(details), "unverified_targets")
         if not failed.isEmpty():

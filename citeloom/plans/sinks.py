@@ -1,7 +1,7 @@
 """Outputs of a run: tables under ``runs/<run_id>``, a latest pointer, and text files.
 
-``latest`` is not a copy. Finished runs are appended to a small pointer table with a counter, and the highest
-count wins, so a reader sees either the old run or the new one, never a mixture, and nothing is written twice.
+``latest`` is not a copy. Every finished run claims the next number by creating a pointer file, and the highest
+number wins, so a reader sees either the old run or the new one, never a mixture, and nothing is written twice.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citeloom.plans.keyed_state import claim_next, claims
 from citeloom.sources.files import path_exists
 
 
@@ -39,15 +40,27 @@ def write_text(lines: DataFrame, order: list[str], column: str, base: str, run_i
 
 def _pointers(spark: SparkSession, base: str) -> DataFrame | None:
     path = f"{base.rstrip('/')}/published"
-    return spark.read.schema("run_id STRING, seq BIGINT").parquet(path) if path_exists(spark, path) else None
+    known = [p for _, p in claims(spark, path)]
+    return spark.read.schema("run_id STRING, seq BIGINT").json(known).where("run_id IS NOT NULL") if known else None
 
 
-def publish(spark: SparkSession, base: str, run_id: str) -> None:
-    """Make a finished run the latest one. Runs are counted as they finish; their ids need no order."""
+def publish(spark: SparkSession, base: str, run_id: str) -> int:
+    """Make a finished run the latest one. Runs are counted as they finish; their ids need no order.
+
+    The next pointer is created only if it is not there yet, and the next number is tried if another run was first, so
+    of two runs that finish at once each gets a pointer.
+    """
+    return claim_next(spark, f"{base.rstrip('/')}/published", {"run_id": run_id})
+
+
+def published_runs(spark: SparkSession, base: str, before: str | None = None) -> set[str]:
+    """Ids of the published runs, with ``before`` of those published before that id was first published."""
     known = _pointers(spark, base)
-    seq = 1 + (known.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0] if known is not None else 0)
-    row = spark.createDataFrame([(run_id, seq)], "run_id STRING, seq BIGINT")
-    row.write.mode("append").parquet(f"{base.rstrip('/')}/published")
+    if known is None:
+        return set()
+    rows = known.collect()  # one short row per run
+    first = min((r["seq"] for r in rows if r["run_id"] == before), default=None)
+    return {r["run_id"] for r in rows if r["run_id"] != before and (first is None or r["seq"] < first)}
 
 
 def latest_run(spark: SparkSession, base: str, before: str | None = None) -> str | None:

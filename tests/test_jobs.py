@@ -68,7 +68,7 @@ def test_two_runs(spark, tmp_path):
     again = {r["canonical_id"]: r for r in sinks.read_latest(spark, base, "papers").collect()}
     assert again["doi:10.1/a"]["award_mentioned_in_document"] and again["doi:10.1/a"]["document_verification_kind"] == "pdf"
     assert again["doi:10.1/c"]["award_mentioned_in_metadata"]
-    index = sinks.read_latest(spark, base, "paper_index")
+    index = jobs.paper_index(spark, base)
     assert cells(index, "canonical_id", "first_seen_at", "last_seen_at") == [
         ("doi:10.1/a", "r1-s", "r2-e"), ("doi:10.1/b", "r1-s", "r2-e"), ("doi:10.1/c", "r2-s", "r2-e")
     ]
@@ -79,6 +79,13 @@ def test_two_runs(spark, tmp_path):
     sinks.publish(spark, base, "a run whose id does not sort")
     assert sinks.latest_run(spark, base) == "a run whose id does not sort"
     sinks.publish(spark, base, "r2")
+    # The state holds what each run touched, and a compaction changes nothing that is read.
+    state = jobs.index_state(spark, base)
+    before = cells(jobs.paper_index(spark, base), "canonical_id", "hash", "first_seen_at", "last_seen_at", "last_output_dir")
+    assert state.since_base() == 3 and cells(jobs.paper_index(spark, base, before="r2"), "canonical_id") == [("doi:10.1/a",), ("doi:10.1/b",)]
+    state.compact()
+    state.drop_folded()
+    assert state.since_base() == 0 and cells(jobs.paper_index(spark, base), "canonical_id", "hash", "first_seen_at", "last_seen_at", "last_output_dir") == before
     with pytest.raises(RuntimeError, match="unverified_targets"):
         jobs.collection_run(spark, _inputs(spark, items), _params("r3", fail_on_unverified_targets=True, use_state=False), base)
 
