@@ -89,41 +89,6 @@ def merge_papers(keyed: DataFrame) -> DataFrame:
     )
 
 
-def partial_papers(keyed: DataFrame) -> DataFrame:
-    """What a merge keeps of some records of each paper, winners with their places, so that more can be folded in later."""
-    best = lambda c: F.max(F.when(F.length(c) > 0, F.struct(F.length(c).alias("size"), (-F.col("ord")).alias("neg"), F.col(c).alias("text"))))
-    first = lambda c: F.min(F.when(F.length(c) > 0, F.struct("ord", F.col(c).alias("text"))))
-    return keyed.groupBy("canonical_id").agg(
-        best("title").alias("title"), F.min("year").alias("year"), F.min("published_date").alias("published_date"),
-        first("venue").alias("venue"), first("doi").alias("doi"), best("abstract").alias("abstract"),
-        F.count("*").alias("record_count"), F.min("ord").alias("first_ord"),
-    )
-
-
-def fold_partials(partials: DataFrame) -> DataFrame:
-    """One partial per paper out of several."""
-    return partials.groupBy("canonical_id").agg(
-        F.max("title").alias("title"), F.min("year").alias("year"), F.min("published_date").alias("published_date"),
-        F.min("venue").alias("venue"), F.min("doi").alias("doi"), F.max("abstract").alias("abstract"),
-        F.sum("record_count").alias("record_count"), F.min("first_ord").alias("first_ord"),
-    )
-
-
-def finish_partials(partials: DataFrame) -> DataFrame:
-    """Papers as ``merge_papers`` gives them."""
-    return partials.select(
-        "canonical_id", F.col("title.text").alias("title"), "year", "published_date", F.col("venue.text").alias("venue"),
-        F.col("doi.text").alias("doi"), F.col("abstract.text").alias("abstract"), "record_count", "first_ord",
-        title_key(F.col("title.text")).alias("normalized_title"),
-    )
-
-
-def fold_values(values: DataFrame) -> DataFrame:
-    """Distinct list values out of several sets of them, each with its first place."""
-    firsts = values.groupBy("canonical_id", "field", "value").agg(F.min(F.struct("first_ord", "first_pos")).alias("at"))
-    return firsts.select("canonical_id", "field", "value", "at.first_ord", "at.first_pos")
-
-
 def _value_rows(field: str, arr: Column) -> Column:
     return F.transform(
         distinct_ws(arr),
@@ -131,9 +96,13 @@ def _value_rows(field: str, arr: Column) -> Column:
     )
 
 
-def merge_values(keyed: DataFrame) -> DataFrame:
-    """Ordered distinct list fields as rows ``(canonical_id, field, value, first_ord, first_pos)``."""
-    rows = keyed.select(
+#: List fields of a paper.
+LIST_FIELDS = ("authors", "members", "urls", "pdf_urls", "sources")
+
+
+def value_rows(keyed: DataFrame) -> DataFrame:
+    """List values of every record as rows ``(canonical_id, ord, v)`` with ``v`` a struct of field, pos and value; no shuffle."""
+    return keyed.select(
         "canonical_id",
         "ord",
         F.explode(
@@ -146,7 +115,11 @@ def merge_values(keyed: DataFrame) -> DataFrame:
             )
         ).alias("v"),
     )
-    firsts = rows.groupBy("canonical_id", F.col("v.field").alias("field"), F.col("v.value").alias("value")).agg(
+
+
+def merge_values(keyed: DataFrame) -> DataFrame:
+    """Ordered distinct list fields as rows ``(canonical_id, field, value, first_ord, first_pos)``."""
+    firsts = value_rows(keyed).groupBy("canonical_id", F.col("v.field").alias("field"), F.col("v.value").alias("value")).agg(
         F.min(F.struct("ord", F.col("v.pos").alias("pos"))).alias("at")
     )
     return firsts.select(

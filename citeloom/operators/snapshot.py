@@ -17,14 +17,9 @@ def fingerprint(papers: DataFrame, values: DataFrame) -> DataFrame:
     count per field over distinct values, so lists are never collected and a long list costs no more
     than a short one.
     """
+    first, second = value_digests(F.col("field"), F.col("value"))
     digests = values.groupBy("canonical_id", "field").agg(
-        F.concat_ws(
-            ":",
-            "field",
-            F.count("*").cast("string"),
-            F.hex(F.bit_xor(F.xxhash64("field", "value"))),
-            F.hex(F.bit_xor(F.xxhash64(F.lit("second"), "value", "field"))),
-        ).alias("digest")
+        F.concat_ws(":", "field", F.count("*").cast("string"), F.hex(F.bit_xor(first)), F.hex(F.bit_xor(second))).alias("digest")
     )
     # At most one digest per list field, five in all.
     per_paper = digests.groupBy("canonical_id").agg(
@@ -37,6 +32,11 @@ def fingerprint(papers: DataFrame, values: DataFrame) -> DataFrame:
     )
 
 
+def value_digests(field: Column, value: Column) -> tuple[Column, Column]:
+    """The two independent hashes of a list value that the list digests sum up."""
+    return F.xxhash64(field, value), F.xxhash64(F.lit("second"), value, field)
+
+
 def paper_hash(list_digest: Column) -> Column:
     """SHA-256 of the JSON text of the fingerprint fields; NULL fields are kept in the JSON."""
     payload = F.to_json(

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from citeloom import schemas
 from citeloom.functions import html, names
 from citeloom.functions.arrays import decode_inverted_index
 from citeloom.functions.bind import once
@@ -28,6 +29,7 @@ from citeloom.operators import (
     snapshot,
 )
 from citeloom.plans import jobs, stand_ins
+from citeloom.plans.keyed_state import KeyedState
 from citeloom.plans.stand_ins import source_records, table
 from citeloom.schemas import SOURCE_ORDER
 from citeloom.session import materialise, scratch_dir
@@ -390,6 +392,21 @@ def state_upsert(spark, sf_dir):
     )
 
 
+@query
+def state_runs(spark, sf_dir):
+    """The paper index after three runs and a compaction: all records, the labelled ones, and those of recent years."""
+    state = KeyedState(spark, f"{scratch_dir(spark)}/state-{uuid.uuid4().hex[:12]}", schemas.PAPER_INDEX, "canonical_id")
+    records = source_records(spark, sf_dir)
+    for n, seen in enumerate((records, stand_ins.labelled_records(spark, sf_dir), records.where("year > 2010"))):
+        state.append(snapshot.touched(state.current(), _index(seen, f"t{n}"), f"t{n}-start", f"t{n}-end", f"run-{n}"), f"run-{n}")
+        if n == 1:
+            state.compact()
+    return state.current().select(
+        "canonical_id", "title", "doi", F.col("year").cast("bigint").alias("year"),
+        F.array_join(F.array_sort("sources"), "|").alias("sources"), "first_seen_at", "last_seen_at", "last_output_dir",
+    )
+
+
 @query
 def event_first_seen(spark, sf_dir):
     """First event of every user and type."""
@@ -1066,11 +1083,12 @@ def state_upsert_stream(spark, sf_dir):
 
 @query
 def event_first_seen_stream(spark, sf_dir):
-    """First arrivals in the event stream; the watermark covers the month that the events span."""
+    """First arrivals in the event stream, which lands in eight files and is read in as many micro-batches."""
     folder = f"{scratch_dir(spark)}/events-{uuid.uuid4().hex[:12]}"
-    stream = spark.readStream.schema(table(spark, sf_dir, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    keyed = stream.select(F.concat_ws("-", "user_id", "event_type").alias("key"), "ts")
-    fresh = first_arrivals(keyed, "key", "ts", "31 days")
+    events = table(spark, sf_dir, "events")
+    events.repartition(8).write.parquet(f"{folder}/landed")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/landed")
+    fresh = first_arrivals(stream.select(F.concat_ws("-", "user_id", "event_type").alias("key"), "ts"), "key")
     fresh.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/progress").trigger(
         availableNow=True
     ).start().awaitTermination()

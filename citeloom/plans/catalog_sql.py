@@ -492,6 +492,15 @@ SQL["state_upsert"] = (
     "CASE WHEN c.canonical_id IS NULL THEN 'run-0' ELSE 'run-1' END AS last_output_dir "
     "FROM p_all o LEFT JOIN p_some c USING (canonical_id)"
 )
+_LATE = _fields("_late", "year > 2010")
+_LAST = lambda f: f"CASE WHEN l.canonical_id IS NOT NULL THEN l.{f} WHEN c.canonical_id IS NOT NULL THEN c.{f} ELSE o.{f} END"
+_RUN = "CASE WHEN l.canonical_id IS NOT NULL THEN '2' WHEN c.canonical_id IS NOT NULL THEN '1' ELSE '0' END"
+SQL["state_runs"] = (
+    f"WITH {RECORDS}, {_ALL}, {_SOME}, {_LATE} SELECT o.canonical_id, {_LAST('title')} AS title, {_LAST('doi')} AS doi, "
+    f"CAST({_LAST('year')} AS BIGINT) AS year, array_to_string({_LAST('sources')}, '|') AS sources, 't0-start' AS first_seen_at, "
+    f"'t' || {_RUN} || '-end' AS last_seen_at, 'run-' || {_RUN} AS last_output_dir "
+    "FROM p_all o LEFT JOIN p_some c USING (canonical_id) LEFT JOIN p_late l USING (canonical_id)"
+)
 SQL["event_first_seen"] = (
     "SELECT user_id || '-' || event_type AS key, event_id, value FROM events "
     "QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1"

@@ -1,18 +1,24 @@
 """Incremental paper state over a stream of source records, and a first-arrival filter.
 
-The state has no time bound (an id never expires), so it is tables, not operator state. Next to the index row of a paper
-it keeps what later records are merged with: the winners of the scalar fields with their places (``partials``) and the
-distinct list values (``values``). A micro-batch folds its records into those of the papers that it touches and writes
-only these, as one partition of each table; the current state is the last batch of each id. A micro-batch that is run
-again replaces its own partitions, so a lost driver or executor leaves no trace. The result of all batches equals the
-batch merge of all records.
+An id never expires, so nothing here has a watermark. What later records are merged with is operator state, kept by key in
+the stream's state store (RocksDB: on disk, in shards, saved in the stream's checkpoint): the list values seen so far, and
+for each paper the winners of the scalar fields with their places and the digests of its lists. A micro-batch touches
+the state of its own papers only, whatever came before, and writes their index rows as one partition. A micro-batch that is
+run again replaces its own partition, and the store goes back to its version before it, so a lost driver or executor
+leaves no trace. The result of all batches equals the batch merge of all records.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from citeloom import schemas
 from citeloom.operators import merge, snapshot
@@ -23,21 +29,55 @@ STATE_FIELDS = (
     "canonical_id STRING, hash STRING, title STRING, doi STRING, year INT, first_seen_at STRING, last_seen_at STRING, "
     "status STRING, batch_id BIGINT"
 )
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-
-VALUE_FIELDS = "canonical_id STRING, field STRING, value STRING, first_ord BIGINT, first_pos BIGINT, batch_id BIGINT"
-
-
-def _rows(spark: SparkSession, path: str, schema: str, before: int | None) -> DataFrame:
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    rows = spark.read.schema(schema).parquet(path)
-    return rows if before is None else rows.filter(F.col("batch_id") < before)
+#: What is kept of some records of a paper: winners with their places (NOWHERE: none), and per list field a count and two digests.
+PARTIAL = (
+    "title STRING, title_size BIGINT, title_at BIGINT, year INT, published_date STRING, venue STRING, venue_at BIGINT, "
+    "doi STRING, doi_at BIGINT, counts ARRAY<BIGINT>, first ARRAY<BIGINT>, second ARRAY<BIGINT>"
+)
+NOWHERE = (1 << 63) - 1
+
+
+class Partial:
+    """Winners and list digests of some records of one paper; two of them fold into one in any order."""
+
+    NAMES = [f.split()[0] for f in PARTIAL.split(", ")]
+
+    def __init__(self, row=None):
+        n = len(merge.LIST_FIELDS)
+        self.row = list(row) if row is not None else [None, 0, NOWHERE, None, None, None, NOWHERE, None, NOWHERE, [0] * n, [0] * n, [0] * n]
+
+    def add(self, other) -> None:
+        """Fold another partial's row in: longest title (earliest on ties), first venue and DOI, least year and date."""
+        own = self.row
+        if (other[1], -other[2]) > (own[1], -own[2]):
+            own[0:3] = other[0:3]
+        for at in (3, 4):
+            if other[at] is not None and (own[at] is None or other[at] < own[at]):
+                own[at] = other[at]
+        for at in (5, 7):
+            if other[at + 1] < own[at + 1]:
+                own[at : at + 2] = other[at : at + 2]
+        own[9] = [int(a) + int(b) for a, b in zip(own[9], other[9], strict=True)]
+        for at in (10, 11):
+            own[at] = [int(a) ^ int(b) for a, b in zip(own[at], other[at], strict=True)]
+
+    def list_digest(self) -> str | None:
+        """The list part of a paper's fingerprint, as ``snapshot.fingerprint`` writes it."""
+        mask = (1 << 64) - 1
+        parts = [
+            f"{name}:{n}:{a & mask:X}:{b & mask:X}" for name, n, a, b in zip(merge.LIST_FIELDS, self.row[9], self.row[10], self.row[11], strict=True) if n
+        ]
+        return ";".join(sorted(parts)) or None
 
 
 def state_rows(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
     """All written index rows, optionally only those of earlier micro-batches."""
-    return _rows(spark, f"{path}/index", STATE_FIELDS, before)
+    if not path_exists(spark, f"{path}/index"):
+        return spark.createDataFrame([], STATE_FIELDS)
+    rows = spark.read.schema(STATE_FIELDS).parquet(f"{path}/index")
+    return rows if before is None else rows.filter(F.col("batch_id") < before)
 
 
 def current_state(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
@@ -45,56 +85,98 @@ def current_state(spark: SparkSession, path: str, before: int | None = None) ->
     return last_per_key(state_rows(spark, path, before), ["canonical_id"], ["batch_id"])
 
 
-def upsert_batch(records: DataFrame, batch_id: int, path: str) -> None:
-    """Fold the records of one micro-batch into the state before it, and write the papers that it touched."""
-    spark = records.sparkSession
-    keyed = merge.with_canonical_id(records)
-    touched = keyed.select("canonical_id").distinct()
-    # Only ids of this micro-batch are read from the state; of their rows, those of the last batch count.
-    known = current_state(spark, path, batch_id).join(touched, "canonical_id", "left_semi")
-    last = known.select("canonical_id", "batch_id")
-    new = merge.partial_papers(keyed)
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in new.schema) + ", batch_id BIGINT"
-    old = _rows(spark, f"{path}/partials", schema, batch_id).join(last, ["canonical_id", "batch_id"], "left_semi").drop("batch_id")
-    _write(merge.fold_partials(old.unionByName(new)), f"{path}/partials", batch_id)
-    old_values = _rows(spark, f"{path}/values", VALUE_FIELDS, batch_id).join(last, ["canonical_id", "batch_id"], "left_semi").drop("batch_id")
-    _write(merge.fold_values(old_values.unionByName(merge.merge_values(keyed))), f"{path}/values", batch_id)
-
-    this = F.col("batch_id") == batch_id
-    papers = merge.finish_partials(_rows(spark, f"{path}/partials", schema, None).filter(this))
-    values = _rows(spark, f"{path}/values", VALUE_FIELDS, None).filter(this).drop("batch_id")
-    stamp = F.lit(f"batch-{batch_id}")
-    diffed = snapshot.diff(snapshot.fingerprint(papers, values), known)
-    first_seen = known.select("canonical_id", F.col("first_seen_at").alias("_first"))
-    rows = diffed.join(first_seen, "canonical_id", "left").select(
-        "canonical_id", "hash", "title", "doi", "year", F.coalesce("_first", stamp).alias("first_seen_at"),
-        stamp.alias("last_seen_at"), "status",
+def _partials(keyed: DataFrame) -> DataFrame:
+    """Every record, and every list value that its paper has not had yet, as a partial of one row."""
+    no_list = F.array(*[F.lit(0).cast("long")] * len(merge.LIST_FIELDS))
+    none = F.lit(NOWHERE).cast("long")
+    place = lambda c: F.when(F.length(c) > 0, F.col("ord")).otherwise(none)
+    filled = lambda c: F.when(F.length(c) > 0, F.col(c))
+    records = keyed.select(
+        "canonical_id", "title", F.length("title").cast("long").alias("title_size"), F.col("ord").alias("title_at"), "year", "published_date",
+        filled("venue").alias("venue"), place("venue").alias("venue_at"), filled("doi").alias("doi"), place("doi").alias("doi_at"),
+        no_list.alias("counts"), no_list.alias("first"), no_list.alias("second"),
     )
-    _write(rows, f"{path}/index", batch_id)
+    values = merge.value_rows(keyed).select("canonical_id", "v.field", "v.value").dropDuplicates(["canonical_id", "field", "value"])
 
+    def of_field(amount: Column) -> Column:
+        return F.array(*[F.when(F.col("field") == f, amount).otherwise(F.lit(0).cast("long")) for f in merge.LIST_FIELDS])
 
-def _write(rows: DataFrame, path: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    first, second = snapshot.value_digests(F.col("field"), F.col("value"))
+    empty = {f: F.lit(None).cast(t) for f, t in (("title", "string"), ("year", "int"), ("published_date", "string"), ("venue", "string"), ("doi", "string"))}
+    lists = values.select(
+        "canonical_id", empty["title"].alias("title"), F.lit(0).cast("long").alias("title_size"), none.alias("title_at"), empty["year"].alias("year"),
+        empty["published_date"].alias("published_date"), empty["venue"].alias("venue"), none.alias("venue_at"), empty["doi"].alias("doi"),
+        none.alias("doi_at"), of_field(F.lit(1).cast("long")).alias("counts"), of_field(first).alias("first"), of_field(second).alias("second"),
+    )
+    return records.unionByName(lists)
+
+
+def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One partial per paper and batch, so that a paper with many records sends few rows to the task that holds its state."""
+    for batch in batches:
+        found: dict[str, Partial] = {}
+        for key, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            found.setdefault(key, Partial()).add(row)
+        if found:
+            columns = [list(found), *map(list, zip(*[p.row for p in found.values()], strict=True))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, batch.schema, strict=True)], schema=batch.schema)
+
+
+def _fold(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Fold a micro-batch's partials of one paper into its state, and give its index row."""
+    stamp = f"batch-{TaskContext.get().getLocalProperty('streaming.sql.batchId')}"
+    held = state.get if state.exists else None
+    paper = Partial(held[: len(Partial.NAMES)] if held else None)
+    before = (*[paper.row[i] for i in (0, 3, 4, 5, 7)], paper.list_digest()) if held else None
+    for frame in frames:
+        for row in frame[Partial.NAMES].itertuples(index=False):
+            cells = [None if v is None or (isinstance(v, float) and v != v) else v for v in row]
+            cells[3] = None if cells[3] is None else int(cells[3])
+            paper.add(cells)
+    title, year, published, venue, doi = [paper.row[i] for i in (0, 3, 4, 5, 7)]
+    digest = paper.list_digest()
+    status = "new" if held is None else "unchanged" if before == (title, year, published, venue, doi, digest) else "changed"
+    first_seen = held[-1] if held else stamp
+    state.update((*[int(v) if n.endswith(("_at", "_size")) else v for n, v in zip(Partial.NAMES, paper.row, strict=True)], first_seen))
+    yield pd.DataFrame({
+        "canonical_id": [key[0]], "title": [title], "year": pd.array([year], "Int32"), "published_date": [published], "venue": [venue], "doi": [doi],
+        "list_digest": [digest], "first_seen_at": [first_seen], "last_seen_at": [stamp], "status": [status],
+    })
+
+
+def touched_papers(records: DataFrame) -> DataFrame:
+    """Stream of index rows: one for each paper that a micro-batch of ``records`` touches, merged with all its earlier records."""
+    partials = _partials(merge.with_canonical_id(records))
+    combined = partials.mapInArrow(_combined, f"canonical_id STRING, {PARTIAL}")
+    rows = combined.groupBy("canonical_id").applyInPandasWithState(
+        _fold,
+        "canonical_id STRING, title STRING, year INT, published_date STRING, venue STRING, doi STRING, list_digest STRING, "
+        "first_seen_at STRING, last_seen_at STRING, status STRING",
+        f"{PARTIAL}, first_seen STRING",
+        "append",
+        GroupStateTimeout.NoTimeout,
+    )
+    hashed = rows.withColumn("hash", snapshot.paper_hash(F.col("list_digest")))
+    return hashed.select("canonical_id", "hash", "title", "doi", "year", "first_seen_at", "last_seen_at", "status")
 
 
 def run_upserts(records: DataFrame, state_path: str, checkpoint: str) -> StreamingQuery:
-    """Start the upsert over a stream of source records; everything that has landed is taken, then it stops."""
-    return (
-        records.writeStream.foreachBatch(lambda df, batch_id: upsert_batch(df, batch_id, state_path))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    """Start the upsert over a stream of source records; everything that has landed is taken, then it stops.
+
+    The number of shuffle partitions at the first start is the number of shards of the state, for the checkpoint's life.
+    """
+    records.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{state_path}/index/batch_id={batch_id}")
+
+    writer = touched_papers(records).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
 
 
 def compact(spark: SparkSession, path: str, new_path: str, upto: int) -> DataFrame:
-    """The state up to a micro-batch as one partition of new tables; run it once every few hundred batches."""
-    state = current_state(spark, path, upto + 1)
-    last = state.select("canonical_id", "batch_id")
-    for name in ("partials", "values"):
-        rows = spark.read.parquet(f"{path}/{name}").withColumn("batch_id", F.col("batch_id").cast("bigint"))
-        _write(rows.join(last, ["canonical_id", "batch_id"], "left_semi").drop("batch_id"), f"{new_path}/{name}", upto)
-    _write(state.drop("batch_id"), f"{new_path}/index", upto)
+    """The index up to a micro-batch as one partition of a new folder; run it once every few hundred batches."""
+    current_state(spark, path, upto + 1).drop("batch_id").write.mode("overwrite").parquet(f"{new_path}/index/batch_id={upto}")
     return current_state(spark, new_path)
 
 
@@ -106,11 +188,10 @@ def record_stream(spark: SparkSession, path: str, max_files: int | None = None)
     return reader.parquet(path)
 
 
-def first_arrivals(stream: DataFrame, key: str, event_time: str, delay: str = "1 hour") -> DataFrame:
-    """Rows whose key was not seen within the watermark.
+def first_arrivals(stream: DataFrame, key: str) -> DataFrame:
+    """Rows whose key no earlier row had, however long ago, as the batch form gives them; one row per key.
 
-    The batch form looks at all earlier keys. Here a key that comes back later than ``delay`` counts as
-    new again, and a row older than the watermark is left out; state stays bounded in return.
+    All keys are operator state, by key in shards on disk (RocksDB), so a micro-batch looks up its own keys only.
     """
-    timed = stream.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return stream.dropDuplicates([key])

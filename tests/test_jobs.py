@@ -1,6 +1,7 @@
 """The jobs end to end on a small landing table, twice, and the streaming state."""
 
 import json
+import random
 
 import pytest
 from conftest import cells
@@ -128,81 +129,52 @@ def test_streaming_state(spark, tmp_path):
     go()
     got = cells(state.current_state(spark, path), "canonical_id", "status", "first_seen_at", "last_seen_at")
     assert got == [("doi:10.1/a", "changed", "batch-0", "batch-1"), ("title:2020:longertitle", "new", "batch-1", "batch-1")]
-    # A micro-batch that runs again replaces its own rows.
-    state.upsert_batch(_records(spark, [ROWS[1] | {"ord": 9, "title": "Longer title again"}, ROWS[4]]), 1, path)
-    assert cells(state.current_state(spark, path), "canonical_id", "status", "first_seen_at", "last_seen_at") == got
     small = state.compact(spark, path, str(tmp_path / "compacted"), 1)
-    assert small.count() == 2
+    assert cells(small, "canonical_id", "status", "first_seen_at", "last_seen_at") == got
 
 
-def test_stream_batches_fold_into_the_batch_merge(spark, tmp_path):
-    from test_merge_and_order import ROWS, _records
-
-    late = ROWS[1] | {"ord": 9, "title": "x", "abstract": "only in the second batch", "authors": ["New Name"]}
-    path = str(tmp_path / "state")
-    for batch, part in enumerate((ROWS[:3], [late, ROWS[3]], ROWS[4:])):
-        state.upsert_batch(_records(spark, part), batch, path)
-    keyed = merge.with_canonical_id(_records(spark, [*ROWS, late]))
-    whole = snapshot.fingerprint(merge.merge_papers(keyed), merge.merge_values(keyed))
-    assert cells(state.current_state(spark, path), "canonical_id", "hash", "title") == cells(whole, "canonical_id", "hash", "title")
-    small = state.compact(spark, path, str(tmp_path / "small"), 2)
-    assert cells(small, "canonical_id", "hash") == cells(whole, "canonical_id", "hash")
-    # The compacted state goes on like the full one.
-    again = [ROWS[0] | {"ord": 20, "title": "A much longer title than all of the others were before"}]
-    for p in (path, str(tmp_path / "small")):
-        state.upsert_batch(_records(spark, again), 3, p)
-    assert cells(state.current_state(spark, path), "canonical_id", "hash", "status") == cells(
-        state.current_state(spark, str(tmp_path / "small")), "canonical_id", "hash", "status"
-    )
+def _land(spark, rows, folder):
+    from test_merge_and_order import _records
 
+    _records(spark, rows).coalesce(1).write.mode("append").parquet(folder)
 
-def test_document_is_chosen_after_a_full_text_hit(spark):
-    at = "STRUCT<stage BIGINT, a BIGINT, b BIGINT>"
-    outcomes = spark.createDataFrame(
-        [("p1", "mention", None), ("p2", "mention", "has.pdf"), ("p3", "scanned_clear", None), ("p4", "mention", None), ("p5", "mention", None)],
-        "canonical_id STRING, status STRING, document_pdf_url STRING",
-    )
-    fulltext = spark.createDataFrame([("p1", "bad.pdf", (5, 0, 0)), ("p1", "good.pdf", (5, 0, 1)), ("p2", "good.pdf", (5, 0, 0)), ("p3", "good.pdf", (5, 0, 0))], f"canonical_id STRING, url STRING, at {at}")
-    pdfs = spark.createDataFrame([("p1", "other.pdf", (0, 0, 0)), ("p4", "other.pdf", (0, 0, 0)), ("p5", "bad.pdf", (0, 0, 0))], f"canonical_id STRING, url STRING, at {at}")
-    fetched = spark.createDataFrame(
-        [("good.pdf", 200, "application/pdf", "%PDF", None), ("other.pdf", 200, "application/pdf", "%PDF", None), ("bad.pdf", 404, "text/html", "x", None)],
-        "url STRING, status_code INT, content_type STRING, body STRING, error STRING",
-    )
-    assert cells(candidates.chosen_documents(outcomes, fulltext, pdfs, fetched), "canonical_id", "url") == [("p1", "good.pdf"), ("p4", "other.pdf")]
 
+def test_stream_batches_fold_into_the_batch_merge(spark, tmp_path):
+    """Twenty micro-batches give what one gives, and what the batch merge gives; each reads its own records only."""
+    from test_merge_and_order import ROWS, _records
 
-def test_candidates_of_links_and_lookups(spark):
-    from test_merge_and_order import _records
-
+    rng = random.Random(4)
     rows = [
-        dict(ord=1, doi="10.48550/arXiv.2201.00001", title="A", landing_page_url="https://bib.example/x#abs-2201-00002", pdf_url=" https://e.org/1/pdf "),
-        dict(ord=2, doi="10.48550/arXiv.2201.00001", title="A", landing_page_url="https://e.org/PMC55/file.PDF", source_id="s2"),
+        ROWS[i % 5] | {"ord": 100 + i, "title": f"Longer title {'x' * rng.randrange(4)}", "doi": f"10.1/{rng.randrange(6)}", "year": rng.choice([None, 2001, 2002]),
+                       "venue": rng.choice([None, "", f"V{i}"]), "authors": [f"A {rng.randrange(5)}", "B C"], "abstract": "a"}
+        for i in range(60)
     ]
+    rng.shuffle(rows)
+    rows[7] = rows[7] | {"ord": (1 << 60) + 1}
+    for i in range(20):
+        _land(spark, rows[3 * i : 3 * i + 3], str(tmp_path / "landed"))
+    found = []
+    for name, files in (("many", 1), ("one", None)):
+        path = str(tmp_path / name)
+        query = state.run_upserts(state.record_stream(spark, str(tmp_path / "landed"), files), path, f"{path}-progress")
+        query.awaitTermination()
+        found.append(cells(state.current_state(spark, path), "canonical_id", "hash", "title", "doi", "year"))
+        read = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+        assert len(read) == (20 if files else 1) and max(read) == min(read)
     keyed = merge.with_canonical_id(_records(spark, rows))
-    papers, values, records = merge.merge_papers(keyed), merge.merge_values(keyed), merge.paper_records(keyed)
-    got = candidates.pdf_candidates(papers, values, records)
-    assert [r["url"] for r in got.orderBy("at").collect()] == [
-        "https://e.org/1/pdf", "https://arxiv.org/pdf/2201.00001.pdf", "https://arxiv.org/pdf/2201.00002.pdf", "https://e.org/PMC55/file.PDF"
-    ]
-    texts = candidates.text_candidates(papers, values, got, records).orderBy("at").collect()
-    assert [(r["kind"], r["url"]) for r in texts] == [
-        ("europe_pmc_fulltext_xml", "https://www.ebi.ac.uk/europepmc/webservices/rest/PMC55/fullTextXML"),
-        ("pmc_efetch_xml", "https://eutils.ncbi.nlm.nih.gov/entrez/eutils/efetch.fcgi?db=pmc&id=PMC55&retmode=xml"),
-        ("landing_page_text", "https://bib.example/x#abs-2201-00002"), ("landing_page_text", "https://e.org/PMC55/file.PDF"),
-    ]
-    one = spark.range(1)
-    work = F.from_json(F.lit(json.dumps({"open_access": {"oa_url": "o"}, "best_oa_location": {"pdf_url": "b/pdf?x", "landing_page_url": "l"},
-                                         "locations": [{"pdf_url": "b/pdf?x"}, {"landing_page_url": "m"}]})), candidates.OPENALEX_WORK)
-    message = F.from_json(F.lit(json.dumps({"link": [{"URL": "a", "content-type": "application/pdf"}, {"URL": "b", "content-type": "text/html"},
-                                                      {"URL": "https://e.org/c/pdf", "content-type": "x"}]})), candidates.CROSSREF_MESSAGE)
-    xml = F.lit('<a><self-uri xlink:href="x.pdf"/><self-uri xlink:href="https://e.org/y.pdf"/><self-uri href="z.html"/></a>')
-    row = one.select(
-        candidates.openalex_all_links(work), candidates.openalex_pdf_links(work), candidates.crossref_pdf_links(message),
-        candidates.fulltext_xml_links(xml, F.lit("https://r.example/pmc7/x")),
-        candidates.publication_candidates(F.array(F.lit(" https://doi.org/10.48550/arXiv.2301.00001v2 "), F.lit("https://e.org/q.pdf")), F.lit("10.48550/arXiv.2301.00001v2")),
-    ).first()
-    assert list(row) == [
-        ["o", "b/pdf?x", "l", "m"], ["b/pdf?x"], ["a", "https://e.org/c/pdf"],
-        ["https://pmc.ncbi.nlm.nih.gov/articles/PMC7/bin/x.pdf", "https://e.org/y.pdf", "https://pmc.ncbi.nlm.nih.gov/articles/PMC7/pdf/"],
-        ["https://arxiv.org/pdf/2301.00001v2.pdf", "https://e.org/q.pdf"],
-    ]
+    whole = snapshot.fingerprint(merge.merge_papers(keyed), merge.merge_values(keyed))
+    assert found[0] == found[1] == cells(whole, "canonical_id", "hash", "title", "doi", "year")
+    rows_written = {r["batch_id"]: r["count"] for r in state.state_rows(spark, str(tmp_path / "many")).groupBy("batch_id").count().collect()}
+    assert len(rows_written) == 20 and max(rows_written.values()) <= 3
+
+
+def test_keys_that_come_back_after_months_are_not_new(spark, tmp_path):
+    landed = str(tmp_path / "events")
+    batches = [[("a", "2024-01-01"), ("b", "2024-01-01"), ("a", "2024-01-02")], [("c", "2024-02-01")], [("a", "2024-04-10"), ("d", "2023-01-01"), ("b", "2024-04-11")], [("c", "2025-01-01")]]
+    for rows in batches:
+        spark.createDataFrame(rows, "key STRING, day STRING").coalesce(1).write.mode("append").parquet(landed)
+        stream = spark.readStream.schema("key STRING, day STRING").parquet(landed)
+        out = state.first_arrivals(stream, "key").writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        out.option("checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert cells(got, "key") == [("a",), ("b",), ("c",), ("d",)]
