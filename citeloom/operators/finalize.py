@@ -418,26 +418,52 @@ def metadata_snapshot(items: DataFrame, group_values: DataFrame, doi_lookup: Dat
     return out.filter(F.col("text") != "")
 
 
-def snapshot_documents(items: DataFrame, lines: DataFrame) -> DataFrame:
-    """The metadata snapshot of every item as one text: ``(ord, text)``.
+#: Place of a piece in a text; a text is made of its item's pieces and its group's, in this order.
+PIECE_ORDER = ["section", "at_a", "at_b", "label", "a", "b"]
+
+
+def _blocks(lines: DataFrame) -> DataFrame:
+    """Lines of one label of one owner: first place, length as printed, number and digest. All of it adds up, so no list is built."""
+    line = F.conv(F.substring(F.md5(F.concat_ws("|", F.col("section").cast("string"), "label", "text")), 1, 8), 16, 10).cast("bigint")
+    return lines.groupBy("group_key", "ord", "section", "label").agg(
+        F.min(F.struct("a", "b")).alias("at"), F.sum(F.char_length("text")).alias("chars"), F.count("*").alias("n_lines"), F.sum(line).alias("digest")
+    )
+
+
+def snapshot_pieces(lines: DataFrame) -> DataFrame:
+    """Printed pieces of all snapshots: ``(group_key, ord, *PIECE_ORDER, piece)``, one row per line.
 
-    Values of one label are one line, abstracts are paragraphs. Each group's part is put together once; a text is as large
-    as what it prints.
+    A group's pieces are there once, whatever the number of its items. The pieces of an item and of its group, put one
+    behind the other in ``PIECE_ORDER``, are a line break and the text: values of one label are one line, abstracts
+    are paragraphs.
     """
-    def joined(df: DataFrame, keys: list[str]) -> DataFrame:
-        ordered = F.array_sort(F.collect_list(F.struct("a", "b", "text")))
-        texts = F.transform(ordered, lambda s: s["text"])
-        by_label = df.groupBy(*keys, "section", "label").agg(texts.alias("texts"), F.min(F.struct("a", "b")).alias("at"))
-        body = F.when(F.col("section") == 9, F.array_join("texts", "\n\n")).otherwise(
-            F.concat(F.col("label"), F.lit(": "), F.array_join("texts", ", "))
-        )
-        return by_label.groupBy(*keys).agg(F.collect_list(F.struct("section", "at", body.alias("body"))).alias("parts"))
+    first = _blocks(lines).select(
+        F.col("group_key").alias("_g"), F.col("ord").alias("_o"), F.col("section").alias("_s"), F.col("label").alias("_l"), F.col("at.a").alias("at_a"), F.col("at.b").alias("at_b")
+    )
+    same = F.col("group_key").eqNullSafe(F.col("_g")) & F.col("ord").eqNullSafe(F.col("_o")) & (F.col("section") == F.col("_s")) & (F.col("label") == F.col("_l"))
+    abstract = F.col("section") == 9
+    opening = F.when(abstract, F.lit("\n")).otherwise(F.concat(F.lit("\n"), F.col("label"), F.lit(": ")))
+    between = F.when(abstract, F.lit("\n\n")).otherwise(F.lit(", "))
+    is_first = (F.col("a") == F.col("at_a")) & (F.col("b") == F.col("at_b"))
+    piece = F.concat(F.when(is_first, opening).otherwise(between), "text")
+    return lines.join(first, same).select("group_key", "ord", *PIECE_ORDER, piece.alias("piece"))
+
 
-    of_item = joined(lines.filter(F.col("ord").isNotNull()), ["ord"])
-    of_group = joined(lines.filter(F.col("ord").isNull()), ["group_key"]).select(F.col("group_key").alias("item_key"), F.col("parts").alias("shared"))
-    both = lookup_join(items.select("ord", "item_key").join(of_item, "ord"), of_group, ["item_key"])
-    parts = F.array_sort(F.when(F.col("shared").isNull(), F.col("parts")).otherwise(F.concat("parts", "shared")))
-    return both.select("ord", F.array_join(F.transform(parts, lambda p: p["body"]), "\n").alias("text"))
+def snapshot_documents(items: DataFrame, lines: DataFrame) -> DataFrame:
+    """The metadata snapshot of every item: ``(ord, item_key, chars, n_lines, digest)`` of its text.
+
+    The text itself is the pieces of ``snapshot_pieces``, the item's own and those of its group. Lengths and digests
+    of blocks are sums, of groups and of items alike, so neither a group's text nor an item's is ever one row.
+    """
+    breaks = F.lit(2) * (F.col("n_lines") - 1)  # ", " and a blank line have two characters
+    head = F.when(F.col("section") == 9, 0).otherwise(F.char_length("label") + 2)
+    sums = [F.sum(c).cast("bigint").alias(n) for n, c in (("chars", F.col("chars") + breaks + head + 1), ("n_lines", F.col("n_lines")), ("digest", F.col("digest")))]
+    owners = materialise(_blocks(lines).groupBy("group_key", "ord").agg(*sums), "snapshot-owners")
+    of_item = owners.filter(F.col("ord").isNotNull()).drop("group_key")
+    shared = owners.filter(F.col("ord").isNull()).select(F.col("group_key").alias("item_key"), *[F.col(c).alias(f"_{c}") for c in ("chars", "n_lines", "digest")])
+    both = lookup_join(items.select("ord", "item_key").join(of_item, "ord"), shared, ["item_key"])
+    total = {c: F.col(c) + F.coalesce(f"_{c}", F.lit(0)) for c in ("chars", "n_lines", "digest")}
+    return both.select("ord", "item_key", (total["chars"] - 1).alias("chars"), total["n_lines"].alias("n_lines"), total["digest"].alias("digest"))
 
 
 def snapshot_kinds(items: DataFrame, group_values: DataFrame, doi_lookup: DataFrame) -> DataFrame:

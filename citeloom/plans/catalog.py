@@ -825,10 +825,20 @@ def metadata_snapshot(spark, sf_dir):
 
 @query
 def snapshot_documents(spark, sf_dir):
-    """Length of the composed metadata snapshot of every manifest item."""
+    """Length, lines and digest of the composed metadata snapshot of every manifest item."""
     items, values, _ = _final_inputs(spark, sf_dir)
     lines = materialise(finalize.metadata_snapshot(items, values, stand_ins.doi_lookup(spark, sf_dir)), "snapshot-lines")
-    return finalize.snapshot_documents(items, lines).select("ord", F.length("text").cast("bigint").alias("chars"))
+    return finalize.snapshot_documents(items, lines).select("ord", "chars", "n_lines", "digest")
+
+
+@query
+def snapshot_pieces(spark, sf_dir):
+    """Printed pieces of the metadata snapshots, each group's once."""
+    items, values, _ = _final_inputs(spark, sf_dir)
+    lines = materialise(finalize.metadata_snapshot(items, values, stand_ins.doi_lookup(spark, sf_dir)), "snapshot-lines")
+    pieces = finalize.snapshot_pieces(lines)
+    owner = pieces.groupBy("group_key", "ord", F.col("section").cast("bigint").alias("section"), "label")
+    return owner.agg(F.sum(F.char_length("piece")).cast("bigint").alias("chars"), F.count_if(F.col("piece").startswith("\n") & ~F.col("piece").startswith("\n\n")).alias("openings"))
 
 
 @query

@@ -871,11 +871,17 @@ META = (
 _MATCHED = "ord IN (SELECT ord FROM items JOIN grp ON gk = group_key)"
 _SHARED = "(ord IS NULL AND group_key IN (SELECT group_key FROM grp))"
 SQL["metadata_snapshot"] = f"WITH {FINAL}, {META} SELECT group_key, ord, section, label, md5(t) AS text_md5 FROM lines_ WHERE t <> '' AND ({_MATCHED} OR {_SHARED})"
+_LINE_DIGEST = "sum(CAST('0x' || substr(md5(section || '|' || label || '|' || t), 1, 8) AS BIGINT))"
 SQL["snapshot_documents"] = (
     f"WITH {FINAL}, {META}, own AS (SELECT i.ord AS item, l.* FROM items i JOIN lines_ l ON l.ord = i.ord OR l.group_key = i.gk WHERE l.t <> ''), "
-    "by_label AS (SELECT item, section, label, sum(length(t)) + (count(*) - 1) * 2 + CASE WHEN section = 9 THEN 0 ELSE length(label) + 2 END AS chars "
-    "FROM own GROUP BY item, section, label) "
-    f"SELECT item AS ord, CAST(sum(chars) + count(*) - 1 AS BIGINT) AS chars FROM by_label WHERE {_MATCHED.replace('ord IN', 'item IN')} GROUP BY item"
+    "by_label AS (SELECT item, section, label, sum(length(t)) + (count(*) - 1) * 2 + CASE WHEN section = 9 THEN 0 ELSE length(label) + 2 END AS chars, "
+    f"count(*) AS n, {_LINE_DIGEST} AS digest FROM own GROUP BY item, section, label) "
+    "SELECT item AS ord, CAST(sum(chars) + count(*) - 1 AS BIGINT) AS chars, CAST(sum(n) AS BIGINT) AS n_lines, CAST(sum(digest) AS BIGINT) AS digest "
+    f"FROM by_label WHERE {_MATCHED.replace('ord IN', 'item IN')} GROUP BY item"
+)
+SQL["snapshot_pieces"] = (
+    f"WITH {FINAL}, {META} SELECT group_key, ord, section, label, CAST(sum(length(t)) + (count(*) - 1) * 2 + CASE WHEN section = 9 THEN 1 ELSE length(label) + 3 END AS BIGINT) AS chars, "
+    f"CAST(1 AS BIGINT) AS openings FROM lines_ WHERE t <> '' AND ({_MATCHED} OR {_SHARED}) GROUP BY group_key, ord, section, label"
 )
 SQL["best_evidence"] = (
     f"WITH {FINAL}, {SNAPSHOTS}, {META}, ok AS (SELECT url FROM judged WHERE bad IS NULL), "

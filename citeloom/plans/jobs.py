@@ -311,6 +311,7 @@ def _finalise(
     ).filter(F.col("kind").isNotNull() & F.col("url").isNotNull())
     lines = sinks.write_table(finalize.metadata_snapshot(matched, values, doi_lookup), base, run_id, "metadata_snapshot_lines")
     sinks.write_table(finalize.snapshot_documents(matched, lines), base, run_id, "metadata_snapshots")
+    sinks.write_ordered(finalize.snapshot_pieces(lines), ["group_key", "ord", *finalize.PIECE_ORDER], base, run_id, "metadata_snapshot_text")
     evidence = finalize.best_evidence(matched, values, seen, doi_lookup, fetched, local_files)
     out = sinks.write_table(evidence, base, run_id, "final_results")
     sinks.write_text(finalize.markdown_blocks(matched), ["ord"], "block", base, run_id, "final_markdown")

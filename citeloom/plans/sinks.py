@@ -32,6 +32,11 @@ def write_json(df: DataFrame, base: str, run_id: str, name: str) -> None:
     df.write.mode("overwrite").json(run_path(base, run_id, name))
 
 
+def write_ordered(df: DataFrame, order: list[str], base: str, run_id: str, name: str) -> None:
+    """A table sorted over all its files: partitions are ranges of the whole order, so a hot leading key is split too."""
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(run_path(base, run_id, name))
+
+
 def write_text(lines: DataFrame, order: list[str], column: str, base: str, run_id: str, name: str) -> None:
     """Text lines in order: part files are range-partitioned, so their names give the order."""
     ordered = lines.orderBy(*order).select(F.col(column).alias("value"))

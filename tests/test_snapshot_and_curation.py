@@ -5,7 +5,7 @@ from conftest import cells
 from pyspark.sql import functions as F
 
 from citeloom.functions.arrays import empty_strings
-from citeloom.operators import coverage, curate, report, snapshot
+from citeloom.operators import coverage, curate, finalize, report, snapshot
 from citeloom.schemas import PAPER_INDEX
 
 
@@ -147,3 +147,35 @@ def test_audit_policy_and_award_summary(spark):
     with pytest.raises(Exception, match="Policy violation"):
         report.require_proxied(audit).collect()
     assert report.require_proxied(report.request_audit(log.filter("use_proxy"))).count() == 4
+
+
+def test_snapshot_pieces_compose_to_the_text(spark):
+    """Pieces of item and group in order are the text, whose length, lines and digest are sums; a hot group is written once."""
+    hot = [("g", None, 9, "canonical_record_abstract", i, 0, f"abstract {i} " + "x" * (i % 7)) for i in range(300)]
+    lines = [
+        (None, 1, 0, "Title", 0, 0, "T one"), (None, 1, 4, "DOI", 0, 0, "10.1/a"), (None, 2, 0, "Title", 0, 0, "T two"),
+        (None, 2, 8, "Metadata", 1, 1, "m2"), (None, 2, 8, "Metadata", 0, 0, "m1"), (None, 2, 9, "openalex_metadata", 2, 0, "looked up"),
+        ("g", None, 6, "Addresses", 3, 1, "u3"), ("g", None, 6, "Addresses", 0, 2, "u0"), *hot,
+    ]
+    df = spark.createDataFrame(lines, "group_key STRING, ord BIGINT, section INT, label STRING, a BIGINT, b BIGINT, text STRING")
+    items = spark.createDataFrame([(1, "g"), (2, "g")], "ord BIGINT, item_key STRING")
+    pieces = finalize.snapshot_pieces(df).collect()
+    assert len(pieces) == len(lines) and max(len(r["piece"]) for r in pieces) < 40
+    totals = {r["ord"]: r for r in finalize.snapshot_documents(items, df).collect()}
+    abstracts = "\n\n".join(x[6] for x in hot)
+    want = {
+        1: f"Title: T one\nDOI: 10.1/a\nAddresses: u0, u3\n{abstracts}",
+        2: f"Title: T two\nAddresses: u0, u3\nMetadata: m1, m2\n{abstracts}",
+    }
+    for item, text in want.items():
+        own = sorted((tuple(r[c] for c in finalize.PIECE_ORDER), r["piece"]) for r in pieces if r["ord"] == item or r["group_key"] == "g")
+        made = "".join(p for _, p in own)[1:]
+        if item == 2:  # the looked-up abstract is a block of its own, at its place among the abstracts' blocks
+            assert made == text + "\nlooked up"
+        else:
+            assert made == text
+        assert totals[item]["chars"] == len(made) and totals[item]["n_lines"] == len(own)
+    # Digests tell texts apart and do not depend on how rows are dealt.
+    again = {r["ord"]: r["digest"] for r in finalize.snapshot_documents(items, df.repartition(7)).collect()}
+    other = finalize.snapshot_documents(items, df.withColumn("text", F.regexp_replace("text", "abstract 7 ", "abstract 8 "))).collect()
+    assert again == {k: r["digest"] for k, r in totals.items()} and all(r["digest"] != again[r["ord"]] for r in other)
