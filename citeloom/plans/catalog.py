@@ -23,6 +23,7 @@ from citeloom.operators import (
     finalize,
     matching,
     merge,
+    multiscan,
     naming,
     order,
     report,
@@ -162,6 +163,13 @@ def phrase_mentions(spark, sf_dir):
     return docscan.mention_rows(docs, LICENCES, "doc_id", "text")
 
 
+@query
+def award_number_table(spark, sf_dir):
+    """Mentions of a table of numbers (the part keys of three digits and more) in all documents, in one pass."""
+    numbers = table(spark, sf_dir, "part").where("p_partkey >= 100").select("p_partkey")
+    return multiscan.number_mentions(table(spark, sf_dir, "documents"), numbers, "doc_id", "text", "p_partkey")
+
+
 def _contexts(docs: DataFrame, spec: ScanSpec) -> DataFrame:
     found = once(docs, ["doc_id", "text"], found=find_mentions(F.col("text"), spec)).filter(F.size("found") > 0)
     return found.select(

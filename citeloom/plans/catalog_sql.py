@@ -1049,3 +1049,16 @@ SQL["publication_merge"] = (
     "SELECT paper_id, field, value, min(ord) AS first_ord, CAST(first(pos ORDER BY ord, pos) AS BIGINT) AS first_pos, "
     "first(doi) AS doi, first(dblp_key) AS dblp_key, first(dblp_record_url) AS dblp_record_url FROM v JOIN s USING (paper_id) GROUP BY paper_id, field, value"
 )
+
+# --- many numbers in one scan -----------------------------------------------------------------------------------
+
+_GAP = "[\\s\\x1c-\\x1f\\-_./,:;]*"
+SQL["award_number_table"] = (
+    "WITH n AS (SELECT CAST(p_partkey AS VARCHAR) AS number FROM part WHERE p_partkey >= 100), "
+    "d AS (SELECT doc_id, text, regexp_extract_all(text, '[\\pL\\pN_]+') AS words, regexp_replace(lower(text), '[^\\pL\\pN]', '', 'g') AS folded FROM documents WHERE regexp_matches(text, '[0-9]')), "
+    "m AS (SELECT * FROM d JOIN n ON contains(folded, number)), "
+    f"r AS (SELECT doc_id, number, unnest([{{'rule': 'exact_number', 'n': len(list_filter(words, lambda w : w = number))}}, "
+    f"{{'rule': 'separated_number', 'n': len(regexp_extract_all(text, array_to_string(string_split(number, ''), '{_GAP}')))}}, "
+    "{'rule': 'collapsed_number', 'n': 1}]) AS r FROM m) "
+    "SELECT doc_id, number, r.rule AS rule, CAST(r.n AS BIGINT) AS mentions FROM r WHERE r.n > 0"
+)

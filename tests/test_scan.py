@@ -3,11 +3,11 @@
 import re
 
 import pytest
-from conftest import value
+from conftest import cells, value
 from pyspark.sql import functions as F
 
-from citeloom.functions.scan import ScanSpec, find_mentions, mention_context
-from citeloom.operators import docscan
+from citeloom.functions.scan import ScanSpec, find_mentions, mention_context, mention_hits
+from citeloom.operators import docscan, multiscan
 
 SPEC = ScanSpec(phrases=("QXR-7654321", "Award QXR 7654321"), number="7654321", prefix="QXR")
 
@@ -129,3 +129,29 @@ def test_scan_outcomes(spark):
     assert got["g"]["document_verification_url"] == "page/final" and got["g"]["document_scan_error"] is None
     # All addresses of a paper are tried: the hit is in the fourth one.
     assert got["h"]["status"] == "mention"
+
+
+def test_a_table_of_numbers_gives_what_one_number_gives(spark):
+    numbers = ["1234567", "234", "AB12", "ab12", "999", "12 34", "", "4111"]
+    texts = ["no 1234567 here", "x1234567y and 12-34 567", "a.b.1.2", "AB12, ab 12", "4 1 1 1 and 4111.", "\u0663", None, "", "1" * 50, "DMR 2 3 4!"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id INT, text STRING")
+    table = spark.createDataFrame([(n,) for n in numbers], "n STRING")
+    got = cells(multiscan.number_mentions(df, table, "id", "text", "n"), "id", "number", "rule", "mentions")
+    want = []
+    for number in [n for n in numbers if n.isalnum()]:
+        spec = ScanSpec(number=number)
+        hits = df.select("id", F.explode(mention_hits(F.col("text"), spec)).alias("h")).groupBy("id", "h.rule").count()
+        want += [(r["id"], number, r["rule"], r["count"]) for r in hits.collect()]
+    assert got == sorted(want, key=lambda t: [(v is None, str(v)) for v in t])
+    # Groups of numbers give the same as one automaton.
+    assert cells(multiscan.number_mentions(df, table, "id", "text", "n", group_chars=6), "id", "number", "rule", "mentions") == got
+    assert multiscan.number_mentions(df, table.where("false"), "id", "text", "n").count() == 0
+
+
+def test_the_guard_passes_every_text_with_a_phrase(spark):
+    spec = ScanSpec(phrases=("MIT License", "CC BY-NC 4.0"))
+    texts = ["m\u0131t l\u0130cen\u017fe", "MIT\u00a0LICENSE", "cc bync 4.0", "CC BY NC\t4.0", "mit", "license mit", "M\u0130T license"]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    rows = df.select("t", spec.guard(F.col("t")).alias("g"), *[F.rlike("t", F.lit(r.regex)).alias(f"r{i}") for i, r in enumerate(spec.rules)]).collect()
+    assert all(r["g"] for r in rows if r["r0"] or r["r1"]) and sum(r["r0"] or r["r1"] for r in rows) >= 4
+    assert not rows[4]["g"]
