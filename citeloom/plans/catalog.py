@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from citeloom import schemas
-from citeloom.functions import html, names
+from citeloom.functions import html, names, urls
 from citeloom.functions.arrays import decode_inverted_index
 from citeloom.functions.bind import once
 from citeloom.functions.ids import file_stem
@@ -29,12 +29,13 @@ from citeloom.operators import (
     report,
     snapshot,
 )
-from citeloom.plans import jobs, stand_ins
+from citeloom.plans import jobs, sinks, stand_ins
 from citeloom.plans.keyed_state import KeyedState
 from citeloom.plans.stand_ins import source_records, table
 from citeloom.schemas import SOURCE_ORDER
 from citeloom.session import materialise, scratch_dir
-from citeloom.sources import json_sources, markup_sources, roster
+from citeloom.sources import files, json_sources, markup_sources, roster
+from citeloom.sources.common import in_window
 from citeloom.streaming.state import current_state, first_arrivals, record_stream, run_upserts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -933,19 +934,22 @@ def inverted_index_decode(spark, sf_dir):
     return index.select("doc_id", F.md5(decode_inverted_index(F.col("index"))).alias("text_md5"))
 
 
-@query
-def team_roster(spark, sf_dir):
-    """People on team pages made of the documents' names, headings before plain anchors."""
+def _team_pages(spark, sf_dir):
     names_of = source_records(spark, sf_dir).filter(F.size("authors") > 0)
     link = lambda tag, extra: F.concat_ws(
         "", F.transform("authors", lambda a: F.concat(F.lit(f"<{tag}{extra}><a href='/p/"), F.md5(a), F.lit("'>"),
                                                      F.initcap(a), F.lit(f"</a></{tag}>"))))
     heading = F.when(F.col("ord") % 2 == 0, link("h3", " class='et_pb_module_header'")).otherwise(link("p", ""))
-    pages = names_of.select(
+    return names_of.select(
         F.col("ord").alias("page_id"), F.lit("https://example.org/team").alias("source_url"),
         F.concat(F.lit("<html><body><p><a href='/'>The Team</a></p>"), heading, F.lit("</body></html>")).alias("html"),
     )
-    return roster.roster_from_pages(pages).select(
+
+
+@query
+def team_roster(spark, sf_dir):
+    """People on team pages made of the documents' names, headings before plain anchors."""
+    return roster.roster_from_pages(_team_pages(spark, sf_dir)).select(
         "page_id", F.col("tier").cast("bigint").alias("tier"), "name", "profile_url"
     )
 
@@ -1085,6 +1089,106 @@ def run_report(spark, sf_dir):
     )
 
 
+# --- files and outputs: written and read back -----------------------------------------------------------------
+
+
+def _folder(spark, name):
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@query
+def lookback_window(spark, sf_dir):
+    """Records of the lookback window of a run in 2014; records without a year stay."""
+    return in_window(source_records(spark, sf_dir), 2014 - 2).select("ord", F.col("year").cast("bigint").alias("year"))
+
+
+@query
+def limited_roster(spark, sf_dir):
+    """The first hundred people of the team pages; configured names count only where no page has anybody."""
+    people = roster.roster_or_fallback(roster.roster_from_pages(_team_pages(spark, sf_dir)), ["Nobody Else"], "https://example.org/team")
+    return roster.limit_roster(people, 100).select("page_id", "name")
+
+
+@query
+def partitioned_records(spark, sf_dir):
+    """Records written in one folder per source and read back."""
+    back = sinks.write_table(source_records(spark, sf_dir), _folder(spark, "run"), "r1", "source_records", ["source"])
+    return back.groupBy("source").agg(F.count("*").alias("records"), F.min("ord").alias("first_ord"), F.count("doi").alias("with_doi"))
+
+
+@query
+def json_papers(spark, sf_dir):
+    """Papers as JSON lines, read back; missing fields come back as NULL."""
+    base = _folder(spark, "run")
+    sinks.write_json(merge.merge_papers(keyed_records(spark, sf_dir)), base, "r1", "papers")
+    back = spark.read.schema("canonical_id STRING, title STRING, year BIGINT, venue STRING, doi STRING, abstract STRING").json(sinks.run_path(base, "r1", "papers"))
+    return back.select("canonical_id", "title", "year", "venue", "doi", F.md5("abstract").alias("abstract_md5"))
+
+
+@query
+def accepted_additions(spark, sf_dir):
+    """Accepted and rejected candidates and the portal list as the curation job writes them."""
+    base = _folder(spark, "curation")
+    jobs.curation_job(*_curation_inputs(spark, sf_dir), base, "c1")
+    rows = None
+    for name in ("accepted_additions", "rejected_candidates", "portal_manifest"):
+        part = spark.read.schema("ord BIGINT, doi STRING").json(sinks.run_path(base, "c1", name)).select(F.lit(name).alias("output"), "ord", "doi")
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
+@query
+def published_papers(spark, sf_dir):
+    """Papers of the latest published run and of the one before it; a run that is not published is not seen."""
+    base = _folder(spark, "runs")
+    for run_id, records in (("b", stand_ins.labelled_records(spark, sf_dir)), ("a", source_records(spark, sf_dir)), ("c", stand_ins.labelled_records(spark, sf_dir))):
+        sinks.write_table(merge.with_canonical_id(records).select("canonical_id").distinct(), base, run_id, "papers")
+        if run_id != "c":
+            sinks.publish(spark, base, run_id)
+    latest, before = sinks.read_latest(spark, base, "papers"), sinks.read_latest(spark, base, "papers", before="a")
+    return latest.withColumn("run", F.lit("latest")).unionByName(before.withColumn("run", F.lit("before")))
+
+
+@query
+def prior_state(spark, sf_dir):
+    """A paper index read from files; rows without an id are dropped, and no files are an empty index."""
+    path = _folder(spark, "index")
+    index = _index(source_records(spark, sf_dir), "t0")
+    index.withColumn("canonical_id", F.when(F.col("title").rlike("^[A-M]"), F.col("canonical_id"))).write.parquet(path)
+    read = files.paper_index(spark, path).unionByName(files.paper_index(spark, f"{path}-none"))
+    return read.select("canonical_id", "title", F.array_join(F.array_sort("sources"), "|").alias("sources"), "last_output_dir")
+
+
+@query
+def manifest_files(spark, sf_dir):
+    """A manifest written as files of one JSON array each, read back and judged."""
+    path = _folder(spark, "manifest")
+    rows = source_records(spark, sf_dir).select(
+        F.floor(F.col("ord") / 500).alias("part"),
+        F.struct("title", "authors", F.array("member_name").alias("member_authors"), F.col("landing_page_url").alias("url"), "doi").alias("row"),
+    )
+    arrays = rows.groupBy("part").agg(F.to_json(F.collect_list("row")).alias("value"))  # five hundred rows at most
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    judged = finalize.clean_manifest(files.manifest(spark, path))
+    return judged.groupBy("title", "url", "doi", "valid").agg(F.count("*").alias("rows"))
+
+
+@query
+def publication_links(spark, sf_dir):
+    """Candidates of single publication rows, from their links and DOI."""
+    number = F.regexp_extract("pdf_url", r"([0-9]{4}\.[0-9]{4,5})$", 1)
+    links = F.array("landing_page_url", F.concat("pdf_url", F.lit(".pdf")), F.when(number != "", F.concat(F.lit("https://arxiv.org/abs/"), number)))
+    found = candidates.publication_candidates(F.filter(links, lambda u: u.isNotNull()), F.col("doi"))
+    return source_records(spark, sf_dir).select("ord", F.array_join(found, " ").alias("urls"))
+
+
+@query
+def service_addresses(spark, sf_dir):
+    """Query addresses with scheme and path filled in, over the page addresses, every other one without a scheme."""
+    bare = F.when(F.col("page_id") % 2 == 0, F.regexp_replace("url", "^https?://", "")).otherwise(F.col("url"))
+    return table(spark, sf_dir, "pages").select("page_id", urls.arxiv_api_url(bare, "http://export.arxiv.org/api/query").alias("address"))
+
+
 # --- streams --------------------------------------------------------------------------------------------------
 
 

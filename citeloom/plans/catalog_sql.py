@@ -1062,3 +1062,33 @@ SQL["award_number_table"] = (
     "{'rule': 'collapsed_number', 'n': 1}]) AS r FROM m) "
     "SELECT doc_id, number, r.rule AS rule, CAST(r.n AS BIGINT) AS mentions FROM r WHERE r.n > 0"
 )
+
+# --- files and outputs ------------------------------------------------------------------------------------------
+
+SQL["lookback_window"] = f"WITH {RECORDS} SELECT ord, CAST(year AS BIGINT) AS year FROM records WHERE year IS NULL OR year >= 2012"
+SQL["limited_roster"] = f"SELECT page_id, name FROM ({SQL['team_roster'].replace('AS profile_url FROM c', 'AS profile_url, pos FROM c')}) ORDER BY page_id, tier, pos LIMIT 100"
+SQL["partitioned_records"] = f"WITH {RECORDS} SELECT source, count(*) AS records, min(ord) AS first_ord, count(doi) AS with_doi FROM records GROUP BY source"
+SQL["json_papers"] = (
+    f"WITH {RECORDS} SELECT canonical_id, first(title ORDER BY length(title) DESC, ord) AS title, CAST(min(year) AS BIGINT) AS year, "
+    "first(venue ORDER BY ord) FILTER (WHERE venue <> '') AS venue, first(doi ORDER BY ord) FILTER (WHERE doi <> '') AS doi, "
+    "md5(first(abstract ORDER BY length(abstract) DESC, ord) FILTER (WHERE abstract <> '')) AS abstract_md5 FROM keyed GROUP BY canonical_id"
+)
+SQL["accepted_additions"] = (
+    f"WITH {CURATION} SELECT CASE WHEN accepted THEN 'accepted_additions' ELSE 'rejected_candidates' END AS output, ord, doi FROM reviewed "
+    "UNION ALL SELECT 'portal_manifest', ord, doi FROM portal"
+)
+SQL["published_papers"] = (
+    f"WITH {RECORDS} SELECT DISTINCT canonical_id, 'latest' AS run FROM keyed UNION ALL "
+    "SELECT DISTINCT canonical_id, 'before' FROM keyed WHERE ord IN (SELECT doc_id FROM labels)"
+)
+SQL["prior_state"] = (
+    f"WITH {RECORDS}, {_ALL} SELECT canonical_id, title, array_to_string(sources, '|') AS sources, 'run-0' AS last_output_dir FROM p_all WHERE regexp_matches(title, '^[A-M]')"
+)
+SQL["manifest_files"] = (
+    f"WITH {RECORDS}, m AS (SELECT trim(regexp_replace(title, '\\.+$', '')) AS title, coalesce(landing_page_url, '') AS url, coalesce(doi, '') AS doi, len(authors) AS n FROM records) "
+    "SELECT title, url, doi, title <> '' AND url <> '' AND doi <> '' AND n > 0 AS valid, count(*) AS rows FROM m GROUP BY ALL"
+)
+SQL["publication_links"] = f"WITH {RECORDS} SELECT ord, coalesce(pdf_url || '.pdf', '') AS urls FROM records"
+SQL["service_addresses"] = (
+    "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'http://' || regexp_replace(url, '^https?://', '') ELSE url END AS address FROM pages"
+)
