@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from citeloom.functions.bind import bind
 from citeloom.functions.text import strip, ws
 
 EMPTY = "cast(array() as array<string>)"
@@ -63,6 +64,25 @@ def first_of(arr: Column) -> Column:
     return F.get(arr, F.lit(0))
 
 
+def inverted_index(words: Column) -> Column:
+    """``word -> positions`` (from 0) of a word list, inside its row: sorted once, and cut where the word changes."""
+
+    def cut(pairs: Column) -> Column:
+        word = lambda i: F.get(pairs, i)["word"]
+        places = F.when(F.size(pairs) > 0, F.sequence(F.lit(0), F.size(pairs) - 1)).otherwise(F.expr("cast(array() as array<int>)"))
+        starts = F.filter(places, lambda i: (i == 0) | (word(i) != word(i - 1)))
+
+        def entries(starts: Column) -> Column:
+            return F.transform(starts, lambda s, j: F.struct(
+                word(s).alias("word"),
+                F.transform(F.slice(pairs, s + 1, F.coalesce(F.get(starts, j + 1), F.size(pairs)) - s), lambda p: p["pos"]).alias("at"),
+            ))
+
+        return F.map_from_entries(bind(starts, entries))
+
+    return bind(F.array_sort(F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("pos")))), cut)
+
+
 def decode_inverted_index(m: Column) -> Column:
     """Rebuild a text from ``word -> positions``; the first word of a position wins, negatives are skipped."""
     pairs = F.flatten(

@@ -88,32 +88,8 @@ def clip(c: Column, limit: int) -> Column:
 def chunk_words(c: Column, max_chars: int) -> Column:
     """Greedy packing of the words of a text into chunks of at most ``max_chars`` characters.
 
-    A word longer than the limit is a chunk of its own. Returns an array of strings.
+    A word longer than the limit is a chunk of its own. Returns an array of strings. After ``ws`` one space stands
+    between words, so the longest chunk from a word on is one match, and the whole text is cut in one linear scan.
     """
-    return bind(F.filter(F.split(ws(c), " "), lambda w: w != ""), lambda words: _pack(words, max_chars))
-
-
-def _pack(words: Column, max_chars: int) -> Column:
-    """Chunks of a word list; the fold keeps word positions only, texts are joined at the end."""
-
-    def span(start: Column, count: Column) -> Column:
-        return F.struct(start.alias("start"), count.alias("n"))
-
-    def state(done: Column, start: Column, count: Column, chars: Column) -> Column:
-        return F.struct(done.alias("done"), start.alias("start"), count.alias("n"), chars.alias("chars"))
-
-    def step(s: Column, word: Column) -> Column:
-        size = F.length(word)
-        grown = s["chars"] + size + F.when(s["n"] > 0, 1).otherwise(0)
-        return F.when((s["n"] == 0) | (grown <= max_chars), state(s["done"], s["start"], s["n"] + 1, grown)).otherwise(
-            state(F.concat(s["done"], F.array(span(s["start"], s["n"]))), s["start"] + s["n"], F.lit(1), size)
-        )
-
-    empty = state(F.expr("cast(array() as array<struct<start:int,n:int>>)"), F.lit(1), F.lit(0), F.lit(0))
-    spans = F.aggregate(
-        words,
-        empty,
-        step,
-        lambda s: F.when(s["n"] == 0, s["done"]).otherwise(F.concat(s["done"], F.array(span(s["start"], s["n"])))),
-    )
-    return F.transform(spans, lambda p: F.array_join(F.slice(words, p["start"], p["n"]), " "))
+    chunk = rf"(?s)(.{{1,{max_chars}}}(?= |\z)|[^ ]+)(?: |\z)"
+    return F.regexp_extract_all(ws(c), F.lit(chunk), F.lit(1))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from citeloom import schemas
 from citeloom.functions import html, names, urls
-from citeloom.functions.arrays import decode_inverted_index
+from citeloom.functions.arrays import decode_inverted_index, inverted_index
 from citeloom.functions.bind import once
 from citeloom.functions.ids import file_stem
 from citeloom.functions.scan import ScanSpec, find_mentions, mention_context
@@ -923,14 +923,8 @@ def chunk_text(spark, sf_dir):
 
 @query
 def inverted_index_decode(spark, sf_dir):
-    """Every text turned into a word index and back.
-
-    Texts are dealt by document once, before they are taken apart; both groupings find their rows in place.
-    """
-    texts = table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id")
-    words = texts.select("doc_id", F.posexplode(F.split(ws("text"), " ")).alias("pos", "word"))
-    entries = words.groupBy("doc_id", "word").agg(F.collect_list("pos").alias("at"))
-    index = entries.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "at"))).alias("index"))
+    """Every text turned into a word index and back, each in its own row."""
+    index = table(spark, sf_dir, "documents").select("doc_id", inverted_index(F.split(ws("text"), " ")).alias("index"))
     return index.select("doc_id", F.md5(decode_inverted_index(F.col("index"))).alias("text_md5"))
 
 

@@ -25,6 +25,21 @@ def test_display_text_decodes_and_strips(spark):
     assert value(spark, text.display_title_key(C("x")), x=raw) == "phasediagramsmore"
 
 
+def test_ten_megabytes_are_chunked_and_indexed(spark):
+    words = F.transform(F.sequence(F.lit(1), F.lit(1_400_000)), lambda i: F.concat(F.lit("w"), (i % 99991).cast("string")))
+    df = spark.range(1).select(F.array_join(words, " ").alias("t"))
+    chunks = df.select(F.explode(text.chunk_words(C("t"), 1500)).alias("c")).select(F.length("c").alias("n"), F.substring_index("c", " ", 1).alias("w"))
+    sizes = [r["n"] for r in chunks.collect()]
+    assert sum(sizes) + len(sizes) - 1 == df.select(F.length("t")).first()[0] and max(sizes) <= 1500 and min(sizes[:-1]) > 1490
+    assert df.select(arrays.decode_inverted_index(arrays.inverted_index(F.split("t", " "))) == C("t")).first()[0]
+
+
+def test_word_index(spark):
+    got = spark.range(1).select(arrays.inverted_index(F.split(F.lit("b a b c a b"), " ")).alias("m")).first()["m"]
+    assert got == {"a": [1, 4], "b": [0, 2, 5], "c": [3]}
+    assert spark.range(1).select(arrays.inverted_index(F.expr("cast(array() as array<string>)")).alias("m")).first()["m"] == {}
+
+
 def test_chunks_pack_greedily_and_keep_long_words(spark):
     assert value(spark, text.chunk_words(C("x"), 7), x="aa bb cc dddddddddd e") == ["aa bb", "cc", "dddddddddd", "e"]
     assert value(spark, text.chunk_words(C("x"), 7), x="   ") == []
