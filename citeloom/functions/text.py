@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html as _html
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -49,9 +50,16 @@ def strip_tags(c: Column) -> Column:
     return ws_or_null(F.regexp_replace(ws(c), "<[^>]+>", " "))
 
 
+def _decoded(value: str | None) -> str | None:
+    """References decoded, numbers of any length too: leading zeros don't count, and what lies beyond Unicode is U+FFFD."""
+    if value is not None and "&#" in value:
+        value = re.sub("&#0*+([1-9][0-9]{7,}+);?", "\ufffd", re.sub("&#0+(?=[0-9])", "&#", value))
+    return _html.unescape(value) if value is not None else None
+
+
 @F.pandas_udf(T.StringType())
 def _unescape(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: _html.unescape(v) if v is not None else None)
+    return values.map(_decoded)
 
 
 def unescape_entities(c: Column) -> Column:

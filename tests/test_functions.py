@@ -34,6 +34,10 @@ def test_ten_megabytes_are_chunked_and_indexed(spark):
     assert df.select(arrays.decode_inverted_index(arrays.inverted_index(F.split("t", " "))) == C("t")).first()[0]
 
 
+def test_references_of_any_length_are_decoded():
+    assert text._decoded("a&#" + "0" * 9000 + "65;&#" + "9" * 9000 + ";&amp;&#x41;&#128512;") == "aA\ufffd&A\U0001f600" and text._decoded(None) is None
+
+
 def test_word_index(spark):
     got = spark.range(1).select(arrays.inverted_index(F.split(F.lit("b a b c a b"), " ")).alias("m")).first()["m"]
     assert got == {"a": [1, 4], "b": [0, 2, 5], "c": [3]}
