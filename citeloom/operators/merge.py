@@ -96,10 +96,6 @@ def _value_rows(field: str, arr: Column) -> Column:
     )
 
 
-#: List fields of a paper.
-LIST_FIELDS = ("authors", "members", "urls", "pdf_urls", "sources")
-
-
 def value_rows(keyed: DataFrame) -> DataFrame:
     """List values of every record as rows ``(canonical_id, ord, v)`` with ``v`` a struct of field, pos and value; no shuffle."""
     return keyed.select(
