@@ -97,8 +97,13 @@ class KeyedState:
     def _write(self, rows: DataFrame, version: int, base: bool, run: str, skipped: list[int]) -> None:
         out = rows.withColumn("_version", F.lit(version).cast("bigint")).withColumn("_base", F.lit(base))
         dealt = out.select(*self.schema.fieldNames(), "_from", "_version", "_base").repartition(self.buckets, self.key)  # one file per bucket
-        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        dealt.write.insertInto(self.table, overwrite=True)
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(mode)
+        self.spark.conf.set(mode, "dynamic")  # for this write only: elsewhere an overwrite replaces all partitions
+        try:
+            dealt.write.insertInto(self.table, overwrite=True)
+        finally:
+            self.spark.conf.set(mode, before)
         create_file(self.spark, f"{self.path}/ready/{version:012d}{int(base)}", {"version": version, "run": run, "base": base, "skipped": skipped})
 
     def append(self, rows: DataFrame, run: str) -> int:

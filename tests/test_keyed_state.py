@@ -33,6 +33,7 @@ def test_a_run_writes_what_it_touches(spark, tmp_path):
     again = KeyedState(spark, str(tmp_path / "s"), SCHEMA, "id", buckets=4)
     assert {r["id"]: r["n"] for r in again.current().collect()} == want
     again.close()
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
 def test_joins_need_no_exchange_of_the_state(spark, tmp_path):
