@@ -57,14 +57,17 @@ def _decoded(value: str | None) -> str | None:
     return _html.unescape(value) if value is not None else None
 
 
-@F.pandas_udf(T.StringType())
 def _unescape(values: pd.Series) -> pd.Series:
     return values.map(_decoded)
 
 
 def unescape_entities(c: Column) -> Column:
-    """Decode HTML entities. Only values with an ampersand travel to Python (Arrow batches)."""
-    return F.coalesce(_unescape(F.when(F.contains(c, F.lit("&")), c)), c)
+    """Decode HTML entities. Only values with an ampersand travel to Python (Arrow batches).
+
+    The user function is made here: one kept in the module would hold on to its session, and could not be sent to workers.
+    """
+    unescape = F.pandas_udf(_unescape, T.StringType())
+    return F.coalesce(unescape(F.when(F.contains(c, F.lit("&")), c)), c)
 
 
 def tidy_markup(c: Column, strip_period: bool = True) -> Column:

@@ -22,6 +22,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from citeloom import schemas
 from citeloom.operators import merge, snapshot
+from citeloom.operators.merge import LIST_FIELDS
 from citeloom.operators.order import last_per_key
 from citeloom.sources.files import path_exists
 
@@ -40,12 +41,15 @@ NOWHERE = (1 << 63) - 1
 
 
 class Partial:
-    """Winners and list digests of some records of one paper; two of them fold into one in any order."""
+    """Winners and list digests of some records of one paper; two of them fold into one in any order.
+
+    This class goes to the workers by value, so it names constants only: a module would travel with all that it holds.
+    """
 
     NAMES = [f.split()[0] for f in PARTIAL.split(", ")]
 
     def __init__(self, row=None):
-        n = len(merge.LIST_FIELDS)
+        n = len(LIST_FIELDS)
         self.row = list(row) if row is not None else [None, 0, NOWHERE, None, None, None, NOWHERE, None, NOWHERE, [0] * n, [0] * n, [0] * n]
 
     def add(self, other) -> None:
@@ -67,7 +71,7 @@ class Partial:
         """The list part of a paper's fingerprint, as ``snapshot.fingerprint`` writes it."""
         mask = (1 << 64) - 1
         parts = [
-            f"{name}:{n}:{a & mask:X}:{b & mask:X}" for name, n, a, b in zip(merge.LIST_FIELDS, self.row[9], self.row[10], self.row[11], strict=True) if n
+            f"{name}:{n}:{a & mask:X}:{b & mask:X}" for name, n, a, b in zip(LIST_FIELDS, self.row[9], self.row[10], self.row[11], strict=True) if n
         ]
         return ";".join(sorted(parts)) or None
 
@@ -87,7 +91,7 @@ def current_state(spark: SparkSession, path: str, before: int | None = None) ->
 
 def _partials(keyed: DataFrame) -> DataFrame:
     """Every record, and every list value that its paper has not had yet, as a partial of one row."""
-    no_list = F.array(*[F.lit(0).cast("long")] * len(merge.LIST_FIELDS))
+    no_list = F.array(*[F.lit(0).cast("long")] * len(LIST_FIELDS))
     none = F.lit(NOWHERE).cast("long")
     place = lambda c: F.when(F.length(c) > 0, F.col("ord")).otherwise(none)
     filled = lambda c: F.when(F.length(c) > 0, F.col(c))
@@ -99,7 +103,7 @@ def _partials(keyed: DataFrame) -> DataFrame:
     values = merge.value_rows(keyed).select("canonical_id", "v.field", "v.value").dropDuplicates(["canonical_id", "field", "value"])
 
     def of_field(amount: Column) -> Column:
-        return F.array(*[F.when(F.col("field") == f, amount).otherwise(F.lit(0).cast("long")) for f in merge.LIST_FIELDS])
+        return F.array(*[F.when(F.col("field") == f, amount).otherwise(F.lit(0).cast("long")) for f in LIST_FIELDS])
 
     first, second = snapshot.value_digests(F.col("field"), F.col("value"))
     empty = {f: F.lit(None).cast(t) for f, t in (("title", "string"), ("year", "int"), ("published_date", "string"), ("venue", "string"), ("doi", "string"))}

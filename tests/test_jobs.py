@@ -168,6 +168,18 @@ def test_stream_batches_fold_into_the_batch_merge(spark, tmp_path):
     assert len(rows_written) == 20 and max(rows_written.values()) <= 3
 
 
+def test_state_functions_can_be_sent_after_any_other_query(spark):
+    """Functions of the stream go to workers by value; what earlier queries left in the library's modules must not go along."""
+    from pyspark import cloudpickle
+
+    from citeloom.functions import html, text
+
+    fields = [text.unescape_entities(F.lit("a&amp;b")).alias("t"), html.visible_text(F.lit("<p>x</p>")).alias("v")]
+    assert spark.range(1).select(*fields).first() == ("a&b", "x")
+    for function in (state._combined, state._fold):
+        assert len(cloudpickle.dumps(function)) < 20_000
+
+
 def test_keys_that_come_back_after_months_are_not_new(spark, tmp_path):
     landed = str(tmp_path / "events")
     batches = [[("a", "2024-01-01"), ("b", "2024-01-01"), ("a", "2024-01-02")], [("c", "2024-02-01")], [("a", "2024-04-10"), ("d", "2023-01-01"), ("b", "2024-04-11")], [("c", "2025-01-01")]]
