@@ -1,10 +1,12 @@
 """Near-copies by word shingles: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Candidates share one of BANDS keys of ROWS MinHash values each; a pair at 0.8 shares none with probability 1.4e-7. Every link is
-verified on whole shingle sets before anything is connected through it.
+Candidates are found by SimHash: fingerprints of the shingle sets that differ in few bits meet under Golay-code keys (``simhash``).
+Copies at 0.8 may differ in more bits than those keys reach, so all that share one of BANDS keys of ROWS MinHash values each are
+candidates too; a pair at 0.8 shares none with probability 1.4e-7. Every link is verified on whole shingle sets before anything is
+connected through it.
 
-First each node is compared with one other: the smallest of the smallest nodes of its keys. Most groups are connected by that,
-and keys whose nodes all are need nothing more. In the keys that stay open each node is compared with the key's smallest
+First the linked fingerprints are compared, and each node with one other: the smallest of the smallest nodes of its keys. Most groups
+are connected by that, and keys whose nodes all are need nothing more. In the keys that stay open each node is compared with the key's smallest
 one, each such pair once, however many keys it shares. Jaccard distance is a metric: nothing within 0.2 of the
 smallest node can link to what is beyond 0.4 of it, so where nothing lies between, those linked to it are done. What is left of a
 key, if its nodes are not connected by then, is cut into blocks of at most some BLOCK sets, and pairs of blocks are
@@ -22,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citeloom.llm import simhash
 from citeloom.llm.common import components, map_columns
 from citeloom.session import materialise
 
@@ -167,14 +170,26 @@ def _open_keys(met: DataFrame, links: DataFrame) -> DataFrame:
     return materialise(spread.where("low < high").select("key"), "open-keys")
 
 
+def print_pairs(nodes: DataFrame) -> DataFrame:
+    """Candidates (a, b) by SimHash: nodes of one fingerprint with its smallest node, and smallest nodes of linked fingerprints."""
+    of_print = materialise(nodes.groupBy("fp").agg(F.min("node").alias("first")), "first-nodes")
+    same = nodes.join(of_print, "fp").select(F.col("node").alias("a"), F.col("first").alias("b")).where("a <> b")
+    links = simhash.fingerprint_links(of_print.select("fp")).withColumnsRenamed({"a": "x", "b": "y"})
+    ends = [of_print.select(F.col("fp").alias(c), F.col("first").alias(f"_{c}")) for c in ("x", "y")]
+    met = links.join(ends[0], "x").join(ends[1], "y").select(F.greatest("_x", "_y").alias("a"), F.least("_x", "_y").alias("b"))
+    return materialise(same.unionByName(met), "print-pairs")
+
+
 def shingle_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Verified links (a, b) that span all chains of near-copies among ``nodes`` (node, lowest, keys)."""
+    """Verified links (a, b) that span all chains of near-copies among ``nodes`` (node, fp, lowest, keys)."""
     keyed = nodes.where("lowest is not null").select("node", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
     met = materialise(keyed.join(shared.select("key", "first"), "key").where("node <> first"), "met-keys")
-    involved = met.select("node").unionByName(met.select(F.col("first").alias("node"))).distinct()
+    printed = print_pairs(nodes.where("lowest is not null").select("node", "fp"))
+    ends = [met.select("node"), met.select("first"), printed.select("a"), printed.select("b")]
+    involved = ends[0].union(ends[1]).union(ends[2]).union(ends[3]).distinct()
     sets = _with_sets(docs, nodes, involved)
-    once = _scored(met.groupBy(F.col("node").alias("a")).agg(F.min("first").alias("b")), sets)
+    once = _scored(met.groupBy(F.col("node").alias("a")).agg(F.min("first").alias("b")).unionByName(printed).distinct(), sets)
     links = once.where("near").select("a", "b")
 
     met = materialise(met.join(_open_keys(met, links), "key", "left_semi"), "met-keys")
@@ -215,10 +230,13 @@ def near_copies(docs: DataFrame) -> DataFrame:
     def run(batch: pa.RecordBatch) -> dict:
         found = [shingles(t) for t in batch.column(1).to_pylist()]
         keys = pa.array([band_keys(h) for h in found], pa.list_(pa.int64()))
-        return {"doc_id": batch.column(0), "node": np.array([node_of(h) for h in found], np.int64), "keys": keys}
+        numbers = {n: np.array([f(h) for h in found], np.int64) for n, f in (("node", node_of), ("fp", simhash.fingerprint_of))}
+        return {"doc_id": batch.column(0), **numbers, "keys": keys}
 
-    prints = materialise(map_columns(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, node long, keys array<long>"), "shingle-keys")
-    nodes = materialise(prints.groupBy("node").agg(F.min("doc_id").alias("lowest"), F.first("keys").alias("keys")), "shingle-nodes")
+    prints = map_columns(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, node long, fp long, keys array<long>")
+    prints = materialise(prints, "shingle-keys")
+    nodes = prints.groupBy("node").agg(F.first("fp").alias("fp"), F.min("doc_id").alias("lowest"), F.first("keys").alias("keys"))
+    nodes = materialise(nodes, "shingle-nodes")
     linked = components(shingle_links(docs.select(F.col("doc_id").cast("long"), "text"), nodes))
     groups = nodes.select("node", "lowest").join(linked, "node", "left").select("node", "lowest", F.coalesce("component", "node").alias("component"))
     least = groups.groupBy("component").agg(F.min("lowest").alias("component_id"))

@@ -102,10 +102,14 @@ def fingerprint(text: str | None) -> int:
     stops = ends[n - 1 :].tolist()
     starts = [0, *(ends[: len(words) - n] + 1).tolist()]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(line[a:b], SEED) for a, b in zip(starts, stops, strict=True)], "<u8")
+    return fingerprint_of(np.array([digest(line[a:b], SEED) for a, b in zip(starts, stops, strict=True)], "<u8"))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """SimHash of the hashes of a text's shingles, as a signed 64-bit number; zero if there are none."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 4096):
-        part = hashes[at : at + 4096].view(np.uint8).reshape(-1, 8)
+        part = hashes[at : at + 4096].astype("<u8", copy=False).view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
 

@@ -78,6 +78,17 @@ def test_large_groups_and_chains(spark, monkeypatch, block):
     assert stays(spark, df) == brute_kept(rows)
 
 
+def test_close_fingerprints_are_candidates_without_any_band(spark, monkeypatch):
+    """The SimHash step finds near-copies by itself: with no MinHash keys those of few differing bits are still linked, others are not."""
+    monkeypatch.setattr(near_copies, "band_keys", lambda hashes: np.array([], np.int64))
+    base = [f"w{i}" for i in range(2000)]
+    rows = [(1, " ".join(base)), (2, " ".join([*base, "x"])), (3, " ".join(base[::-1])), (4, " ".join(base).upper())]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = [near_copies.simhash.fingerprint_of(near_copies.shingles(t)) for _, t in rows]
+    assert 0 < (prints[0] ^ prints[1]).bit_count() <= 3 or prints[0] == prints[1]
+    assert stays(spark, df) == [1, 3]
+
+
 def test_links_between_two_blocks_span_both():
     sets = [np.arange(i, i + 100, dtype=np.uint64) for i in range(0, 60, 5)]
     assert len(near_copies.spanning(sets)) == len(sets) - 1
