@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ from citeloom.plans import jobs, sinks, stand_ins
 from citeloom.plans.keyed_state import KeyedState
 from citeloom.plans.stand_ins import source_records, table
 from citeloom.schemas import SOURCE_ORDER
-from citeloom.session import materialise, scratch_dir
+from citeloom.session import configure, materialise, scratch_dir
 from citeloom.sources import files, json_sources, markup_sources, roster
 from citeloom.sources.common import in_window
 from citeloom.streaming.state import current_state, first_arrivals, record_stream, run_upserts
@@ -48,8 +49,14 @@ NUMBER = ScanSpec(phrases=("555-2373", "call 555"), number="555", prefix="call")
 
 
 def query(fn: Query) -> Query:
-    REGISTRY[fn.__name__] = fn
-    return fn
+    """Registers a query, which runs with the library's runtime settings."""
+
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(configure(spark), sf_dir)
+
+    REGISTRY[fn.__name__] = run
+    return run
 
 
 def keyed_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -178,3 +178,18 @@ def test_url_rules(spark):
     assert value(spark, api, x="https://export.arxiv.org") == "http://export.arxiv.org/api/query"
     assert value(spark, api, x="mirror.example/q?z=1") == "http://mirror.example/q?z=1"
     assert value(spark, api, x=" ") == "http://export.arxiv.org/api/query"
+
+
+def test_long_texts_go_to_python_in_small_batches(spark):
+    """A checked query sets the session up; then no batch holds more than some MB, however long the texts are."""
+    import pandas as pd
+
+    from citeloom.plans import catalog
+
+    for key in ("maxRecordsPerBatch", "maxBytesPerBatch"):
+        spark.conf.unset(f"spark.sql.execution.arrow.{key}")
+    catalog.REGISTRY["page_text_expression"](spark, "/root/testdata/sf0.001")
+    size = F.pandas_udf(lambda s: pd.Series([int(s.str.len().sum())] * len(s)), "long")
+    texts = spark.range(0, 64, 1, 1).select(F.expr("repeat(cast(id % 10 AS string), 1 << 20)").alias("t"))
+    held = [r["n"] for r in texts.select(size("t").alias("n")).collect()]
+    assert len(held) == 64 and max(held) <= 6 << 20
