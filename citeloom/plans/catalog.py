@@ -841,10 +841,10 @@ def metadata_snapshot(spark, sf_dir):
 
 @query
 def snapshot_documents(spark, sf_dir):
-    """Length, lines and digest of the composed metadata snapshot of every manifest item."""
+    """Length, lines and digests of the composed metadata snapshot of every manifest item."""
     items, values, _ = _final_inputs(spark, sf_dir)
     lines = materialise(finalize.metadata_snapshot(items, values, stand_ins.doi_lookup(spark, sf_dir)), "snapshot-lines")
-    return finalize.snapshot_documents(items, lines).select("ord", "chars", "n_lines", "digest")
+    return finalize.snapshot_documents(items, lines).select("ord", "chars", "n_lines", "digest", "text_md5")
 
 
 @query

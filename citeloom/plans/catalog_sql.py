@@ -872,12 +872,31 @@ _MATCHED = "ord IN (SELECT ord FROM items JOIN grp ON gk = group_key)"
 _SHARED = "(ord IS NULL AND group_key IN (SELECT group_key FROM grp))"
 SQL["metadata_snapshot"] = f"WITH {FINAL}, {META} SELECT group_key, ord, section, label, md5(t) AS text_md5 FROM lines_ WHERE t <> '' AND ({_MATCHED} OR {_SHARED})"
 _LINE_DIGEST = "sum(CAST('0x' || substr(md5(section || '|' || label || '|' || t), 1, 8) AS BIGINT))"
+#: The whole text of every item: blocks of one label in the order of their first lines, lines inside them by place.
+_COMPOSED = (
+    "places AS (SELECT NULL AS group_key, *, 0 AS a, 0 AS b FROM heads "
+    "UNION ALL SELECT k.group_key, NULL, 5, 'Paper ids', k.canonical_id, k.first_ord, 0 FROM gk k WHERE k.group_key IN (FROM gl) "
+    "UNION ALL SELECT u.group_key, NULL, 6, 'Addresses', u.url, u.po, u.ro FROM gurl u WHERE u.group_key IN (FROM gl) "
+    "UNION ALL SELECT u.group_key, NULL, 7, 'Document addresses', u.url, u.po, u.ro FROM gpdf u WHERE u.group_key IN (FROM gl) "
+    f"UNION ALL SELECT k.group_key, NULL, 9, 'canonical_record_abstract', k.t, min(k.first_ord), 0 FROM (SELECT group_key, first_ord, {_SHOWN_ABSTRACT} AS t FROM gk) k "
+    "WHERE k.group_key IN (FROM gl) GROUP BY k.group_key, k.t "
+    "UNION ALL SELECT NULL, ord, 8, 'Metadata', unnest(['Crossref published date: 2015-6', 'Crossref venue: Venue ' || lang, 'OpenAlex OA status: green', "
+    "'OpenAlex OA URL: https://example.org/oa/' || doc_id]), unnest([0, 0, 1, 1]), unnest([0, 1, 0, 1]) FROM xr "
+    "UNION ALL SELECT NULL, ord, 9, CASE p WHEN 2 THEN 'openalex_metadata' ELSE 'datacite_metadata' END, t, p, 0 FROM abst WHERE p > 0 "
+    "UNION ALL SELECT NULL, ord, 9, 'citation_snapshot', 'Neither full text nor an abstract has landed; the citation stands for the paper.', 0, 0 "
+    "FROM items WHERE ord NOT IN (SELECT ord FROM abst)), "
+    "lines_at AS (SELECT i.ord AS item, l.section, l.label, l.t, l.a::HUGEINT * 1000000000000 + l.b AS place FROM items i JOIN places l "
+    "ON l.ord = i.ord OR l.group_key = i.gk WHERE l.t <> ''), "
+    "bodies AS (SELECT item, section, label, min(place) AS place, CASE WHEN section = 9 THEN string_agg(t, chr(10) || chr(10) ORDER BY place) "
+    "ELSE label || ': ' || string_agg(t, ', ' ORDER BY place) END AS body FROM lines_at GROUP BY item, section, label), "
+    "texts AS (SELECT item, string_agg(body, chr(10) ORDER BY section, place, label) AS text FROM bodies GROUP BY item)"
+)
 SQL["snapshot_documents"] = (
-    f"WITH {FINAL}, {META}, own AS (SELECT i.ord AS item, l.* FROM items i JOIN lines_ l ON l.ord = i.ord OR l.group_key = i.gk WHERE l.t <> ''), "
+    f"WITH {FINAL}, {META}, {_COMPOSED}, own AS (SELECT i.ord AS item, l.* FROM items i JOIN lines_ l ON l.ord = i.ord OR l.group_key = i.gk WHERE l.t <> ''), "
     "by_label AS (SELECT item, section, label, sum(length(t)) + (count(*) - 1) * 2 + CASE WHEN section = 9 THEN 0 ELSE length(label) + 2 END AS chars, "
     f"count(*) AS n, {_LINE_DIGEST} AS digest FROM own GROUP BY item, section, label) "
-    "SELECT item AS ord, CAST(sum(chars) + count(*) - 1 AS BIGINT) AS chars, CAST(sum(n) AS BIGINT) AS n_lines, CAST(sum(digest) AS BIGINT) AS digest "
-    f"FROM by_label WHERE {_MATCHED.replace('ord IN', 'item IN')} GROUP BY item"
+    "SELECT s.*, md5(x.text) AS text_md5 FROM (SELECT item AS ord, CAST(sum(chars) + count(*) - 1 AS BIGINT) AS chars, CAST(sum(n) AS BIGINT) AS n_lines, CAST(sum(digest) AS BIGINT) AS digest "
+    f"FROM by_label WHERE {_MATCHED.replace('ord IN', 'item IN')} GROUP BY item) s JOIN texts x ON x.item = s.ord"
 )
 SQL["snapshot_pieces"] = (
     f"WITH {FINAL}, {META} SELECT group_key, ord, section, label, CAST(sum(length(t)) + (count(*) - 1) * 2 + CASE WHEN section = 9 THEN 1 ELSE length(label) + 3 END AS BIGINT) AS chars, "

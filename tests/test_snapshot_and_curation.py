@@ -179,3 +179,19 @@ def test_snapshot_pieces_compose_to_the_text(spark):
     again = {r["ord"]: r["digest"] for r in finalize.snapshot_documents(items, df.repartition(7)).collect()}
     other = finalize.snapshot_documents(items, df.withColumn("text", F.regexp_replace("text", "abstract 7 ", "abstract 8 "))).collect()
     assert again == {k: r["digest"] for k, r in totals.items()} and all(r["digest"] != again[r["ord"]] for r in other)
+
+
+def test_snapshot_documents_compose_every_text_in_order(spark):
+    """The digest is that of the whole text, so the order of its lines counts; a sum over lines can't tell the two apart."""
+    import hashlib
+
+    def lines(first, second):
+        rows = [(None, 1, 0, "Title", 0, 0, "T"), ("g", None, 9, "canonical_record_abstract", 0, 0, first), ("g", None, 9, "canonical_record_abstract", 1, 0, second),
+                (None, 2, 0, "Title", 0, 0, "U")]
+        return spark.createDataFrame(rows, "group_key STRING, ord BIGINT, section INT, label STRING, a BIGINT, b BIGINT, text STRING")
+
+    items = spark.createDataFrame([(1, "g"), (2, "h")], "ord BIGINT, item_key STRING")
+    one, other = [{r["ord"]: r for r in finalize.snapshot_documents(items, lines(*t)).collect()} for t in (("ä", "y"), ("y", "ä"))]
+    assert one[1]["digest"] == other[1]["digest"]
+    assert [d[1]["text_md5"] for d in (one, other)] == [hashlib.md5(t.encode()).hexdigest() for t in ("Title: T\nä\n\ny", "Title: T\ny\n\nä")]
+    assert one[2]["text_md5"] == other[2]["text_md5"] == hashlib.md5(b"Title: U").hexdigest()
