@@ -118,6 +118,40 @@ def test_two_runs(spark, tmp_path):
     assert ("doi:10.1/a", "/a", True) in cells(back, "canonical_id", "document_pdfa_path", "pdfa_conversion_ok")
 
 
+def test_pairs_of_papers_and_members_take_their_order_without_a_sort(spark):
+    """Places in a source and ids are those of a full sort, but pairs are neither sorted nor counted."""
+    rng = random.Random(5)
+    first, last = ["Ada", "Al", "Bo", "Mei", "Max"], ["Lund", "Roth", "Vance"]
+    members = spark.createDataFrame([(f"{f} {s}", (len(f) + len(s)) if s != "Roth" else None) for f in first for s in last], "name STRING, member_ord INT")
+    rows, item = [], 0
+    for _ in range(60):
+        authors = [{"full_name": f"{rng.choice(last)}, {rng.choice(first)}"} for _ in range(rng.randint(0, 3))]
+        meta = {"titles": [{"title": rng.choice(["T", "", "U"])}], "authors": authors, "control_number": (item := item + 1)}
+        page, row = rng.randrange(3), item * 300_000  # over several blocks of rows
+        rows.append(("inspirehep", "Feed", page, row, json.dumps({"hits": {"hits": [{"metadata": meta}]}})))
+        crossref = {"title": ["C"], "author": [{"given": rng.choice(first), "family": rng.choice(last)}], "URL": f"https://e.org/{item}"}
+        rows.append(("crossref", f"{rng.choice(first)} {rng.choice(last)}", page, row, json.dumps({"message": {"items": [crossref]}})))
+    raw = spark.createDataFrame(rows, RAW_PAYLOADS)
+    params = jobs.RunParams("r", "t0", "t1", 2025, ScanSpec(phrases=("x",)), enabled_sources=("crossref", "inspirehep"))
+    records = jobs.normalise_all(raw, members, params)
+    ords = {r["name"]: r["member_ord"] for r in members.collect()}
+    wanted = {}
+    for r in records.collect():
+        at = ords.get(r["member_name"])
+        wanted.setdefault(r["source"], []).append((at is not None, at or 0, r["member_name"], r["page_no"], r["row_no"], r["source_id"]))
+    expected = [(s, k[2], k[5], n) for s in ("crossref", "inspirehep") for n, k in enumerate(sorted(wanted[s]), 1)]
+    assert len(wanted["inspirehep"]) > 80 and wanted["crossref"]
+
+    placed = jobs.with_order(records, members, ["source", "member_name", "source_id"], "place")
+    found = sorted(placed.collect(), key=lambda r: r["ord"])
+    assert [(r["source"], r["member_name"], r["source_id"], r["place"]) for r in found] == expected
+    plain = sorted(jobs.with_order(records, members).collect(), key=lambda r: r["ord"])
+    assert [(r["source"], r["member_name"], r["source_id"]) for r in plain] == [e[:3] for e in expected]
+    pairs = placed.filter("source = 'inspirehep'")._jdf.queryExecution().optimizedPlan().toString()
+    above = pairs.split("Join")[0]
+    assert not any(step in above for step in ("Sort", "Window", "Aggregate"))
+
+
 def test_streaming_state(spark, tmp_path):
     from test_merge_and_order import ROWS, _records
 
