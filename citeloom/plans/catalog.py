@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,6 +64,27 @@ def keyed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.with_canonical_id(source_records(spark, sf_dir))
 
 
+@dataclass(frozen=True)
+class Run:
+    """The written tables of one run's merge step, which all later steps read."""
+
+    keyed: DataFrame
+    papers: DataFrame
+    values: DataFrame
+    records: DataFrame
+
+
+def _merged_run(spark, sf_dir) -> Run:
+    """Records are derived and keyed once, and merged once, however many steps of a query follow."""
+    keyed = materialise(keyed_records(spark, sf_dir), "keyed")
+    return Run(
+        keyed,
+        materialise(merge.merge_papers(keyed), "papers"),
+        materialise(merge.merge_values(keyed), "paper-values"),
+        merge.paper_records(keyed),
+    )
+
+
 # --- merge ----------------------------------------------------------------------------------------------------
 
 
@@ -352,9 +374,9 @@ def _index(records: DataFrame, stamp: str) -> DataFrame:
     )
 
 
-def _diffed(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    previous = _index(stand_ins.labelled_records(spark, sf_dir), "t0")
-    current, _ = _fingerprinted(source_records(spark, sf_dir))
+def _diffed(spark, sf_dir, run: Run | None = None) -> tuple[DataFrame, DataFrame]:
+    previous = _index(stand_ins.labelled_records(spark, sf_dir, run.keyed if run else None), "t0")
+    current = snapshot.fingerprint(run.papers, run.values) if run else _fingerprinted(source_records(spark, sf_dir))[0]
     return snapshot.diff(current, previous), previous
 
 
@@ -545,10 +567,10 @@ def _targets(spark, sf_dir) -> DataFrame:
     return known.filter(F.col("doi").isNotNull()).unionByName(unknown)
 
 
-def _flagged_papers(spark, sf_dir) -> DataFrame:
+def _flagged_papers(spark, sf_dir, run: Run | None = None) -> DataFrame:
     """Papers with metadata flags; the document flag is taken from the year."""
-    keyed = keyed_records(spark, sf_dir)
-    papers = merge.flag_papers(merge.merge_papers(keyed), merge.metadata_mentions(keyed, LICENCES))
+    keyed = run.keyed if run else keyed_records(spark, sf_dir)
+    papers = merge.flag_papers(run.papers if run else merge.merge_papers(keyed), merge.metadata_mentions(keyed, LICENCES))
     return papers.withColumn("award_mentioned_in_document", F.coalesce(F.col("year") > 2015, F.lit(False))).withColumn(
         "ord", F.col("first_ord")
     )
@@ -688,8 +710,9 @@ def error_taxonomy(spark, sf_dir):
     return docs.select("doc_id", docscan.classify_error(text).alias("error"))
 
 
-def _scan(spark, sf_dir) -> DataFrame:
-    papers, values, records = _paper_tables(spark, sf_dir)
+def _scan(spark, sf_dir, run: Run | None = None) -> DataFrame:
+    run = run or _merged_run(spark, sf_dir)
+    papers, values, records = run.papers, run.values, run.records
     pdfs = materialise(candidates.pdf_candidates(papers, values, records), "pdf-candidates")
     texts = materialise(candidates.text_candidates(papers, values, pdfs, records), "text-candidates")
     scanned = papers.select("canonical_id", F.lit(False).alias("already_mentioned"))
@@ -988,17 +1011,17 @@ def active_sources(spark, sf_dir):
     )
 
 
-def _report_papers(spark, sf_dir, outcomes: DataFrame | None = None) -> DataFrame:
+def _report_papers(spark, sf_dir, run: Run | None = None, outcomes: DataFrame | None = None) -> DataFrame:
     """Papers with scan results in the shape of the report."""
-    keyed = keyed_records(spark, sf_dir)
-    nested = merge.nest_values(merge.merge_values(keyed), ["members", "sources"])
-    papers = _flagged_papers(spark, sf_dir).join(nested, "canonical_id")
+    run = run or _merged_run(spark, sf_dir)
+    nested = merge.nest_values(run.values, ["members", "sources"])
+    papers = _flagged_papers(spark, sf_dir, run).join(nested, "canonical_id")
     empty = F.expr("cast(array() as array<string>)")
     shaped = papers.select(
         "canonical_id", "title", "year", "venue", "doi", "members", "sources", "first_ord", "award_mentioned_in_metadata",
         F.lit(False).alias("award_mentioned_in_document"), empty.alias("award_mentions"), empty.alias("document_award_mentions"),
     )
-    scanned = outcomes if outcomes is not None else _scan(spark, sf_dir)
+    scanned = outcomes if outcomes is not None else _scan(spark, sf_dir, run)
     return materialise(docscan.apply_outcomes(shaped, scanned), "report-papers")
 
 
@@ -1048,15 +1071,15 @@ def status_backfill(spark, sf_dir):
 @query
 def run_summary(spark, sf_dir):
     """All counts of a run in one row."""
-    recs = source_records(spark, sf_dir)
+    recs, run = source_records(spark, sf_dir), _merged_run(spark, sf_dir)
     counts = report.source_counts(recs, report.probe_errors(_health(spark, sf_dir)))
-    scanned = docscan.scan_counters(_scan(spark, sf_dir))
-    papers = merge.merge_papers(keyed_records(spark, sf_dir))
+    scanned = docscan.scan_counters(_scan(spark, sf_dir, run))
+    papers = run.papers
     per_source = report.as_map(counts, "source", "records", "source_record_counts")
     row = report.summary_row(
         spark,
         [recs.agg(F.count("*").alias("raw_record_count")), papers.agg(F.count("*").alias("canonical_paper_count")),
-         snapshot.status_counts(_diffed(spark, sf_dir)[0]), scanned, per_source],
+         snapshot.status_counts(_diffed(spark, sf_dir, run)[0]), scanned, per_source],
         run_started_at="t0", lookback_years=2,
     )
     return row.select(
@@ -1069,19 +1092,21 @@ def run_summary(spark, sf_dir):
 @query
 def run_report(spark, sf_dir):
     """The text report of a run."""
-    outcomes = materialise(_scan(spark, sf_dir), "outcomes")
-    papers = _report_papers(spark, sf_dir, outcomes)
+    run = _merged_run(spark, sf_dir)
+    outcomes = materialise(_scan(spark, sf_dir, run), "outcomes")
+    papers = _report_papers(spark, sf_dir, run, outcomes)
     with_award, _ = report.split_by_award(papers, scanned=True)
     top = report.top_papers(with_award)
     # At most a hundred rows are ranked here.
     ranked = top.withColumn("rank", F.row_number().over(report.report_window(top)))
-    counts = report.source_counts(source_records(spark, sf_dir), report.probe_errors(_health(spark, sf_dir)))
-    probes = report.active_sources(_health(spark, sf_dir), SOURCE_ORDER).select("source", "probe")
+    health = materialise(_health(spark, sf_dir), "health")
+    counts = report.source_counts(source_records(spark, sf_dir), report.probe_errors(health))
+    probes = report.active_sources(health, SOURCE_ORDER).select("source", "probe")
     summary = report.summary_row(
         spark,
         [source_records(spark, sf_dir).agg(F.count("*").alias("raw_record_count")),
          papers.agg(F.count("*").alias("canonical_paper_count")), with_award.agg(F.count("*").alias("award_match_count")),
-         docscan.scan_counters(outcomes), snapshot.status_counts(_diffed(spark, sf_dir)[0])],
+         docscan.scan_counters(outcomes), snapshot.status_counts(_diffed(spark, sf_dir, run)[0])],
         run_finished_at="t1", team_member_count=4, lookback_years=2, target_doi_total=0, target_doi_matched=0, target_doi_missing=0,
     )
     return report.report_lines(summary, counts.join(probes, "source", "left"), ranked).select(

@@ -74,10 +74,10 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def labelled_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records of the labelled documents: an earlier, smaller collection of the same papers."""
+def labelled_records(spark: SparkSession, sf_dir: str, records: DataFrame | None = None) -> DataFrame:
+    """Records of the labelled documents: an earlier, smaller collection of the same papers. ``records`` are written ones."""
     labels = table(spark, sf_dir, "labels").selectExpr("doc_id AS ord")
-    return source_records(spark, sf_dir).join(labels, "ord", "left_semi")
+    return (source_records(spark, sf_dir) if records is None else records).join(labels, "ord", "left_semi")
 
 
 def fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
