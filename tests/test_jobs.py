@@ -214,6 +214,86 @@ def test_state_functions_can_be_sent_after_any_other_query(spark):
         assert len(cloudpickle.dumps(function)) < 20_000
 
 
+class _Calls:
+    """A state store in memory that counts what the processor asks of it."""
+
+    def __init__(self):
+        self.papers, self.held, self.calls = {}, None, []
+
+    def getMapState(self, *_):  # noqa: N802
+        return self
+
+    def getValueState(self, *_):  # noqa: N802
+        return type("Size", (), {"get": lambda _: self.held, "update": lambda _, v: setattr(self, "held", v)})()
+
+    def iterator(self):
+        self.calls.append("walk")
+        return iter([((k,), v) for k, v in self.papers.items()])
+
+    def getValue(self, key):  # noqa: N802
+        self.calls.append("get")
+        return self.papers.get(key[0])
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.calls.append("put")
+        self.papers[key[0]] = value
+
+
+def test_papers_of_a_shard_share_their_state_calls(spark, monkeypatch):
+    """A call between Spark and Python costs more than the fold of a paper: at most one a paper where many are touched, two where few are."""
+    from types import SimpleNamespace
+
+    store, processor = _Calls(), state.PaperStates()
+    processor.init(store)
+
+    def go(batch, titles):
+        monkeypatch.setattr(state, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(getLocalProperty=lambda _: str(batch))))
+        rows = []
+        for n, title in titles:
+            partial = state.Partial()
+            partial.add_scalars((title, len(title), n, 2001, None, None, state.NOWHERE, None, state.NOWHERE))
+            rows.append(SimpleNamespace(canonical_id=f"p{n}", partial=partial.text()))
+        store.calls.clear()
+        out = list(processor.handleInputRows((0,), iter(rows), None))
+        return {r.canonical_id: (r.title, r.first_seen_at, r.last_seen_at, r.status) for r in out}, {c: store.calls.count(c) for c in set(store.calls)}
+
+    first, calls = go(0, [(n, "ab") for n in range(200)])
+    assert calls == {"put": 200} and first["p7"] == ("ab", "batch-0", "batch-0", "new") and store.held == (200,)
+    again, calls = go(1, [(n, "abc" if n < 5 else "a") for n in range(201)])
+    assert calls == {"walk": 1, "put": 6} and store.held == (201,)
+    assert again["p4"] == ("abc", "batch-0", "batch-1", "changed") and again["p5"] == ("ab", "batch-0", "batch-1", "unchanged")
+    assert again["p200"] == ("a", "batch-1", "batch-1", "new")
+    few, calls = go(2, [(3, "x"), (3, "abcd"), (900, "y")])
+    assert calls == {"get": 2, "put": 2} and store.held == (202,)
+    assert few == {"p3": ("abcd", "batch-0", "batch-2", "changed"), "p900": ("y", "batch-2", "batch-2", "new")}
+
+
+def test_one_shard_gives_what_many_give(spark, tmp_path):
+    """Two walks over a shard, then single reads: states, first batches and hashes are those of one paper a shard and of the batch merge."""
+    from test_merge_and_order import ROWS, _records
+
+    landed = str(tmp_path / "landed")
+    base = ROWS[0] | {"doi": None, "authors": ["A B"], "abstract": "a"}
+    rows = [base | {"ord": n, "title": f"Title of number {n}"} for n in range(30)]
+    late = [base | {"ord": 100 + n, "title": f"Title of number {n}", "authors": ["A B", "C D"] if n % 2 else ["A B"]} for n in range(35)]
+    last = [base | {"ord": 200, "title": "Title of number 4", "authors": ["E F"]}, base | {"ord": 201, "title": "Another title"}]
+    found = []
+    for name, shards in (("one", 1), ("many", state.SHARDS)):
+        path = str(tmp_path / name)
+        for part in (rows, late, last):
+            _land(spark, part, f"{landed}-{name}")
+            state.run_upserts(state.record_stream(spark, f"{landed}-{name}"), path, f"{path}-progress", shards).awaitTermination()
+        found.append(cells(state.current_state(spark, path), "canonical_id", "hash", "status", "first_seen_at", "last_seen_at"))
+    assert found[0] == found[1]
+    statuses = [r[2:] for r in found[0]]
+    assert statuses.count(("changed", "batch-0", "batch-1")) == 15 and statuses.count(("unchanged", "batch-0", "batch-1")) == 14
+    assert statuses.count(("new", "batch-1", "batch-1")) == 5
+    assert statuses.count(("changed", "batch-0", "batch-2")) == 1 and statuses.count(("new", "batch-2", "batch-2")) == 1
+    keyed = merge.with_canonical_id(_records(spark, rows + late + last))
+    whole = snapshot.fingerprint(merge.merge_papers(keyed), merge.merge_values(keyed))
+    assert [r[:2] for r in found[0]] == cells(whole, "canonical_id", "hash")
+
+
 def test_keys_that_come_back_after_months_are_not_new(spark, tmp_path):
     landed = str(tmp_path / "events")
     batches = [[("a", "2024-01-01"), ("b", "2024-01-01"), ("a", "2024-01-02")], [("c", "2024-02-01")], [("a", "2024-04-10"), ("d", "2023-01-01"), ("b", "2024-04-11")], [("c", "2025-01-01")]]
