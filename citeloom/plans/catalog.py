@@ -35,7 +35,7 @@ from citeloom.plans import jobs, sinks, stand_ins
 from citeloom.plans.keyed_state import KeyedState
 from citeloom.plans.stand_ins import source_records, table
 from citeloom.schemas import SOURCE_ORDER
-from citeloom.session import configure, materialise, scratch_dir
+from citeloom.session import configure, materialise, scratch_dir, scratch_table
 from citeloom.sources import files, json_sources, markup_sources, roster
 from citeloom.sources.common import in_window
 from citeloom.streaming.state import current_state, first_arrivals, record_stream, run_upserts
@@ -786,15 +786,16 @@ def curation_counts(spark, sf_dir):
 
 
 def _final_inputs(spark, sf_dir):
+    """Matched manifest items, values of title groups and the groups, as written tables; papers are merged once and dropped again."""
     keyed = keyed_records(spark, sf_dir)
-    papers = merge.merge_papers(keyed).withColumn("ord", F.col("first_ord"))
     none = F.lit(None).cast("string")
     empty = F.expr("cast(array() as array<string>)")
-    shaped = papers.select(
-        "ord", "canonical_id", "title", "doi", "abstract", empty.alias("urls"), empty.alias("pdf_urls"), none.alias("document_pdf_url")
-    )
-    values = materialise(merge.title_group_values(shaped, merge.paper_records(keyed)), "group-values")
-    groups = merge.title_groups(papers)
+    with scratch_table(merge.merge_papers(keyed).withColumn("ord", F.col("first_ord")), "papers") as papers:
+        shaped = papers.select(
+            "ord", "canonical_id", "title", "doi", "abstract", empty.alias("urls"), empty.alias("pdf_urls"), none.alias("document_pdf_url")
+        )
+        values = materialise(merge.title_group_values(shaped, merge.paper_records(keyed)), "group-values")
+        groups = materialise(merge.title_groups(papers), "title-groups")
     items = finalize.require_valid(finalize.clean_manifest(stand_ins.manifest(spark, sf_dir)))
     matched = finalize.with_groups(items, groups).filter(F.col("group_key").isNotNull())
     return materialise(matched, "items"), values, groups

@@ -71,18 +71,47 @@ def scratch_dir(spark: SparkSession) -> str:
 _written: list[str] = []
 
 
+#: Whether Spark drops the shuffle files of a statement at its end, and not when the driver happens to collect its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` as a table in the scratch folder and read it back, which cuts its lineage."""
+    """Write ``df`` as a table in the scratch folder and read it back, which cuts its lineage.
+
+    Nothing reads the shuffle files of the write after it, so they go at its end: disk holds those of one step, not of all.
+    """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        writer.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _drop(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    _written.remove(path)
+
+
+@contextmanager
+def scratch_table(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``df`` as a scratch table for the block, dropped when it ends; what is made of it must be written by then."""
+    table = materialise(df, label)
+    path = _written[-1]
+    try:
+        yield table
+    finally:
+        _drop(df.sparkSession, path)
+
+
 @contextmanager
 def scratch_space(spark: SparkSession) -> Iterator[None]:
     """Drops the scratch tables that are written inside the block when it ends; results must be written elsewhere by then."""
@@ -91,6 +120,4 @@ def scratch_space(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _written[start:]:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-        del _written[start:]
+            _drop(spark, path)

@@ -195,3 +195,43 @@ def test_snapshot_documents_compose_every_text_in_order(spark):
     assert one[1]["digest"] == other[1]["digest"]
     assert [d[1]["text_md5"] for d in (one, other)] == [hashlib.md5(t.encode()).hexdigest() for t in ("Title: T\nä\n\ny", "Title: T\ny\n\nä")]
     assert one[2]["text_md5"] == other[2]["text_md5"] == hashlib.md5(b"Title: U").hexdigest()
+
+
+def test_snapshot_texts_of_a_large_group_are_not_copied_to_its_items(spark, monkeypatch):
+    """A group's pieces move once for each part of its items, whose digests are those of the whole texts; a write leaves no shuffle files."""
+    import hashlib
+
+    from citeloom.session import materialise
+
+    n, m = 90, 40
+    hot = [("g", None, 9, "canonical_record_abstract", i + 1, 0, f"abstract {i} ä") for i in range(m)] + [("g", None, 6, "Addresses", 0, 0, "u")]
+    own = [(None, i, 0, "Title", 0, 0, f"T {i}") for i in range(n)] + [(None, i, 9, "openalex_metadata", 0, 0, f"looked {i}") for i in range(0, n, 3)]
+    own += [(None, n, 4, "DOI", 0, 0, "10.1/a"), (None, n + 1, 9, "openalex_metadata", 2, 0, "none before")]
+    columns = "group_key STRING, ord BIGINT, section INT, label STRING, a BIGINT, b BIGINT, text STRING"
+    lines = spark.createDataFrame([*hot, *own, ("other", None, 6, "Addresses", 0, 0, "of nobody")], columns)
+    items = spark.createDataFrame([*[(i, "g") for i in range(n)], (n, "alone"), (n + 1, "g")], "ord BIGINT, item_key STRING")
+    abstracts = "\n\n".join(x[6] for x in hot[:m])
+    looked = {i: f"\nlooked {i}" for i in range(0, n, 3)}
+    want = {i: f"Title: T {i}\nAddresses: u{looked.get(i, '')}\n{abstracts}" for i in range(n)}
+    want |= {n: "DOI: 10.1/a", n + 1: f"Addresses: u\n{abstracts}\nnone before"}
+    for part_items, part_chars, gathered, k in ((10_000, 1 << 33, 1 << 20, 1), (20, 1 << 33, 64, 5), (10_000, 20_000, 1, 3)):
+        monkeypatch.setattr(finalize, "PART_ITEMS", part_items)
+        monkeypatch.setattr(finalize, "PART_CHARS", part_chars)
+        monkeypatch.setattr(finalize, "GATHERED", gathered)
+        got = {r["ord"]: r for r in finalize.snapshot_documents(items, lines).collect()}
+        assert {o: r["text_md5"] for o, r in got.items()} == {o: hashlib.md5(t.encode()).hexdigest() for o, t in want.items()}
+        assert all(r["chars"] == len(want[o]) for o, r in got.items())
+        chars = spark.createDataFrame([("g", m * 14)], "item_key STRING, _chars BIGINT")
+        parts = finalize.group_parts(items, chars)
+        assert [tuple(r) for r in parts.collect()] == ([("g", k)] if k > 1 else [])
+        placed = finalize.placed_pieces(items, finalize.snapshot_pieces(lines), parts)
+        assert placed.count() == n + 2 + len(own) + len(hot) * k + 1 and placed.groupBy("group_key", "part").count().count() == k + 2
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = files.getAllFiles().size()
+    assert materialise(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "seven").count() == 7
+    import time
+
+    late = time.time() + 20
+    while files.getAllFiles().size() > before and time.time() < late:
+        time.sleep(0.1)
+    assert files.getAllFiles().size() <= before
