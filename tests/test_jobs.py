@@ -151,6 +151,15 @@ def test_pairs_of_papers_and_members_take_their_order_without_a_sort(spark):
     above = pairs.split("Join")[0]
     assert not any(step in above for step in ("Sort", "Window", "Aggregate"))
 
+    # With the fields that are read, papers of the feed are written narrow, and payloads are not parsed again for their pairs.
+    fields = ["source", "member_name", "source_id", "title"]
+    narrow = jobs.normalise_all(raw, members, params, fields)
+    plans = [df.filter("source = 'inspirehep'")._jdf.queryExecution().optimizedPlan().toString() for df in (records, narrow)]
+    assert ["from_json" in p for p in plans] == [True, False]
+    again = sorted(jobs.with_order(narrow, members, fields, "place").collect(), key=lambda r: r["ord"])
+    assert [(r["source"], r["member_name"], r["source_id"], r["place"]) for r in again] == expected
+    assert {(r["ord"], r["title"]) for r in again} == {(r["ord"], r["title"]) for r in plain}
+
 
 def test_streaming_state(spark, tmp_path):
     from test_merge_and_order import ROWS, _records
