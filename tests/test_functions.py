@@ -193,3 +193,44 @@ def test_long_texts_go_to_python_in_small_batches(spark):
     texts = spark.range(0, 64, 1, 1).select(F.expr("repeat(cast(id % 10 AS string), 1 << 20)").alias("t"))
     held = [r["n"] for r in texts.select(size("t").alias("n")).collect()]
     assert len(held) == 64 and max(held) <= 6 << 20
+
+
+def test_white_space_runs_are_those_of_the_plain_rule(spark):
+    """Only runs that differ from one space are replaced; the result is that of replacing every run."""
+    import random
+
+    from citeloom.functions.text import WS_RUN, ws
+
+    rng = random.Random(3)
+    signs = [" ", " ", "\t", "\n", " ", " ", "\x1c", "\x1f", "\x85", "a", "b", "ä", "\U0001f600"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 12))) for _ in range(3000)] + [None, "", " ", "a b", " a  b\n"]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    assert df.filter(~ws(F.col("t")).eqNullSafe(F.trim(F.regexp_replace("t", WS_RUN, " ")))).count() == 0
+
+
+def test_distinct_names_are_sorted_once(spark):
+    from citeloom.functions.arrays import distinct_ignore_case
+
+    df = spark.createDataFrame([(["B  x", "a", "b X", None, " ", "A"],), ([],), (None,)], "v ARRAY<STRING>").select(distinct_ignore_case(F.col("v")).alias("d"))
+    assert [r["d"] for r in df.collect()] == [["B x", "a"], [], []]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("array_sort(") == 2
+
+
+def test_landed_documents_keep_words_rest_and_signs(spark, tmp_path):
+    """First six words, the text behind the first line, and escaped signs, by what Python makes of the same texts."""
+    import re
+
+    from citeloom.plans import stand_ins
+
+    texts = ["one", "", "\nrest", "a1b c-d, e f g h\nmore\nlines", "line\n", "x & <y> z\n&amp;", "1 2 3", "äb cd " * 5000 + "\nend", "word " * 20, None]
+    path = str(tmp_path)
+    spark.createDataFrame([(i, t, "en", "src1", 0) for i, t in enumerate(texts)], "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT").write.parquet(f"{path}/documents.parquet")
+    escaped = lambda t: t.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+    docs = stand_ins.documents(spark, path).selectExpr("doc_id", "line1", "w", "rest", f"{stand_ins._xml('text')} AS x")
+    for r in docs.collect():
+        text = texts[r["doc_id"]]
+        if text is None:
+            assert r["w"] is None and r["rest"] is None and r["x"] is None
+            continue
+        line, _, rest = text.partition("\n")
+        assert (r["line1"], r["w"], r["rest"], r["x"]) == (line, re.findall("[A-Za-z]+", line)[:6], rest or None, escaped(text))
