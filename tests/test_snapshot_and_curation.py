@@ -226,12 +226,17 @@ def test_snapshot_texts_of_a_large_group_are_not_copied_to_its_items(spark, monk
         assert [tuple(r) for r in parts.collect()] == ([("g", k)] if k > 1 else [])
         placed = finalize.placed_pieces(items, finalize.snapshot_pieces(lines), parts)
         assert placed.count() == n + 2 + len(own) + len(hot) * k + 1 and placed.groupBy("group_key", "part").count().count() == k + 2
-    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
-    before = files.getAllFiles().size()
-    assert materialise(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "seven").count() == 7
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = disk.getAllFiles()
+        return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
     import time
 
-    late = time.time() + 20
-    while files.getAllFiles().size() > before and time.time() < late:
+    before, late = shuffles(), time.time() + 20
+    table = materialise(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "seven")
+    while shuffles() - before and time.time() < late:
         time.sleep(0.1)
-    assert files.getAllFiles().size() <= before
+    assert not shuffles() - before
+    assert table.count() == 7
